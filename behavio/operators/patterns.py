@@ -132,31 +132,60 @@ def bursts(df: DataFrame, key: str, ts: str, seq: str, cond, span="2 seconds",
     """A ``cond`` event with no open burst opens one; ``cond`` events
     up to ``span`` after the opener (inclusive) join it; any other event of
     the key cancels it.  A burst with more than ``min_exclusive`` events is
-    reported.  Greedy and sequential inside an island of close failures
-    (consecutive gaps <= span, no other event between); islands are cut by
-    window functions and each island is folded with a vectorised
-    ``searchsorted`` in ``applyInPandas``.
+    reported.
+
+    The next opener depends on where the previous burst ended, so this is
+    a sequential fold per key.  It runs as one ordered pass per partition:
+    rows are hash-clustered by key and sorted by (key, ts, seq) inside
+    each partition, then a small state machine in ``mapInPandas`` walks the
+    Arrow batches, carrying the open burst across batch boundaries.  No
+    group is materialised; memory per task is one batch.
 
     Columns: key, first_ts, last_ts, fails."""
-    x = _islands(df, key, ts, seq, cond, span)
     span_ns = int(round(seconds_of(span) * 1e9))
     ts_type = df.schema[ts].dataType.simpleString()
     key_type = df.schema[key].dataType.simpleString()
     schema = f"`{key}` {key_type}, first_ts {ts_type}, last_ts {ts_type}, fails long"
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([ts, seq], kind="mergesort")
-        t = pdf[ts].to_numpy(dtype="datetime64[ns]").astype(np.int64)
-        firsts, lasts, counts = [], [], []
-        i, n = 0, len(t)
-        while i < n:
-            j = int(np.searchsorted(t, t[i] + span_ns, side="right"))
-            if j - i > min_exclusive:
-                firsts.append(i); lasts.append(j - 1); counts.append(j - i)
-            i = j
-        tv = pdf[ts].to_numpy()
-        return pd.DataFrame({key: pdf[key].to_numpy()[firsts] if firsts else pdf[key].to_numpy()[:0],
-                             "first_ts": tv[firsts], "last_ts": tv[lasts],
-                             "fails": np.asarray(counts, dtype=np.int64)})
-
-    return x.groupBy(key, "island").applyInPandas(fold, schema)
+    x = (df.select(key, ts, seq, F.coalesce(_cond(cond), F.lit(False)).alias("_c"))
+           .repartition(key).sortWithinPartitions(key, ts, seq))
+
+    def fold(batches):
+        cur_key, open_t, last_t, n = None, None, None, 0
+        out_k, out_f, out_l, out_n = [], [], [], []
+
+        def close():
+            if open_t is not None and n > min_exclusive:
+                out_k.append(cur_key); out_f.append(open_t); out_l.append(last_t); out_n.append(n)
+
+        for pdf in batches:
+            keys = pdf[key].tolist()
+            tv = pdf[ts].to_numpy(dtype="datetime64[ns]").astype(np.int64).tolist()
+            cv = pdf["_c"].tolist()
+            for k, t, c in zip(keys, tv, cv):
+                if k != cur_key:
+                    close()
+                    cur_key, open_t, last_t, n = k, None, None, 0
+                if open_t is not None and t > open_t + span_ns:
+                    close()                     # the burst's timer fired before this event
+                    open_t, last_t, n = None, None, 0
+                if not c:                       # any other event cancels an open burst
+                    open_t, last_t, n = None, None, 0
+                elif open_t is None:
+                    open_t, last_t, n = t, t, 1
+                else:
+                    last_t, n = t, n + 1
+            if out_k:
+                yield _burst_frame(key, out_k, out_f, out_l, out_n)
+                out_k, out_f, out_l, out_n = [], [], [], []
+        close()
+        if out_k:
+            yield _burst_frame(key, out_k, out_f, out_l, out_n)
+
+    return x.mapInPandas(fold, schema)
+
+
+def _burst_frame(key, ks, fs, ls, ns) -> pd.DataFrame:
+    return pd.DataFrame({key: ks,
+                         "first_ts": pd.to_datetime(np.asarray(fs, dtype=np.int64), unit="ns"),
+                         "last_ts": pd.to_datetime(np.asarray(ls, dtype=np.int64), unit="ns"),
+                         "fails": np.asarray(ns, dtype=np.int64)})

@@ -152,9 +152,11 @@ SELECT user_id, first_ts, ts AS last_ts, event_id, CAST(fails AS BIGINT) AS fail
 WITH RECURSIVE e AS (
   SELECT user_id, ts, event_id, event_type = 'error' AS c,
          row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
-ns AS (SELECT *, min(CASE WHEN NOT c THEN rn END) OVER (PARTITION BY user_id ORDER BY rn
-                  ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_other FROM e),
-f AS (SELECT user_id, ts, rn, coalesce(next_other, 9223372036854775807) AS stop FROM ns WHERE c),
+ns AS (SELECT *, min(CASE WHEN NOT c THEN rn END) OVER w AS next_other,
+              min(CASE WHEN NOT c THEN ts END) OVER w AS next_other_ts FROM e
+       WINDOW w AS (PARTITION BY user_id ORDER BY rn ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+f AS (SELECT user_id, ts, rn, coalesce(next_other, 9223372036854775807) AS stop, next_other_ts AS stop_ts
+      FROM ns WHERE c),
 nxt AS (SELECT a.user_id, a.rn, min(b.rn) AS nrn FROM f a JOIN f b
           ON a.user_id = b.user_id AND b.rn > a.rn AND (b.ts > a.ts + INTERVAL 24 HOUR OR b.rn > a.stop)
         GROUP BY a.user_id, a.rn),
@@ -165,6 +167,7 @@ chain(user_id, rn) AS (
 SELECT o.user_id, o.ts AS first_ts, max(m.ts) AS last_ts, count(*) AS fails
 FROM chain c JOIN f o ON o.user_id = c.user_id AND o.rn = c.rn
 JOIN f m ON m.user_id = o.user_id AND m.rn >= o.rn AND m.rn < o.stop AND m.ts <= o.ts + INTERVAL 24 HOUR
+WHERE o.stop_ts IS NULL OR o.stop_ts > o.ts + INTERVAL 24 HOUR
 GROUP BY o.user_id, o.ts, o.rn HAVING count(*) > 2""",
 
     "order_paid": "WITH " + _NEXT_PAY + """
