@@ -1,4 +1,134 @@
-"""Streaming twins of catalogue queries (filled in below)."""
+"""Streaming twins of catalogue queries.
 
-STREAM_QUERIES = {}
-STREAM_ORACLE_SQL = {}
+Each reads ``events`` as a file stream with a 0 s watermark (times are
+ascending), runs with ``trigger(availableNow=True)`` into a Parquet table
+under the checkpoint folder and returns that table.  In append mode a
+window is emitted only once the watermark (the largest event time seen)
+reaches its end (the watermark follows the rows that pass the filters,
+which Catalyst pushes below the watermark), so the oracles keep the
+closed windows only; joins and
+the quota processor emit as soon as rows arrive, so theirs equal batch."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..functions import json_long
+from .operators import chained_unique, flatten_window, stream_interval_join, windowed_count, windowed_top_n
+from .processors import QuotaProcessor, quota_state_fn
+from .runner import run_available
+from .sources import table_stream, with_event_time
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _events(spark, d, cols=("event_id", "ts", "user_id", "event_type", "props")):
+    return with_event_time(table_stream(spark, d, "events").select(*cols), "ts", "0 seconds")
+
+
+def stream_page_views_hourly(spark: SparkSession, d: str) -> DataFrame:
+    s = _events(spark, d).where(F.col("event_type") == "view")
+    out = flatten_window(windowed_count(s, "ts", "1 hour", count_col="pv"))
+    return run_available(spark, out, "stream_page_views")
+
+
+def stream_unique_visitors_hourly(spark: SparkSession, d: str) -> DataFrame:
+    s = _events(spark, d).where(F.col("event_type") == "view")
+    out = flatten_window(chained_unique(s, "ts", "1 hour", "user_id"))
+    return run_available(spark, out, "stream_uv")
+
+
+def stream_hot_items(spark: SparkSession, d: str) -> DataFrame:
+    s = (_events(spark, d).where(F.col("event_type") == "view")
+         .select("ts", json_long("props", "k").alias("item_id")))
+    top = windowed_top_n(s, "ts", "1 hour", "10 minutes", "item_id", 3)
+    out = top.select(F.col("window.end").alias("window_end"), "rank", "item_id", "cnt")
+    return run_available(spark, out, "stream_hot_items")
+
+
+def stream_tx_interval_join(spark: SparkSession, d: str) -> DataFrame:
+    e = lambda: _events(spark, d, ("event_id", "ts", "user_id", "event_type"))
+    s = e().where(F.col("event_type") == "signup").select(
+        "user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("signup_ts"))
+    p = e().where(F.col("event_type") == "purchase").select(
+        "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
+    out = stream_interval_join(s, p, "user_id", "signup_ts", "purchase_ts", "-1 hour", "1 hour")
+    return run_available(spark, out, "stream_tx_join")
+
+
+def stream_ad_quota(spark: SparkSession, d: str, max_passed: int = 2) -> DataFrame:
+    """Per (user, event type) and UTC day: the first ``max_passed`` events
+    pass, the next raises one alert (keyed state, applyInPandasWithState)."""
+    s = _events(spark, d, ("event_id", "ts", "user_id", "event_type"))
+    cols = ["event_id", "user_id", "event_type", "ts"]
+    out = (s.groupBy("user_id", "event_type")
+            .applyInPandasWithState(quota_state_fn(max_passed, "ts", "event_id", cols),
+                                    "event_id long, user_id long, event_type string, ts timestamp, "
+                                    "n long, kind string",
+                                    "day long, n long, sent boolean", "append", "EventTimeTimeout"))
+    return run_available(spark, out, "stream_ad_quota")
+
+
+def stream_ad_quota_tws(spark: SparkSession, d: str, max_passed: int = 2) -> DataFrame:
+    """The same quota with ``transformWithStateInPandas`` (value state and
+    event-time timers; needs the RocksDB state store)."""
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    s = _events(spark, d, ("event_id", "ts", "user_id", "event_type"))
+    cols = ["event_id", "user_id", "event_type", "ts"]
+    out = (s.groupBy("user_id", "event_type")
+            .transformWithStateInPandas(QuotaProcessor(max_passed, "ts", "event_id", cols),
+                                        "event_id long, user_id long, event_type string, ts timestamp, "
+                                        "n long, kind string", "append", "EventTime"))
+    return run_available(spark, out, "stream_ad_quota_tws")
+
+
+STREAM_QUERIES = {
+    "stream_page_views_hourly": stream_page_views_hourly,
+    "stream_unique_visitors_hourly": stream_unique_visitors_hourly,
+    "stream_hot_items": stream_hot_items,
+    "stream_tx_interval_join": stream_tx_interval_join,
+    "stream_ad_quota": stream_ad_quota,
+}
+
+# The watermark is the largest event time of the rows reaching the
+# aggregation: Catalyst pushes the type filter below the watermark node.
+_CLOSED = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
+
+STREAM_ORACLE_SQL = {
+    "stream_page_views_hourly": f"""
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+         count(*) AS pv
+  FROM events WHERE event_type = 'view' GROUP BY 1, 2)
+WHERE window_end <= {_CLOSED}""",
+
+    "stream_unique_visitors_hourly": f"""
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+         count(DISTINCT user_id) AS uv
+  FROM events WHERE event_type = 'view' GROUP BY 1, 2)
+WHERE window_end <= {_CLOSED}""",
+
+    "stream_hot_items": f"""
+WITH v AS (SELECT ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id FROM events WHERE event_type = 'view'),
+c AS (SELECT time_bucket(INTERVAL 10 MINUTE, ts) + to_minutes(10 * k) AS window_end, item_id, count(*) AS cnt
+      FROM v CROSS JOIN range(1, 7) AS r(k) GROUP BY 1, 2)
+SELECT window_end, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS BIGINT) AS rank,
+       item_id, cnt
+FROM c WHERE window_end <= {_CLOSED} QUALIFY rank <= 3""",
+
+    "stream_tx_interval_join": """
+SELECT s.user_id, s.event_id AS signup_id, s.ts AS signup_ts, p.event_id AS purchase_id, p.ts AS purchase_ts
+FROM events s JOIN events p
+  ON s.user_id = p.user_id AND p.ts BETWEEN s.ts - INTERVAL 1 HOUR AND s.ts + INTERVAL 1 HOUR
+WHERE s.event_type = 'signup' AND p.event_type = 'purchase'""",
+
+    "stream_ad_quota": """
+WITH q AS (SELECT event_id, user_id, event_type, ts,
+                  CAST(row_number() OVER (PARTITION BY user_id, event_type, time_bucket(INTERVAL 1 DAY, ts)
+                                          ORDER BY ts, event_id) AS BIGINT) AS n
+           FROM events)
+SELECT event_id, user_id, event_type, ts, n, CASE WHEN n <= 2 THEN 'pass' ELSE 'alert' END AS kind
+FROM q WHERE n <= 3""",
+}
