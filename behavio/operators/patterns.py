@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.times import interval, seconds_of
+from ..functions.times import epoch_micros, interval, seconds_of
 
 # Fixed result texts of the reference jobs.
 PAY_OK, PAY_TIMEOUT = "successfully", "timeout"
@@ -32,62 +32,97 @@ def _order(key: str, ts: str, seq: str, desc: bool = False) -> Window:
     return Window.partitionBy(key).orderBy(ts, seq)
 
 
+def _bucketed(df: DataFrame, key: str, ts: str, seq: str, width, k: int, head=None) -> DataFrame:
+    """Rows tagged with a time bucket ``_b`` of ``width`` (>= the pattern's
+    horizon) plus *lookahead* rows: the first ``k`` rows (of those
+    satisfying ``head``) of bucket b+1, copied into bucket b with
+    ``_la = true``.  A per-(key, bucket) window then sees every event up
+    to the horizon after each real row, so patterns bounded by the horizon
+    are exact while a hot key is split over its buckets.  The lookahead is
+    a ``row_number() <= k`` cut, planned with a partial WindowGroupLimit
+    before the shuffle."""
+    width_us = max(int(seconds_of(width) * 1_000_000), 1)
+    x = df.withColumn("_b", F.floor(epoch_micros(df, ts) / F.lit(width_us)))
+    heads = x if head is None else x.where(head)
+    wb = Window.partitionBy(key, "_b").orderBy(ts, seq)
+    heads = (heads.withColumn("_r", F.row_number().over(wb)).where(F.col("_r") <= k).drop("_r")
+                  .withColumn("_b", F.col("_b") - 1).withColumn("_la", F.lit(True)))
+    return x.withColumn("_la", F.lit(False)).unionByName(heads)
+
+
 def strict_sequence(df: DataFrame, key: str, ts: str, seq: str, cond, steps: int = 2,
-                    within="2 seconds", strict: bool = True) -> DataFrame:
+                    within="2 seconds", strict: bool = True, bucket: bool = True) -> DataFrame:
     """``steps`` consecutive events of a key that all satisfy ``cond``,
     the last less than ``within`` after the first (``strict=False``: at
     most).  Overlapping matches are all emitted.
 
+    ``bucket=True`` evaluates per (key, time bucket of width ``within``)
+    with the next bucket's first steps-1 events as lookahead (see
+    ``_bucketed``); ``bucket=False`` uses one window per key.
+
     Columns: key, first_ts, last_ts, first_seq, n."""
-    w = _order(key, ts, seq)
-    c = _cond(cond)
-    x = df.select(key, ts, seq, c.alias("_c"))
+    x = df.select(key, ts, seq, F.coalesce(_cond(cond), F.lit(False)).alias("_c"))
+    if bucket and steps > 1:
+        x = _bucketed(x, key, ts, seq, within, steps - 1)
+        w = Window.partitionBy(key, "_b").orderBy(ts, seq)
+    else:
+        x = x.withColumn("_la", F.lit(False))
+        w = _order(key, ts, seq)
     ok = F.col("_c")
     for k in range(1, steps):
         ok = ok & F.coalesce(F.lead("_c", k).over(w), F.lit(False))
     last = F.lead(ts, steps - 1).over(w) if steps > 1 else F.col(ts)
     bound = F.col(ts) + interval(within)
-    x = x.select(key, ts, seq, ok.alias("_ok"), last.alias("last_ts"))
+    x = x.select(key, ts, seq, "_la", ok.alias("_ok"), last.alias("last_ts"))
     in_time = (F.col("last_ts") < bound) if strict else (F.col("last_ts") <= bound)
-    return (x.where(F.col("_ok") & in_time)
+    return (x.where(~F.col("_la") & F.col("_ok") & in_time)
              .select(key, F.col(ts).alias("first_ts"), "last_ts", F.col(seq).alias("first_seq"),
                      F.lit(steps).cast("long").alias("n")))
 
 
-def _next_match(df: DataFrame, key: str, ts: str, seq: str, then) -> Column:
-    """Nearest later (in (ts, seq) order) row satisfying ``then``, as a
-    struct (t, s); reversed growing frame, evaluated incrementally."""
-    w = _order(key, ts, seq, desc=True).rowsBetween(Window.unboundedPreceding, -1)
-    return F.min(F.when(_cond(then), F.struct(F.col(ts).alias("t"), F.col(seq).alias("s")))).over(w)
-
-
 def followed_by(df: DataFrame, key: str, ts: str, seq: str, first, then, within="15 minutes",
-                strict: bool = True) -> DataFrame:
+                strict: bool = True, bucket: bool = True) -> DataFrame:
     """Each ``first`` event is paired with the first later ``then``
     event of its key; it succeeds when that event comes less than
-    ``within`` later, else it times out.
+    ``within`` later (``strict=False``: at most), else it times out.
+
+    The next ``then`` event is found with a reversed growing frame
+    (incremental, not an O(n^2) following frame).  ``bucket=True`` runs it
+    per (key, time bucket of width ``within``) with the next bucket's first
+    ``then`` event as lookahead: a later event beyond that is more than
+    ``within`` away and could not succeed anyway.
 
     Columns: key, first_ts, first_seq, then_ts (null on timeout),
     then_seq, kind ('successfully' | 'timeout')."""
-    x = df.select(key, ts, seq, _cond(first).alias("_f"),
-                  _next_match(df, key, ts, seq, then).alias("_n"))
+    x = df.select(key, ts, seq, F.coalesce(_cond(first), F.lit(False)).alias("_f"),
+                  F.coalesce(_cond(then), F.lit(False)).alias("_t"))
+    if bucket:
+        x = _bucketed(x, key, ts, seq, within, 1, head=F.col("_t"))
+        w = (Window.partitionBy(key, "_b").orderBy(F.col(ts).desc(), F.col(seq).desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    else:
+        x = x.withColumn("_la", F.lit(False))
+        w = _order(key, ts, seq, desc=True).rowsBetween(Window.unboundedPreceding, -1)
+    nxt = F.min(F.when(F.col("_t"), F.struct(F.col(ts).alias("t"), F.col(seq).alias("s")))).over(w)
+    x = x.select(key, ts, seq, "_f", "_la", nxt.alias("_n"))
     bound = F.col(ts) + interval(within)
     ok = (F.col("_n.t") < bound) if strict else (F.col("_n.t") <= bound)
     ok = F.coalesce(ok, F.lit(False))
-    return (x.where("_f")
+    return (x.where(F.col("_f") & ~F.col("_la"))
              .select(key, F.col(ts).alias("first_ts"), F.col(seq).alias("first_seq"),
                      F.when(ok, F.col("_n.t")).alias("then_ts"),
                      F.when(ok, F.col("_n.s")).alias("then_seq"),
                      F.when(ok, F.lit(PAY_OK)).otherwise(F.lit(PAY_TIMEOUT)).alias("kind")))
 
 
-def deadline(df: DataFrame, key: str, ts: str, seq: str, first, then, within="15 minutes") -> DataFrame:
+def deadline(df: DataFrame, key: str, ts: str, seq: str, first, then, within="15 minutes",
+             bucket: bool = True) -> DataFrame:
     """A deadline ``within`` after each ``first`` event; success when
     a later ``then`` event of the key arrives by the deadline (inclusive).
 
     Columns: key, create_ts, result, pay_ts, delay_min (whole minutes from
     create to pay, null on timeout), deadline_min."""
-    r = followed_by(df, key, ts, seq, first, then, within, strict=False)
+    r = followed_by(df, key, ts, seq, first, then, within, strict=False, bucket=bucket)
     ok = F.col("kind") == PAY_OK
     # DOUBLE: null on timeout, and nullable integers convert differently
     # across client libraries; whole minutes are exact in a double.

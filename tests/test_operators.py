@@ -210,3 +210,22 @@ def test_parse_behaviour_layout(spark):
     assert p[0]["_ok"] and p[0].user_id == 543462 and p[0].behavior == "pv"
     assert p[0].ts == dt.datetime(2017, 11, 26, 1, 0, 0)
     assert not p[1]["_ok"]
+
+
+@pytest.mark.parametrize("within", ["2 seconds", "5 seconds", "30 seconds"])
+def test_bucketed_patterns_equal_per_key(spark, within):
+    from behavio.operators import deadline, followed_by, strict_sequence
+    rows = _random_events(n=600, seed=5)
+    df = spark.createDataFrame(rows, "seq long, ts timestamp_ntz, user_id long, event_type string")
+    fail, ok = F.col("event_type") == "fail", F.col("event_type") == "success"
+    for steps in (2, 3):
+        a = strict_sequence(df, "user_id", "ts", "seq", fail, steps, within, bucket=True)
+        b = strict_sequence(df, "user_id", "ts", "seq", fail, steps, within, bucket=False)
+        assert _rows(a, a.columns) == _rows(b, b.columns)
+    a = followed_by(df, "user_id", "ts", "seq", fail, ok, within, bucket=True)
+    b = followed_by(df, "user_id", "ts", "seq", fail, ok, within, bucket=False)
+    assert _rows(a, a.columns) == _rows(b, b.columns)
+    assert a.where("kind = 'successfully'").count() > 0
+    a = deadline(df, "user_id", "ts", "seq", fail, ok, within, bucket=True)
+    b = deadline(df, "user_id", "ts", "seq", fail, ok, within, bucket=False)
+    assert _rows(a, a.columns) == _rows(b, b.columns)
