@@ -147,13 +147,84 @@ def _islands(df: DataFrame, key: str, ts: str, seq: str, cond, max_gap) -> DataF
     return x.where("_c").drop("_c", "_start")
 
 
+def _run_positions(df: DataFrame, key: str, ts: str, seq: str, cond, max_gap) -> DataFrame:
+    """``cond`` rows with their run (island) start and 1-based position,
+    computed per (key, time bucket of width ``max_gap``) so a hot key is
+    split over its buckets.
+
+    * Run starts are exact from a one-row lookbehind (the previous bucket's
+      last event; anything earlier is more than ``max_gap`` away).
+    * A row after the first start of its bucket counts from that start.
+    * Rows before it continue a run from earlier buckets: a small table of
+      per-bucket summaries (fail rows, last start, rows since it) is
+      scanned per key in bucket order to carry the start and the count in.
+      A run can only continue through consecutive, all-``cond`` buckets.
+
+    Columns: key, ts, seq, next_other_ts (time of the following event
+    when it is not a ``cond`` one and at most one bucket later), run_start
+    (ts), run_id (seq of the run's first row), pos."""
+    width_us = max(int(seconds_of(max_gap) * 1_000_000), 1)
+    x = (df.select(key, ts, seq, F.coalesce(_cond(cond), F.lit(False)).alias("_c"))
+           .withColumn("_b", F.floor(epoch_micros(df, ts) / F.lit(width_us))))
+    wb = Window.partitionBy(key, "_b").orderBy(ts, seq)
+    tail = (x.withColumn("_r", F.row_number().over(Window.partitionBy(key, "_b")
+                                                   .orderBy(F.col(ts).desc(), F.col(seq).desc())))
+             .where(F.col("_r") == 1).drop("_r")
+             .withColumn("_b", F.col("_b") + 1).withColumn("_lb", F.lit(True)))
+    # (head: the next bucket's first event, for the event after a run)
+    head = (x.withColumn("_r", F.row_number().over(wb)).where(F.col("_r") == 1).drop("_r")
+             .withColumn("_b", F.col("_b") - 1).withColumn("_lb", F.lit(True)))
+    u = x.withColumn("_lb", F.lit(False)).unionByName(tail).unionByName(head)
+    brk = (~F.coalesce(F.lag("_c").over(wb), F.lit(False))) | (F.col(ts) > F.lag(ts).over(wb) + interval(max_gap))
+    # time of the next event when it is not a ``cond`` one (ends the run)
+    nxt_other = F.when(~F.lead("_c").over(wb), F.lead(ts).over(wb))
+    real = F.col("_b") == F.floor(epoch_micros(df, ts) / F.lit(width_us))
+    u = (u.withColumn("_start", F.col("_c") & brk).withColumn("next_other_ts", nxt_other)
+          .where(F.col("_c") & real))
+    upto = wb.rowsBetween(Window.unboundedPreceding, 0)
+    u = (u.withColumn("_idx", F.count(F.lit(1)).over(upto))
+          .withColumn("_nst", F.sum(F.col("_start").cast("int")).over(upto))
+          .withColumn("_ls", F.last(F.when(F.col("_start"), F.struct(F.col(ts).alias("t"), F.col("_idx").alias("i"),
+                                                                     F.col(seq).alias("s"))),
+                                    ignorenulls=True).over(upto)))
+    per_b = u.groupBy(key, "_b").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max(F.when(F.col("_start"), F.struct(F.col(ts).alias("t"), F.col("_idx").alias("i"),
+                                               F.col(seq).alias("s")))).alias("_last"))
+    wk = Window.partitionBy(key).orderBy("_b")
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    cum = F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, 0))
+    per_b = (per_b.withColumn("_cum", cum)
+                  .withColumn("_a", F.when(F.col("_last").isNotNull(),
+                                           F.col("_n") - F.col("_last.i") + 1 - F.col("_cum")))
+                  .select(key, "_b",
+                          F.last("_last.t", ignorenulls=True).over(before).alias("_carry_t"),
+                          F.last("_last.s", ignorenulls=True).over(before).alias("_carry_s"),
+                          (F.last("_a", ignorenulls=True).over(before) + F.col("_cum") - F.col("_n"))
+                          .alias("_carry_n")))
+    r = u.join(per_b, [key, "_b"], "left")
+    carried = F.col("_nst") == 0
+    return r.select(key, ts, seq, "next_other_ts",
+                    F.when(carried, F.col("_carry_t")).otherwise(F.col("_ls.t")).alias("run_start"),
+                    F.when(carried, F.col("_carry_s")).otherwise(F.col("_ls.s")).alias("run_id"),
+                    F.when(carried, F.col("_carry_n") + F.col("_idx"))
+                     .otherwise(F.col("_idx") - F.col("_ls.i") + 1).cast("long").alias("pos"))
+
+
 def runs(df: DataFrame, key: str, ts: str, seq: str, cond, max_gap="2 seconds",
-         min_len: int = 3) -> DataFrame:
+         min_len: int = 3, bucket: bool = True) -> DataFrame:
     """E5: runs of consecutive ``cond`` events of a key, each at most
     ``max_gap`` after the previous one; any other event ends the run.  One
     alert per event at position >= ``min_len`` in its run.
+    ``bucket=True``: per (key, time bucket), see ``_run_positions``;
+    ``bucket=False``: gaps-and-islands over one window per key.
 
     Columns: key, first_ts (run start), last_ts (this event), seq, fails."""
+    if bucket:
+        p = _run_positions(df, key, ts, seq, cond, max_gap)
+        return (p.where(F.col("pos") >= min_len)
+                 .select(key, F.col("run_start").alias("first_ts"), F.col(ts).alias("last_ts"), seq,
+                         F.col("pos").alias("fails")))
     x = _islands(df, key, ts, seq, cond, max_gap)
     wi = Window.partitionBy(key, "island").orderBy(ts, seq)
     x = (x.withColumn("fails", F.row_number().over(wi).cast("long"))
@@ -166,53 +237,57 @@ def bursts(df: DataFrame, key: str, ts: str, seq: str, cond, span="2 seconds",
            min_exclusive: int = 2) -> DataFrame:
     """A ``cond`` event with no open burst opens one; ``cond`` events
     up to ``span`` after the opener (inclusive) join it; any other event of
-    the key cancels it.  A burst with more than ``min_exclusive`` events is
-    reported.
-
-    The next opener depends on where the previous burst ended, so this is
-    a sequential fold per key.  It runs as one ordered pass per partition:
-    rows are hash-clustered by key and sorted by (key, ts, seq) inside
-    each partition, then a small state machine in ``mapInPandas`` walks the
-    Arrow batches, carrying the open burst across batch boundaries.  No
-    group is materialised; memory per task is one batch.
+    the key cancels it; the burst is reported at its timer (opener + span)
+    when it holds more than ``min_exclusive`` events.
+
+    The next opener depends on where the previous burst ended, so the
+    greedy chain is sequential - but only inside an island of ``cond``
+    events with gaps <= span (any other event, or a larger gap, resets
+    it).  Islands and their closing event come from the bucketed
+    ``_run_positions``; rows are then clustered by (key, island) and each
+    partition is folded in (ts, seq) order by a small state machine in
+    ``mapInPandas``, the open burst carried across Arrow batches.  A hot
+    key is split over its islands; no group is materialised.
 
     Columns: key, first_ts, last_ts, fails."""
     span_ns = int(round(seconds_of(span) * 1e9))
     ts_type = df.schema[ts].dataType.simpleString()
     key_type = df.schema[key].dataType.simpleString()
     schema = f"`{key}` {key_type}, first_ts {ts_type}, last_ts {ts_type}, fails long"
-    x = (df.select(key, ts, seq, F.coalesce(_cond(cond), F.lit(False)).alias("_c"))
-           .repartition(key).sortWithinPartitions(key, ts, seq))
+    p = _run_positions(df, key, ts, seq, cond, span)
+    x = (p.select(key, "run_id", ts, seq, "next_other_ts")
+          .repartition(key, "run_id").sortWithinPartitions(key, "run_id", ts, seq))
 
     def fold(batches):
-        cur_key, open_t, last_t, n = None, None, None, 0
+        cur, open_t, last_t, n, stop = None, None, None, 0, None
         out_k, out_f, out_l, out_n = [], [], [], []
 
-        def close():
-            if open_t is not None and n > min_exclusive:
-                out_k.append(cur_key); out_f.append(open_t); out_l.append(last_t); out_n.append(n)
+        def emit(island_end: bool):
+            if open_t is None or n <= min_exclusive:
+                return
+            if island_end and stop is not None and stop <= open_t + span_ns:
+                return                          # cancelled before its timer
+            out_k.append(cur[0]); out_f.append(open_t); out_l.append(last_t); out_n.append(n)
 
         for pdf in batches:
-            keys = pdf[key].tolist()
+            ks, rs = pdf[key].tolist(), pdf["run_id"].tolist()
             tv = pdf[ts].to_numpy(dtype="datetime64[ns]").astype(np.int64).tolist()
-            cv = pdf["_c"].tolist()
-            for k, t, c in zip(keys, tv, cv):
-                if k != cur_key:
-                    close()
-                    cur_key, open_t, last_t, n = k, None, None, 0
-                if open_t is not None and t > open_t + span_ns:
-                    close()                     # the burst's timer fired before this event
-                    open_t, last_t, n = None, None, 0
-                if not c:                       # any other event cancels an open burst
-                    open_t, last_t, n = None, None, 0
-                elif open_t is None:
+            nx = pdf["next_other_ts"].to_numpy(dtype="datetime64[ns]")
+            nxv = [None if np.isnat(v) else int(v.astype(np.int64)) for v in nx]
+            for k, r, t, o in zip(ks, rs, tv, nxv):
+                if (k, r) != cur:
+                    emit(True)
+                    cur, open_t, last_t, n = (k, r), t, t, 1
+                elif t > open_t + span_ns:
+                    emit(False)                 # timer fired inside the island
                     open_t, last_t, n = t, t, 1
                 else:
                     last_t, n = t, n + 1
+                stop = o
             if out_k:
                 yield _burst_frame(key, out_k, out_f, out_l, out_n)
                 out_k, out_f, out_l, out_n = [], [], [], []
-        close()
+        emit(True)
         if out_k:
             yield _burst_frame(key, out_k, out_f, out_l, out_n)
 

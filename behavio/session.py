@@ -35,6 +35,7 @@ def build_session(master: str | None = None, app: str = "behavio",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_code()
     return spark
 
 
@@ -61,3 +62,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/behavio-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_code() -> None:
+    """Pickle this package's functions by value, so Python workers (pandas
+    operators, state functions) need no installed copy of the package."""
+    import pyspark.cloudpickle as cloudpickle
+    import behavio
+    try:
+        cloudpickle.register_pickle_by_value(behavio)
+    except ValueError:
+        pass  # already registered

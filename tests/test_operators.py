@@ -117,8 +117,18 @@ def _random_events(n_users=6, n=400, seed=7):
     return rows
 
 
-def test_bursts_brute_force(spark):
-    rows = _random_events()
+def _streaky_events(seed, n=600):
+    rnd = random.Random(seed)
+    rows, t = [], {u: T0 for u in range(3)}
+    for i in range(n):
+        u = rnd.randrange(3)
+        t[u] += dt.timedelta(seconds=rnd.choice([0, 1, 1, 1, 2, 2, 3, 7]))
+        rows.append((i, t[u], u, "success" if rnd.random() < 0.08 else "fail"))
+    return rows
+
+
+@pytest.mark.parametrize("rows", [_random_events(), _streaky_events(4), _streaky_events(9)])
+def test_bursts_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "seq long, ts timestamp_ntz, user_id long, event_type string")
     got = _rows(bursts(df, "user_id", "ts", "seq", F.col("event_type") == "fail", "2 seconds", 2),
                 ["user_id", "first_ts", "last_ts", "fails"])
@@ -229,3 +239,19 @@ def test_bucketed_patterns_equal_per_key(spark, within):
     a = deadline(df, "user_id", "ts", "seq", fail, ok, within, bucket=True)
     b = deadline(df, "user_id", "ts", "seq", fail, ok, within, bucket=False)
     assert _rows(a, a.columns) == _rows(b, b.columns)
+
+
+@pytest.mark.parametrize("gap,seed", [("2 seconds", 1), ("3 seconds", 2), ("1 seconds", 3)])
+def test_bucketed_runs_equal_per_key(spark, gap, seed):
+    rnd = random.Random(seed)
+    rows, t = [], {u: T0 for u in range(3)}
+    for i in range(500):          # long fail streaks spanning many buckets
+        u = rnd.randrange(3)
+        t[u] += dt.timedelta(seconds=rnd.choice([0, 1, 1, 1, 2, 2, 3, 7]))
+        rows.append((i, t[u], u, "success" if rnd.random() < 0.08 else "fail"))
+    df = spark.createDataFrame(rows, "seq long, ts timestamp_ntz, user_id long, event_type string")
+    fail = F.col("event_type") == "fail"
+    a = runs(df, "user_id", "ts", "seq", fail, gap, 3, bucket=True)
+    b = runs(df, "user_id", "ts", "seq", fail, gap, 3, bucket=False)
+    ra, rb = _rows(a, b.columns), _rows(b, b.columns)
+    assert ra == rb and max(r[4] for r in rb) > 6
