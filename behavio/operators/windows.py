@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.times import interval, seconds_of
+from ..functions.times import epoch_micros, interval, seconds_of
 
 BUILTIN_MAX_OVERLAP = 12
 
@@ -88,38 +88,45 @@ def window_deltas(df: DataFrame, ts: str, size, slide, keys=(), chunk="1 day") -
     e, e+slide, ..., next_e-slide.
 
     Pane p adds its count at end p+slide and removes it at p+size+slide, so
-    a running sum over ends reproduces every window's count with 2 x panes
-    rows instead of (size/slide) x panes.  The running sum is two-level:
-    inside (key, chunk of ``chunk`` length) by a window function, plus the
-    sum of the key's earlier chunks from a small per-chunk table.  No task
-    handles more than one chunk of one key, so a hot key, or no key at all,
-    is still spread over many tasks.
+    a running sum over ends reproduces every window's count with ~2 x panes
+    rows instead of (size/slide) x panes.  The running sum is cut into
+    (key, chunk) partitions, chunks being at least ``size`` long: a pane
+    still active at a chunk's start adds one *carry-in* row there, so each
+    chunk's sum starts from the right count without looking at earlier
+    chunks.  One window pass, no self-join; no task handles more than one
+    chunk of one key, so a hot key, or no key at all, is spread over many
+    tasks.
     Columns: keys, e, cnt, next_e (null after the last change)."""
     keys = _keys(keys)
     size_s, slide_s = int(seconds_of(size)), int(seconds_of(slide))
-    chunk_s = int(seconds_of(chunk))
     if size_s % slide_s:
         raise ValueError("difference form needs slide to divide size")
+    chunk_s = max(int(seconds_of(chunk)), size_s)
+    chunk_s = -(-chunk_s // slide_s) * slide_s          # a multiple of slide
+    chunk_us, slide_us, size_us = chunk_s * 1_000_000, slide_s * 1_000_000, size_s * 1_000_000
     panes = pane_counts(df, ts, slide_s, keys)
-    d = panes.select(*keys, F.explode(F.array(
-        F.struct((F.col("pane") + interval(slide_s)).alias("e"), F.col("c").alias("d")),
-        F.struct((F.col("pane") + interval(size_s + slide_s)).alias("e"), (-F.col("c")).alias("d")),
-    )).alias("x")).select(*keys, "x.e", "x.d")
-    d = (d.groupBy(*keys, "e").agg(F.sum("d").alias("d"))
-          .withColumn("_chunk", F.window("e", f"{chunk_s} seconds").start))
-    per_chunk = d.groupBy(*keys, "_chunk").agg(F.sum("d").alias("_tot"), F.min("e").alias("_first"))
-    wc = Window.partitionBy(*keys).orderBy("_chunk")
-    per_chunk = per_chunk.select(
-        *keys, "_chunk",
-        F.coalesce(F.sum("_tot").over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.lead("_first").over(wc).alias("_next_first"))
+    pm = epoch_micros(panes, "pane")
+    e0, e1 = F.col("pane") + interval(slide_s), F.col("pane") + interval(size_s + slide_s)
+    u0, u1 = pm + F.lit(slide_us), pm + F.lit(size_us + slide_us)
+    k0, k1 = F.floor(u0 / F.lit(chunk_us)), F.floor(u1 / F.lit(chunk_us))
+    uc = k1 * F.lit(chunk_us)                                      # start of e1's chunk
+    rows = F.array(
+        F.struct(e0.alias("e"), u0.alias("u"), F.col("c").alias("d"), k0.alias("k")),
+        F.struct(e1.alias("e"), u1.alias("u"), (-F.col("c")).alias("d"), k1.alias("k")),
+        F.when(k1 > k0, F.struct(F.timestamp_add("MICROSECOND", uc - u1, e1).alias("e"), uc.alias("u"),
+                                 F.col("c").alias("d"), k1.alias("k"))))
+    d = (panes.select(*keys, F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("x"))
+              .select(*keys, "x.e", "x.u", "x.d", F.col("x.k").alias("_chunk")))
     w = Window.partitionBy(*keys, "_chunk").orderBy("e")
-    local = d.select(*keys, "_chunk", "e",
-                     F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_local"),
-                     F.lead("e").over(w).alias("_next"))
-    return (local.join(per_chunk, [*keys, "_chunk"])
-                 .select(*keys, "e", (F.col("_local") + F.col("_off")).alias("cnt"),
-                         F.coalesce("_next", "_next_first").alias("next_e")))
+    # RANGE frame: rows sharing an end all see the sum after every change at it.
+    cnt = F.sum("d").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    out = d.select(*keys, "e", "u", "_chunk", cnt.alias("cnt"), F.lead("e").over(w).alias("_next"))
+    # keep one row per end; the chunk's last row runs to the next chunk's
+    # start while windows are non-empty (a carry-in row sits there).
+    to_next_chunk = F.timestamp_add("MICROSECOND", (F.col("_chunk") + 1) * F.lit(chunk_us) - F.col("u"), F.col("e"))
+    next_e = F.coalesce(F.col("_next"), F.when(F.col("cnt") > 0, to_next_chunk))
+    return (out.where(F.col("_next").isNull() | (F.col("_next") != F.col("e")))
+               .select(*keys, "e", "cnt", next_e.alias("next_e")))
 
 
 def sliding_peak(df: DataFrame, ts: str, size, slide, keys=(), peak_col: str = "peak") -> DataFrame:

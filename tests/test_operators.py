@@ -255,3 +255,20 @@ def test_bucketed_runs_equal_per_key(spark, gap, seed):
     b = runs(df, "user_id", "ts", "seq", fail, gap, 3, bucket=False)
     ra, rb = _rows(a, b.columns), _rows(b, b.columns)
     assert ra == rb and max(r[4] for r in rb) > 6
+
+
+@pytest.mark.parametrize("chunk", ["1 hour", "90 minutes", "1 day"])
+def test_window_deltas_small_chunks(spark, chunk):
+    from behavio.operators.windows import window_deltas
+    ev = _events(spark)
+    ref = {(r.event_type, r.window_end): r.cnt
+           for r in sliding_count(ev, "ts", "1 hour", "5 minutes", ["event_type"], method="builtin").collect()}
+    got = {}
+    for r in window_deltas(ev, "ts", "1 hour", "5 minutes", ["event_type"], chunk=chunk).collect():
+        if r.cnt > 0:
+            e = r.e
+            while e < r.next_e:
+                assert (r.event_type, e) not in got
+                got[(r.event_type, e)] = r.cnt
+                e += dt.timedelta(minutes=5)
+    assert got == ref
