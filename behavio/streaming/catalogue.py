@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import json_long
 from .operators import chained_unique, flatten_window, stream_interval_join, windowed_count, windowed_top_n
-from .processors import QuotaProcessor, quota_state_fn
+from .processors import QuotaProcessor, bursts_state_fn, followed_by_state_fn, quota_state_fn
 from .runner import run_available
 from .sources import table_stream, with_event_time
+from ..plans.oracle import ORACLE_SQL as _BATCH_SQL
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -83,12 +84,44 @@ def stream_ad_quota_tws(spark: SparkSession, d: str, max_passed: int = 2) -> Dat
     return run_available(spark, out, "stream_ad_quota_tws")
 
 
+def stream_order_timeout(spark: SparkSession, d: str) -> DataFrame:
+    """signup followed by the user's first later purchase within 6 h
+    (successfully) or not (timeout), decided as the stream goes: by the
+    purchase, or by an event-time timeout once the watermark passes the
+    deadline.  Creates still undecided when the input ends stay in state."""
+    s = (_events(spark, d, ("event_id", "ts", "user_id", "event_type"))
+         .where(F.col("event_type").isin("signup", "purchase"))
+         .withColumn("is_first", F.col("event_type") == "signup"))
+    fn = followed_by_state_fn("user_id", "ts", "event_id", "is_first", 6 * 3600 * 1_000_000)
+    out = s.groupBy("user_id").applyInPandasWithState(
+        fn, "user_id long, create_ts timestamp, create_id long, pay_ts timestamp, pay_id long, kind string",
+        "ts array<long>, seq array<long>", "append", "EventTimeTimeout")
+    # pay_id is left out: nullable integers convert differently across client
+    # libraries, and pay_ts already identifies the purchase.
+    return run_available(spark, out.drop("pay_id"), "stream_order_timeout")
+
+
+def stream_fail_bursts(spark: SparkSession, d: str) -> DataFrame:
+    """Greedy 24 h error bursts (> 2 errors) on a stream; a burst is
+    reported by its timer or by a later event past it, cancelled by any
+    other event before it.  Bursts still open at the end stay in state."""
+    s = (_events(spark, d, ("event_id", "ts", "user_id", "event_type"))
+         .withColumn("is_fail", F.col("event_type") == "error"))
+    fn = bursts_state_fn("user_id", "ts", "event_id", "is_fail", 24 * 3600 * 1_000_000, 2)
+    out = s.groupBy("user_id").applyInPandasWithState(
+        fn, "user_id long, first_ts timestamp, last_ts timestamp, fails long",
+        "open_t long, last_t long, n long", "append", "EventTimeTimeout")
+    return run_available(spark, out, "stream_fail_bursts")
+
+
 STREAM_QUERIES = {
     "stream_page_views_hourly": stream_page_views_hourly,
     "stream_unique_visitors_hourly": stream_unique_visitors_hourly,
     "stream_hot_items": stream_hot_items,
     "stream_tx_interval_join": stream_tx_interval_join,
     "stream_ad_quota": stream_ad_quota,
+    "stream_order_timeout": stream_order_timeout,
+    "stream_fail_bursts": stream_fail_bursts,
 }
 
 # The watermark is the largest event time of the rows reaching the
@@ -131,4 +164,22 @@ WITH q AS (SELECT event_id, user_id, event_type, ts,
            FROM events)
 SELECT event_id, user_id, event_type, ts, n, CASE WHEN n <= 2 THEN 'pass' ELSE 'alert' END AS kind
 FROM q WHERE n <= 3""",
+
+    "stream_order_timeout": """
+WITH e AS (SELECT * FROM events WHERE event_type IN ('signup', 'purchase')),
+n AS (SELECT user_id, ts, event_id, event_type,
+             first_value(CASE WHEN event_type = 'purchase' THEN ts END IGNORE NULLS) OVER w AS nts,
+             first_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER w AS nid
+      FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+wm AS (SELECT floor(epoch_us(max(ts)) / 1000) AS wm_ms FROM e)
+SELECT user_id, ts AS create_ts, event_id AS create_id,
+       CASE WHEN nts < ts + INTERVAL 6 HOUR THEN nts END AS pay_ts,
+       CASE WHEN nts < ts + INTERVAL 6 HOUR THEN 'successfully' ELSE 'timeout' END AS kind
+FROM n, wm
+WHERE event_type = 'signup'
+  AND (nts IS NOT NULL OR ceil((epoch_us(ts) + 21600000000) / 1000) < wm_ms)""",
+
+    "stream_fail_bursts": "SELECT b.* FROM (" + _BATCH_SQL["fail_bursts"] + """) b
+WHERE EXISTS (SELECT 1 FROM events x WHERE x.user_id = b.user_id AND x.ts > b.first_ts + INTERVAL 24 HOUR)
+   OR ceil((epoch_us(b.first_ts) + 86400000000) / 1000) < (SELECT floor(epoch_us(max(ts)) / 1000) FROM events)""",
 }

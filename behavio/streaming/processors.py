@@ -104,3 +104,112 @@ def quota_state_fn(max_passed: int, ts: str, seq: str, out_cols: list[str]):
             yield out
 
     return fn
+
+
+def _us(series) -> np.ndarray:
+    return series.to_numpy(dtype="datetime64[us]").astype("int64")
+
+
+def followed_by_state_fn(key_col: str, ts: str, seq: str, is_first: str, within_us: int, strict: bool = True):
+    """E2/E3 on a stream (applyInPandasWithState, keyed by ``key_col``).
+
+    Pending ``first`` events wait in state (their times and seqs).  The
+    next ``then`` event decides all of them: success when it is less than
+    ``within`` after the first event, else timeout.  Without a ``then``
+    event, an event-time timeout fires once the watermark passes the
+    earliest deadline and reports the firsts whose deadline has passed.
+    State holds only the undecided firsts of a key."""
+
+    def result(k, f_us, f_seq, t_us, t_seq, kind):
+        return pd.DataFrame({key_col: [k] * len(f_us),
+                             "create_ts": pd.to_datetime(np.asarray(f_us, dtype=np.int64), unit="us"),
+                             "create_id": np.asarray(f_seq, dtype=np.int64),
+                             "pay_ts": pd.to_datetime(np.asarray(t_us, dtype="float64"), unit="us"),
+                             "pay_id": pd.array(t_seq, dtype="Int64"),
+                             "kind": kind})
+
+    def fn(key, pdfs, state):
+        k = key[0]
+        pend_t, pend_s = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
+        out = []
+        if state.hasTimedOut:
+            wm_us = state.getCurrentWatermarkMs() * 1000
+            due = [i for i, t in enumerate(pend_t) if t + within_us <= wm_us]
+            if due:
+                out.append(result(k, [pend_t[i] for i in due], [pend_s[i] for i in due],
+                                  [np.nan] * len(due), [None] * len(due), ["timeout"] * len(due)))
+            keep = [i for i in range(len(pend_t)) if i not in set(due)]
+            pend_t, pend_s = [pend_t[i] for i in keep], [pend_s[i] for i in keep]
+        else:
+            frames = list(pdfs)
+            pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+            us = _us(pdf[ts])
+            order = np.lexsort((pdf[seq].to_numpy(), us))
+            us, sq, first = us[order], pdf[seq].to_numpy()[order], pdf[is_first].to_numpy()[order]
+            for t, s_, f in zip(us.tolist(), sq.tolist(), first.tolist()):
+                if f:
+                    pend_t.append(t); pend_s.append(s_)
+                elif pend_t:                      # a 'then' event decides every pending first
+                    ok = [(t < p + within_us) if strict else (t <= p + within_us) for p in pend_t]
+                    out.append(result(k, pend_t, pend_s,
+                                      [t if o else np.nan for o in ok], [s_ if o else None for o in ok],
+                                      ["successfully" if o else "timeout" for o in ok]))
+                    pend_t, pend_s = [], []
+        if pend_t:
+            state.update((pend_t, pend_s))
+            due_ms = -(-(min(pend_t) + within_us) // 1000)
+            state.setTimeoutTimestamp(max(due_ms, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        for o in out:
+            yield o
+
+    return fn
+
+
+def bursts_state_fn(key_col: str, ts: str, seq: str, is_fail: str, span_us: int, min_exclusive: int = 2):
+    """E4 on a stream (applyInPandasWithState, keyed by ``key_col``): the
+    open burst (opener time, last time, count) is the key's state; an
+    event-time timeout at opener + span reports it, a later event past
+    that point closes it, another event type before it cancels it."""
+
+    def frame(k, rows):
+        return pd.DataFrame({key_col: [k] * len(rows),
+                             "first_ts": pd.to_datetime(np.asarray([r[0] for r in rows], dtype=np.int64), unit="us"),
+                             "last_ts": pd.to_datetime(np.asarray([r[1] for r in rows], dtype=np.int64), unit="us"),
+                             "fails": np.asarray([r[2] for r in rows], dtype=np.int64)})
+
+    def fn(key, pdfs, state):
+        k = key[0]
+        open_t, last_t, n = state.get if state.exists else (None, None, 0)
+        done = []
+        if state.hasTimedOut:
+            if open_t is not None and n > min_exclusive:
+                done.append((open_t, last_t, n))
+            open_t, last_t, n = None, None, 0
+        else:
+            frames = list(pdfs)
+            pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+            us = _us(pdf[ts])
+            order = np.lexsort((pdf[seq].to_numpy(), us))
+            for t, f in zip(us[order].tolist(), pdf[is_fail].to_numpy()[order].tolist()):
+                if open_t is not None and t > open_t + span_us:
+                    if n > min_exclusive:
+                        done.append((open_t, last_t, n))
+                    open_t, last_t, n = None, None, 0
+                if not f:
+                    open_t, last_t, n = None, None, 0
+                elif open_t is None:
+                    open_t, last_t, n = t, t, 1
+                else:
+                    last_t, n = t, n + 1
+        if open_t is not None:
+            state.update((open_t, last_t, n))
+            due_ms = -(-(open_t + span_us) // 1000)
+            state.setTimeoutTimestamp(max(due_ms, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        if done:
+            yield frame(k, done)
+
+    return fn

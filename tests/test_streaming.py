@@ -78,3 +78,64 @@ def test_windowed_and_chained_across_batches(spark, tmp_path):
                     if r.w.end <= last)
     assert pv == exp_pv
     assert uv == exp_uv and pv
+
+
+def _wm_ms(ev):
+    last = ev.agg(F.max("ts")).collect()[0][0]
+    import datetime as dt
+    return (last - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1) // 1000
+
+
+def _ceil_ms(t, add_us):
+    import datetime as dt
+    us = (t - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1) + add_us
+    return -(-us // 1000)
+
+
+def test_order_timeout_across_batches(spark, tmp_path):
+    from behavio.operators import followed_by
+    from behavio.streaming.processors import followed_by_state_fn
+    ev, s = _split_stream(spark, tmp_path)
+    within_us = 3 * 3600 * 1_000_000
+    s = s.where(F.col("event_type").isin("signup", "purchase")).withColumn("is_first", F.col("event_type") == "signup")
+    out = s.groupBy("user_id").applyInPandasWithState(
+        followed_by_state_fn("user_id", "ts", "event_id", "is_first", within_us),
+        "user_id long, create_ts timestamp, create_id long, pay_ts timestamp, pay_id long, kind string",
+        "ts array<long>, seq array<long>", "append", "EventTimeTimeout")
+    got = _rows(run_available(spark, out, "t_order"), ["create_id", "kind", "pay_id"])
+    sp = ev.where(F.col("event_type").isin("signup", "purchase"))
+    wm = _wm_ms(sp)
+    b = followed_by(sp, "user_id", "ts", "event_id", F.col("event_type") == "signup",
+                    F.col("event_type") == "purchase", "3 hours").collect()
+    exp = [(r.first_seq, r.kind, r.then_seq, r.user_id, r.first_ts) for r in b]
+    # decided: a later purchase of the user exists, or the deadline passed the watermark
+    purchases = {}
+    for r in sp.where("event_type = 'purchase'").collect():
+        purchases.setdefault(r.user_id, []).append((r.ts, r.event_id))
+    exp2 = []
+    for seq_, kind, then_seq, uid, fts in exp:
+        has_later = any((t, i) > (fts, seq_) for t, i in purchases.get(uid, []))
+        if has_later or _ceil_ms(fts, within_us) < wm:
+            exp2.append((seq_, kind, then_seq))
+    assert got == sorted(exp2) and got
+
+
+def test_bursts_across_batches(spark, tmp_path):
+    from behavio.operators import bursts
+    from behavio.streaming.processors import bursts_state_fn
+    ev, s = _split_stream(spark, tmp_path)
+    span_us = 12 * 3600 * 1_000_000
+    out = s.withColumn("is_fail", F.col("event_type") == "error").groupBy("user_id").applyInPandasWithState(
+        bursts_state_fn("user_id", "ts", "event_id", "is_fail", span_us, 1),
+        "user_id long, first_ts timestamp, last_ts timestamp, fails long",
+        "open_t long, last_t long, n long", "append", "EventTimeTimeout")
+    got = _rows(run_available(spark, out, "t_bursts"), ["user_id", "first_ts", "last_ts", "fails"])
+    wm = _wm_ms(ev)
+    times = {}
+    for r in ev.collect():
+        times.setdefault(r.user_id, []).append(r.ts)
+    import datetime as dt
+    exp = [r for r in _rows(bursts(ev, "user_id", "ts", "event_id", F.col("event_type") == "error", "12 hours", 1),
+                            ["user_id", "first_ts", "last_ts", "fails"])
+           if any(t > r[1] + dt.timedelta(hours=12) for t in times[r[0]]) or _ceil_ms(r[1], span_us) < wm]
+    assert got == exp and got
