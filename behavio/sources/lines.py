@@ -68,7 +68,11 @@ def _epoch(raw: Column, unit: str) -> Column:
 
 
 def parse_lines(lines: DataFrame, layout: str | Layout, value: str = "value") -> DataFrame:
-    """Text rows -> typed columns + ``_ok`` flag + ``seq`` (input order)."""
+    """Text rows -> typed columns + ``_ok`` flag + ``seq``.
+
+    ``seq`` is the input (file offset) order for batch reads.  A file
+    stream exposes no line positions, so there ``seq`` is a hash of the
+    line: a deterministic tie-break between rows with equal times."""
     lay = LAYOUTS[layout] if isinstance(layout, str) else layout
     parts = F.split(F.col(value), F.lit(lay.sep) if lay.sep != " " else F.lit(" "))
     need = max(p for _, p, _ in lay.fields) + 1
@@ -78,7 +82,8 @@ def parse_lines(lines: DataFrame, layout: str | Layout, value: str = "value") ->
         c = _parse(kind, raw)
         cols.append(c.alias(name))
         ok = ok & c.isNotNull() if kind != "string" else ok & raw.isNotNull()
-    return lines.select(*cols, F.monotonically_increasing_id().alias("seq"),
+    seq = F.xxhash64(F.col(value)) if lines.isStreaming else F.monotonically_increasing_id()
+    return lines.select(*cols, seq.alias("seq"),
                         F.coalesce(ok, F.lit(False)).alias("_ok"), F.col(value).alias("_line"))
 
 

@@ -10,15 +10,27 @@ from ..session import scratch_path
 
 
 def run_available(spark: SparkSession, stream: DataFrame, name: str, output_mode: str = "append",
-                  ntz: bool = True) -> DataFrame:
+                  ntz: bool = True, state_partitions: int | None = None) -> DataFrame:
     """Process everything available now (one or more micro-batches, then
     the no-data batch that advances the watermark), write to Parquet with
     a checkpoint so a restarted query resumes, and return the table.
-    ``ntz`` turns TIMESTAMP columns back into UTC wall-clock NTZ."""
+    ``ntz`` turns TIMESTAMP columns back into UTC wall-clock NTZ.
+
+    A new query's state is split into ``spark.sql.shuffle.partitions``
+    partitions, fixed for its lifetime; it is set to ``state_partitions``
+    (default: the cluster's default parallelism) while the query starts.
+    The query runs on a clone of the session, so the caller's setting is
+    restored right after."""
     base = scratch_path(spark, name)
-    q = (stream.writeStream.format("parquet").outputMode(output_mode)
-         .option("path", f"{base}/data").option("checkpointLocation", f"{base}/checkpoint")
-         .trigger(availableNow=True).start())
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        q = (stream.writeStream.format("parquet").outputMode(output_mode)
+             .option("path", f"{base}/data").option("checkpointLocation", f"{base}/checkpoint")
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     q.awaitTermination()
     out = spark.read.schema(stream.schema).parquet(f"{base}/data")
     if ntz:

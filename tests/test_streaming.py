@@ -139,3 +139,35 @@ def test_bursts_across_batches(spark, tmp_path):
                             ["user_id", "first_ts", "last_ts", "fails"])
            if any(t > r[1] + dt.timedelta(hours=12) for t in times[r[0]]) or _ceil_ms(r[1], span_us) < wm]
     assert got == exp and got
+
+
+def test_csv_line_streams_golden(spark, ref_data, tmp_path):
+    """S1 as a stream: the reference's CSV files through the text-file
+    stream source, quota and burst state, same golden values as batch."""
+    import shutil
+    from behavio.streaming.processors import bursts_state_fn
+    from behavio.streaming.sources import line_stream
+    ads_dir, log_dir = tmp_path / "ads", tmp_path / "logins"
+    ads_dir.mkdir(), log_dir.mkdir()
+    shutil.copy(f"{ref_data}/AdClickLog.csv", ads_dir / "AdClickLog.csv")
+    shutil.copy(f"{ref_data}/LoginLog.csv", log_dir / "LoginLog.csv")
+
+    ads = with_event_time(line_stream(spark, str(ads_dir), "ad"), "ts", "0 seconds")
+    cols = ["seq", "user_id", "ad_id", "ts"]
+    q = ads.groupBy("user_id", "ad_id").applyInPandasWithState(
+        quota_state_fn(101, "ts", "seq", cols),
+        "seq long, user_id long, ad_id long, ts timestamp, n long, kind string",
+        "day long, n long, sent boolean", "append", "EventTimeTimeout")
+    r = run_available(spark, q, "t_ads")
+    kinds = {k: n for k, n in r.groupBy("kind").count().collect()}
+    assert kinds == {"pass": 123, "alert": 1}
+    a = r.where("kind = 'alert'").collect()[0]
+    assert (a.user_id, a.ad_id, a.n) == (937166, 1715, 102)
+
+    logins = with_event_time(line_stream(spark, str(log_dir), "login"), "ts", "3 seconds")
+    b = logins.withColumn("is_fail", F.col("event_type") == "fail").groupBy("user_id").applyInPandasWithState(
+        bursts_state_fn("user_id", "ts", "seq", "is_fail", 2_000_000, 2),
+        "user_id long, first_ts timestamp, last_ts timestamp, fails long",
+        "open_t long, last_t long, n long", "append", "EventTimeTimeout")
+    got = [(x.user_id, x.fails) for x in run_available(spark, b, "t_logins").collect()]
+    assert got == [(1035, 3)]
