@@ -141,3 +141,9 @@ def sliding_peak(df: DataFrame, ts: str, size, slide, keys=(), peak_col: str = "
                 F.max("cnt").alias(peak_col),
                 F.min_by("e", F.struct(-F.col("cnt"), F.col("e"))).alias("peak_window_end"),
                 F.sum(n_windows).cast("long").alias("windows")))
+
+
+def drop_static_urls(df: DataFrame, url: str = "url", suffixes=("css", "js")) -> DataFrame:
+    """drop requests for static resources (URLs ending in .css / .js)."""
+    from ..functions.urls import is_static_resource
+    return df.where(~is_static_resource(url, suffixes))

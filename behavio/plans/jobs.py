@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import is_static_resource
-from ..operators import (bursts, deadline, followed_by, interval_join, quota, reconcile, runs,
+from ..operators import (bursts, deadline, drop_static_urls, followed_by, interval_join, quota, reconcile, runs,
                          sliding_count, strict_sequence, top_n, top_n_report, tumbling_count,
                          unique_count, running_unique)
 from ..operators.quota import DEFAULT_MAX_PASSED
@@ -49,7 +49,7 @@ def unique_visitors_running(behaviour: DataFrame, size="1 hour", method: str = "
 def hot_pages(access_log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds") -> DataFrame:
     """Top n URLs per 10 min window sliding by 5 s, rank from 0, after
     dropping .css/.js requests."""
-    pages = access_log.where(~is_static_resource("url"))
+    pages = drop_static_urls(access_log, "url")
     c = sliding_count(pages, "ts", size, slide, keys=["url"])
     return top_n(c, "window_end", "cnt", "url", n, rank_base=0).select("window_end", "rank", "url", "cnt")
 

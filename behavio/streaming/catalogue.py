@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import json_long
 from .operators import chained_unique, flatten_window, stream_interval_join, windowed_count, windowed_top_n
-from .processors import QuotaProcessor, bursts_state_fn, followed_by_state_fn, quota_state_fn
+from .processors import (QuotaProcessor, bursts_state_fn, followed_by_state_fn, quota_state_fn,
+                         sequence_state_fn)
 from .runner import run_available
 from .sources import table_stream, with_event_time
 from ..plans.oracle import ORACLE_SQL as _BATCH_SQL
@@ -114,6 +115,31 @@ def stream_fail_bursts(spark: SparkSession, d: str) -> DataFrame:
     return run_available(spark, out, "stream_fail_bursts")
 
 
+def _errors(spark, d):
+    return (_events(spark, d, ("event_id", "ts", "user_id", "event_type"))
+            .withColumn("is_fail", F.col("event_type") == "error"))
+
+
+def stream_strict_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """error immediately followed by error of the same user < 2 h later,
+    on a stream (the previous event of each user kept as state)."""
+    fn = sequence_state_fn("user_id", "ts", "event_id", "is_fail", "pairs", 2 * 3600 * 1_000_000)
+    out = _errors(spark, d).groupBy("user_id").applyInPandasWithState(
+        fn, "user_id long, first_ts timestamp, last_ts timestamp, first_seq long, n long",
+        "a boolean, b long, c long", "append", "NoTimeout")
+    return run_available(spark, out, "stream_strict_pairs")
+
+
+def stream_fail_runs(spark: SparkSession, d: str) -> DataFrame:
+    """error runs with gaps <= 12 h, alert from the 3rd on, on a stream
+    (the current run of each user kept as state)."""
+    fn = sequence_state_fn("user_id", "ts", "event_id", "is_fail", "runs", 12 * 3600 * 1_000_000, 3)
+    out = _errors(spark, d).groupBy("user_id").applyInPandasWithState(
+        fn, "user_id long, first_ts timestamp, last_ts timestamp, event_id long, fails long",
+        "a long, b long, c long", "append", "NoTimeout")
+    return run_available(spark, out, "stream_fail_runs")
+
+
 STREAM_QUERIES = {
     "stream_page_views_hourly": stream_page_views_hourly,
     "stream_unique_visitors_hourly": stream_unique_visitors_hourly,
@@ -122,6 +148,8 @@ STREAM_QUERIES = {
     "stream_ad_quota": stream_ad_quota,
     "stream_order_timeout": stream_order_timeout,
     "stream_fail_bursts": stream_fail_bursts,
+    "stream_strict_pairs": stream_strict_pairs,
+    "stream_fail_runs": stream_fail_runs,
 }
 
 # The watermark is the largest event time of the rows reaching the
@@ -182,4 +210,8 @@ WHERE event_type = 'signup'
     "stream_fail_bursts": "SELECT b.* FROM (" + _BATCH_SQL["fail_bursts"] + """) b
 WHERE EXISTS (SELECT 1 FROM events x WHERE x.user_id = b.user_id AND x.ts > b.first_ts + INTERVAL 24 HOUR)
    OR ceil((epoch_us(b.first_ts) + 86400000000) / 1000) < (SELECT floor(epoch_us(max(ts)) / 1000) FROM events)""",
+
+    # decided on arrival: the whole batch result
+    "stream_strict_pairs": _BATCH_SQL["strict_pairs"],
+    "stream_fail_runs": _BATCH_SQL["fail_runs"],
 }

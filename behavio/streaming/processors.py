@@ -213,3 +213,59 @@ def bursts_state_fn(key_col: str, ts: str, seq: str, is_fail: str, span_us: int,
             yield frame(k, done)
 
     return fn
+
+
+def sequence_state_fn(key_col: str, ts: str, seq: str, is_fail: str, mode: str, gap_us: int, min_len: int = 3):
+    """E1 / E5 on a stream (applyInPandasWithState, keyed by ``key_col``);
+    both decide on arrival, so no timers are needed.
+
+    mode="pairs" (E1): state is the key's previous event (is it a
+    failure, its time, its seq); a failure right after a failure less
+    than ``gap_us`` earlier is reported as a pair.
+    mode="runs" (E5): state is the current run (start time, last time,
+    length); a failure at most ``gap_us`` after the previous failure
+    extends it, anything else resets it; positions >= ``min_len`` are
+    reported."""
+
+    def fn(key, pdfs, state):
+        k = key[0]
+        frames = list(pdfs)
+        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        us = _us(pdf[ts])
+        order = np.lexsort((pdf[seq].to_numpy(), us))
+        tv, sv, fv = us[order].tolist(), pdf[seq].to_numpy()[order].tolist(), pdf[is_fail].to_numpy()[order].tolist()
+        a, b, c = state.get if state.exists else (None, None, None)
+        out = []
+        if mode == "pairs":                      # a: prev is fail, b: prev ts, c: prev seq
+            for t, s_, f in zip(tv, sv, fv):
+                if f and a and t < b + gap_us:
+                    out.append((b, t, c))
+                a, b, c = bool(f), t, s_
+        else:                                    # a: run start, b: last ts, c: length
+            for t, s_, f in zip(tv, sv, fv):
+                if not f:
+                    a, b, c = None, None, None
+                    continue
+                if a is not None and t <= b + gap_us:
+                    b, c = t, c + 1
+                else:
+                    a, b, c = t, t, 1
+                if c >= min_len:
+                    out.append((a, t, s_, c))
+        state.update((a, b, c))
+        if not out:
+            return
+        if mode == "pairs":
+            yield pd.DataFrame({key_col: [k] * len(out),
+                                "first_ts": pd.to_datetime(np.asarray([o[0] for o in out], dtype=np.int64), unit="us"),
+                                "last_ts": pd.to_datetime(np.asarray([o[1] for o in out], dtype=np.int64), unit="us"),
+                                "first_seq": np.asarray([o[2] for o in out], dtype=np.int64),
+                                "n": np.full(len(out), 2, dtype=np.int64)})
+        else:
+            yield pd.DataFrame({key_col: [k] * len(out),
+                                "first_ts": pd.to_datetime(np.asarray([o[0] for o in out], dtype=np.int64), unit="us"),
+                                "last_ts": pd.to_datetime(np.asarray([o[1] for o in out], dtype=np.int64), unit="us"),
+                                seq: np.asarray([o[2] for o in out], dtype=np.int64),
+                                "fails": np.asarray([o[3] for o in out], dtype=np.int64)})
+
+    return fn
