@@ -28,12 +28,15 @@ def seconds_of(d) -> float:
 
 def interval(d) -> Column:
     """A day-time interval literal for ``d``; microsecond exact."""
+    # A literal (not an expression): stream-stream joins read their state
+    # bounds from literal intervals in the join condition.
     micros = int(round(seconds_of(d) * 1_000_000))
     sign = "-" if micros < 0 else ""
     days, rem = divmod(abs(micros), 86_400_000_000)
     hours, rem = divmod(rem, 3_600_000_000)
     mins, rem = divmod(rem, 60_000_000)
-    return F.expr(f"{sign}make_dt_interval({days}, {hours}, {mins}, {rem / 1_000_000:.6f})")
+    secs, us = divmod(rem, 1_000_000)
+    return F.expr(f"INTERVAL '{sign}{days} {hours:02d}:{mins:02d}:{secs:02d}.{us:06d}' DAY TO SECOND")
 
 
 def epoch_seconds_to_ts(col: Column | str) -> Column:

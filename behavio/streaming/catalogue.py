@@ -140,6 +140,19 @@ def stream_fail_runs(spark: SparkSession, d: str) -> DataFrame:
     return run_available(spark, out, "stream_fail_runs")
 
 
+def stream_tx_interval_outer_join(spark: SparkSession, d: str) -> DataFrame:
+    """signup left-outer purchase of the same user within +-1 h: the pairs,
+    plus each signup without a purchase once the watermark (the smaller of
+    the two inputs' watermarks) has passed its band."""
+    e = lambda: _events(spark, d, ("event_id", "ts", "user_id", "event_type"))
+    s = e().where(F.col("event_type") == "signup").select(
+        "user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("signup_ts"))
+    p = e().where(F.col("event_type") == "purchase").select(
+        "user_id", F.col("ts").alias("purchase_ts"))
+    out = stream_interval_join(s, p, "user_id", "signup_ts", "purchase_ts", "-1 hour", "1 hour", how="left_outer")
+    return run_available(spark, out, "stream_tx_outer_join")
+
+
 STREAM_QUERIES = {
     "stream_page_views_hourly": stream_page_views_hourly,
     "stream_unique_visitors_hourly": stream_unique_visitors_hourly,
@@ -150,6 +163,7 @@ STREAM_QUERIES = {
     "stream_fail_bursts": stream_fail_bursts,
     "stream_strict_pairs": stream_strict_pairs,
     "stream_fail_runs": stream_fail_runs,
+    "stream_tx_interval_outer_join": stream_tx_interval_outer_join,
 }
 
 # The watermark is the largest event time of the rows reaching the
@@ -214,4 +228,14 @@ WHERE EXISTS (SELECT 1 FROM events x WHERE x.user_id = b.user_id AND x.ts > b.fi
     # decided on arrival: the whole batch result
     "stream_strict_pairs": _BATCH_SQL["strict_pairs"],
     "stream_fail_runs": _BATCH_SQL["fail_runs"],
+
+    "stream_tx_interval_outer_join": """
+WITH s AS (SELECT user_id, event_id AS signup_id, ts AS signup_ts FROM events WHERE event_type = 'signup'),
+p AS (SELECT user_id, ts AS purchase_ts FROM events WHERE event_type = 'purchase'),
+j AS (SELECT s.user_id, s.signup_id, s.signup_ts, p.purchase_ts
+      FROM s LEFT JOIN p ON s.user_id = p.user_id
+       AND p.purchase_ts BETWEEN s.signup_ts - INTERVAL 1 HOUR AND s.signup_ts + INTERVAL 1 HOUR)
+SELECT * FROM j
+WHERE purchase_ts IS NOT NULL
+   OR signup_ts + INTERVAL 1 HOUR < least((SELECT max(signup_ts) FROM s), (SELECT max(purchase_ts) FROM p))""",
 }

@@ -49,13 +49,15 @@ def windowed_top_n(stream: DataFrame, ts: str, size, slide, key: str, n: int, ra
 
 
 def stream_interval_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
-                         lower="-10 seconds", upper="10 seconds") -> DataFrame:
-    """Stream-stream inner band join; both sides need watermarks, and the
-    band bounds how long each side's rows are kept in state."""
+                         lower="-10 seconds", upper="10 seconds", how: str = "inner") -> DataFrame:
+    """Stream-stream band join (J1; ``how="left_outer"`` adds J3, the left
+    rows without a partner).  Both sides need watermarks; the literal band
+    bounds let Spark drop each side's rows from state once the other
+    side's watermark has passed them, and emit unmatched left rows then."""
     l, r = left.alias("l"), right.alias("r")
     cond = ((F.col(f"l.{key}") == F.col(f"r.{key}"))
             & (F.col(f"r.{rts}") >= F.col(f"l.{lts}") + interval(lower))
             & (F.col(f"r.{rts}") <= F.col(f"l.{lts}") + interval(upper)))
     cols = [F.col(f"l.{key}").alias(key)] + [F.col(f"l.{c}") for c in left.columns if c != key] \
         + [F.col(f"r.{c}") for c in right.columns if c != key]
-    return l.join(r, cond, "inner").select(*cols)
+    return l.join(r, cond, how).select(*cols)
