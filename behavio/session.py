@@ -30,7 +30,9 @@ def build_session(master: str | None = None, app: str = "behavio",
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", os.environ.get("BEHAVIO_DRIVER_MEMORY", "16g"))
          .config("spark.sql.streaming.stateStore.providerClass",
-                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+         # commits write a changelog instead of a full snapshot each batch
+         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
