@@ -19,11 +19,17 @@ def read_kafka(spark: SparkSession, servers: str, topic: str = "UserBehavior",
                            F.col("timestamp").alias("kafka_ts"))
 
 
+def kafka_records(df: DataFrame) -> DataFrame:
+    """One record per row: CSV text of all columns as ``value``, no key
+    (the reference producer sends each input line with a null key)."""
+    return df.select(F.to_csv(F.struct(*df.columns)).alias("value"))
+
+
 def write_kafka(df: DataFrame, servers: str, topic: str = "UserBehavior", checkpoint: str | None = None):
-    """One record per row, CSV text of all columns, null key (as the
-    reference producer).  Batch DataFrames are written directly; streaming
-    ones return the started query (``checkpoint`` required)."""
-    out = df.select(F.to_csv(F.struct(*df.columns)).alias("value"))
+    """Write ``kafka_records(df)`` to a topic.  Batch DataFrames are
+    written directly; streaming ones return the started query
+    (``checkpoint`` required: a shared folder)."""
+    out = kafka_records(df)
     if df.isStreaming:
         return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
                 .option("topic", topic).option("checkpointLocation", checkpoint).start())
