@@ -14,10 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import json_long
-from .operators import chained_unique, flatten_window, stream_interval_join, windowed_count, windowed_top_n
+from .operators import (chained_unique, flatten_window, stream_interval_join, top_n_per_batch, windowed_count,
+                        windowed_top_n)
 from .processors import (QuotaProcessor, bursts_state_fn, followed_by_state_fn, quota_state_fn,
                          sequence_state_fn)
-from .runner import run_available
+from .runner import run_available, run_available_batches
 from .sources import table_stream, with_event_time
 from ..plans.oracle import ORACLE_SQL as _BATCH_SQL
 
@@ -43,9 +44,12 @@ def stream_unique_visitors_hourly(spark: SparkSession, d: str) -> DataFrame:
 def stream_hot_items(spark: SparkSession, d: str) -> DataFrame:
     s = (_events(spark, d).where(F.col("event_type") == "view")
          .select("ts", json_long("props", "k").alias("item_id")))
-    top = windowed_top_n(s, "ts", "1 hour", "10 minutes", "item_id", 3)
-    out = top.select(F.col("window.end").alias("window_end"), "rank", "item_id", "cnt")
-    return run_available(spark, out, "stream_hot_items")
+    counts = windowed_count(s, "ts", "1 hour", "10 minutes", keys=["item_id"]).select(
+        F.col("window.end").alias("window_end"), "item_id", "cnt")
+    rank = top_n_per_batch("window_end", "cnt", "item_id", 3)
+    return run_available_batches(spark, counts, "stream_hot_items",
+                                 lambda b: rank(b).select("window_end", "rank", "item_id", "cnt"),
+                                 "window_end timestamp, rank long, item_id long, cnt long")
 
 
 def stream_tx_interval_join(spark: SparkSession, d: str) -> DataFrame:

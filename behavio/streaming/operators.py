@@ -36,9 +36,10 @@ def chained_unique(stream: DataFrame, ts: str, size, user: str, out: str = "uv")
 
 
 def windowed_top_n(stream: DataFrame, ts: str, size, slide, key: str, n: int, rank_base: int = 1) -> DataFrame:
-    """Top-n keys per window on a stream.  ``row_number`` is refused on
-    streams, so the window's counts are gathered by a second aggregation
-    (bounded by the number of keys in one window), sorted and cut to n."""
+    """Top-n keys per window as a second streaming aggregation: the
+    window's counts are gathered into one list, sorted and cut to n.  The
+    list holds every key of the window, so prefer ``top_n_per_batch`` (the
+    catalogue does) when a window can hold very many keys."""
     counts = windowed_count(stream, ts, size, slide, keys=[key])
     ranked = counts.groupBy("window").agg(
         F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("k"),
@@ -61,3 +62,16 @@ def stream_interval_join(left: DataFrame, right: DataFrame, key: str, lts: str,
     cols = [F.col(f"l.{key}").alias(key)] + [F.col(f"l.{c}") for c in left.columns if c != key] \
         + [F.col(f"r.{c}") for c in right.columns if c != key]
     return l.join(r, cond, how).select(*cols)
+
+
+def top_n_per_batch(by: str, order_col: str, key: str, n: int, rank_base: int = 1):
+    """A ``foreachBatch`` ranking for windowed counts in append mode: a
+    window's counts are all emitted in the micro-batch in which the
+    watermark passes its end, so ranking inside each batch is exact, and
+    the batch ``top_n`` keeps at most n rows per window and map task."""
+    from ..operators.topn import top_n
+
+    def rank(batch_df: DataFrame) -> DataFrame:
+        return top_n(batch_df, by, order_col, key, n, rank_base)
+
+    return rank

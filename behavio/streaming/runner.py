@@ -37,3 +37,32 @@ def run_available(spark: SparkSession, stream: DataFrame, name: str, output_mode
         out = out.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
                            if isinstance(f.dataType, TimestampType) else F.col(f.name) for f in out.schema])
     return out
+
+
+def run_available_batches(spark: SparkSession, stream: DataFrame, name: str, per_batch, schema,
+                          ntz: bool = True, state_partitions: int | None = None) -> DataFrame:
+    """Like ``run_available`` but each micro-batch's output goes through
+    ``per_batch(batch_df)`` (any batch DataFrame code, e.g. a ranking)
+    before it is written.  Each batch is written to its own folder with
+    overwrite, so a batch re-run after a failure replaces its output
+    instead of duplicating it."""
+    base = scratch_path(spark, name)
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+
+    def write(batch_df, batch_id):
+        per_batch(batch_df).write.mode("overwrite").parquet(f"{base}/data/microbatch={batch_id}")
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        q = (stream.writeStream.outputMode("append").foreachBatch(write)
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    q.awaitTermination()
+    read = spark.read.schema(schema).parquet(f"{base}/data")
+    out = read.select(*[f.name for f in read.schema if f.name != "microbatch"])  # drop the folder column
+    if ntz:
+        out = out.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                           if isinstance(f.dataType, TimestampType) else F.col(f.name) for f in out.schema])
+    return out

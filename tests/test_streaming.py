@@ -171,3 +171,19 @@ def test_csv_line_streams_golden(spark, ref_data, tmp_path):
         "open_t long, last_t long, n long", "append", "EventTimeTimeout")
     got = [(x.user_id, x.fails) for x in run_available(spark, b, "t_logins").collect()]
     assert got == [(1035, 3)]
+
+
+def test_top_n_per_batch_across_batches(spark, tmp_path):
+    from behavio.operators import sliding_count, top_n
+    from behavio.streaming.operators import top_n_per_batch
+    from behavio.streaming.runner import run_available_batches
+    ev, s = _split_stream(spark, tmp_path)
+    counts = windowed_count(s, "ts", "1 hour", "10 minutes", keys=["user_id"]).select(
+        F.col("window.end").alias("window_end"), "user_id", "cnt")
+    got = _rows(run_available_batches(spark, counts, "t_top", top_n_per_batch("window_end", "cnt", "user_id", 2),
+                                      "window_end timestamp, user_id long, cnt long, rank long"),
+                ["window_end", "rank", "user_id", "cnt"])
+    last = ev.agg(F.max("ts")).collect()[0][0]
+    b = top_n(sliding_count(ev, "ts", "1 hour", "10 minutes", ["user_id"]), "window_end", "cnt", "user_id", 2)
+    exp = [r for r in _rows(b, ["window_end", "rank", "user_id", "cnt"]) if r[0] <= last]
+    assert got == exp and got
