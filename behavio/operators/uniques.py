@@ -62,31 +62,40 @@ def running_unique(df: DataFrame, ts: str, seq: str, size, user: str, method: st
     """For every row: distinct users of its tumbling window seen so far in
     (ts, seq) order, itself included (the per-event firing of U3/W8).
 
-    A row counts when it is its user's first in the window; the first
-    rows are found with a grouped ``min`` (partial aggregation, no sort of
-    a hot window) and the running total is a two-level prefix sum: within
-    (window, slice) by a window function, plus the total of the earlier
-    slices of the window from a small per-slice table.  A window's work is
-    thus split into size/slice groups."""
+    Each (window, user) contributes one *marker* row at its first event,
+    found with a grouped ``min`` (partial aggregation, no sort of a hot
+    window or user).  A window is cut into slices; each slice's marker
+    count is also copied as one *carry-in* row into every later slice of
+    the window (at most size/slice copies, a small table).  Rows, markers
+    and carry-ins are unioned and one running sum per (window, slice) -
+    carry-ins first, a marker just before its own row - gives every row's
+    count.  No join; a window's work is split into size/slice groups."""
     ident = F.col(user) if method == "exact" else rolling_hash(F.col(user))
     size_s, slice_s = int(seconds_of(size)), int(seconds_of(slice_))
+    slice_us = slice_s * 1_000_000
     base = df.select(seq, ts, ident.alias("_u"),
                      F.window(ts, f"{size_s} seconds").end.alias("window_end"),
-                     F.floor(epoch_micros(df, ts) / F.lit(slice_s * 1_000_000)).alias("_slice"))
+                     F.floor(epoch_micros(df, ts) / F.lit(slice_us)).alias("_slice"))
     firsts = (base.groupBy("window_end", "_u")
-                  .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(seq).alias("s")))["s"].alias(seq))
-                  .select(seq, F.lit(1).alias("_first")))
-    flagged = (base.join(firsts, seq, "left")
-                   .withColumn("_first", F.coalesce("_first", F.lit(0))))
-    local_w = (Window.partitionBy("window_end", "_slice").orderBy(ts, seq)
-               .rowsBetween(Window.unboundedPreceding, 0))
-    slices = flagged.groupBy("window_end", "_slice").agg(F.sum("_first").alias("_n"))
-    before = Window.partitionBy("window_end").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select("window_end", "_slice",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (flagged.withColumn("_local", F.sum("_first").over(local_w))
-                   .join(offsets, ["window_end", "_slice"])
-                   .select(seq, ts, "window_end", (F.col("_local") + F.col("_off")).cast("long").alias(out)))
+                  .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"),
+                                      F.col("_slice").alias("k"))).alias("f"))
+                  .select("window_end", F.col("f.t").alias(ts), F.col("f.s").alias(seq),
+                          F.col("f.k").alias("_slice")))
+    per_slice = firsts.groupBy("window_end", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    last_slice = F.floor((epoch_micros(per_slice, "window_end") - F.lit(1)) / F.lit(slice_us))
+    carries = (per_slice.where(F.col("_slice") < last_slice)
+               .select("window_end", F.explode(F.sequence(F.col("_slice") + 1, last_slice)).alias("_slice"),
+                       F.lit(None).cast(df.schema[ts].dataType).alias(ts),
+                       F.lit(None).cast(df.schema[seq].dataType).alias(seq), F.col("_n").alias("_m")))
+    rows = base.select("window_end", "_slice", ts, seq, F.lit(0).cast("long").alias("_m"))
+    marks = firsts.select("window_end", "_slice", ts, seq, F.lit(1).cast("long").alias("_m"))
+    w = (Window.partitionBy("window_end", "_slice")
+         .orderBy(F.col(ts).asc_nulls_first(), F.col(seq).asc_nulls_first(), F.col("_m").desc())
+         .rowsBetween(Window.unboundedPreceding, 0))
+    return (rows.unionByName(marks).unionByName(carries)
+                .withColumn("_c", F.sum("_m").over(w))
+                .where(F.col("_m") == 0)
+                .select(seq, ts, "window_end", F.col("_c").cast("long").alias(out)))
 
 
 def merge_unique_state(new: DataFrame, stored: DataFrame, key: str = "window_end",
