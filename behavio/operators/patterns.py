@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.times import epoch_micros, interval, seconds_of
+from ..session import checkpoint_dir
 
 # Fixed result texts of the reference jobs.
 PAY_OK, PAY_TIMEOUT = "successfully", "timeout"
@@ -187,6 +188,11 @@ def _run_positions(df: DataFrame, key: str, ts: str, seq: str, cond, max_gap) ->
           .withColumn("_ls", F.last(F.when(F.col("_start"), F.struct(F.col(ts).alias("t"), F.col("_idx").alias("i"),
                                                                      F.col(seq).alias("s"))),
                                     ignorenulls=True).over(upto)))
+    # ``u`` feeds both the bucket summaries and the final rows: materialise
+    # it once in the shared checkpoint folder (reliable checkpoint, lineage
+    # cut) instead of re-running the scan, union and shuffle per branch.
+    checkpoint_dir(df.sparkSession)
+    u = u.checkpoint(eager=True)
     per_b = u.groupBy(key, "_b").agg(
         F.count(F.lit(1)).alias("_n"),
         F.max(F.when(F.col("_start"), F.struct(F.col(ts).alias("t"), F.col("_idx").alias("i"),

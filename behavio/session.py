@@ -27,6 +27,8 @@ def build_session(master: str | None = None, app: str = "behavio",
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # delete reliable-checkpoint files once their DataFrame is gone
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", os.environ.get("BEHAVIO_DRIVER_MEMORY", "16g"))
          .config("spark.sql.streaming.stateStore.providerClass",
