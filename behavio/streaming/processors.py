@@ -271,3 +271,71 @@ def sequence_state_fn(key_col: str, ts: str, seq: str, is_fail: str, mode: str,
                                 "fails": np.asarray([o[3] for o in out], dtype=np.int64)})
 
     return fn
+
+
+def reconcile_state_fn(key_col: str, ts: str, side: str, tol_us: int, left_cols: list[str], right_cols: list[str]):
+    """J2-J4 on a stream (applyInPandasWithState over the tagged union of
+    both inputs, keyed by ``key_col``; ``side`` is "L" or "R").
+
+    The first arrival of a key waits in state; a counterpart within
+    ``tol_us`` consumes it and the pair is emitted as 'match'.  A waiting
+    row is reported unmatched ('pay_without_receipt' /
+    'receipt_without_pay') when a later row shows it can no longer match,
+    or when the event-time timeout at its time + tolerance fires.  State:
+    at most one waiting row per key."""
+    kinds = {"L": "pay_without_receipt", "R": "receipt_without_pay"}
+    extra = left_cols + right_cols
+
+    def emit(k, l_row, r_row, kind):
+        rec = {key_col: k, "pay_ts": l_row[0] if l_row else None, "receipt_ts": r_row[0] if r_row else None,
+               "kind": kind}
+        for i, c in enumerate(left_cols):
+            rec[c] = l_row[1 + i] if l_row else None
+        for i, c in enumerate(right_cols):
+            rec[c] = r_row[1 + i] if r_row else None
+        return rec
+
+    def fn(key, pdfs, state):
+        k = key[0]
+        wait = None
+        if state.exists:
+            st = state.get
+            wait = (st[0], [st[1], *st[2]])               # (side, [ts_us, *values])
+        out = []
+        if state.hasTimedOut:
+            if wait:
+                row = wait[1]
+                out.append(emit(k, row if wait[0] == "L" else None, row if wait[0] == "R" else None, kinds[wait[0]]))
+            wait = None
+        else:
+            frames = list(pdfs)
+            pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+            us = _us(pdf[ts])
+            order = np.argsort(us, kind="stable")
+            sides = pdf[side].to_numpy()[order]
+            vals = {c: pdf[c].to_numpy()[order] for c in extra}
+            for j, t in enumerate(us[order].tolist()):
+                sd = sides[j]
+                row = [t, *[None if pd.isna(vals[c][j]) else vals[c][j]
+                            for c in (left_cols if sd == "L" else right_cols)]]
+                if wait and wait[0] != sd and abs(t - wait[1][0]) <= tol_us:
+                    l_row, r_row = (row, wait[1]) if sd == "L" else (wait[1], row)
+                    out.append(emit(k, l_row, r_row, "match"))
+                    wait = None
+                    continue
+                if wait:                                  # the waiting row can no longer match
+                    w = wait[1]
+                    out.append(emit(k, w if wait[0] == "L" else None, w if wait[0] == "R" else None, kinds[wait[0]]))
+                wait = (sd, row)
+        if wait:
+            state.update((wait[0], int(wait[1][0]), [None if v is None else str(v) for v in wait[1][1:]]))
+            state.setTimeoutTimestamp(max(-(-(wait[1][0] + tol_us) // 1000), state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        if out:
+            res = pd.DataFrame(out)
+            for c in ("pay_ts", "receipt_ts"):
+                res[c] = pd.to_datetime(res[c].astype("float64"), unit="us")
+            yield res[[key_col, "pay_ts", "receipt_ts", *extra, "kind"]]
+
+    return fn

@@ -187,3 +187,38 @@ def test_top_n_per_batch_across_batches(spark, tmp_path):
     b = top_n(sliding_count(ev, "ts", "1 hour", "10 minutes", ["user_id"]), "window_end", "cnt", "user_id", 2)
     exp = [r for r in _rows(b, ["window_end", "rank", "user_id", "cnt"]) if r[0] <= last]
     assert got == exp and got
+
+
+def test_reconcile_stream_golden(spark, ref_data, tmp_path):
+    """J2 on streams of the reference's order and receipt files."""
+    import shutil
+    from behavio.streaming.processors import reconcile_state_fn
+    from behavio.streaming.sources import line_stream
+    o_dir, r_dir = tmp_path / "orders", tmp_path / "receipts"
+    o_dir.mkdir(), r_dir.mkdir()
+    shutil.copy(f"{ref_data}/OrderLog.csv", o_dir / "OrderLog.csv")
+    shutil.copy(f"{ref_data}/ReceiptLog.csv", r_dir / "ReceiptLog.csv")
+    pays = (with_event_time(line_stream(spark, str(o_dir), "order_tx"), "ts", "0 seconds")
+            .where("event_type = 'pay' AND tx_id <> ''")
+            .select("tx_id", "ts", F.lit("L").alias("side"), F.col("order_id").cast("string").alias("order_id"),
+                    F.lit(None).cast("string").alias("pay_channel")))
+    recs = (with_event_time(line_stream(spark, str(r_dir), "receipt"), "ts", "0 seconds")
+            .select("tx_id", "ts", F.lit("R").alias("side"), F.lit(None).cast("string").alias("order_id"),
+                    "pay_channel"))
+    out = pays.unionByName(recs).groupBy("tx_id").applyInPandasWithState(
+        reconcile_state_fn("tx_id", "ts", "side", 5_000_000, ["order_id"], ["pay_channel"]),
+        "tx_id string, pay_ts timestamp, receipt_ts timestamp, order_id string, pay_channel string, kind string",
+        "side string, t long, v array<string>", "append", "EventTimeTimeout")
+    r = run_available(spark, out, "t_reconcile")
+    got = {k: n for k, n in r.groupBy("kind").count().collect()}
+    assert got["match"] == 5
+    assert sorted(int(x.order_id) for x in r.where("kind = 'match'").collect()) == [34729, 34730, 34734, 34746, 34747]
+    # unmatched rows are reported once decided: a subset of the batch's 35 + 35
+    from behavio.plans import jobs
+    from behavio.sources import read_lines
+    b = jobs.tx_match(read_lines(spark, f"{ref_data}/OrderLog.csv", "order_tx"),
+                      read_lines(spark, f"{ref_data}/ReceiptLog.csv", "receipt"))
+    for kind in ("pay_without_receipt", "receipt_without_pay"):
+        s_ids = {x.tx_id for x in r.where(F.col("kind") == kind).collect()}
+        b_ids = {x.tx_id for x in b.where(F.col("kind") == kind).collect()}
+        assert s_ids and s_ids <= b_ids and len(b_ids) == 35
