@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import json_long
-from .operators import (chained_unique, flatten_window, stream_interval_join, top_n_per_batch, windowed_count,
+from .operators import (approx_unique, chained_unique, flatten_window, stream_interval_join, top_n_per_batch, windowed_count,
                         windowed_top_n)
 from .processors import (QuotaProcessor, bursts_state_fn, followed_by_state_fn, quota_state_fn,
                          sequence_state_fn)
@@ -157,9 +157,17 @@ def stream_tx_interval_outer_join(spark: SparkSession, d: str) -> DataFrame:
     return run_available(spark, out, "stream_tx_outer_join")
 
 
+def stream_uv_approx_hourly(spark: SparkSession, d: str) -> DataFrame:
+    """Approximate distinct viewers per hour on a stream (no oracle SQL:
+    an HLL estimate is not an exact result)."""
+    s = _events(spark, d).where(F.col("event_type") == "view")
+    return run_available(spark, flatten_window(approx_unique(s, "ts", "1 hour", "user_id")), "stream_uv_approx")
+
+
 STREAM_QUERIES = {
     "stream_page_views_hourly": stream_page_views_hourly,
     "stream_unique_visitors_hourly": stream_unique_visitors_hourly,
+    "stream_uv_approx_hourly": stream_uv_approx_hourly,
     "stream_hot_items": stream_hot_items,
     "stream_tx_interval_join": stream_tx_interval_join,
     "stream_ad_quota": stream_ad_quota,

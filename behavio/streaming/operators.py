@@ -35,6 +35,14 @@ def chained_unique(stream: DataFrame, ts: str, size, user: str, out: str = "uv")
     return pairs.groupBy("window").agg(F.count(F.lit(1)).alias(out))
 
 
+def approx_unique(stream: DataFrame, ts: str, size, user: str, out: str = "uv_approx") -> DataFrame:
+    """Approximate distinct users per tumbling window on a stream (U5):
+    HLL++ state of bounded size per window, instead of the exact chained
+    form's one state row per (window, user)."""
+    w = F.window(ts, f"{int(seconds_of(size))} seconds")
+    return stream.groupBy(w.alias("window")).agg(F.approx_count_distinct(user).alias(out))
+
+
 def windowed_top_n(stream: DataFrame, ts: str, size, slide, key: str, n: int, rank_base: int = 1) -> DataFrame:
     """Top-n keys per window as a second streaming aggregation: the
     window's counts are gathered into one list, sorted and cut to n.  The

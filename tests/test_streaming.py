@@ -222,3 +222,12 @@ def test_reconcile_stream_golden(spark, ref_data, tmp_path):
         s_ids = {x.tx_id for x in r.where(F.col("kind") == kind).collect()}
         b_ids = {x.tx_id for x in b.where(F.col("kind") == kind).collect()}
         assert s_ids and s_ids <= b_ids and len(b_ids) == 35
+
+
+def test_stream_uv_approx_close_to_exact(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    a = {r.window_end: r.uv_approx for r in q["stream_uv_approx_hourly"](spark, SF_SMALL).collect()}
+    b = {r.window_end: r.uv for r in q["stream_unique_visitors_hourly"](spark, SF_SMALL).collect()}
+    assert a.keys() == b.keys() and b
+    assert all(abs(a[k] - b[k]) <= max(1, 0.05 * b[k]) for k in b)
