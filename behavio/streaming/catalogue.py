@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import json_long
-from .operators import (approx_unique, chained_unique, flatten_window, stream_interval_join, top_n_per_batch, windowed_count,
-                        windowed_top_n)
+from .operators import (approx_unique, chained_unique, flatten_window, stream_interval_join, top_n_per_batch,
+                        windowed_count)
 from .processors import (QuotaProcessor, bursts_state_fn, followed_by_state_fn, quota_state_fn,
                          sequence_state_fn)
 from .runner import run_available, run_available_batches

@@ -43,20 +43,6 @@ def approx_unique(stream: DataFrame, ts: str, size, user: str, out: str = "uv_ap
     return stream.groupBy(w.alias("window")).agg(F.approx_count_distinct(user).alias(out))
 
 
-def windowed_top_n(stream: DataFrame, ts: str, size, slide, key: str, n: int, rank_base: int = 1) -> DataFrame:
-    """Top-n keys per window as a second streaming aggregation: the
-    window's counts are gathered into one list, sorted and cut to n.  The
-    list holds every key of the window, so prefer ``top_n_per_batch`` (the
-    catalogue does) when a window can hold very many keys."""
-    counts = windowed_count(stream, ts, size, slide, keys=[key])
-    ranked = counts.groupBy("window").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("k"),
-                                                     F.col("cnt").alias("c")))), 1, n).alias("top"))
-    return ranked.select("window", F.posexplode("top").alias("pos", "t")).select(
-        "window", (F.col("pos") + F.lit(rank_base)).cast("long").alias("rank"),
-        F.col("t.k").alias(key), F.col("t.c").alias("cnt"))
-
-
 def stream_interval_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
                          lower="-10 seconds", upper="10 seconds", how: str = "inner") -> DataFrame:
     """Stream-stream band join (J1; ``how="left_outer"`` adds J3, the left
