@@ -31,39 +31,63 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: st
     lo_us, hi_us = int(lo * 1_000_000), int(hi * 1_000_000)
     lm = epoch_micros(left, lts)
     lb = left.withColumn("_b", F.explode(F.sequence(
-        F.floor((lm + F.lit(lo_us)) / F.lit(width)), F.floor((lm + F.lit(hi_us)) / F.lit(width)))))
-    rb = right.withColumn("_b", F.floor(epoch_micros(right, rts) / F.lit(width)))
-    cond = ((lb[key] == rb[key]) & (lb["_b"] == rb["_b"])
-            & (rb[rts] >= lb[lts] + interval(lo)) & (rb[rts] <= lb[lts] + interval(hi)))
-    pairs = lb.join(rb, cond, "inner").drop(rb[key]).drop(lb["_b"]).drop(rb["_b"])
+        F.floor((lm + F.lit(lo_us)) / F.lit(width)), F.floor((lm + F.lit(hi_us)) / F.lit(width))))).alias("_lt")
+    rb = right.withColumn("_b", F.floor(epoch_micros(right, rts) / F.lit(width))).alias("_rt")
+    lc = lambda c: F.col(f"_lt.`{c}`")
+    rc = lambda c: F.col(f"_rt.`{c}`")
+    cond = ((lc(key) == rc(key)) & (lc("_b") == rc("_b"))
+            & (rc(rts) >= lc(lts) + interval(lo)) & (rc(rts) <= lc(lts) + interval(hi)))
+    pairs = lb.join(rb, cond, "inner").select(
+        *[lc(c).alias(c) for c in left.columns], *[rc(c).alias(c) for c in right.columns if c != key])
     if how != "inner":
         raise ValueError(how)
     return pairs
 
 
+def key_index(df: DataFrame, key: str, ts: str, bucket="1 day") -> DataFrame:
+    """Adds ``_i``: each row's 1-based position within its key in (ts, other
+    columns) order - a deterministic ``row_number`` per key, computed in two
+    levels so a hot key is not sorted in one task: positions inside
+    (key, time bucket), plus the row counts of the key's earlier buckets
+    from a small per-bucket table (one row per non-empty bucket)."""
+    width = max(int(seconds_of(bucket) * 1_000_000), 1)
+    ties = [c for c in df.columns if c not in (key, ts)]
+    x = df.withColumn("_kb", F.floor(epoch_micros(df, ts) / F.lit(width)))
+    local = x.withColumn("_r", F.row_number().over(Window.partitionBy(key, "_kb").orderBy(ts, *ties)))
+    before = Window.partitionBy(key).orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (x.groupBy(key, "_kb").agg(F.count(F.lit(1)).alias("_n"))
+             .select(key, "_kb", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    return (local.join(offs, [key, "_kb"])
+                 .withColumn("_i", F.col("_off") + F.col("_r")).drop("_kb", "_r", "_off"))
+
+
 def reconcile(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
-              tolerance="5 seconds", pair_duplicates: bool = True) -> DataFrame:
+              tolerance="5 seconds", pair_duplicates: bool = True, bucket="1 day") -> DataFrame:
     """Pair each left row with the right row of the same key whose time is
     within ``tolerance`` (inclusive); report the rest.  Rows sharing a key
-    are paired in time order (k-th with k-th) when ``pair_duplicates``.
+    are paired in time order (k-th with k-th) when ``pair_duplicates``; the
+    positions come from ``key_index`` (hot keys split by time bucket), so
+    the join is on (key, position) and never compares all pairs of a key.
 
     Columns: key, left columns, right columns, kind in
     {'match', 'pay_without_receipt', 'receipt_without_pay'}."""
     tol = interval(tolerance)
     l, r = left, right
-    on = [l[key] == r[key]]
     if pair_duplicates:
-        l = l.withColumn("_i", F.row_number().over(Window.partitionBy(key).orderBy(lts)))
-        r = r.withColumn("_i", F.row_number().over(Window.partitionBy(key).orderBy(rts)))
-        on = [l[key] == r[key], l["_i"] == r["_i"]]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    cond = cond & (r[rts] >= l[lts] - tol) & (r[rts] <= l[lts] + tol)
+        l = key_index(left, key, lts, bucket)
+        r = key_index(right, key, rts, bucket)
+    # aliases keep the sides apart even when both come from one DataFrame
+    l, r = l.alias("_lt"), r.alias("_rt")
+    lc = lambda c: F.col(f"_lt.`{c}`")
+    rc = lambda c: F.col(f"_rt.`{c}`")
+    cond = lc(key) == rc(key)
+    if pair_duplicates:
+        cond = cond & (lc("_i") == rc("_i"))
+    cond = cond & (rc(rts) >= lc(lts) - tol) & (rc(rts) <= lc(lts) + tol)
     j = l.join(r, cond, "full_outer")
-    kind = (F.when(l[key].isNotNull() & r[key].isNotNull(), F.lit(MATCH))
-             .when(l[key].isNotNull(), F.lit(PAY_ONLY)).otherwise(F.lit(RECEIPT_ONLY)))
-    cols = [F.coalesce(l[key], r[key]).alias(key)]
-    cols += [l[c] for c in left.columns if c != key]
-    cols += [r[c] for c in right.columns if c != key]
+    kind = (F.when(lc(key).isNotNull() & rc(key).isNotNull(), F.lit(MATCH))
+             .when(lc(key).isNotNull(), F.lit(PAY_ONLY)).otherwise(F.lit(RECEIPT_ONLY)))
+    cols = [F.coalesce(lc(key), rc(key)).alias(key)]
+    cols += [lc(c).alias(c) for c in left.columns if c != key]
+    cols += [rc(c).alias(c) for c in right.columns if c != key]
     return j.select(*cols, kind.alias("kind"))

@@ -284,3 +284,32 @@ def test_kafka_records_round_trip(spark):
     back = parse_lines(rec, "behaviour").collect()[0]
     assert back["_ok"] and (back.user_id, back.item_id, back.behavior) == (543462, 1715, "pv")
     assert back.ts == dt.datetime(2017, 11, 26, 1, 0, 0)
+
+
+def test_key_index_and_hot_key_reconcile(spark):
+    from pyspark.sql import Window
+    from behavio.operators.matching import key_index
+    rnd = random.Random(21)
+    rows = [("hot" if rnd.random() < 0.6 else f"k{rnd.randrange(20)}",
+             T0 + dt.timedelta(seconds=rnd.randrange(0, 40000)), i) for i in range(800)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v long")
+    got = _rows(key_index(df, "k", "ts", "1 hour"), ["k", "v", "_i"])
+    exp = _rows(df.withColumn("_i", F.row_number().over(Window.partitionBy("k").orderBy("ts", "v"))), ["k", "v", "_i"])
+    assert got == exp
+    # k-th left with k-th right of the hot key, matched when within tolerance
+    left = df.where("v % 2 = 0").select("k", F.col("ts").alias("lts"), F.col("v").alias("lv"))
+    right = df.where("v % 2 = 1").select("k", F.col("ts").alias("rts"), F.col("v").alias("rv"))
+    r = reconcile(left, right, "k", "lts", "rts", "3 hours", bucket="1 hour")
+    lp = sorted(((x.k, x.lts, x.lv) for x in left.collect()))
+    rp = sorted(((x.k, x.rts, x.rv) for x in right.collect()))
+    exp_m = []
+    for key in {x[0] for x in lp}:
+        ls, rs = [x for x in lp if x[0] == key], [x for x in rp if x[0] == key]
+        for a, b in zip(ls, rs):
+            if abs((a[1] - b[1]).total_seconds()) <= 3 * 3600:
+                exp_m.append((a[2], b[2]))
+    got_m = sorted((x.lv, x.rv) for x in r.where("kind = 'match'").collect())
+    assert got_m == sorted(exp_m) and got_m
+    n = {k: c for k, c in r.groupBy("kind").count().collect()}
+    assert n["match"] + n.get("pay_without_receipt", 0) == left.count()
+    assert n["match"] + n.get("receipt_without_pay", 0) == right.count()
