@@ -164,6 +164,26 @@ def stream_uv_approx_hourly(spark: SparkSession, d: str) -> DataFrame:
     return run_available(spark, flatten_window(approx_unique(s, "ts", "1 hour", "user_id")), "stream_uv_approx")
 
 
+def stream_order_deadline(spark: SparkSession, d: str) -> DataFrame:
+    """Order deadline (E6/E7) on a stream: a purchase at most 6 h after the
+    signup pays it (inclusive), decided by the purchase or by the
+    event-time timeout; whole-minute delay for paid orders."""
+    s = (_events(spark, d, ("event_id", "ts", "user_id", "event_type"))
+         .where(F.col("event_type").isin("signup", "purchase"))
+         .withColumn("is_first", F.col("event_type") == "signup"))
+    fn = followed_by_state_fn("user_id", "ts", "event_id", "is_first", 6 * 3600 * 1_000_000, strict=False)
+    out = s.groupBy("user_id").applyInPandasWithState(
+        fn, "user_id long, create_ts timestamp, create_id long, pay_ts timestamp, pay_id long, kind string",
+        "ts array<long>, seq array<long>", "append", "EventTimeTimeout")
+    ok = F.col("kind") == "successfully"
+    res = out.select("user_id", "create_ts",
+                     F.when(ok, F.lit("Order Pay Successfully")).otherwise(F.lit("Order Pay Timeout")).alias("result"),
+                     "pay_ts",
+                     F.floor(F.expr("timestampdiff(SECOND, create_ts, pay_ts)") / 60).cast("double").alias("delay_min"),
+                     F.lit(360).cast("long").alias("deadline_min"))
+    return run_available(spark, res, "stream_order_deadline")
+
+
 STREAM_QUERIES = {
     "stream_page_views_hourly": stream_page_views_hourly,
     "stream_unique_visitors_hourly": stream_unique_visitors_hourly,
@@ -172,6 +192,7 @@ STREAM_QUERIES = {
     "stream_tx_interval_join": stream_tx_interval_join,
     "stream_ad_quota": stream_ad_quota,
     "stream_order_timeout": stream_order_timeout,
+    "stream_order_deadline": stream_order_deadline,
     "stream_fail_bursts": stream_fail_bursts,
     "stream_strict_pairs": stream_strict_pairs,
     "stream_fail_runs": stream_fail_runs,
@@ -250,4 +271,19 @@ j AS (SELECT s.user_id, s.signup_id, s.signup_ts, p.purchase_ts
 SELECT * FROM j
 WHERE purchase_ts IS NOT NULL
    OR signup_ts + INTERVAL 1 HOUR < least((SELECT max(signup_ts) FROM s), (SELECT max(purchase_ts) FROM p))""",
+
+    "stream_order_deadline": """
+WITH e AS (SELECT * FROM events WHERE event_type IN ('signup', 'purchase')),
+n AS (SELECT user_id, ts, event_id, event_type,
+             first_value(CASE WHEN event_type = 'purchase' THEN ts END IGNORE NULLS) OVER w AS nts
+      FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+wm AS (SELECT floor(epoch_us(max(ts)) / 1000) AS wm_ms FROM e),
+d AS (SELECT user_id, ts AS create_ts, CASE WHEN nts <= ts + INTERVAL 6 HOUR THEN nts END AS pay_ts
+      FROM n, wm
+      WHERE event_type = 'signup' AND (nts IS NOT NULL OR ceil((epoch_us(ts) + 21600000000) / 1000) < wm_ms))
+SELECT user_id, create_ts,
+       CASE WHEN pay_ts IS NOT NULL THEN 'Order Pay Successfully' ELSE 'Order Pay Timeout' END AS result,
+       pay_ts, CAST(floor((epoch_us(pay_ts) - epoch_us(create_ts)) / 60000000) AS DOUBLE) AS delay_min,
+       CAST(360 AS BIGINT) AS deadline_min
+FROM d""",
 }
