@@ -184,11 +184,26 @@ def stream_order_deadline(spark: SparkSession, d: str) -> DataFrame:
     return run_available(spark, res, "stream_order_deadline")
 
 
+def stream_hot_items_fine_top(spark: SparkSession, d: str) -> DataFrame:
+    """Top 5 clicked items per 10 min window sliding by 5 s (rank from 0),
+    with the hot-pages job's lateness: watermark delay 1 s + 60 s allowed
+    lateness, one complete report per window (D3)."""
+    s = with_event_time(table_stream(spark, d, "events").select("ts", "event_type", "props"), "ts", "61 seconds")
+    s = s.where(F.col("event_type") == "click").select("ts", json_long("props", "k").alias("item_id"))
+    counts = windowed_count(s, "ts", "10 minutes", "5 seconds", keys=["item_id"]).select(
+        F.col("window.end").alias("window_end"), "item_id", "cnt")
+    rank = top_n_per_batch("window_end", "cnt", "item_id", 5, rank_base=0)
+    return run_available_batches(spark, counts, "stream_hot_items_fine_top",
+                                 lambda b: rank(b).select("window_end", "rank", "item_id", "cnt"),
+                                 "window_end timestamp, rank long, item_id long, cnt long")
+
+
 STREAM_QUERIES = {
     "stream_page_views_hourly": stream_page_views_hourly,
     "stream_unique_visitors_hourly": stream_unique_visitors_hourly,
     "stream_uv_approx_hourly": stream_uv_approx_hourly,
     "stream_hot_items": stream_hot_items,
+    "stream_hot_items_fine_top": stream_hot_items_fine_top,
     "stream_tx_interval_join": stream_tx_interval_join,
     "stream_ad_quota": stream_ad_quota,
     "stream_order_timeout": stream_order_timeout,
@@ -286,4 +301,12 @@ SELECT user_id, create_ts,
        pay_ts, CAST(floor((epoch_us(pay_ts) - epoch_us(create_ts)) / 60000000) AS DOUBLE) AS delay_min,
        CAST(360 AS BIGINT) AS deadline_min
 FROM d""",
+
+    "stream_hot_items_fine_top": """
+WITH v AS (SELECT ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id FROM events WHERE event_type = 'click'),
+c AS (SELECT time_bucket(INTERVAL 5 SECOND, ts) + to_seconds(5 * k) AS window_end, item_id, count(*) AS cnt
+      FROM v CROSS JOIN range(1, 121) AS r(k) GROUP BY 1, 2)
+SELECT window_end, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) - 1 AS BIGINT) AS rank,
+       item_id, cnt
+FROM c WHERE window_end <= (SELECT max(ts) FROM v) - INTERVAL 61 SECOND QUALIFY rank < 5""",
 }
