@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import json_long
-from .operators import (approx_unique, chained_unique, flatten_window, stream_interval_join, top_n_per_batch,
+from .operators import (approx_unique, chained_unique, flatten_window, pane_sliding_count, stream_interval_join, top_n_per_batch,
                         windowed_count)
 from .processors import (QuotaProcessor, bursts_state_fn, followed_by_state_fn, quota_state_fn,
                          sequence_state_fn)
@@ -190,7 +190,7 @@ def stream_hot_items_fine_top(spark: SparkSession, d: str) -> DataFrame:
     lateness, one complete report per window (D3)."""
     s = with_event_time(table_stream(spark, d, "events").select("ts", "event_type", "props"), "ts", "61 seconds")
     s = s.where(F.col("event_type") == "click").select("ts", json_long("props", "k").alias("item_id"))
-    counts = windowed_count(s, "ts", "10 minutes", "5 seconds", keys=["item_id"]).select(
+    counts = pane_sliding_count(s, "ts", "10 minutes", "5 seconds", keys=["item_id"]).select(
         F.col("window.end").alias("window_end"), "item_id", "cnt")
     rank = top_n_per_batch("window_end", "cnt", "item_id", 5, rank_base=0)
     return run_available_batches(spark, counts, "stream_hot_items_fine_top",

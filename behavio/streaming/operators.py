@@ -22,6 +22,19 @@ def windowed_count(stream: DataFrame, ts: str, size, slide=None, keys=(), count_
     return (stream.groupBy(w.alias("window"), *keys).agg(F.count(F.lit(1)).alias(count_col)))
 
 
+def pane_sliding_count(stream: DataFrame, ts: str, size, slide, keys=(), count_col: str = "cnt") -> DataFrame:
+    """Sliding-window counts on a stream from pane counts: a first windowed
+    aggregation counts rows per slide-long pane, a second one slides over
+    ``window_time(pane)``.  The size/slide fan-out is applied to pane rows
+    instead of raw rows (both stages in append mode, chained watermarks)."""
+    keys = _keys(keys)
+    slide_s, size_s = int(seconds_of(slide)), int(seconds_of(size))
+    panes = stream.groupBy(F.window(ts, f"{slide_s} seconds").alias("pane"), *keys).agg(
+        F.count(F.lit(1)).alias("_c"))
+    w = F.window(F.window_time("pane"), f"{size_s} seconds", f"{slide_s} seconds")
+    return panes.groupBy(w.alias("window"), *keys).agg(F.sum("_c").alias(count_col))
+
+
 def flatten_window(df: DataFrame) -> DataFrame:
     rest = [c for c in df.columns if c != "window"]
     return df.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *rest)

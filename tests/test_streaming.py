@@ -231,3 +231,15 @@ def test_stream_uv_approx_close_to_exact(spark):
     b = {r.window_end: r.uv for r in q["stream_unique_visitors_hourly"](spark, SF_SMALL).collect()}
     assert a.keys() == b.keys() and b
     assert all(abs(a[k] - b[k]) <= max(1, 0.05 * b[k]) for k in b)
+
+
+def test_pane_sliding_count_across_batches(spark, tmp_path):
+    from behavio.operators import sliding_count
+    from behavio.streaming.operators import pane_sliding_count
+    ev, s = _split_stream(spark, tmp_path)
+    out = flatten_window(pane_sliding_count(s, "ts", "1 hour", "5 minutes", keys=["event_type"]))
+    got = _rows(run_available(spark, out, "t_pane_slide"), ["window_end", "event_type", "cnt"])
+    last = ev.agg(F.max("ts")).collect()[0][0]
+    exp = [r for r in _rows(sliding_count(ev, "ts", "1 hour", "5 minutes", ["event_type"]),
+                            ["window_end", "event_type", "cnt"]) if r[0] <= last]
+    assert got == exp and got
