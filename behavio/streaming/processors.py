@@ -120,26 +120,24 @@ def followed_by_state_fn(key_col: str, ts: str, seq: str, is_first: str, within_
     ``within`` after the first event, else timeout.  Without a ``then``
     event, an event-time timeout fires once the watermark passes the
     earliest deadline and reports the firsts whose deadline has passed.
-    State holds only the undecided firsts of a key."""
-
-    def result(k, f_us, f_seq, t_us, t_seq, kind):
-        return pd.DataFrame({key_col: [k] * len(f_us),
-                             "create_ts": pd.to_datetime(np.asarray(f_us, dtype=np.int64), unit="us"),
-                             "create_id": np.asarray(f_seq, dtype=np.int64),
-                             "pay_ts": pd.to_datetime(np.asarray(t_us, dtype="float64"), unit="us"),
-                             "pay_id": pd.array(t_seq, dtype="Int64"),
-                             "kind": kind})
+    State holds only the undecided firsts of a key; each call builds one
+    output frame."""
 
     def fn(key, pdfs, state):
         k = key[0]
         pend_t, pend_s = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
-        out = []
+        f_t, f_s, p_t, p_s, kinds = [], [], [], [], []
+
+        def decide(ts_list, seq_list, pay_t, pay_s, ok_list):
+            for ft, fs, ok in zip(ts_list, seq_list, ok_list):
+                f_t.append(ft); f_s.append(fs)
+                p_t.append(pay_t if ok else None); p_s.append(pay_s if ok else None)
+                kinds.append("successfully" if ok else "timeout")
+
         if state.hasTimedOut:
             wm_us = state.getCurrentWatermarkMs() * 1000
             due = [i for i, t in enumerate(pend_t) if t + within_us <= wm_us]
-            if due:
-                out.append(result(k, [pend_t[i] for i in due], [pend_s[i] for i in due],
-                                  [np.nan] * len(due), [None] * len(due), ["timeout"] * len(due)))
+            decide([pend_t[i] for i in due], [pend_s[i] for i in due], None, None, [False] * len(due))
             keep = [i for i in range(len(pend_t)) if i not in set(due)]
             pend_t, pend_s = [pend_t[i] for i in keep], [pend_s[i] for i in keep]
         else:
@@ -147,15 +145,13 @@ def followed_by_state_fn(key_col: str, ts: str, seq: str, is_first: str, within_
             pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
             us = _us(pdf[ts])
             order = np.lexsort((pdf[seq].to_numpy(), us))
-            us, sq, first = us[order], pdf[seq].to_numpy()[order], pdf[is_first].to_numpy()[order]
-            for t, s_, f in zip(us.tolist(), sq.tolist(), first.tolist()):
+            for t, s_, f in zip(us[order].tolist(), pdf[seq].to_numpy()[order].tolist(),
+                                pdf[is_first].to_numpy()[order].tolist()):
                 if f:
                     pend_t.append(t); pend_s.append(s_)
                 elif pend_t:                      # a 'then' event decides every pending first
-                    ok = [(t < p + within_us) if strict else (t <= p + within_us) for p in pend_t]
-                    out.append(result(k, pend_t, pend_s,
-                                      [t if o else np.nan for o in ok], [s_ if o else None for o in ok],
-                                      ["successfully" if o else "timeout" for o in ok]))
+                    oks = [(t < p + within_us) if strict else (t <= p + within_us) for p in pend_t]
+                    decide(pend_t, pend_s, t, s_, oks)
                     pend_t, pend_s = [], []
         if pend_t:
             state.update((pend_t, pend_s))
@@ -163,8 +159,14 @@ def followed_by_state_fn(key_col: str, ts: str, seq: str, is_first: str, within_
             state.setTimeoutTimestamp(max(due_ms, state.getCurrentWatermarkMs() + 1))
         elif state.exists:
             state.remove()
-        for o in out:
-            yield o
+        if kinds:
+            yield pd.DataFrame({key_col: np.full(len(kinds), k, dtype=np.int64),
+                                "create_ts": pd.to_datetime(np.asarray(f_t, dtype=np.int64), unit="us"),
+                                "create_id": np.asarray(f_s, dtype=np.int64),
+                                "pay_ts": pd.to_datetime(np.asarray([np.nan if x is None else x for x in p_t],
+                                                                    dtype="float64"), unit="us"),
+                                "pay_id": pd.array(p_s, dtype="Int64"),
+                                "kind": kinds})
 
     return fn
 
