@@ -1,12 +1,13 @@
 """Tumbling and sliding event-time window counts.
 
 Windows are half-open ``[start, end)`` and aligned to the epoch, the same
-as ``F.window``.  Sliding windows with many overlaps per event (size/slide
-above ``BUILTIN_MAX_OVERLAP``) are computed from *panes*: rows are first
-counted per ``slide``-long pane (a partial + final hash aggregate that
-shrinks the data to at most keys x span/slide rows), and only the pane
-counts are fanned out to the windows that contain them.  ``F.window``
-would instead replicate every input row size/slide times.
+as ``F.window``.  Sliding windows are computed from *panes*: rows are
+first counted per ``slide``-long pane (a partial + final hash aggregate
+that shrinks the data to at most keys x span/slide rows); then either the
+pane counts are fanned out to the windows that contain them (up to
+``PANE_MAX_OVERLAP`` windows per row) or, above that, the difference
+form is used, whose work follows the number of output windows.
+``F.window`` would instead replicate every input row size/slide times.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.times import epoch_micros, interval, seconds_of
 
-BUILTIN_MAX_OVERLAP = 12
+PANE_MAX_OVERLAP = 12
 
 
 def _keys(keys) -> list[str]:
@@ -50,7 +51,7 @@ def sliding_count(df: DataFrame, ts: str, size, slide, keys=(), method: str = "a
     method: "builtin" (F.window: every row copied size/slide times),
     "panes" (pane counts copied size/slide times), "deltas" (difference
     form expanded per constant stretch: work proportional to the output),
-    or "auto" (panes up to BUILTIN_MAX_OVERLAP windows per row, deltas
+    or "auto" (panes up to PANE_MAX_OVERLAP windows per row, deltas
     above; builtin only when slide does not divide size)."""
     keys = _keys(keys)
     size_s, slide_s = int(seconds_of(size)), int(seconds_of(slide))
@@ -62,7 +63,7 @@ def sliding_count(df: DataFrame, ts: str, size, slide, keys=(), method: str = "a
             # Count panes first (raw rows hit the hash aggregate once), then
             # fan the pane counts out; past a dozen overlaps use the
             # difference form, whose work follows the output.
-            method = "panes" if overlap <= BUILTIN_MAX_OVERLAP else "deltas"
+            method = "panes" if overlap <= PANE_MAX_OVERLAP else "deltas"
     if method == "builtin":
         w = F.window(ts, f"{size_s} seconds", f"{slide_s} seconds")
         return (df.groupBy(w.alias("w"), *keys)
