@@ -57,6 +57,17 @@ def hll_sketches(df: DataFrame, ts: str, size, user: str, keys=()) -> DataFrame:
                       *keys, "sketch"))
 
 
+def rollup_sketches(sketches: DataFrame, size, keys=(), out: str = "uv_approx") -> DataFrame:
+    """Union ``hll_sketches`` output into coarser tumbling windows (e.g.
+    hourly -> daily) with ``hll_union_agg``: distinct counts of the larger
+    windows without re-reading the events."""
+    keys = _keys(keys)
+    w = _hour_window("window_start", size).alias("w")
+    return (sketches.groupBy(w, *keys).agg(F.hll_union_agg("sketch").alias("_sk"))
+                    .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                            *keys, F.hll_sketch_estimate("_sk").alias(out)))
+
+
 def running_unique(df: DataFrame, ts: str, seq: str, size, user: str, method: str = "exact",
                    slice_="1 minute", out: str = "uv") -> DataFrame:
     """For every row: distinct users of its tumbling window seen so far in

@@ -18,6 +18,7 @@ from ..functions import is_static_resource, json_long, url_host
 from ..operators import (bursts, deadline, followed_by, interval_join, quota, reconcile, runs,
                          sliding_count, sliding_peak, strict_sequence, top_n, top_n_report,
                          tumbling_count, unique_count, running_unique)
+from ..operators.uniques import hll_sketches, rollup_sketches
 from ..sources.tables import table
 
 
@@ -93,6 +94,13 @@ def uv_approx_hourly(spark: SparkSession, d: str) -> DataFrame:
     return unique_count(v, "ts", "1 hour", "user_id", method="hll", out="uv_approx")
 
 
+def uv_approx_daily(spark: SparkSession, d: str) -> DataFrame:
+    """Daily approximate viewers from the hourly HLL sketches (unioned,
+    not recounted)."""
+    v = _ev(spark, d).where(F.col("event_type") == "view")
+    return rollup_sketches(hll_sketches(v, "ts", "1 hour", "user_id"), "1 day")
+
+
 def uv_running(spark: SparkSession, d: str) -> DataFrame:
     v = _ev(spark, d).where(F.col("event_type") == "view")
     return running_unique(v, "ts", "event_id", "1 hour", "user_id")
@@ -225,6 +233,7 @@ QUERIES = {
     "unique_visitors_hourly": unique_visitors_hourly,
     "uv_bitmap_hourly": uv_bitmap_hourly,
     "uv_approx_hourly": uv_approx_hourly,
+    "uv_approx_daily": uv_approx_daily,
     "uv_running": uv_running,
     "marketing_total": marketing_total,
     "marketing_by_channel": marketing_by_channel,

@@ -313,3 +313,12 @@ def test_key_index_and_hot_key_reconcile(spark):
     n = {k: c for k, c in r.groupBy("kind").count().collect()}
     assert n["match"] + n.get("pay_without_receipt", 0) == left.count()
     assert n["match"] + n.get("receipt_without_pay", 0) == right.count()
+
+
+def test_sketch_rollup_close_to_exact(spark):
+    from behavio.operators.uniques import hll_sketches, rollup_sketches
+    ev = _events(spark).where("event_type = 'view'")
+    got = dict(_rows(rollup_sketches(hll_sketches(ev, "ts", "1 hour", "user_id"), "1 day"), ["window_end", "uv_approx"]))
+    exact = dict(_rows(unique_count(ev, "ts", "1 day", "user_id"), ["window_end", "uv"]))
+    assert got.keys() == exact.keys()
+    assert all(abs(got[k] - exact[k]) <= max(1, 0.05 * exact[k]) for k in exact)
