@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import json_long
 from .operators import (approx_unique, chained_unique, flatten_window, pane_sliding_count, stream_interval_join, top_n_per_batch,
                         windowed_count)
-from .processors import (QuotaProcessor, bursts_state_fn, followed_by_state_fn, quota_state_fn,
+from .processors import (FirstSeenProcessor, QuotaProcessor, RunningCountProcessor, bursts_state_fn,
+                         followed_by_state_fn, quota_state_fn,
                          sequence_state_fn)
 from .runner import run_available, run_available_batches
 from .sources import table_stream, with_event_time
@@ -198,10 +199,27 @@ def stream_hot_items_fine_top(spark: SparkSession, d: str) -> DataFrame:
                                  "window_end timestamp, rank long, item_id long, cnt long")
 
 
+def stream_uv_running(spark: SparkSession, d: str) -> DataFrame:
+    """Running distinct viewers of the hour after every view event (the
+    bloom job's per-event firing) on a stream: two chained
+    transformWithState operators - first-seen flag per (hour, user), then
+    a counter per hour; each state is a scalar cleared at the hour's end."""
+    s = (_events(spark, d, ("event_id", "ts", "user_id", "event_type")).where(F.col("event_type") == "view")
+         .withColumn("window_end", F.window("ts", "1 hour").end))
+    flagged = s.groupBy("window_end", "user_id").transformWithStateInPandas(
+        FirstSeenProcessor("ts", "event_id"), "event_id long, ts timestamp, window_end timestamp, first boolean",
+        "append", "EventTime", eventTimeColumnName="ts")
+    out = flagged.groupBy("window_end").transformWithStateInPandas(
+        RunningCountProcessor("ts", "event_id"), "event_id long, ts timestamp, window_end timestamp, uv long",
+        "append", "EventTime", eventTimeColumnName="ts")
+    return run_available(spark, out, "stream_uv_running", rocksdb=True)
+
+
 STREAM_QUERIES = {
     "stream_page_views_hourly": stream_page_views_hourly,
     "stream_unique_visitors_hourly": stream_unique_visitors_hourly,
     "stream_uv_approx_hourly": stream_uv_approx_hourly,
+    "stream_uv_running": stream_uv_running,
     "stream_hot_items": stream_hot_items,
     "stream_hot_items_fine_top": stream_hot_items_fine_top,
     "stream_tx_interval_join": stream_tx_interval_join,
@@ -309,4 +327,7 @@ c AS (SELECT time_bucket(INTERVAL 5 SECOND, ts) + to_seconds(5 * k) AS window_en
 SELECT window_end, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) - 1 AS BIGINT) AS rank,
        item_id, cnt
 FROM c WHERE window_end <= (SELECT max(ts) FROM v) - INTERVAL 61 SECOND QUALIFY rank < 5""",
+
+    # every event is emitted on arrival: the whole batch result
+    "stream_uv_running": _BATCH_SQL["uv_running"],
 }

@@ -341,3 +341,65 @@ def reconcile_state_fn(key_col: str, ts: str, side: str, tol_us: int, left_cols:
             yield res[[key_col, "pay_ts", "receipt_ts", *extra, "kind"]]
 
     return fn
+
+
+class FirstSeenProcessor(StatefulProcessor):
+    """Stage 1 of the stream running UV (U3/W8), keyed by (window_end,
+    user): flags the user's first event in the window.  State: one
+    boolean; an event-time timer at the window's end clears it."""
+
+    def __init__(self, ts: str, seq: str):
+        self.ts, self.seq = ts, seq
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "s boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values([self.ts, self.seq], kind="mergesort")
+        first = np.zeros(len(pdf), dtype=bool)
+        if not self.seen.exists():
+            first[0] = True
+            self.seen.update((True,))
+            end_ms = int(pd.Timestamp(key[0]).value // 1_000_000)
+            self.handle.registerTimer(max(end_ms, timerValues.getCurrentWatermarkInMs() + 1))
+        yield pd.DataFrame({self.seq: pdf[self.seq].to_numpy(), self.ts: pdf[self.ts].to_numpy(),
+                            "window_end": pdf["window_end"].to_numpy(), "first": first})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.seen.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+class RunningCountProcessor(StatefulProcessor):
+    """Stage 2 of the stream running UV, keyed by window_end: a counter of
+    first-seen flags; every event gets the count so far (itself
+    included).  State: one long; cleared by a timer at the window's end."""
+
+    def __init__(self, ts: str, seq: str, out: str = "uv"):
+        self.ts, self.seq, self.out = ts, seq, out
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.n = handle.getValueState("n", "n long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values([self.ts, self.seq], kind="mergesort")
+        st = self.n.get()
+        if st is None:
+            end_ms = int(pd.Timestamp(key[0]).value // 1_000_000)
+            self.handle.registerTimer(max(end_ms, timerValues.getCurrentWatermarkInMs() + 1))
+        c = (st[0] if st else 0) + np.cumsum(pdf["first"].to_numpy().astype(np.int64))
+        self.n.update((int(c[-1]),))
+        yield pd.DataFrame({self.seq: pdf[self.seq].to_numpy(), self.ts: pdf[self.ts].to_numpy(),
+                            "window_end": pdf["window_end"].to_numpy(), self.out: c})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.n.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass

@@ -9,8 +9,11 @@ from pyspark.sql.types import TimestampType
 from ..session import scratch_path
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_available(spark: SparkSession, stream: DataFrame, name: str, output_mode: str = "append",
-                  ntz: bool = True, state_partitions: int | None = None) -> DataFrame:
+                  ntz: bool = True, state_partitions: int | None = None, rocksdb: bool = False) -> DataFrame:
     """Process everything available now (one or more micro-batches, then
     the no-data batch that advances the watermark), write to Parquet with
     a checkpoint so a restarted query resumes, and return the table.
@@ -20,17 +23,26 @@ def run_available(spark: SparkSession, stream: DataFrame, name: str, output_mode
     partitions, fixed for its lifetime; it is set to ``state_partitions``
     (default: the cluster's default parallelism) while the query starts.
     The query runs on a clone of the session, so the caller's setting is
-    restored right after."""
+    restored right after.  ``rocksdb=True`` (needed by transformWithState)
+    likewise selects the RocksDB state store for this query only."""
     base = scratch_path(spark, name)
     parts = state_partitions or spark.sparkContext.defaultParallelism
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    keys = {"spark.sql.shuffle.partitions": str(parts)}
+    if rocksdb:
+        keys["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
     try:
         q = (stream.writeStream.format("parquet").outputMode(output_mode)
              .option("path", f"{base}/data").option("checkpointLocation", f"{base}/checkpoint")
              .trigger(availableNow=True).start())
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     q.awaitTermination()
     out = spark.read.schema(stream.schema).parquet(f"{base}/data")
     if ntz:
