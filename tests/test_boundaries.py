@@ -61,3 +61,17 @@ def test_interval_join_and_reconcile_bounds_inclusive(spark):
     kinds = sorted((r.k, r.kind) for r in reconcile(left, r5, "k", "lts", "rts", "5 seconds").collect())
     assert kinds == [("a", "match"), ("b", "pay_without_receipt"), ("b", "receipt_without_pay"),
                      ("c", "pay_without_receipt"), ("c", "receipt_without_pay")]
+
+
+def test_quota_daily_reset_vs_none(spark):
+    from behavio.operators import quota
+    day = 86400
+    rows = [(s, 1, "click") for s in (0, 10, 20, 30)] + [(day + s, 1, "click") for s in (0, 10, 20)]
+    df = _df(spark, rows)
+    q = quota(df, ["k"], "ts", "seq", max_passed=2, reset="day")
+    assert sorted((r.day.day, r.n, r.alert) for r in q.collect()) == [
+        (1, 1, False), (1, 2, False), (1, 3, True), (2, 1, False), (2, 2, False), (2, 3, True)]
+    q = quota(df, ["k"], "ts", "seq", max_passed=2, reset="none")
+    assert sorted((r.n, r.passed, r.alert) for r in q.collect()) == [(1, True, False), (2, True, False), (3, False, True)]
+    # the midnight row counts for the new day: UTC event-time days
+    assert {r.msg for r in q.where("alert").collect()} == {"click over 2 times today"}
