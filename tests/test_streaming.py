@@ -243,3 +243,26 @@ def test_pane_sliding_count_across_batches(spark, tmp_path):
     exp = [r for r in _rows(sliding_count(ev, "ts", "1 hour", "5 minutes", ["event_type"]),
                             ["window_end", "event_type", "cnt"]) if r[0] <= last]
     assert got == exp and got
+
+
+def test_pairs_and_runs_across_batches(spark, tmp_path):
+    from behavio.operators import runs, strict_sequence
+    from behavio.streaming.processors import sequence_state_fn
+    ev, s = _split_stream(spark, tmp_path)
+    s = s.withColumn("is_fail", F.col("event_type") == "error")
+    gap_us = 6 * 3600 * 1_000_000
+    pairs = s.groupBy("user_id").applyInPandasWithState(
+        sequence_state_fn("user_id", "ts", "event_id", "is_fail", "pairs", gap_us),
+        "user_id long, first_ts timestamp, last_ts timestamp, first_seq long, n long",
+        "a boolean, b long, c long", "append", "NoTimeout")
+    got = _rows(run_available(spark, pairs, "t_pairs"), ["user_id", "first_seq", "n"])
+    err = F.col("event_type") == "error"
+    exp = _rows(strict_sequence(ev, "user_id", "ts", "event_id", err, 2, "6 hours"), ["user_id", "first_seq", "n"])
+    assert got == exp and got
+    rr = s.groupBy("user_id").applyInPandasWithState(
+        sequence_state_fn("user_id", "ts", "event_id", "is_fail", "runs", 2 * gap_us, 2),
+        "user_id long, first_ts timestamp, last_ts timestamp, event_id long, fails long",
+        "a long, b long, c long", "append", "NoTimeout")
+    got = _rows(run_available(spark, rr, "t_runs"), ["user_id", "event_id", "fails"])
+    exp = _rows(runs(ev, "user_id", "ts", "event_id", err, "12 hours", 2), ["user_id", "event_id", "fails"])
+    assert got == exp and got
