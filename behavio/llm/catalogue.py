@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, packing
-from .common import table
+from . import decontam, exact_dedup, langid, packing, quality, toxicity
+from .common import fold_mod, table
 
 
 def tokenizer_path() -> str:
@@ -25,6 +25,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; folds 1 to 4 of 5 train."""
+    docs = table(spark, sf_dir, "documents")
+    fold = fold_mod("doc_id", 5)
+    found = langid.identify(docs, docs.where(fold != 0), spans=False)
+    return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents inside windows of benchmark items."""
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -33,10 +41,29 @@ def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; folds 0, 1 and 3 of 4 train."""
+    fold = fold_mod("doc_id", 4)
+    known = table(spark, sf_dir, "labels").where(fold != 2).select("doc_id", F.col("toxic").alias("label"))
+    found = toxicity.score(table(spark, sf_dir, "documents"), known)
+    return found.select("doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; positives of folds 0 and 2 of 3 are trusted."""
+    fold = fold_mod("doc_id", 3)
+    positives = table(spark, sf_dir, "labels").where((F.col("quality") == 1) & (fold != 1)).select("doc_id")
+    found = quality.score(table(spark, sf_dir, "documents"), positives)
+    return found.select("doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_langid": op4_langid,
     "op5_decontam": op5_decontam,
+    "op6_toxicity": op6_toxicity,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL = {
