@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, packing, quality, toxicity
+from . import decontam, exact_dedup, html_text, langid, packing, quality, substring_dedup, suffix_dedup, toxicity
 from .common import fold_mod, table
 
 
@@ -20,6 +20,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without 13-word windows of earlier documents."""
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents of equal text."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -49,6 +55,18 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without 100-byte strings that start earlier."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; positives of folds 0 and 2 of 3 are trusted."""
     fold = fold_mod("doc_id", 3)
@@ -59,10 +77,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_langid": op4_langid,
     "op5_decontam": op5_decontam,
     "op6_toxicity": op6_toxicity,
+    "op7_suffix_dedup": op7_suffix_dedup,
+    "op9_html": op9_html,
     "op10_quality": op10_quality,
 }
 
