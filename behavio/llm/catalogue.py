@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, html_text, langid, packing, quality, substring_dedup, suffix_dedup, toxicity
+from . import decontam, exact_dedup, html_text, jaccard_join, langid, packing, quality, substring_dedup, suffix_dedup, toxicity
 from .common import fold_mod, table
 
 
@@ -62,16 +62,25 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def trusted_positives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of good labelled documents in folds 0 and 2 of 3."""
+    return table(spark, sf_dir, "labels").where((F.col("quality") == 1) & (fold_mod("doc_id", 3) != 1)).select("doc_id")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; positives of folds 0 and 2 of 3 are trusted."""
     fold = fold_mod("doc_id", 3)
-    positives = table(spark, sf_dir, "labels").where((F.col("quality") == 1) & (fold != 1)).select("doc_id")
-    found = quality.score(table(spark, sf_dir, "documents"), positives)
+    found = quality.score(table(spark, sf_dir, "documents"), trusted_positives(spark, sf_dir))
     return found.select("doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -83,6 +92,7 @@ QUERIES = {
     "op5_decontam": op5_decontam,
     "op6_toxicity": op6_toxicity,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_html": op9_html,
     "op10_quality": op10_quality,
 }

@@ -1,12 +1,73 @@
-"""The corpus pipeline: documents in, packed sequences out."""
+"""The corpus pipeline: quality, exact copies, near copies, benchmark
+passages, packing.
+
+Each stage takes (spark, docs, sf_dir), where ``docs`` has the columns of
+``documents``, works on all rows its predecessor kept and returns the rows it
+keeps; the last returns the packed sequences' pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from behavio.llm import decontam, exact_dedup, jaccard_join, packing, quality
+from behavio.llm.catalogue import tokenizer_path, trusted_positives
+from behavio.llm.common import table, written
+from behavio.llm.shared_runs import small
+
+
+def _with_ids(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of ``docs`` whose id (null being one too) is in the written table ``ids``."""
+    named = ids.select(F.col("doc_id").alias("kept_id"))
+    return docs.join(small(named), F.col("doc_id").eqNullSafe(F.col("kept_id")), how)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts (score of 0.5 and above)."""
+    scored = written(quality.score(docs, trusted_positives(spark, sf_dir)), "scores")
+    return _with_ids(docs, scored.where("score >= 0.5").select("doc_id").distinct())
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts: the smallest id, once."""
+    kept = written(exact_dedup.exact_groups(docs).where("kept").select("doc_id"), "kept")
+    repeated = written(kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
+    once = _with_ids(_with_ids(docs, kept.distinct()), repeated, "left_anti")
+    return once.unionByName(_with_ids(docs, repeated).dropDuplicates(["doc_id"]))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the smallest id."""
+    groups = jaccard_join.similar_groups(docs)
+    return _with_ids(docs, written(groups.where("doc_id <=> component_id").select("doc_id").distinct(), "first"))
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _with_ids(docs, written(found.where("n_hit > 0").select("doc_id").distinct(), "hit"), "left_anti")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 1024 ids."""
+    return packing.pack(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("quality", keep_good),
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("decontamination", drop_benchmark),
+    ("packing", pack),
+]
 
-STAGES = []
+#: A trained classifier and a tokenizer are not SQL: tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
