@@ -26,11 +26,31 @@ def seconds_of(d) -> float:
     return float(m.group(1)) * _UNITS[m.group(2).lower()]
 
 
+def micros_of(d) -> int:
+    """A duration in whole microseconds; finer ones are refused."""
+    us = seconds_of(d) * 1_000_000
+    if abs(us - round(us)) > 1e-3:
+        raise ValueError(f"finer than a microsecond: {d!r}")
+    return int(round(us))
+
+
+def positive_micros(d) -> int:
+    us = micros_of(d)
+    if us <= 0:
+        raise ValueError(f"not a positive duration: {d!r}")
+    return us
+
+
+def window_text(d) -> str:
+    """A positive duration as ``F.window`` takes it, exact to the microsecond."""
+    return f"{positive_micros(d)} microseconds"
+
+
 def interval(d) -> Column:
     """A day-time interval literal for ``d``; microsecond exact."""
     # A literal (not an expression): stream-stream joins read their state
     # bounds from literal intervals in the join condition.
-    micros = int(round(seconds_of(d) * 1_000_000))
+    micros = micros_of(d)
     sign = "-" if micros < 0 else ""
     days, rem = divmod(abs(micros), 86_400_000_000)
     hours, rem = divmod(rem, 3_600_000_000)
@@ -39,22 +59,23 @@ def interval(d) -> Column:
     return F.expr(f"INTERVAL '{sign}{days} {hours:02d}:{mins:02d}:{secs:02d}.{us:06d}' DAY TO SECOND")
 
 
-def epoch_seconds_to_ts(col: Column | str) -> Column:
-    """Epoch seconds (LONG) to an event-time TIMESTAMP_NTZ (UTC wall clock)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_seconds(c).cast("timestamp_ntz")
+EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def _ntz_micros(expr: str) -> str:
+    # a difference of two TIMESTAMP_NTZ never passes through the session zone
+    return f"CAST(CAST(CAST(({expr}) - {EPOCH_NTZ} AS INTERVAL SECOND) AS DECIMAL(20, 6)) * 1000000 AS BIGINT)"
 
 
-def to_event_ts(col: Column | str) -> Column:
-    """Any timestamp-like column to TIMESTAMP (needed by withWatermark)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("timestamp")
+def to_event_ts(df, col: str) -> Column:
+    """A TIMESTAMP for ``withWatermark``; NTZ is read as UTC wall clock,
+    whatever the session zone."""
+    return F.timestamp_micros(epoch_micros(df, col))
 
 
-def ts_text(col: Column | str) -> Column:
-    """Report text of a time, second precision."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+def utc_ntz(micros: Column) -> Column:
+    """Microseconds since the epoch as UTC wall-clock TIMESTAMP_NTZ."""
+    return F.timestamp_add("MICROSECOND", micros, F.expr(EPOCH_NTZ))
 
 
 def epoch_micros(df, col: str) -> Column:
@@ -62,5 +83,10 @@ def epoch_micros(df, col: str) -> Column:
     independent of the session time zone (NTZ is read as UTC wall time)."""
     from pyspark.sql.types import TimestampNTZType
     if isinstance(df.schema[col].dataType, TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+        return F.expr(_ntz_micros(f"`{col}`"))
     return F.unix_micros(F.col(col))
+
+
+def micros_between(df, first: str, last: str) -> Column:
+    """Microseconds from ``first`` to ``last`` (both of one type), in any zone."""
+    return epoch_micros(df, last) - epoch_micros(df, first)

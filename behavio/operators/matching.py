@@ -7,14 +7,14 @@
   its band touches, so a hot key is split by time and only pairs from
   neighbouring buckets are ever compared.
 * ``reconcile``: one-to-one matching with a tolerance, reporting the
-  unmatched rows of both sides (full outer join) in a ``kind`` column.
+  unmatched rows of both sides in a ``kind`` column.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.times import epoch_micros, interval, seconds_of
+from ..functions.times import epoch_micros, interval, micros_of, positive_micros, utc_ntz
 
 MATCH, PAY_ONLY, RECEIPT_ONLY = "match", "pay_without_receipt", "receipt_without_pay"
 
@@ -24,11 +24,10 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: st
     """Inner band join on ``key`` (all pairs in the band, as the
     reference's interval join).  Column names other than ``key`` must
     differ between the sides."""
-    lo, hi = seconds_of(lower), seconds_of(upper)
-    if hi < lo:
+    lo_us, hi_us = micros_of(lower), micros_of(upper)
+    if hi_us < lo_us:
         raise ValueError("upper < lower")
-    width = max(int((hi - lo) * 1_000_000), 1)
-    lo_us, hi_us = int(lo * 1_000_000), int(hi * 1_000_000)
+    width = max(hi_us - lo_us, 1)
     lm = epoch_micros(left, lts)
     lb = left.withColumn("_b", F.explode(F.sequence(
         F.floor((lm + F.lit(lo_us)) / F.lit(width)), F.floor((lm + F.lit(hi_us)) / F.lit(width))))).alias("_lt")
@@ -36,7 +35,7 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: st
     lc = lambda c: F.col(f"_lt.`{c}`")
     rc = lambda c: F.col(f"_rt.`{c}`")
     cond = ((lc(key) == rc(key)) & (lc("_b") == rc("_b"))
-            & (rc(rts) >= lc(lts) + interval(lo)) & (rc(rts) <= lc(lts) + interval(hi)))
+            & (rc(rts) >= lc(lts) + interval(lower)) & (rc(rts) <= lc(lts) + interval(upper)))
     pairs = lb.join(rb, cond, "inner").select(
         *[lc(c).alias(c) for c in left.columns], *[rc(c).alias(c) for c in right.columns if c != key])
     if how != "inner":
@@ -44,50 +43,140 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: st
     return pairs
 
 
-def key_index(df: DataFrame, key: str, ts: str, bucket="1 day") -> DataFrame:
-    """Adds ``_i``: each row's 1-based position within its key in (ts, other
-    columns) order - a deterministic ``row_number`` per key, computed in two
-    levels so a hot key is not sorted in one task: positions inside
-    (key, time bucket), plus the row counts of the key's earlier buckets
-    from a small per-bucket table (one row per non-empty bucket)."""
-    width = max(int(seconds_of(bucket) * 1_000_000), 1)
-    ties = [c for c in df.columns if c not in (key, ts)]
-    x = df.withColumn("_kb", F.floor(epoch_micros(df, ts) / F.lit(width)))
-    local = x.withColumn("_r", F.row_number().over(Window.partitionBy(key, "_kb").orderBy(ts, *ties)))
-    before = Window.partitionBy(key).orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (x.groupBy(key, "_kb").agg(F.count(F.lit(1)).alias("_n"))
-             .select(key, "_kb", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
-    return (local.join(offs, [key, "_kb"])
-                 .withColumn("_i", F.col("_off") + F.col("_r")).drop("_kb", "_r", "_off"))
-
-
-def reconcile(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
-              tolerance="5 seconds", pair_duplicates: bool = True, bucket="1 day") -> DataFrame:
-    """Pair each left row with the right row of the same key whose time is
-    within ``tolerance`` (inclusive); report the rest.  Rows sharing a key
-    are paired in time order (k-th with k-th) when ``pair_duplicates``; the
-    positions come from ``key_index`` (hot keys split by time bucket), so
-    the join is on (key, position) and never compares all pairs of a key.
+def _kind_rows(l: DataFrame, r: DataFrame, key: str, left: list[str], right: list[str], on, kind: str | None) -> DataFrame:
+    """The join of aliased sides for one kind, or for all three (full outer)."""
+    lc = lambda c: F.col(f"_lt.`{c}`")
+    rc = lambda c: F.col(f"_rt.`{c}`")
+    null = lambda d, c: F.lit(None).cast(d.schema[c].dataType).alias(c)
+    if kind == MATCH:
+        return l.join(r, on, "inner").select(lc(key).alias(key), *[lc(c) for c in left], *[rc(c) for c in right],
+                                             F.lit(MATCH).alias("kind"))
+    if kind == PAY_ONLY:
+        return l.join(r, on, "left_anti").select(key, *left, *[null(r, c) for c in right], F.lit(PAY_ONLY).alias("kind"))
+    if kind == RECEIPT_ONLY:
+        return r.join(l, on, "left_anti").select(key, *[null(l, c) for c in left], *right, F.lit(RECEIPT_ONLY).alias("kind"))
+    if kind is not None:
+        raise ValueError(kind)
+    j = l.withColumn("_l", F.lit(True)).alias("_lt").join(r.withColumn("_r", F.lit(True)).alias("_rt"), on, "full_outer")
+    which = (F.when(F.col("_l") & F.col("_r"), MATCH).when(F.col("_l"), PAY_ONLY).otherwise(RECEIPT_ONLY))
+    return j.select(F.coalesce(lc(key), rc(key)).alias(key), *[lc(c) for c in left], *[rc(c) for c in right], which.alias("kind"))
+
+
+def reconcile(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str, tolerance="5 seconds",
+              pair_duplicates: bool = True, kind: str | None = None) -> DataFrame:
+    """One-to-one matching within ``tolerance`` (inclusive) by key; ``kind``
+    asks for one kind of row only.
+
+    With ``pair_duplicates`` a key may have several rows on either side, taken
+    in time order (left before right at equal times, then by the other columns): a
+    row consumes the oldest waiting row of the other side within the
+    tolerance, or waits itself.  Each key is cut into chains of rows at most
+    ``tolerance`` apart, found per (key, time bucket); rows of different chains can
+    never match.  Chains of one side, and of one row a side, are decided in
+    SQL; only longer ones are folded in Python, in order, a row at a time.
+    Without it keys are taken to be unique, and each kind is a plain
+    inner or anti join with the band.
+
+    Rows with a null key or time match nothing and are reported unmatched.
 
     Columns: key, left columns, right columns, kind in
     {'match', 'pay_without_receipt', 'receipt_without_pay'}."""
-    tol = interval(tolerance)
-    l, r = left, right
-    if pair_duplicates:
-        l = key_index(left, key, lts, bucket)
-        r = key_index(right, key, rts, bucket)
-    # aliases keep the sides apart even when both come from one DataFrame
-    l, r = l.alias("_lt"), r.alias("_rt")
-    lc = lambda c: F.col(f"_lt.`{c}`")
-    rc = lambda c: F.col(f"_rt.`{c}`")
-    cond = lc(key) == rc(key)
-    if pair_duplicates:
-        cond = cond & (lc("_i") == rc("_i"))
-    cond = cond & (rc(rts) >= lc(lts) - tol) & (rc(rts) <= lc(lts) + tol)
-    j = l.join(r, cond, "full_outer")
-    kind = (F.when(lc(key).isNotNull() & rc(key).isNotNull(), F.lit(MATCH))
-             .when(lc(key).isNotNull(), F.lit(PAY_ONLY)).otherwise(F.lit(RECEIPT_ONLY)))
-    cols = [F.coalesce(lc(key), rc(key)).alias(key)]
-    cols += [lc(c).alias(c) for c in left.columns if c != key]
-    cols += [rc(c).alias(c) for c in right.columns if c != key]
-    return j.select(*cols, kind.alias("kind"))
+    left_cols = [c for c in left.columns if c != key]
+    right_cols = [c for c in right.columns if c != key]
+    if not pair_duplicates:
+        tol = interval(tolerance)
+        # aliases keep the sides apart even when both come from one DataFrame
+        l, r = left.alias("_lt"), right.alias("_rt")
+        on = ((F.col(f"_lt.`{key}`") == F.col(f"_rt.`{key}`")) & (F.col(f"_rt.`{rts}`") >= F.col(f"_lt.`{lts}`") - tol)
+              & (F.col(f"_rt.`{rts}`") <= F.col(f"_lt.`{lts}`") + tol))
+        return _kind_rows(l, r, key, left_cols, right_cols, on, kind)
+    out = _reconcile_chains(left, right, key, lts, rts, positive_micros(tolerance) if micros_of(tolerance) else 0)
+    return out if kind is None else out.where(F.col("kind") == kind)
+
+
+def _reconcile_chains(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str, tol_us: int) -> DataFrame:
+    from .patterns import _run_positions
+    left_cols = [c for c in left.columns if c != key]
+    right_cols = [c for c in right.columns if c != key]
+    names = ([f"l{i}" for i in range(len(left_cols))], [f"r{i}" for i in range(len(right_cols))])
+
+    def tagged(df, ts, own, side, other, other_names, own_names):
+        return df.select(F.col(key).alias("k"), epoch_micros(df, ts).alias("us"), F.lit(side).alias("side"),
+                         *[F.col(c).alias(n) for c, n in zip(own, own_names)],
+                         *[F.lit(None).cast(other.schema[c].dataType).alias(n) for c, n in other_names])
+    rows = tagged(left, lts, left_cols, 0, right, list(zip(right_cols, names[1])), names[0]).unionByName(
+        tagged(right, rts, right_cols, 1, left, list(zip(left_cols, names[0])), names[1]))
+    every = names[0] + names[1]
+    alone = rows.where("k IS NULL OR us IS NULL")
+    known = rows.where("k IS NOT NULL AND us IS NOT NULL")
+    # one order for all rows of a key: time, side, then the columns themselves
+    known = known.select("k", utc_ntz(F.col("us")).alias("t"), F.struct("side", *every).alias("row"))
+    chained = _run_positions(known, "k", "t", "row", F.lit(True), (tol_us or 1) / 1_000_000)
+    chained = chained.select("k", "run_start", "t", "row")
+    w = Window.partitionBy("k", "run_start")
+    n_left = F.sum(F.when(F.col("row.side") == 0, 1).otherwise(0)).over(w)
+    sized = (chained.repartition("k", "run_start").withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_nl", n_left))
+    one_side = sized.where("_nl = 0 OR _nl = _n").select("k", "row")
+    longer = sized.where("_nl > 0 AND _nl < _n").select("k", "run_start", epoch_micros(sized, "t").alias("us"), "row.side", *[f"row.{c}" for c in every])
+    longer = longer.sortWithinPartitions("k", "run_start", "us", "side", *every)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in longer.schema if f.name in ("k", *every)) + ", kind string"
+    folded = longer.mapInArrow(_fold_chains(tol_us, names), ddl)
+    unmatched = alone.select("k", "side", *every).unionByName(one_side.select("k", "row.side", *[f"row.{c}" for c in every]))
+    out = folded.unionByName(unmatched.select("k", *every, F.when(F.col("side") == 0, PAY_ONLY).otherwise(RECEIPT_ONLY).alias("kind")))
+    return out.select(F.col("k").alias(key), *[F.col(n).alias(c) for c, n in zip(left_cols, names[0])],
+                      *[F.col(n).alias(c) for c, n in zip(right_cols, names[1])], "kind")
+
+
+def _fold_chains(tol_us: int, names: tuple[list[str], list[str]]):
+    """Consuming match over rows ordered by (key, chain, time); rows that still
+    wait are carried over Arrow batches, so no chain is held as a whole."""
+
+    def fold(batches):
+        from collections import deque
+
+        import pyarrow as pa
+        waiting, side, chain = deque(), None, None  # entries are (table, row, us)
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            found: list[tuple] = []
+            keys = list(zip(batch["k"].to_pylist(), batch["run_start"].to_pylist()))
+            for i, (of, us, s) in enumerate(zip(keys, batch["us"].to_pylist(), batch["side"].to_pylist())):
+                if of != chain:
+                    found += [(w, None, side) for w in waiting]
+                    waiting.clear()
+                    chain = of
+                while waiting and us - waiting[0][2] > tol_us:
+                    found.append((waiting.popleft(), None, side))
+                if waiting and s != side:
+                    found.append((waiting.popleft(), (table, i, us), side))
+                else:
+                    side = s
+                    waiting.append((table, i, us))
+            if found:
+                yield from _pairs(found, names)
+            # keep only the rows that wait, not their batches
+            waiting = deque((w[0].slice(w[1], 1).combine_chunks(), 0, w[2]) for w in waiting)
+        if waiting:
+            yield from _pairs([(w, None, side) for w in waiting], names)
+
+    return fold
+
+
+def _pairs(found: list[tuple], names: tuple[list[str], list[str]]):
+    import pyarrow as pa
+    at: dict[int, int] = {}
+    tables, size = [], 0
+    for a, b, _ in found:
+        for e in (a, b):
+            if e is not None and id(e[0]) not in at:
+                at[id(e[0])] = size
+                tables.append(e[0])
+                size += e[0].num_rows
+    joined = pa.concat_tables(tables)
+    place = lambda e: None if e is None else at[id(e[0])] + e[1]
+    sides = [(place(a), place(b)) if s == 0 else (place(b), place(a)) for a, b, s in found]
+    l, r = (pa.array(v, pa.int64()) for v in zip(*sides))
+    key = pa.array([x if x is not None else y for x, y in sides], pa.int64())
+    cols = [joined["k"].take(key), *[joined[c].take(l) for c in names[0]], *[joined[c].take(r) for c in names[1]]]
+    kinds = [MATCH if x is not None and y is not None else PAY_ONLY if x is not None else RECEIPT_ONLY for x, y in sides]
+    return pa.Table.from_arrays([*cols, pa.array(kinds)], ["k", *names[0], *names[1], "kind"]).to_batches()

@@ -15,8 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.times import epoch_micros, interval, seconds_of
-from ..session import checkpoint_dir
+from ..functions.times import epoch_micros, interval, micros_between, positive_micros, seconds_of, utc_ntz
 
 # Fixed result texts of the reference jobs.
 PAY_OK, PAY_TIMEOUT = "successfully", "timeout"
@@ -33,18 +32,18 @@ def _order(key: str, ts: str, seq: str, desc: bool = False) -> Window:
     return Window.partitionBy(key).orderBy(ts, seq)
 
 
-def _bucketed(df: DataFrame, key: str, ts: str, seq: str, width, k: int, head=None) -> DataFrame:
+def _bucketed(df: DataFrame, key: str, ts: str, seq: str, width, k: int, heads: DataFrame | None = None) -> DataFrame:
     """Rows tagged with a time bucket ``_b`` of ``width`` (>= the pattern's
-    horizon) plus *lookahead* rows: the first ``k`` rows (of those
-    satisfying ``head``) of bucket b+1, copied into bucket b with
+    horizon) plus *lookahead* rows: the first ``k`` rows of bucket b+1 (of
+    ``heads``, rows of the same columns, if given), copied into bucket b with
     ``_la = true``.  A per-(key, bucket) window then sees every event up
     to the horizon after each real row, so patterns bounded by the horizon
     are exact while a hot key is split over its buckets.  The lookahead is
     a ``row_number() <= k`` cut, planned with a partial WindowGroupLimit
     before the shuffle."""
-    width_us = max(int(seconds_of(width) * 1_000_000), 1)
+    width_us = positive_micros(width)
     x = df.withColumn("_b", F.floor(epoch_micros(df, ts) / F.lit(width_us)))
-    heads = x if head is None else x.where(head)
+    heads = x if heads is None else heads.withColumn("_b", F.floor(epoch_micros(heads, ts) / F.lit(width_us)))
     wb = Window.partitionBy(key, "_b").orderBy(ts, seq)
     heads = (heads.withColumn("_r", F.row_number().over(wb)).where(F.col("_r") <= k).drop("_r")
                   .withColumn("_b", F.col("_b") - 1).withColumn("_la", F.lit(True)))
@@ -95,10 +94,14 @@ def followed_by(df: DataFrame, key: str, ts: str, seq: str, first, then, within=
 
     Columns: key, first_ts, first_seq, then_ts (null on timeout),
     then_seq, kind ('successfully' | 'timeout')."""
+    # only the two kinds of events matter; the bare condition reaches the scan
+    df = df.where(_cond(first) | _cond(then))
     x = df.select(key, ts, seq, F.coalesce(_cond(first), F.lit(False)).alias("_f"),
                   F.coalesce(_cond(then), F.lit(False)).alias("_t"))
     if bucket:
-        x = _bucketed(x, key, ts, seq, within, 1, head=F.col("_t"))
+        heads = df.where(_cond(then)).select(key, ts, seq, F.coalesce(_cond(first), F.lit(False)).alias("_f"),
+                                             F.lit(True).alias("_t"))
+        x = _bucketed(x, key, ts, seq, within, 1, heads=heads)
         w = (Window.partitionBy(key, "_b").orderBy(F.col(ts).desc(), F.col(seq).desc())
              .rowsBetween(Window.unboundedPreceding, -1))
     else:
@@ -125,9 +128,7 @@ def deadline(df: DataFrame, key: str, ts: str, seq: str, first, then, within="15
     create to pay, null on timeout), deadline_min."""
     r = followed_by(df, key, ts, seq, first, then, within, strict=False, bucket=bucket)
     ok = F.col("kind") == PAY_OK
-    # DOUBLE: null on timeout, and nullable integers convert differently
-    # across client libraries; whole minutes are exact in a double.
-    delay = F.floor(F.expr("timestampdiff(SECOND, first_ts, then_ts)") / 60).cast("double")
+    delay = F.floor(micros_between(r, "first_ts", "then_ts") / F.lit(60_000_000)).cast("long")
     return r.select(key, F.col("first_ts").alias("create_ts"),
                     F.when(ok, F.lit(DEADLINE_OK)).otherwise(F.lit(DEADLINE_TIMEOUT)).alias("result"),
                     F.col("then_ts").alias("pay_ts"), delay.alias("delay_min"),
@@ -148,6 +149,25 @@ def _islands(df: DataFrame, key: str, ts: str, seq: str, cond, max_gap) -> DataF
     return x.where("_c").drop("_c", "_start")
 
 
+#: Buckets that one task scans of one key.
+CARRY_BLOCK = 4096
+
+
+def _carry(df: DataFrame, part: list[str], order: str, n: Column, t: Column, s: Column, since: Column, name: str) -> DataFrame:
+    """Adds, from the earlier rows of a partition in ``order``: the time and
+    seq of the last run start (``_t``, ``_s``), the run's rows up to this row
+    (``_n``), and the rows up to and with this row (``_rows``).  A row stands for ``n`` rows,
+    of which ``since`` follow its own last start (null without one)."""
+    w = Window.partitionBy(*part).orderBy(order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    x = df.withColumn(f"{name}_rows", F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    x = x.withColumn(f"{name}_a", since - F.col(f"{name}_rows"))
+    return (x.withColumn(f"{name}_t", F.last(t, ignorenulls=True).over(before))
+             .withColumn(f"{name}_s", F.last(s, ignorenulls=True).over(before))
+             .withColumn(f"{name}_n", F.last(f"{name}_a", ignorenulls=True).over(before) + F.col(f"{name}_rows") - n)
+             .drop(f"{name}_a"))
+
+
 def _run_positions(df: DataFrame, key: str, ts: str, seq: str, cond, max_gap) -> DataFrame:
     """``cond`` rows with their run (island) start and 1-based position,
     computed per (key, time bucket of width ``max_gap``) so a hot key is
@@ -164,7 +184,7 @@ def _run_positions(df: DataFrame, key: str, ts: str, seq: str, cond, max_gap) ->
     Columns: key, ts, seq, next_other_ts (time of the following event
     when it is not a ``cond`` one and at most one bucket later), run_start
     (ts), run_id (seq of the run's first row), pos."""
-    width_us = max(int(seconds_of(max_gap) * 1_000_000), 1)
+    width_us = positive_micros(max_gap)
     x = (df.select(key, ts, seq, F.coalesce(_cond(cond), F.lit(False)).alias("_c"))
            .withColumn("_b", F.floor(epoch_micros(df, ts) / F.lit(width_us))))
     wb = Window.partitionBy(key, "_b").orderBy(ts, seq)
@@ -188,26 +208,24 @@ def _run_positions(df: DataFrame, key: str, ts: str, seq: str, cond, max_gap) ->
           .withColumn("_ls", F.last(F.when(F.col("_start"), F.struct(F.col(ts).alias("t"), F.col("_idx").alias("i"),
                                                                      F.col(seq).alias("s"))),
                                     ignorenulls=True).over(upto)))
-    # ``u`` feeds both the bucket summaries and the final rows: materialise
-    # it once in the shared checkpoint folder (reliable checkpoint, lineage
-    # cut) instead of re-running the scan, union and shuffle per branch.
-    checkpoint_dir(df.sparkSession)
-    u = u.checkpoint(eager=True)
-    per_b = u.groupBy(key, "_b").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max(F.when(F.col("_start"), F.struct(F.col(ts).alias("t"), F.col("_idx").alias("i"),
-                                               F.col(seq).alias("s")))).alias("_last"))
-    wk = Window.partitionBy(key).orderBy("_b")
-    before = wk.rowsBetween(Window.unboundedPreceding, -1)
-    cum = F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, 0))
-    per_b = (per_b.withColumn("_cum", cum)
-                  .withColumn("_a", F.when(F.col("_last").isNotNull(),
-                                           F.col("_n") - F.col("_last.i") + 1 - F.col("_cum")))
-                  .select(key, "_b",
-                          F.last("_last.t", ignorenulls=True).over(before).alias("_carry_t"),
-                          F.last("_last.s", ignorenulls=True).over(before).alias("_carry_s"),
-                          (F.last("_a", ignorenulls=True).over(before) + F.col("_cum") - F.col("_n"))
-                          .alias("_carry_n")))
+    # ``u`` feeds both the bucket summaries and the final rows; both read the
+    # same shuffle of (key, bucket), which Spark runs once.
+    last = F.max(F.when(F.col("_start"), F.struct(F.col(ts).alias("t"), F.col("_idx").alias("i"), F.col(seq).alias("s"))))
+    per_b = u.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"), last.alias("_last"))
+    # The carry runs over a key's buckets in two levels, so that no task scans
+    # all buckets of a hot key: within a block of buckets, and over the blocks.
+    per_b = per_b.withColumn("_d", F.floor(F.col("_b") / F.lit(CARRY_BLOCK)))
+    inner = _carry(per_b, [key, "_d"], "_b", F.col("_n"), F.col("_last.t"), F.col("_last.s"),
+                   F.col("_n") - F.col("_last.i") + 1, "_w").withColumn("_w_rows", F.col("_w_rows") - F.col("_n"))
+    blocks = inner.groupBy(key, "_d").agg(
+        F.sum("_n").alias("_bn"),
+        F.max(F.when(F.col("_last").isNotNull(), F.struct("_b", "_w_rows", "_n", "_last"))).alias("_x"))
+    # rows of the block from its last start on
+    since = F.col("_bn") - F.col("_x._w_rows") - F.col("_x._last.i") + 1
+    outer = _carry(blocks, [key], "_d", F.col("_bn"), F.col("_x._last.t"), F.col("_x._last.s"), since, "_o")
+    per_b = (inner.join(outer.select(key, "_d", "_o_t", "_o_s", "_o_n"), [key, "_d"])
+             .select(key, "_b", F.coalesce("_w_t", "_o_t").alias("_carry_t"), F.coalesce("_w_s", "_o_s").alias("_carry_s"),
+                     F.coalesce(F.col("_w_n"), F.col("_o_n") + F.col("_w_rows")).alias("_carry_n")))
     r = u.join(per_b, [key, "_b"], "left")
     carried = F.col("_nst") == 0
     return r.select(key, ts, seq, "next_other_ts",
@@ -256,13 +274,16 @@ def bursts(df: DataFrame, key: str, ts: str, seq: str, cond, span="2 seconds",
     key is split over its islands; no group is materialised.
 
     Columns: key, first_ts, last_ts, fails."""
-    span_ns = int(round(seconds_of(span) * 1e9))
+    span_us = positive_micros(span)
     ts_type = df.schema[ts].dataType.simpleString()
     key_type = df.schema[key].dataType.simpleString()
-    schema = f"`{key}` {key_type}, first_ts {ts_type}, last_ts {ts_type}, fails long"
+    schema = f"`{key}` {key_type}, first_us long, last_us long, fails long"
     p = _run_positions(df, key, ts, seq, cond, span)
-    x = (p.select(key, "run_id", ts, seq, "next_other_ts")
-          .repartition(key, "run_id").sortWithinPartitions(key, "run_id", ts, seq))
+    # islands too short for any burst never reach Python, times go as integers
+    size = F.count(F.lit(1)).over(Window.partitionBy(key, "run_id"))
+    x = (p.select(key, "run_id", seq, epoch_micros(p, ts).alias("us"), epoch_micros(p, "next_other_ts").alias("other_us"))
+          .repartition(key, "run_id").withColumn("_size", size).where(F.col("_size") > min_exclusive).drop("_size")
+          .sortWithinPartitions(key, "run_id", "us", seq))
 
     def fold(batches):
         cur, open_t, last_t, n, stop = None, None, None, 0, None
@@ -271,20 +292,19 @@ def bursts(df: DataFrame, key: str, ts: str, seq: str, cond, span="2 seconds",
         def emit(island_end: bool):
             if open_t is None or n <= min_exclusive:
                 return
-            if island_end and stop is not None and stop <= open_t + span_ns:
+            if island_end and stop is not None and stop <= open_t + span_us:
                 return                          # cancelled before its timer
             out_k.append(cur[0]); out_f.append(open_t); out_l.append(last_t); out_n.append(n)
 
         for pdf in batches:
             ks, rs = pdf[key].tolist(), pdf["run_id"].tolist()
-            tv = pdf[ts].to_numpy(dtype="datetime64[ns]").astype(np.int64).tolist()
-            nx = pdf["next_other_ts"].to_numpy(dtype="datetime64[ns]")
-            nxv = [None if np.isnat(v) else int(v.astype(np.int64)) for v in nx]
-            for k, r, t, o in zip(ks, rs, tv, nxv):
+            tv = pdf["us"].tolist()
+            nx = [None if np.isnan(v) else int(v) for v in pdf["other_us"].to_numpy(dtype="float64")]
+            for k, r, t, o in zip(ks, rs, tv, nx):
                 if (k, r) != cur:
                     emit(True)
                     cur, open_t, last_t, n = (k, r), t, t, 1
-                elif t > open_t + span_ns:
+                elif t > open_t + span_us:
                     emit(False)                 # timer fired inside the island
                     open_t, last_t, n = t, t, 1
                 else:
@@ -297,11 +317,11 @@ def bursts(df: DataFrame, key: str, ts: str, seq: str, cond, span="2 seconds",
         if out_k:
             yield _burst_frame(key, out_k, out_f, out_l, out_n)
 
-    return x.mapInPandas(fold, schema)
+    def back(c: str) -> Column:
+        return utc_ntz(F.col(c)) if ts_type == "timestamp_ntz" else F.timestamp_micros(F.col(c))
+    return x.mapInPandas(fold, schema).select(key, back("first_us").alias("first_ts"), back("last_us").alias("last_ts"), "fails")
 
 
 def _burst_frame(key, ks, fs, ls, ns) -> pd.DataFrame:
-    return pd.DataFrame({key: ks,
-                         "first_ts": pd.to_datetime(np.asarray(fs, dtype=np.int64), unit="ns"),
-                         "last_ts": pd.to_datetime(np.asarray(ls, dtype=np.int64), unit="ns"),
+    return pd.DataFrame({key: ks, "first_us": np.asarray(fs, dtype=np.int64), "last_us": np.asarray(ls, dtype=np.int64),
                          "fails": np.asarray(ns, dtype=np.int64)})

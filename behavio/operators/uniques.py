@@ -14,12 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.hashing import rolling_hash
-from ..functions.times import epoch_micros, seconds_of
+from ..functions.times import epoch_micros, positive_micros, window_text
 from .windows import _keys
 
 
 def _hour_window(ts: str, size) -> F.Column:
-    return F.window(ts, f"{int(seconds_of(size))} seconds")
+    return F.window(ts, window_text(size))
 
 
 def with_bit_offset(df: DataFrame, user: str, out: str = "offset") -> DataFrame:
@@ -82,12 +82,12 @@ def running_unique(df: DataFrame, ts: str, seq: str, size, user: str, method: st
     carry-ins first, a marker just before its own row - gives every row's
     count.  No join; a window's work is split into size/slice groups."""
     ident = F.col(user) if method == "exact" else rolling_hash(F.col(user))
-    size_s, slice_s = int(seconds_of(size)), int(seconds_of(slice_))
-    slice_us = slice_s * 1_000_000
+    slice_us = positive_micros(slice_)
     base = df.select(seq, ts, ident.alias("_u"),
-                     F.window(ts, f"{size_s} seconds").end.alias("window_end"),
+                     F.window(ts, window_text(size)).end.alias("window_end"),
                      F.floor(epoch_micros(df, ts) / F.lit(slice_us)).alias("_slice"))
-    firsts = (base.groupBy("window_end", "_u")
+    # a null user is no visitor, as in unique_count
+    firsts = (base.where(F.col("_u").isNotNull()).groupBy("window_end", "_u")
                   .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"),
                                       F.col("_slice").alias("k"))).alias("f"))
                   .select("window_end", F.col("f.t").alias(ts), F.col("f.s").alias(seq),

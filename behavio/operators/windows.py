@@ -5,16 +5,18 @@ as ``F.window``.  Sliding windows are computed from *panes*: rows are
 first counted per ``slide``-long pane (a partial + final hash aggregate
 that shrinks the data to at most keys x span/slide rows); then either the
 pane counts are fanned out to the windows that contain them (up to
-``PANE_MAX_OVERLAP`` windows per row) or, above that, the difference
+``PANE_MAX_OVERLAP`` panes per window) or, above that, the difference
 form is used, whose work follows the number of output windows.
 ``F.window`` would instead replicate every input row size/slide times.
 """
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.times import epoch_micros, interval, seconds_of
+from ..functions.times import epoch_micros, interval, micros_between, positive_micros, window_text
 
 PANE_MAX_OVERLAP = 12
 
@@ -28,8 +30,7 @@ def _keys(keys) -> list[str]:
 def tumbling_count(df: DataFrame, ts: str, size, keys=(), count_col: str = "cnt") -> DataFrame:
     """Rows per (tumbling window, keys): window_start, window_end, keys, cnt."""
     keys = _keys(keys)
-    secs = int(seconds_of(size))
-    w = F.window(ts, f"{secs} seconds")
+    w = F.window(ts, window_text(size))
     return (df.groupBy(w.alias("w"), *keys)
               .agg(F.count(F.lit(1)).alias(count_col))
               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
@@ -39,8 +40,7 @@ def tumbling_count(df: DataFrame, ts: str, size, keys=(), count_col: str = "cnt"
 def pane_counts(df: DataFrame, ts: str, slide, keys=(), count_col: str = "c") -> DataFrame:
     """Rows per (slide-long pane, keys): columns pane, keys, c."""
     keys = _keys(keys)
-    secs = int(seconds_of(slide))
-    return (df.groupBy(F.window(ts, f"{secs} seconds").start.alias("pane"), *keys)
+    return (df.groupBy(F.window(ts, window_text(slide)).start.alias("pane"), *keys)
               .agg(F.count(F.lit(1)).alias(count_col)))
 
 
@@ -51,41 +51,44 @@ def sliding_count(df: DataFrame, ts: str, size, slide, keys=(), method: str = "a
     method: "builtin" (F.window: every row copied size/slide times),
     "panes" (pane counts copied size/slide times), "deltas" (difference
     form expanded per constant stretch: work proportional to the output),
-    or "auto" (panes up to PANE_MAX_OVERLAP windows per row, deltas
-    above; builtin only when slide does not divide size)."""
+    or "auto" (panes up to PANE_MAX_OVERLAP panes per window, deltas
+    above).  When slide does not divide size, panes are their greatest
+    common divisor long.  Durations are exact to the microsecond."""
     keys = _keys(keys)
-    size_s, slide_s = int(seconds_of(size)), int(seconds_of(slide))
-    overlap = size_s // slide_s
+    size_us, slide_us = positive_micros(size), positive_micros(slide)
+    pane_us = gcd(size_us, slide_us)
     if method == "auto":
-        if size_s % slide_s:
-            method = "builtin"
-        else:
-            # Count panes first (raw rows hit the hash aggregate once), then
-            # fan the pane counts out; past a dozen overlaps use the
-            # difference form, whose work follows the output.
-            method = "panes" if overlap <= PANE_MAX_OVERLAP else "deltas"
+        # Count panes first (raw rows hit the hash aggregate once), then
+        # fan the pane counts out; past a dozen overlaps use the
+        # difference form, whose work follows the output.
+        method = "panes" if size_us // pane_us <= PANE_MAX_OVERLAP else "deltas"
+    size_i, slide_i, pane_i = (us / 1_000_000 for us in (size_us, slide_us, pane_us))
     if method == "builtin":
-        w = F.window(ts, f"{size_s} seconds", f"{slide_s} seconds")
+        w = F.window(ts, window_text(size), window_text(slide))
         return (df.groupBy(w.alias("w"), *keys)
                   .agg(F.count(F.lit(1)).alias(count_col))
                   .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                           *keys, count_col))
-    if size_s % slide_s:
-        raise ValueError("pane and delta methods need slide to divide size")
+    panes = pane_counts(df, ts, pane_i, keys)
     if method == "deltas":
-        d = window_deltas(df, ts, size_s, slide_s, keys).where(F.col("cnt") > 0)
-        ends = F.sequence(F.col("e"), F.col("next_e") - interval(slide_s), interval(slide_s))
+        d = window_deltas(df, ts, size, slide, keys).where(F.col("cnt") > 0)
+        # window ends e, e + slide, ... before next_e
+        ends = F.sequence(F.col("e"), F.col("next_e") - interval(slide_i), interval(slide_i))
         return d.select((F.explode(ends)).alias("window_end"), *keys, F.col("cnt").alias(count_col)) \
-                .select((F.col("window_end") - interval(size_s)).alias("window_start"),
+                .select((F.col("window_end") - interval(size_i)).alias("window_start"),
                         "window_end", *keys, count_col)
-    panes = pane_counts(df, ts, slide_s, keys)
-    # A pane starting at p lies in the windows ending at p+slide .. p+size.
-    ends = F.sequence(F.col("pane") + interval(slide_s), F.col("pane") + interval(size_s),
-                      interval(slide_s))
-    return (panes.select(F.explode(ends).alias("window_end"), *keys, "c")
+    # A pane from p to p + pane lies in the windows that end at multiples of
+    # slide (plus size, as windows start at multiples of slide) from p + pane to p + size.
+    offset = size_us % slide_us
+    pm = epoch_micros(panes, "pane")
+    first = (F.ceil((pm + F.lit(pane_us - offset)) / F.lit(slide_us)) * F.lit(slide_us) + F.lit(offset)).cast("long")
+    last = (F.floor((pm + F.lit(size_us - offset)) / F.lit(slide_us)) * F.lit(slide_us) + F.lit(offset)).cast("long")
+    shift = F.when(last >= first, F.sequence(first - pm, last - pm, F.lit(slide_us).cast("long")))
+    return (panes.select("pane", F.explode(shift).alias("_s"), *keys, "c")
+                 .select(F.timestamp_add("MICROSECOND", F.col("_s"), F.col("pane")).alias("window_end"), *keys, "c")
                  .groupBy("window_end", *keys)
                  .agg(F.sum("c").alias(count_col))
-                 .select((F.col("window_end") - interval(size_s)).alias("window_start"),
+                 .select((F.col("window_end") - interval(size_i)).alias("window_start"),
                          "window_end", *keys, count_col))
 
 
@@ -105,16 +108,20 @@ def window_deltas(df: DataFrame, ts: str, size, slide, keys=(), chunk="1 day") -
     tasks.
     Columns: keys, e, cnt, next_e (null after the last change)."""
     keys = _keys(keys)
-    size_s, slide_s = int(seconds_of(size)), int(seconds_of(slide))
-    if size_s % slide_s:
-        raise ValueError("difference form needs slide to divide size")
-    chunk_s = max(int(seconds_of(chunk)), size_s)
-    chunk_s = -(-chunk_s // slide_s) * slide_s          # a multiple of slide
-    chunk_us, slide_us, size_us = chunk_s * 1_000_000, slide_s * 1_000_000, size_s * 1_000_000
-    panes = pane_counts(df, ts, slide_s, keys)
+    size_us, slide_us = positive_micros(size), positive_micros(slide)
+    pane_us, offset = gcd(size_us, slide_us), size_us % slide_us
+    chunk_us = max(positive_micros(chunk), size_us)
+    chunk_us = -(-chunk_us // slide_us) * slide_us      # a multiple of slide
+    panes = pane_counts(df, ts, pane_us / 1_000_000, keys)
     pm = epoch_micros(panes, "pane")
-    e0, e1 = F.col("pane") + interval(slide_s), F.col("pane") + interval(size_s + slide_s)
-    u0, u1 = pm + F.lit(slide_us), pm + F.lit(size_us + slide_us)
+    # first window end that holds the pane, and the first that no longer does;
+    # ends are multiples of slide plus the offset, which all arithmetic leaves out
+    up = lambda u: F.ceil(u / F.lit(slide_us)) * F.lit(slide_us)
+    u0 = up(pm + F.lit(pane_us - offset)).cast("long")
+    u1 = (F.floor((pm + F.lit(size_us - offset)) / F.lit(slide_us)) * F.lit(slide_us) + F.lit(slide_us)).cast("long")
+    at = lambda u: F.timestamp_add("MICROSECOND", u + F.lit(offset) - pm, F.col("pane"))
+    e0, e1 = at(u0), at(u1)
+    panes = panes.where(u0 < u1)                        # slide > size: a pane may lie between windows
     k0, k1 = F.floor(u0 / F.lit(chunk_us)), F.floor(u1 / F.lit(chunk_us))
     uc = k1 * F.lit(chunk_us)                                      # start of e1's chunk
     rows = F.array(
@@ -140,10 +147,8 @@ def sliding_peak(df: DataFrame, ts: str, size, slide, keys=(), peak_col: str = "
     """Per key: the largest sliding-window count, the first window end at
     which it occurs, and how many windows hold >= 1 row."""
     keys = _keys(keys)
-    slide_s = int(seconds_of(slide))
-    d = window_deltas(df, ts, size, slide_s, keys)
-    n_windows = F.when(F.col("cnt") > 0,
-                       F.expr("timestampdiff(SECOND, e, next_e)") / F.lit(slide_s))
+    d = window_deltas(df, ts, size, slide, keys)
+    n_windows = F.when(F.col("cnt") > 0, micros_between(d, "e", "next_e") / F.lit(positive_micros(slide)))
     return (d.groupBy(*keys).agg(
                 F.max("cnt").alias(peak_col),
                 F.min_by("e", F.struct(-F.col("cnt"), F.col("e"))).alias("peak_window_end"),

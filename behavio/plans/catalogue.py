@@ -32,10 +32,9 @@ def _items(spark, d, event_type: str) -> DataFrame:
 
 
 def _nation_of_user(spark, d) -> DataFrame:
-    # nation is a fixed 25-row dimension: broadcast is size-bounded.  The
-    # customer join is left to AQE, which broadcasts it only when its
-    # runtime size is under the threshold.
-    nation = F.broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    # both joins are left to AQE, which broadcasts a side only when its
+    # size is under the threshold
+    nation = table(spark, d, "nation").select("n_nationkey", "n_name")
     return (table(spark, d, "customer").select("c_custkey", "c_nationkey")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("c_custkey").alias("user_id"), F.col("n_name")))
@@ -187,8 +186,10 @@ def order_timeout(spark: SparkSession, d: str) -> DataFrame:
 
 def order_deadline(spark: SparkSession, d: str) -> DataFrame:
     e = _ev(spark, d)
-    return deadline(e, "user_id", "ts", "event_id", F.col("event_type") == "signup",
-                    F.col("event_type") == "purchase", "6 hours")
+    out = deadline(e, "user_id", "ts", "event_id", F.col("event_type") == "signup",
+                   F.col("event_type") == "purchase", "6 hours")
+    # as text: a nullable integer is a float to some clients
+    return out.withColumn("delay_min", F.col("delay_min").cast("string"))
 
 
 # ---------------------------------------------------------------- payments
@@ -202,28 +203,57 @@ def tx_interval_join(spark: SparkSession, d: str) -> DataFrame:
     return interval_join(s, p, "user_id", "signup_ts", "purchase_ts", "-1 hour", "1 hour")
 
 
-def _tx(spark, d):
+def _tx(spark, d, kind):
     pays = table(spark, d, "orders").select(F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").alias("pay_ts"))
     receipts = (table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("tx_id"))
                 .agg(F.min("l_shipdate").alias("receipt_ts")))
     # tx ids are unique on both sides (primary key; aggregate), so no
     # duplicate pairing is needed.
-    return reconcile(pays, receipts, "tx_id", "pay_ts", "receipt_ts", "10 days", pair_duplicates=False)
+    return reconcile(pays, receipts, "tx_id", "pay_ts", "receipt_ts", "10 days", pair_duplicates=False, kind=kind)
 
 
 def tx_match(spark: SparkSession, d: str) -> DataFrame:
-    return _tx(spark, d).where(F.col("kind") == "match")
+    return _tx(spark, d, "match")
 
 
 def pay_without_receipt(spark: SparkSession, d: str) -> DataFrame:
-    return _tx(spark, d).where(F.col("kind") == "pay_without_receipt")
+    return _tx(spark, d, "pay_without_receipt")
 
 
 def receipt_without_pay(spark: SparkSession, d: str) -> DataFrame:
-    return _tx(spark, d).where(F.col("kind") == "receipt_without_pay")
+    return _tx(spark, d, "receipt_without_pay")
+
+
+def tx_reconcile_dup(spark: SparkSession, d: str) -> DataFrame:
+    """signup and purchase of one user matched one to one within 12 h, with
+    several of each per user: consuming matches and the unmatched of both sides."""
+    e = _ev(spark, d)
+    s = e.where(F.col("event_type") == "signup").select("user_id", F.col("ts").alias("signup_ts"), F.col("event_id").alias("signup_id"))
+    p = e.where(F.col("event_type") == "purchase").select("user_id", F.col("ts").alias("purchase_ts"), F.col("event_id").alias("purchase_id"))
+    out = reconcile(s, p, "user_id", "signup_ts", "purchase_ts", "12 hours")
+    # ids as text: a nullable integer is a float to some clients
+    return out.select("user_id", "signup_ts", F.col("signup_id").cast("string").alias("signup_id"), "purchase_ts",
+                      F.col("purchase_id").cast("string").alias("purchase_id"), "kind")
+
+
+def marketing_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Per (nation of the user, event type): every 1 h window sliding by 10 s."""
+    e = (_ev(spark, d).where(~F.col("event_type").eqNullSafe("error"))
+         .join(_nation_of_user(spark, d), "user_id", "left")
+         .select("ts", F.col("n_name").alias("channel"), F.col("event_type").alias("behavior")))
+    return sliding_count(e, "ts", "1 hour", "10 seconds", keys=["channel", "behavior"])
+
+
+def ad_click_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Clicks that passed the quota, per nation: every 1 h window sliding by 5 s."""
+    ok = (_quota(spark, d).where("passed")
+          .join(_nation_of_user(spark, d), "user_id", "left")
+          .select("ts", F.col("n_name").alias("province")))
+    return sliding_count(ok, "ts", "1 hour", "5 seconds", keys=["province"])
 
 
 QUERIES = {
+    "tx_reconcile_dup": tx_reconcile_dup,
     "hot_items": hot_items,
     "hot_items_report": hot_items_report,
     "hot_items_fine_top": hot_items_fine_top,

@@ -109,6 +109,48 @@ WITH c AS (SELECT time_bucket(INTERVAL 10 SECOND, ts) + to_seconds(10 * k) AS wi
            WHERE event_type IS DISTINCT FROM 'error' GROUP BY 1)
 SELECT window_end - INTERVAL 1 HOUR AS window_start, window_end, 'app marketing' AS channel, 'total' AS behavior, cnt FROM c""",
 
+    "tx_reconcile_dup": """
+WITH RECURSIVE e AS (
+  SELECT user_id, event_type = 'purchase' AS buys, ts, event_id,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type = 'purchase', event_id) AS rn
+  FROM events WHERE event_type IN ('signup', 'purchase')),
+walk AS (
+  SELECT user_id, rn, buys AS qside, [{'t': ts, 'i': event_id}] AS q, CAST(NULL AS BIGINT) AS a, CAST(NULL AS BIGINT) AS b
+  FROM e WHERE rn = 1
+  UNION ALL
+  SELECT user_id, rn, CASE WHEN hit THEN qside ELSE buys END,
+         CASE WHEN hit THEN live[2:] ELSE list_append(live, {'t': ts, 'i': event_id}) END,
+         CASE WHEN hit THEN live[1].i END, CASE WHEN hit THEN event_id END
+  FROM (SELECT *, len(live) > 0 AND qside <> buys AS hit FROM (
+    SELECT e.user_id, e.rn, e.buys, e.ts, e.event_id, w.qside, list_filter(w.q, lambda x: x.t >= e.ts - INTERVAL 12 HOUR) AS live
+    FROM walk w JOIN e ON e.user_id = w.user_id AND e.rn = w.rn + 1))),
+m AS (SELECT CASE WHEN s.event_type = 'signup' THEN a ELSE b END AS l, CASE WHEN s.event_type = 'signup' THEN b ELSE a END AS r
+      FROM walk JOIN events s ON s.event_id = walk.a WHERE a IS NOT NULL)
+SELECT l.user_id, l.ts AS signup_ts, CAST(l.event_id AS VARCHAR) AS signup_id, r.ts AS purchase_ts,
+       CAST(r.event_id AS VARCHAR) AS purchase_id, 'match' AS kind
+FROM m JOIN events l ON l.event_id = m.l JOIN events r ON r.event_id = m.r
+UNION ALL
+SELECT user_id, ts, CAST(event_id AS VARCHAR), NULL, NULL, 'pay_without_receipt' FROM events
+WHERE event_type = 'signup' AND event_id NOT IN (SELECT l FROM m)
+UNION ALL
+SELECT user_id, NULL, NULL, ts, CAST(event_id AS VARCHAR), 'receipt_without_pay' FROM events
+WHERE event_type = 'purchase' AND event_id NOT IN (SELECT r FROM m)""",
+
+    "marketing_windows": f"""
+WITH nu AS ({_NATION_OF_USER}),
+e AS (SELECT ev.ts, nu.n_name AS channel, ev.event_type AS behavior
+      FROM events ev LEFT JOIN nu ON ev.user_id = nu.user_id WHERE ev.event_type IS DISTINCT FROM 'error')
+SELECT time_bucket(INTERVAL 10 SECOND, ts) + to_seconds(10 * k) - INTERVAL 1 HOUR AS window_start,
+       time_bucket(INTERVAL 10 SECOND, ts) + to_seconds(10 * k) AS window_end, channel, behavior, count(*) AS cnt
+FROM e CROSS JOIN range(1, 361) AS r(k) GROUP BY 1, 2, 3, 4""",
+
+    "ad_click_windows": "WITH " + _QUOTA + f""",
+nu AS ({_NATION_OF_USER}),
+e AS (SELECT q.ts, nu.n_name AS province FROM q LEFT JOIN nu ON q.user_id = nu.user_id WHERE q.n <= 2)
+SELECT time_bucket(INTERVAL 5 SECOND, ts) + to_seconds(5 * k) - INTERVAL 1 HOUR AS window_start,
+       time_bucket(INTERVAL 5 SECOND, ts) + to_seconds(5 * k) AS window_end, province, count(*) AS cnt
+FROM e CROSS JOIN range(1, 721) AS r(k) GROUP BY 1, 2, 3""",
+
     "marketing_by_channel": f"""
 WITH nu AS ({_NATION_OF_USER}),
 e AS (SELECT ev.ts, nu.n_name AS channel, ev.event_type AS behavior
@@ -183,7 +225,7 @@ d AS (SELECT user_id, ts AS create_ts, CASE WHEN nts <= ts + INTERVAL 6 HOUR THE
       FROM n WHERE event_type = 'signup')
 SELECT user_id, create_ts,
        CASE WHEN pay_ts IS NOT NULL THEN 'Order Pay Successfully' ELSE 'Order Pay Timeout' END AS result,
-       pay_ts, CAST(floor((epoch_us(pay_ts) - epoch_us(create_ts)) / 60000000) AS DOUBLE) AS delay_min,
+       pay_ts, CAST(floor((epoch_us(pay_ts) - epoch_us(create_ts)) / 60000000) AS BIGINT)::VARCHAR AS delay_min,
        CAST(360 AS BIGINT) AS deadline_min
 FROM d""",
 

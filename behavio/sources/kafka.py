@@ -6,10 +6,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .lines import Layout, format_line
+
 
 def read_kafka(spark: SparkSession, servers: str, topic: str = "UserBehavior",
-               starting: str = "latest", streaming: bool = True, **options) -> DataFrame:
-    """Topic values as text lines in column ``value`` (feed to parse_lines)."""
+               starting: str | None = None, streaming: bool = True, **options) -> DataFrame:
+    """Topic values as text lines in column ``value`` (feed to parse_lines).
+    ``starting`` defaults to ``latest`` for a stream and to ``earliest`` for
+    a batch read, which Spark refuses to start at the latest offsets."""
+    starting = starting or ("latest" if streaming else "earliest")
     reader = spark.readStream if streaming else spark.read
     r = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", starting))
@@ -19,17 +24,24 @@ def read_kafka(spark: SparkSession, servers: str, topic: str = "UserBehavior",
                            F.col("timestamp").alias("kafka_ts"))
 
 
-def kafka_records(df: DataFrame) -> DataFrame:
-    """One record per row: CSV text of all columns as ``value``, no key
-    (the reference producer sends each input line with a null key)."""
+def kafka_records(df: DataFrame, layout: str | Layout | None = None) -> DataFrame:
+    """One record per row as ``value``, with no key.  A frame of the single
+    string column ``value`` holds lines, which pass unchanged (as the reference
+    producer sends them); typed rows of a ``layout`` are written back in its
+    field order, times as epochs; other frames become CSV text of all columns."""
+    if layout is not None:
+        return df.select(format_line(df, layout).alias("value"))
+    if df.dtypes == [("value", "string")]:
+        return df
     return df.select(F.to_csv(F.struct(*df.columns)).alias("value"))
 
 
-def write_kafka(df: DataFrame, servers: str, topic: str = "UserBehavior", checkpoint: str | None = None):
-    """Write ``kafka_records(df)`` to a topic.  Batch DataFrames are
+def write_kafka(df: DataFrame, servers: str, topic: str = "UserBehavior", checkpoint: str | None = None,
+                layout: str | Layout | None = None):
+    """Write ``kafka_records(df, layout)`` to a topic.  Batch DataFrames are
     written directly; streaming ones return the started query
     (``checkpoint`` required: a shared folder)."""
-    out = kafka_records(df)
+    out = kafka_records(df, layout)
     if df.isStreaming:
         return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
                 .option("topic", topic).option("checkpointLocation", checkpoint).start())

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+from ..functions.times import EPOCH_NTZ, epoch_micros
 
 
 @dataclass(frozen=True)
@@ -62,17 +62,42 @@ def _parse(kind: str, raw: Column) -> Column:
     raise ValueError(kind)
 
 
+#: Largest distance from the epoch that a timestamp holds, in seconds.
+MAX_EPOCH_S = 200_000_000_000
+
+
 def _epoch(raw: Column, unit: str) -> Column:
     n = raw.try_cast("long")
-    return F.when(n.isNotNull(), F.timestamp_add(unit, n, F.expr(EPOCH_NTZ)))
+    most = MAX_EPOCH_S * (1000 if unit == "MILLISECOND" else 1)
+    # out of range is a bad line, not an overflow; null in, null out
+    return F.timestamp_add(unit, F.when(n.between(-most, most), n), F.expr(EPOCH_NTZ))
+
+
+def format_line(df: DataFrame, layout: str | Layout) -> Column:
+    """The text line of a layout's typed row; positions it does not name are empty."""
+    lay = LAYOUTS[layout] if isinstance(layout, str) else layout
+    out = [F.lit("")] * (max(p for _, p, _ in lay.fields) + 1)
+    for name, pos, kind in lay.fields:
+        if kind == "epoch_s":
+            c = F.floor(epoch_micros(df, name) / 1_000_000).cast("long").cast("string")
+        elif kind == "epoch_ms":
+            c = F.floor(epoch_micros(df, name) / 1000).cast("long").cast("string")
+        elif kind == "clf_time":
+            c = F.date_format(name, "dd/MM/yyyy:HH:mm:ss")
+        else:
+            c = F.col(name).cast("string")
+        out[pos] = F.coalesce(c, F.lit(""))
+    return F.concat_ws(lay.sep, *out)
 
 
 def parse_lines(lines: DataFrame, layout: str | Layout, value: str = "value") -> DataFrame:
     """Text rows -> typed columns + ``_ok`` flag + ``seq``.
 
-    ``seq`` is the input (file offset) order for batch reads.  A file
-    stream exposes no line positions, so there ``seq`` is a hash of the
-    line: a deterministic tie-break between rows with equal times."""
+    ``seq`` follows the line order within each input split of a batch read;
+    across files and splits it follows the order in which Spark numbers them,
+    which is not an input order.  A file stream exposes no line positions, so
+    there ``seq`` is a hash of the line: a deterministic tie-break between rows
+    with equal times, in no particular order."""
     lay = LAYOUTS[layout] if isinstance(layout, str) else layout
     parts = F.split(F.col(value), F.lit(lay.sep) if lay.sep != " " else F.lit(" "))
     need = max(p for _, p, _ in lay.fields) + 1

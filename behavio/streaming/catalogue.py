@@ -1,218 +1,219 @@
 """Streaming twins of catalogue queries.
 
-Each reads ``events`` as a file stream with a 0 s watermark (times are
-ascending), runs with ``trigger(availableNow=True)`` into a Parquet table
-under the checkpoint folder and returns that table.  In append mode a
-window is emitted only once the watermark (the largest event time seen)
-reaches its end (the watermark follows the rows that pass the filters,
-which Catalyst pushes below the watermark), so the oracles keep the
-closed windows only; joins and
-the quota processor emit as soon as rows arrive, so theirs equal batch."""
+Each reads ``events`` as a file stream, runs with
+``trigger(availableNow=True)`` into a Parquet table under the checkpoint
+folder and returns that table.  In append mode a window is emitted only once
+the watermark (the largest event time seen, less the delay) reaches its end
+(the watermark follows the rows that pass the filters, which Catalyst
+pushes below the watermark), so the oracles keep the closed windows only;
+the keyed patterns (3 s delay) take rows in event-time order once the watermark
+has passed them, so theirs keep what is decided by then; inner
+joins emit as soon as rows arrive, so theirs equals batch."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import json_long
+from ..functions.times import to_event_ts, utc_ntz
+from ..session import scratch_path
 from .operators import (approx_unique, chained_unique, flatten_window, pane_sliding_count, stream_interval_join, top_n_per_batch,
                         windowed_count)
-from .processors import (FirstSeenProcessor, QuotaProcessor, RunningCountProcessor, bursts_state_fn,
-                         followed_by_state_fn, quota_state_fn,
-                         sequence_state_fn)
-from .runner import run_available, run_available_batches
-from .sources import table_stream, with_event_time
+from .processors import Bursts, FollowedBy, Quota, Reconcile, Runs, StrictPairs, ordered
+from .runner import run_available, run_available_batches, run_folded
+from .running import running_users
+from .sources import table_stream, with_event_time, with_micros
 from ..plans.oracle import ORACLE_SQL as _BATCH_SQL
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+def _events(spark, d, cols=("event_id", "ts", "user_id", "event_type", "props"), delay="0 seconds"):
+    return with_event_time(table_stream(spark, d, "events").select(*cols), "ts", delay)
 
 
-def _events(spark, d, cols=("event_id", "ts", "user_id", "event_type", "props")):
-    return with_event_time(table_stream(spark, d, "events").select(*cols), "ts", "0 seconds")
+def _streamed(name: str, per_batch=None, schema=None, **options):
+    """A catalogue query from a function that builds its stream."""
+    def wrap(build):
+        @functools.wraps(build)
+        def query(spark: SparkSession, d: str) -> DataFrame:
+            if per_batch is not None:
+                return run_available_batches(spark, lambda own: build(own, d), name, per_batch, schema, **options)
+            return run_available(spark, lambda own: build(own, d), name, **options)
+        return query
+    return wrap
 
 
+@_streamed("stream_page_views")
 def stream_page_views_hourly(spark: SparkSession, d: str) -> DataFrame:
     s = _events(spark, d).where(F.col("event_type") == "view")
-    out = flatten_window(windowed_count(s, "ts", "1 hour", count_col="pv"))
-    return run_available(spark, out, "stream_page_views")
+    return flatten_window(windowed_count(s, "ts", "1 hour", count_col="pv"))
 
 
+@_streamed("stream_uv")
 def stream_unique_visitors_hourly(spark: SparkSession, d: str) -> DataFrame:
     s = _events(spark, d).where(F.col("event_type") == "view")
-    out = flatten_window(chained_unique(s, "ts", "1 hour", "user_id"))
-    return run_available(spark, out, "stream_uv")
+    return flatten_window(chained_unique(s, "ts", "1 hour", "user_id"))
+
+
+def _ranked(n: int, base: int):
+    rank = top_n_per_batch("window_end", "cnt", "item_id", n, rank_base=base)
+    return lambda b: rank(b).select("window_end", "rank", "item_id", "cnt")
+
 
+RANKED = "window_end timestamp, rank long, item_id long, cnt long"
 
+
+@_streamed("stream_hot_items", _ranked(3, 1), RANKED)
 def stream_hot_items(spark: SparkSession, d: str) -> DataFrame:
     s = (_events(spark, d).where(F.col("event_type") == "view")
          .select("ts", json_long("props", "k").alias("item_id")))
-    counts = windowed_count(s, "ts", "1 hour", "10 minutes", keys=["item_id"]).select(
+    return windowed_count(s, "ts", "1 hour", "10 minutes", keys=["item_id"]).select(
         F.col("window.end").alias("window_end"), "item_id", "cnt")
-    rank = top_n_per_batch("window_end", "cnt", "item_id", 3)
-    return run_available_batches(spark, counts, "stream_hot_items",
-                                 lambda b: rank(b).select("window_end", "rank", "item_id", "cnt"),
-                                 "window_end timestamp, rank long, item_id long, cnt long")
 
 
-def stream_tx_interval_join(spark: SparkSession, d: str) -> DataFrame:
-    e = lambda: _events(spark, d, ("event_id", "ts", "user_id", "event_type"))
-    s = e().where(F.col("event_type") == "signup").select(
+def _signups(spark, d):
+    return _events(spark, d, ("event_id", "ts", "user_id", "event_type")).where(F.col("event_type") == "signup").select(
         "user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("signup_ts"))
-    p = e().where(F.col("event_type") == "purchase").select(
+
+
+def _purchases(spark, d):
+    return _events(spark, d, ("event_id", "ts", "user_id", "event_type")).where(F.col("event_type") == "purchase").select(
         "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
-    out = stream_interval_join(s, p, "user_id", "signup_ts", "purchase_ts", "-1 hour", "1 hour")
-    return run_available(spark, out, "stream_tx_join")
 
 
+@_streamed("stream_tx_join")
+def stream_tx_interval_join(spark: SparkSession, d: str) -> DataFrame:
+    return stream_interval_join(_signups(spark, d), _purchases(spark, d), "user_id", "signup_ts", "purchase_ts",
+                                "-1 hour", "1 hour")
+
+
+#: Lateness of the keyed pattern queries: that of the login jobs.
+DELAY = "3 seconds"
+
+
+def _keyed(spark, d, types=None):
+    """Events for the keyed patterns, their time also as microseconds."""
+    e = table_stream(spark, d, "events").select("event_id", "ts", "user_id", "event_type")
+    e = with_event_time(with_micros(e), "ts", DELAY)
+    return e if types is None else e.where(F.col("event_type").isin(*types))
+
+
+def _time(col: str):
+    return F.timestamp_micros(F.col(col))
+
+
+@_streamed("stream_ad_quota")
 def stream_ad_quota(spark: SparkSession, d: str, max_passed: int = 2) -> DataFrame:
     """Per (user, event type) and UTC day: the first ``max_passed`` events
-    pass, the next raises one alert (keyed state, applyInPandasWithState)."""
-    s = _events(spark, d, ("event_id", "ts", "user_id", "event_type"))
-    cols = ["event_id", "user_id", "event_type", "ts"]
-    out = (s.groupBy("user_id", "event_type")
-            .applyInPandasWithState(quota_state_fn(max_passed, "ts", "event_id", cols),
-                                    "event_id long, user_id long, event_type string, ts timestamp, "
-                                    "n long, kind string",
-                                    "day long, n long, sent boolean", "append", "EventTimeTimeout"))
-    return run_available(spark, out, "stream_ad_quota")
-
-
-def stream_ad_quota_tws(spark: SparkSession, d: str, max_passed: int = 2) -> DataFrame:
-    """The same quota with ``transformWithStateInPandas`` (value state and
-    event-time timers; needs the RocksDB state store)."""
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    s = _events(spark, d, ("event_id", "ts", "user_id", "event_type"))
-    cols = ["event_id", "user_id", "event_type", "ts"]
-    out = (s.groupBy("user_id", "event_type")
-            .transformWithStateInPandas(QuotaProcessor(max_passed, "ts", "event_id", cols),
-                                        "event_id long, user_id long, event_type string, ts timestamp, "
-                                        "n long, kind string", "append", "EventTime"))
-    return run_available(spark, out, "stream_ad_quota_tws")
+    pass, the next raises one alert."""
+    out = ordered(_keyed(spark, d), ["user_id", "event_type"], Quota(max_passed), "us", "event_id", [])
+    return out.select(F.col("seq").alias("event_id"), "user_id", "event_type", _time("us").alias("ts"), "n", "kind")
+
 
+def _followed(spark, d, strict: bool):
+    s = _keyed(spark, d, ("signup", "purchase")).withColumn("is_first", F.col("event_type") == "signup")
+    return ordered(s, ["user_id"], FollowedBy(6 * 3600 * 1_000_000, strict), "us", "event_id", ["is_first"])
 
+
+@_streamed("stream_order_timeout")
 def stream_order_timeout(spark: SparkSession, d: str) -> DataFrame:
     """signup followed by the user's first later purchase within 6 h
-    (successfully) or not (timeout), decided as the stream goes: by the
-    purchase, or by an event-time timeout once the watermark passes the
-    deadline.  Creates still undecided when the input ends stay in state."""
-    s = (_events(spark, d, ("event_id", "ts", "user_id", "event_type"))
-         .where(F.col("event_type").isin("signup", "purchase"))
-         .withColumn("is_first", F.col("event_type") == "signup"))
-    fn = followed_by_state_fn("user_id", "ts", "event_id", "is_first", 6 * 3600 * 1_000_000)
-    out = s.groupBy("user_id").applyInPandasWithState(
-        fn, "user_id long, create_ts timestamp, create_id long, pay_ts timestamp, pay_id long, kind string",
-        "ts array<long>, seq array<long>", "append", "EventTimeTimeout")
-    # pay_id is left out: nullable integers convert differently across client
-    # libraries, and pay_ts already identifies the purchase.
-    return run_available(spark, out.drop("pay_id"), "stream_order_timeout")
+    (successfully) or not (timeout), decided once the watermark has passed the
+    purchase or the deadline.  Signups still undecided stay in state."""
+    return _followed(spark, d, True).select(
+        "user_id", _time("first_us").alias("create_ts"), F.col("first_seq").alias("create_id"), _time("then_us").alias("pay_ts"),
+        F.col("then_seq").cast("string").alias("pay_id"), "kind")
 
 
-def stream_fail_bursts(spark: SparkSession, d: str) -> DataFrame:
-    """Greedy 24 h error bursts (> 2 errors) on a stream; a burst is
-    reported by its timer or by a later event past it, cancelled by any
-    other event before it.  Bursts still open at the end stay in state."""
-    s = (_events(spark, d, ("event_id", "ts", "user_id", "event_type"))
-         .withColumn("is_fail", F.col("event_type") == "error"))
-    fn = bursts_state_fn("user_id", "ts", "event_id", "is_fail", 24 * 3600 * 1_000_000, 2)
-    out = s.groupBy("user_id").applyInPandasWithState(
-        fn, "user_id long, first_ts timestamp, last_ts timestamp, fails long",
-        "open_t long, last_t long, n long", "append", "EventTimeTimeout")
-    return run_available(spark, out, "stream_fail_bursts")
+@_streamed("stream_order_deadline")
+def stream_order_deadline(spark: SparkSession, d: str) -> DataFrame:
+    """Order deadline (E6/E7) on a stream: a purchase at most 6 h after the
+    signup pays it (inclusive); whole-minute delay for paid orders."""
+    result = F.when(F.col("kind") == "successfully", F.lit("Order Pay Successfully")).otherwise(F.lit("Order Pay Timeout"))
+    return _followed(spark, d, False).select(
+        "user_id", _time("first_us").alias("create_ts"), result.alias("result"), _time("then_us").alias("pay_ts"),
+        F.floor((F.col("then_us") - F.col("first_us")) / F.lit(60_000_000)).cast("string").alias("delay_min"),
+        F.lit(360).cast("long").alias("deadline_min"))
 
 
-def _errors(spark, d):
-    return (_events(spark, d, ("event_id", "ts", "user_id", "event_type"))
-            .withColumn("is_fail", F.col("event_type") == "error"))
+def _failures(spark, d, pattern):
+    s = _keyed(spark, d).withColumn("is_fail", F.col("event_type") == "error")
+    out = ordered(s, ["user_id"], pattern, "us", "event_id", ["is_fail"])
+    return out.withColumn("first_ts", _time("first_us")).withColumn("last_ts", _time("last_us")).drop("first_us", "last_us")
 
 
+@_streamed("stream_fail_bursts")
+def stream_fail_bursts(spark: SparkSession, d: str) -> DataFrame:
+    """Greedy 24 h error bursts (> 2 errors) on a stream, reported at opener +
+    24 h, cancelled by any other event before it."""
+    return _failures(spark, d, Bursts(24 * 3600 * 1_000_000, 2)).select("user_id", "first_ts", "last_ts", "fails")
+
+
+@_streamed("stream_strict_pairs")
 def stream_strict_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """error immediately followed by error of the same user < 2 h later,
-    on a stream (the previous event of each user kept as state)."""
-    fn = sequence_state_fn("user_id", "ts", "event_id", "is_fail", "pairs", 2 * 3600 * 1_000_000)
-    out = _errors(spark, d).groupBy("user_id").applyInPandasWithState(
-        fn, "user_id long, first_ts timestamp, last_ts timestamp, first_seq long, n long",
-        "a boolean, b long, c long", "append", "NoTimeout")
-    return run_available(spark, out, "stream_strict_pairs")
+    """error immediately followed by error of the same user < 2 h later."""
+    return _failures(spark, d, StrictPairs(2 * 3600 * 1_000_000)).select("user_id", "first_ts", "last_ts", "first_seq", "n")
 
 
+@_streamed("stream_fail_runs")
 def stream_fail_runs(spark: SparkSession, d: str) -> DataFrame:
-    """error runs with gaps <= 12 h, alert from the 3rd on, on a stream
-    (the current run of each user kept as state)."""
-    fn = sequence_state_fn("user_id", "ts", "event_id", "is_fail", "runs", 12 * 3600 * 1_000_000, 3)
-    out = _errors(spark, d).groupBy("user_id").applyInPandasWithState(
-        fn, "user_id long, first_ts timestamp, last_ts timestamp, event_id long, fails long",
-        "a long, b long, c long", "append", "NoTimeout")
-    return run_available(spark, out, "stream_fail_runs")
+    """error runs with gaps <= 12 h, alert from the 3rd on."""
+    return _failures(spark, d, Runs(12 * 3600 * 1_000_000, 3)).select(
+        "user_id", "first_ts", "last_ts", F.col("seq").alias("event_id"), "fails")
+
+
+@_streamed("stream_tx_reconcile")
+def stream_tx_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    """signup and purchase of one user matched one to one within 12 h (J2-J4),
+    decided once the watermark has passed the match or the tolerance."""
+    s = _keyed(spark, d, ("signup", "purchase")).withColumn("side", F.when(F.col("event_type") == "signup", 0).otherwise(1))
+    out = ordered(s, ["user_id"], Reconcile(12 * 3600 * 1_000_000), "us", "side", ["event_id"])
+    return out.select("user_id", _time("left_us").alias("signup_ts"), F.col("left_id").cast("string").alias("signup_id"),
+                      _time("right_us").alias("purchase_ts"), F.col("right_id").cast("string").alias("purchase_id"), "kind")
 
 
+@_streamed("stream_tx_outer_join")
 def stream_tx_interval_outer_join(spark: SparkSession, d: str) -> DataFrame:
     """signup left-outer purchase of the same user within +-1 h: the pairs,
     plus each signup without a purchase once the watermark (the smaller of
     the two inputs' watermarks) has passed its band."""
-    e = lambda: _events(spark, d, ("event_id", "ts", "user_id", "event_type"))
-    s = e().where(F.col("event_type") == "signup").select(
-        "user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("signup_ts"))
-    p = e().where(F.col("event_type") == "purchase").select(
-        "user_id", F.col("ts").alias("purchase_ts"))
-    out = stream_interval_join(s, p, "user_id", "signup_ts", "purchase_ts", "-1 hour", "1 hour", how="left_outer")
-    return run_available(spark, out, "stream_tx_outer_join")
+    out = stream_interval_join(_signups(spark, d), _purchases(spark, d), "user_id", "signup_ts", "purchase_ts",
+                               "-1 hour", "1 hour", how="left_outer")
+    return out.withColumn("purchase_id", F.col("purchase_id").cast("string"))
 
 
+@_streamed("stream_uv_approx")
 def stream_uv_approx_hourly(spark: SparkSession, d: str) -> DataFrame:
     """Approximate distinct viewers per hour on a stream (no oracle SQL:
     an HLL estimate is not an exact result)."""
     s = _events(spark, d).where(F.col("event_type") == "view")
-    return run_available(spark, flatten_window(approx_unique(s, "ts", "1 hour", "user_id")), "stream_uv_approx")
-
-
-def stream_order_deadline(spark: SparkSession, d: str) -> DataFrame:
-    """Order deadline (E6/E7) on a stream: a purchase at most 6 h after the
-    signup pays it (inclusive), decided by the purchase or by the
-    event-time timeout; whole-minute delay for paid orders."""
-    s = (_events(spark, d, ("event_id", "ts", "user_id", "event_type"))
-         .where(F.col("event_type").isin("signup", "purchase"))
-         .withColumn("is_first", F.col("event_type") == "signup"))
-    fn = followed_by_state_fn("user_id", "ts", "event_id", "is_first", 6 * 3600 * 1_000_000, strict=False)
-    out = s.groupBy("user_id").applyInPandasWithState(
-        fn, "user_id long, create_ts timestamp, create_id long, pay_ts timestamp, pay_id long, kind string",
-        "ts array<long>, seq array<long>", "append", "EventTimeTimeout")
-    ok = F.col("kind") == "successfully"
-    res = out.select("user_id", "create_ts",
-                     F.when(ok, F.lit("Order Pay Successfully")).otherwise(F.lit("Order Pay Timeout")).alias("result"),
-                     "pay_ts",
-                     F.floor(F.expr("timestampdiff(SECOND, create_ts, pay_ts)") / 60).cast("double").alias("delay_min"),
-                     F.lit(360).cast("long").alias("deadline_min"))
-    return run_available(spark, res, "stream_order_deadline")
+    return flatten_window(approx_unique(s, "ts", "1 hour", "user_id"))
 
 
+@_streamed("stream_hot_items_fine_top", _ranked(5, 0), RANKED)
 def stream_hot_items_fine_top(spark: SparkSession, d: str) -> DataFrame:
     """Top 5 clicked items per 10 min window sliding by 5 s (rank from 0),
     with the hot-pages job's lateness: watermark delay 1 s + 60 s allowed
     lateness, one complete report per window (D3)."""
-    s = with_event_time(table_stream(spark, d, "events").select("ts", "event_type", "props"), "ts", "61 seconds")
+    s = _events(spark, d, ("ts", "event_type", "props"), "61 seconds")
     s = s.where(F.col("event_type") == "click").select("ts", json_long("props", "k").alias("item_id"))
-    counts = pane_sliding_count(s, "ts", "10 minutes", "5 seconds", keys=["item_id"]).select(
+    return pane_sliding_count(s, "ts", "10 minutes", "5 seconds", keys=["item_id"]).select(
         F.col("window.end").alias("window_end"), "item_id", "cnt")
-    rank = top_n_per_batch("window_end", "cnt", "item_id", 5, rank_base=0)
-    return run_available_batches(spark, counts, "stream_hot_items_fine_top",
-                                 lambda b: rank(b).select("window_end", "rank", "item_id", "cnt"),
-                                 "window_end timestamp, rank long, item_id long, cnt long")
 
 
 def stream_uv_running(spark: SparkSession, d: str) -> DataFrame:
     """Running distinct viewers of the hour after every view event (the
-    bloom job's per-event firing) on a stream: two chained
-    transformWithState operators - first-seen flag per (hour, user), then
-    a counter per hour; each state is a scalar cleared at the hour's end."""
-    s = (_events(spark, d, ("event_id", "ts", "user_id", "event_type")).where(F.col("event_type") == "view")
-         .withColumn("window_end", F.window("ts", "1 hour").end))
-    flagged = s.groupBy("window_end", "user_id").transformWithStateInPandas(
-        FirstSeenProcessor("ts", "event_id"), "event_id long, ts timestamp, window_end timestamp, first boolean",
-        "append", "EventTime", eventTimeColumnName="ts")
-    out = flagged.groupBy("window_end").transformWithStateInPandas(
-        RunningCountProcessor("ts", "event_id"), "event_id long, ts timestamp, window_end timestamp, uv long",
-        "append", "EventTime", eventTimeColumnName="ts")
-    return run_available(spark, out, "stream_uv_running", rocksdb=True)
+    bloom job's per-event firing) on a stream, in event-time order."""
+    base = scratch_path(spark, "stream_uv_running")
+
+    def views(own: SparkSession) -> DataFrame:
+        s = table_stream(own, d, "events").select("event_id", "ts", "user_id", "event_type").where(F.col("event_type") == "view")
+        return s.withColumn("ts", to_event_ts(s, "ts"))
+    out = run_folded(spark, views, base, running_users(base, "ts", "event_id", "user_id", "1 hour", DELAY),
+                     "seq long, us long, window_us long, uv long")
+    return out.select(F.col("seq").alias("event_id"), utc_ntz(F.col("us")).alias("ts"),
+                      utc_ntz(F.col("window_us")).alias("window_end"), "uv")
 
 
 STREAM_QUERIES = {
@@ -230,10 +231,15 @@ STREAM_QUERIES = {
     "stream_strict_pairs": stream_strict_pairs,
     "stream_fail_runs": stream_fail_runs,
     "stream_tx_interval_outer_join": stream_tx_interval_outer_join,
+    "stream_tx_reconcile": stream_tx_reconcile,
 }
 
 # The watermark is the largest event time of the rows reaching the
 # aggregation: Catalyst pushes the type filter below the watermark node.
+_ORDER = "'signup', 'purchase'"
+_ALL = "'signup', 'error', 'click', 'view', 'purchase'"
+# passed by the watermark of the keyed patterns, in whole milliseconds
+_DECIDED = "epoch_us({t}) < 1000 * (SELECT floor(epoch_us(max(ts)) / 1000) - 3000 FROM events WHERE event_type IN ({types}))"
 _CLOSED = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
 
 STREAM_ORACLE_SQL = {
@@ -271,54 +277,43 @@ WITH q AS (SELECT event_id, user_id, event_type, ts,
                                           ORDER BY ts, event_id) AS BIGINT) AS n
            FROM events)
 SELECT event_id, user_id, event_type, ts, n, CASE WHEN n <= 2 THEN 'pass' ELSE 'alert' END AS kind
-FROM q WHERE n <= 3""",
+FROM q WHERE n <= 3 AND """ + _DECIDED.format(t="ts", types=_ALL),
 
     "stream_order_timeout": """
 WITH e AS (SELECT * FROM events WHERE event_type IN ('signup', 'purchase')),
 n AS (SELECT user_id, ts, event_id, event_type,
              first_value(CASE WHEN event_type = 'purchase' THEN ts END IGNORE NULLS) OVER w AS nts,
              first_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER w AS nid
-      FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
-wm AS (SELECT floor(epoch_us(max(ts)) / 1000) AS wm_ms FROM e)
+      FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
 SELECT user_id, ts AS create_ts, event_id AS create_id,
        CASE WHEN nts < ts + INTERVAL 6 HOUR THEN nts END AS pay_ts,
+       CASE WHEN nts < ts + INTERVAL 6 HOUR THEN CAST(nid AS VARCHAR) END AS pay_id,
        CASE WHEN nts < ts + INTERVAL 6 HOUR THEN 'successfully' ELSE 'timeout' END AS kind
-FROM n, wm
-WHERE event_type = 'signup'
-  AND (nts IS NOT NULL OR ceil((epoch_us(ts) + 21600000000) / 1000) < wm_ms)""",
+FROM n
+WHERE event_type = 'signup' AND """ + _DECIDED.format(t="least(coalesce(nts, ts + INTERVAL 6 HOUR), ts + INTERVAL 6 HOUR)", types=_ORDER),
+
+    "stream_fail_bursts": "SELECT b.* FROM (" + _BATCH_SQL["fail_bursts"] + ") b WHERE "
+    + _DECIDED.format(t="b.first_ts + INTERVAL 24 HOUR", types=_ALL),
 
-    "stream_fail_bursts": "SELECT b.* FROM (" + _BATCH_SQL["fail_bursts"] + """) b
-WHERE EXISTS (SELECT 1 FROM events x WHERE x.user_id = b.user_id AND x.ts > b.first_ts + INTERVAL 24 HOUR)
-   OR ceil((epoch_us(b.first_ts) + 86400000000) / 1000) < (SELECT floor(epoch_us(max(ts)) / 1000) FROM events)""",
+    "stream_strict_pairs": "SELECT b.* FROM (" + _BATCH_SQL["strict_pairs"] + ") b WHERE " + _DECIDED.format(t="b.last_ts", types=_ALL),
+    "stream_fail_runs": "SELECT b.* FROM (" + _BATCH_SQL["fail_runs"] + ") b WHERE " + _DECIDED.format(t="b.last_ts", types=_ALL),
 
-    # decided on arrival: the whole batch result
-    "stream_strict_pairs": _BATCH_SQL["strict_pairs"],
-    "stream_fail_runs": _BATCH_SQL["fail_runs"],
+    "stream_tx_reconcile": "SELECT b.* FROM (" + _BATCH_SQL["tx_reconcile_dup"] + ") b WHERE " + _DECIDED.format(
+        t="CASE WHEN kind = 'match' THEN greatest(signup_ts, purchase_ts) "
+          "ELSE coalesce(signup_ts, purchase_ts) + INTERVAL 12 HOUR END", types=_ORDER),
 
     "stream_tx_interval_outer_join": """
 WITH s AS (SELECT user_id, event_id AS signup_id, ts AS signup_ts FROM events WHERE event_type = 'signup'),
-p AS (SELECT user_id, ts AS purchase_ts FROM events WHERE event_type = 'purchase'),
-j AS (SELECT s.user_id, s.signup_id, s.signup_ts, p.purchase_ts
+p AS (SELECT user_id, event_id AS purchase_id, ts AS purchase_ts FROM events WHERE event_type = 'purchase'),
+j AS (SELECT s.user_id, s.signup_id, s.signup_ts, CAST(p.purchase_id AS VARCHAR) AS purchase_id, p.purchase_ts
       FROM s LEFT JOIN p ON s.user_id = p.user_id
        AND p.purchase_ts BETWEEN s.signup_ts - INTERVAL 1 HOUR AND s.signup_ts + INTERVAL 1 HOUR)
 SELECT * FROM j
 WHERE purchase_ts IS NOT NULL
    OR signup_ts + INTERVAL 1 HOUR < least((SELECT max(signup_ts) FROM s), (SELECT max(purchase_ts) FROM p))""",
 
-    "stream_order_deadline": """
-WITH e AS (SELECT * FROM events WHERE event_type IN ('signup', 'purchase')),
-n AS (SELECT user_id, ts, event_id, event_type,
-             first_value(CASE WHEN event_type = 'purchase' THEN ts END IGNORE NULLS) OVER w AS nts
-      FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
-wm AS (SELECT floor(epoch_us(max(ts)) / 1000) AS wm_ms FROM e),
-d AS (SELECT user_id, ts AS create_ts, CASE WHEN nts <= ts + INTERVAL 6 HOUR THEN nts END AS pay_ts
-      FROM n, wm
-      WHERE event_type = 'signup' AND (nts IS NOT NULL OR ceil((epoch_us(ts) + 21600000000) / 1000) < wm_ms))
-SELECT user_id, create_ts,
-       CASE WHEN pay_ts IS NOT NULL THEN 'Order Pay Successfully' ELSE 'Order Pay Timeout' END AS result,
-       pay_ts, CAST(floor((epoch_us(pay_ts) - epoch_us(create_ts)) / 60000000) AS DOUBLE) AS delay_min,
-       CAST(360 AS BIGINT) AS deadline_min
-FROM d""",
+    "stream_order_deadline": "SELECT * FROM (" + _BATCH_SQL["order_deadline"] + ") b WHERE " + _DECIDED.format(
+        t="least(coalesce(pay_ts, create_ts + INTERVAL 6 HOUR), create_ts + INTERVAL 6 HOUR)", types=_ORDER),
 
     "stream_hot_items_fine_top": """
 WITH v AS (SELECT ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id FROM events WHERE event_type = 'click'),
@@ -328,6 +323,5 @@ SELECT window_end, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt
        item_id, cnt
 FROM c WHERE window_end <= (SELECT max(ts) FROM v) - INTERVAL 61 SECOND QUALIFY rank < 5""",
 
-    # every event is emitted on arrival: the whole batch result
-    "stream_uv_running": _BATCH_SQL["uv_running"],
+    "stream_uv_running": "SELECT b.* FROM (" + _BATCH_SQL["uv_running"] + ") b WHERE b.ts <= " + _CLOSED + " - INTERVAL 3 SECOND",
 }

@@ -5,9 +5,11 @@ watermark passes its end, and its state is dropped then."""
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.times import interval, seconds_of
+from ..functions.times import interval, positive_micros, window_text
 
 
 def _keys(keys):
@@ -16,9 +18,7 @@ def _keys(keys):
 
 def windowed_count(stream: DataFrame, ts: str, size, slide=None, keys=(), count_col: str = "cnt") -> DataFrame:
     keys = _keys(keys)
-    size_s = int(seconds_of(size))
-    w = (F.window(ts, f"{size_s} seconds", f"{int(seconds_of(slide))} seconds") if slide
-         else F.window(ts, f"{size_s} seconds"))
+    w = F.window(ts, window_text(size), window_text(slide)) if slide else F.window(ts, window_text(size))
     return (stream.groupBy(w.alias("window"), *keys).agg(F.count(F.lit(1)).alias(count_col)))
 
 
@@ -28,10 +28,10 @@ def pane_sliding_count(stream: DataFrame, ts: str, size, slide, keys=(), count_c
     ``window_time(pane)``.  The size/slide fan-out is applied to pane rows
     instead of raw rows (both stages in append mode, chained watermarks)."""
     keys = _keys(keys)
-    slide_s, size_s = int(seconds_of(slide)), int(seconds_of(size))
-    panes = stream.groupBy(F.window(ts, f"{slide_s} seconds").alias("pane"), *keys).agg(
+    pane = gcd(positive_micros(slide), positive_micros(size)) / 1_000_000
+    panes = stream.groupBy(F.window(ts, window_text(pane)).alias("pane"), *keys).agg(
         F.count(F.lit(1)).alias("_c"))
-    w = F.window(F.window_time("pane"), f"{size_s} seconds", f"{slide_s} seconds")
+    w = F.window(F.window_time("pane"), window_text(size), window_text(slide))
     return panes.groupBy(w.alias("window"), *keys).agg(F.sum("_c").alias(count_col))
 
 
@@ -52,7 +52,7 @@ def approx_unique(stream: DataFrame, ts: str, size, user: str, out: str = "uv_ap
     """Approximate distinct users per tumbling window on a stream (U5):
     HLL++ state of bounded size per window, instead of the exact chained
     form's one state row per (window, user)."""
-    w = F.window(ts, f"{int(seconds_of(size))} seconds")
+    w = F.window(ts, window_text(size))
     return stream.groupBy(w.alias("window")).agg(F.approx_count_distinct(user).alias(out))
 
 

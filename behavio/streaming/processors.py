@@ -1,405 +1,284 @@
-"""Stateful stream processors (``transformWithStateInPandas``).
+"""Keyed stream patterns in event-time order (``applyInPandasWithState``).
 
-Rows of a key reach a processor unordered inside a micro-batch, so each
-call sorts the key's rows of that batch by (ts, seq) first; across
-batches the input is assumed to arrive in time order (the reference's
-ascending timestamps).  State is per key and bounded: a few scalars."""
+Rows of a key wait in state until the watermark has passed them; then they
+are taken in (time, seq) order, so rows that arrive out of order within the
+watermark's delay give the batch result.  A call is made by new rows or by a
+timer at the earliest waiting row or deadline; a key with nothing to wait
+for keeps no state.  State grows with the rows of a key inside the delay
+and one micro-batch, which ``table_stream``'s trigger limit bounds.
+
+Times are microseconds since the epoch in a long column (see
+``with_micros``): nothing passes through the session time zone.  Rows behind
+the watermark are dropped by Spark before they get here; the runner reports
+their number.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-
-
-DAY_MS = 86_400_000
-
-
-def quota_step(pdf: pd.DataFrame, ts: str, seq: str, state, max_passed: int, out_cols: list[str]):
-    """One micro-batch of one key, vectorised on numpy arrays.  ``state``
-    is (day_ms, n, sent) or None.  Rows are ordered by (ts, seq); a row's
-    number in its UTC day continues from the stored count when the day is
-    the stored one.  Returns (rows to emit with n and kind, new state)."""
-    cols = {c: pdf[c].to_numpy() for c in dict.fromkeys([*out_cols, ts, seq])}
-    us = cols[ts].astype("datetime64[us]").astype("int64")
-    order = np.lexsort((cols[seq], us))
-    us = us[order]
-    days = (us // 1000) - (us // 1000) % DAY_MS
-    first = np.searchsorted(days, days, side="left")          # first row of each row's day
-    pos = np.arange(len(days)) - first
-    s_day, s_n, s_sent = state if state is not None else (None, 0, False)
-    same = (days == s_day) if s_day is not None else np.zeros(len(days), dtype=bool)
-    base = np.where(same, s_n, 0)
-    sent0 = same & bool(s_sent)
-    n = pos + base + 1
-    passed = n <= max_passed
-    alert = (n == max_passed + 1) & ~sent0
-    keep = passed | alert
-    idx = order[keep]
-    # one constructor call: column-by-column assignment is far slower
-    out = pd.DataFrame({**{c: cols[c][idx] for c in out_cols},
-                        "n": n[keep].astype("int64"),
-                        "kind": np.where(passed[keep], "pass", "alert")})
-    last = int(days[-1])
-    if s_day is not None and last < s_day:
-        # only late rows of an older day: the stored (newer) day stays
-        return out, (s_day, s_n, s_sent)
-    last_rows = days == last
-    n_last = int(n[last_rows].max())
-    return out, (last, min(max_passed, n_last), bool(sent0[last_rows][0] or n_last > max_passed))
-
-
-class QuotaProcessor(StatefulProcessor):
-    """E8-E10 on a stream keyed by the quota keys (e.g. user, ad): per UTC
-    day of event time, pass the first ``max_passed`` rows, raise one alert
-    on the next one and drop the rest.  State is one value (day, n, sent);
-    a new day resets it, and an event-time timer at the end of the day
-    clears it so idle keys do not keep state."""
-
-    DAY_MS = DAY_MS
-
-    def __init__(self, max_passed: int, ts: str, seq: str, out_cols: list[str]):
-        self.max_passed, self.ts, self.seq, self.out_cols = max_passed, ts, seq, out_cols
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("quota", "day long, n long, sent boolean")
-
-    def handleInputRows(self, key, rows, timerValues):
-        frames = list(rows)
-        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        old = self.state.get()
-        out, new = quota_step(pdf, self.ts, self.seq, old, self.max_passed, self.out_cols)
-        if old is None or new[0] != old[0]:
-            self.handle.registerTimer(max(new[0] + DAY_MS, timerValues.getCurrentWatermarkInMs() + 1))
-        self.state.update(new)
-        if len(out):
-            yield out
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        st = self.state.get()
-        if st is not None and st[0] + DAY_MS <= expiredTimerInfo.getExpiryTimeInMs():
-            self.state.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
-def quota_state_fn(max_passed: int, ts: str, seq: str, out_cols: list[str]):
-    """The quota as an ``applyInPandasWithState`` function: the key's state
-    (day, n, sent) is handed over with the key's rows of the micro-batch,
-    no call back to the JVM per state access.  An event-time timeout at
-    the end of the day drops the state of idle keys."""
-
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        frames = list(pdfs)
-        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        out, new = quota_step(pdf, ts, seq, state.get if state.exists else None, max_passed, out_cols)
-        state.update(new)
-        # the day's end, or just past the watermark for late rows
-        state.setTimeoutTimestamp(max(new[0] + DAY_MS, state.getCurrentWatermarkMs() + 1))
-        if len(out):
-            yield out
-
-    return fn
 
-
-def _us(series) -> np.ndarray:
-    return series.to_numpy(dtype="datetime64[us]").astype("int64")
-
-
-def followed_by_state_fn(key_col: str, ts: str, seq: str, is_first: str, within_us: int, strict: bool = True):
-    """E2/E3 on a stream (applyInPandasWithState, keyed by ``key_col``).
-
-    Pending ``first`` events wait in state (their times and seqs).  The
-    next ``then`` event decides all of them: success when it is less than
-    ``within`` after the first event, else timeout.  Without a ``then``
-    event, an event-time timeout fires once the watermark passes the
-    earliest deadline and reports the firsts whose deadline has passed.
-    State holds only the undecided firsts of a key; each call builds one
-    output frame."""
-
-    def fn(key, pdfs, state):
-        k = key[0]
-        pend_t, pend_s = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
-        f_t, f_s, p_t, p_s, kinds = [], [], [], [], []
-
-        def decide(ts_list, seq_list, pay_t, pay_s, ok_list):
-            for ft, fs, ok in zip(ts_list, seq_list, ok_list):
-                f_t.append(ft); f_s.append(fs)
-                p_t.append(pay_t if ok else None); p_s.append(pay_s if ok else None)
-                kinds.append("successfully" if ok else "timeout")
-
-        if state.hasTimedOut:
-            wm_us = state.getCurrentWatermarkMs() * 1000
-            due = [i for i, t in enumerate(pend_t) if t + within_us <= wm_us]
-            decide([pend_t[i] for i in due], [pend_s[i] for i in due], None, None, [False] * len(due))
-            keep = [i for i in range(len(pend_t)) if i not in set(due)]
-            pend_t, pend_s = [pend_t[i] for i in keep], [pend_s[i] for i in keep]
-        else:
-            frames = list(pdfs)
-            pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-            us = _us(pdf[ts])
-            order = np.lexsort((pdf[seq].to_numpy(), us))
-            for t, s_, f in zip(us[order].tolist(), pdf[seq].to_numpy()[order].tolist(),
-                                pdf[is_first].to_numpy()[order].tolist()):
-                if f:
-                    pend_t.append(t); pend_s.append(s_)
-                elif pend_t:                      # a 'then' event decides every pending first
-                    oks = [(t < p + within_us) if strict else (t <= p + within_us) for p in pend_t]
-                    decide(pend_t, pend_s, t, s_, oks)
-                    pend_t, pend_s = [], []
-        if pend_t:
-            state.update((pend_t, pend_s))
-            due_ms = -(-(min(pend_t) + within_us) // 1000)
-            state.setTimeoutTimestamp(max(due_ms, state.getCurrentWatermarkMs() + 1))
+DAY_US = 86_400_000_000
+
+
+class Pattern:
+    """What is done with a key's rows in order.
+
+    ``state_ddl`` declares its own state columns, ``start`` is their value for a
+    new key, ``out_ddl`` its result columns after the keys."""
+
+    state_ddl = ""
+    start: tuple = ()
+    out_ddl = ""
+
+    def step(self, state: tuple, rows: list[tuple], out: list[tuple]) -> tuple:
+        """Take (us, seq, *values) rows in order, append results, return the state."""
+        raise NotImplementedError
+
+    def due(self, state: tuple) -> int | None:
+        """The time (us) at which something is to be done without a row."""
+        return None
+
+    def expire(self, state: tuple, now: int, out: list[tuple]) -> tuple:
+        """All rows up to ``now`` have been taken."""
+        return state
+
+
+def ordered(stream, keys: list[str], pattern: Pattern, us: str, seq: str, values: list[str]):
+    """``pattern`` over each key of ``stream`` in event-time order; the stream needs a
+    watermark.  Result: keys, then the pattern's columns."""
+    kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
+    own = [p.strip() for p in pattern.state_ddl.split(",") if p.strip()]
+    buffer = [("us", "bigint"), ("seq", kinds[seq]), *[(f"v{i}", kinds[v]) for i, v in enumerate(values)]]
+    state_ddl = ", ".join([*own, *[f"_{n} array<{t}>" for n, t in buffer]])
+    out_ddl = ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], pattern.out_ddl])
+    out_names = [p.strip().split(" ")[0] for p in pattern.out_ddl.split(",")]
+    return stream.groupBy(*keys).applyInPandasWithState(
+        _state_fn(keys, pattern, len(own), [us, seq, *values], out_names), out_ddl, state_ddl, "append", "EventTimeTimeout")
+
+
+def _plain(series: pd.Series) -> list:
+    return [None if v is None or v is pd.NaT or (isinstance(v, float) and v != v) else v
+            for v in series.astype(object).tolist()]
+
+
+def _state_fn(keys: list[str], pattern: Pattern, n_own: int, columns: list[str], out_names: list[str]) -> Callable:
+    def fn(key, frames, state):
+        stored = tuple(state.get) if state.exists else None
+        own = stored[:n_own] if stored else pattern.start
+        waiting = list(zip(*stored[n_own:])) if stored else []
+        if not state.hasTimedOut:
+            for pdf in frames:
+                waiting += zip(*[_plain(pdf[c]) for c in columns])
+        now = state.getCurrentWatermarkMs() * 1000
+        ready = sorted((r for r in waiting if r[0] <= now), key=lambda r: r[:2])
+        waiting = [r for r in waiting if r[0] > now]
+        out: list[tuple] = []
+        if ready:
+            own = pattern.step(own, ready, out)
+        own = pattern.expire(own, now, out)
+        due = pattern.due(own)
+        wake = min([r[0] for r in waiting] + ([due] if due is not None else []), default=None)
+        if wake is not None:
+            state.update((*own, *([list(c) for c in zip(*waiting)] or [[] for _ in columns])))
+            state.setTimeoutTimestamp(max(-(-wake // 1000), state.getCurrentWatermarkMs() + 1))
         elif state.exists:
             state.remove()
-        if kinds:
-            yield pd.DataFrame({key_col: np.full(len(kinds), k, dtype=np.int64),
-                                "create_ts": pd.to_datetime(np.asarray(f_t, dtype=np.int64), unit="us"),
-                                "create_id": np.asarray(f_s, dtype=np.int64),
-                                "pay_ts": pd.to_datetime(np.asarray([np.nan if x is None else x for x in p_t],
-                                                                    dtype="float64"), unit="us"),
-                                "pay_id": pd.array(p_s, dtype="Int64"),
-                                "kind": kinds})
-
+        if out:
+            cols = list(zip(*out))
+            yield pd.DataFrame({**{k: [v] * len(out) for k, v in zip(keys, key)},
+                                **{n: pd.Series(list(c), dtype=object) for n, c in zip(out_names, cols)}})
     return fn
 
 
-def bursts_state_fn(key_col: str, ts: str, seq: str, is_fail: str, span_us: int, min_exclusive: int = 2):
-    """E4 on a stream (applyInPandasWithState, keyed by ``key_col``): the
-    open burst (opener time, last time, count) is the key's state; an
-    event-time timeout at opener + span reports it, a later event past
-    that point closes it, another event type before it cancels it."""
-
-    def frame(k, rows):
-        return pd.DataFrame({key_col: [k] * len(rows),
-                             "first_ts": pd.to_datetime(np.asarray([r[0] for r in rows], dtype=np.int64), unit="us"),
-                             "last_ts": pd.to_datetime(np.asarray([r[1] for r in rows], dtype=np.int64), unit="us"),
-                             "fails": np.asarray([r[2] for r in rows], dtype=np.int64)})
-
-    def fn(key, pdfs, state):
-        k = key[0]
-        open_t, last_t, n = state.get if state.exists else (None, None, 0)
-        done = []
-        if state.hasTimedOut:
-            if open_t is not None and n > min_exclusive:
-                done.append((open_t, last_t, n))
-            open_t, last_t, n = None, None, 0
-        else:
-            frames = list(pdfs)
-            pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-            us = _us(pdf[ts])
-            order = np.lexsort((pdf[seq].to_numpy(), us))
-            for t, f in zip(us[order].tolist(), pdf[is_fail].to_numpy()[order].tolist()):
-                if open_t is not None and t > open_t + span_us:
-                    if n > min_exclusive:
-                        done.append((open_t, last_t, n))
-                    open_t, last_t, n = None, None, 0
-                if not f:
-                    open_t, last_t, n = None, None, 0
-                elif open_t is None:
-                    open_t, last_t, n = t, t, 1
-                else:
-                    last_t, n = t, n + 1
-        if open_t is not None:
-            state.update((open_t, last_t, n))
-            due_ms = -(-(open_t + span_us) // 1000)
-            state.setTimeoutTimestamp(max(due_ms, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-        if done:
-            yield frame(k, done)
+class Quota(Pattern):
+    """Per UTC day of event time, the first ``max_passed`` rows pass,
+    the next raises one alert, the rest are dropped."""
 
-    return fn
+    state_ddl = "day long, n long"
+    start = (None, 0)
+    out_ddl = "seq long, us long, n long, kind string"
 
+    def __init__(self, max_passed: int):
+        self.max_passed = max_passed
+
+    def step(self, state, rows, out):
+        day, n = state
+        us = np.array([r[0] for r in rows], np.int64)
+        days = us // DAY_US
+        first = np.searchsorted(days, days, "left")
+        count = np.arange(len(days)) - first + 1 + np.where(days == (-1 if day is None else day), n, 0)
+        for i in np.flatnonzero(count <= self.max_passed + 1).tolist():
+            out.append((rows[i][1], rows[i][0], int(count[i]), "pass" if count[i] <= self.max_passed else "alert"))
+        return int(days[-1]), int(min(count[-1], self.max_passed + 1))
 
-def sequence_state_fn(key_col: str, ts: str, seq: str, is_fail: str, mode: str, gap_us: int, min_len: int = 3):
-    """E1 / E5 on a stream (applyInPandasWithState, keyed by ``key_col``);
-    both decide on arrival, so no timers are needed.
-
-    mode="pairs" (E1): state is the key's previous event (is it a
-    failure, its time, its seq); a failure right after a failure less
-    than ``gap_us`` earlier is reported as a pair.
-    mode="runs" (E5): state is the current run (start time, last time,
-    length); a failure at most ``gap_us`` after the previous failure
-    extends it, anything else resets it; positions >= ``min_len`` are
-    reported."""
-
-    def fn(key, pdfs, state):
-        k = key[0]
-        frames = list(pdfs)
-        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        us = _us(pdf[ts])
-        order = np.lexsort((pdf[seq].to_numpy(), us))
-        tv, sv, fv = us[order].tolist(), pdf[seq].to_numpy()[order].tolist(), pdf[is_fail].to_numpy()[order].tolist()
-        a, b, c = state.get if state.exists else (None, None, None)
-        out = []
-        if mode == "pairs":                      # a: prev is fail, b: prev ts, c: prev seq
-            for t, s_, f in zip(tv, sv, fv):
-                if f and a and t < b + gap_us:
-                    out.append((b, t, c))
-                a, b, c = bool(f), t, s_
-        else:                                    # a: run start, b: last ts, c: length
-            for t, s_, f in zip(tv, sv, fv):
-                if not f:
-                    a, b, c = None, None, None
-                    continue
-                if a is not None and t <= b + gap_us:
-                    b, c = t, c + 1
-                else:
-                    a, b, c = t, t, 1
-                if c >= min_len:
-                    out.append((a, t, s_, c))
-        state.update((a, b, c))
-        if not out:
-            return
-        if mode == "pairs":
-            yield pd.DataFrame({key_col: [k] * len(out),
-                                "first_ts": pd.to_datetime(np.asarray([o[0] for o in out], dtype=np.int64), unit="us"),
-                                "last_ts": pd.to_datetime(np.asarray([o[1] for o in out], dtype=np.int64), unit="us"),
-                                "first_seq": np.asarray([o[2] for o in out], dtype=np.int64),
-                                "n": np.full(len(out), 2, dtype=np.int64)})
-        else:
-            yield pd.DataFrame({key_col: [k] * len(out),
-                                "first_ts": pd.to_datetime(np.asarray([o[0] for o in out], dtype=np.int64), unit="us"),
-                                "last_ts": pd.to_datetime(np.asarray([o[1] for o in out], dtype=np.int64), unit="us"),
-                                seq: np.asarray([o[2] for o in out], dtype=np.int64),
-                                "fails": np.asarray([o[3] for o in out], dtype=np.int64)})
+    def due(self, state):
+        return None if state[0] is None else (state[0] + 1) * DAY_US
 
-    return fn
+    def expire(self, state, now, out):
+        return self.start if state[0] is not None and (state[0] + 1) * DAY_US <= now else state
 
 
-def reconcile_state_fn(key_col: str, ts: str, side: str, tol_us: int, left_cols: list[str], right_cols: list[str]):
-    """J2-J4 on a stream (applyInPandasWithState over the tagged union of
-    both inputs, keyed by ``key_col``; ``side`` is "L" or "R").
-
-    The first arrival of a key waits in state; a counterpart within
-    ``tol_us`` consumes it and the pair is emitted as 'match'.  A waiting
-    row is reported unmatched ('pay_without_receipt' /
-    'receipt_without_pay') when a later row shows it can no longer match,
-    or when the event-time timeout at its time + tolerance fires.  State:
-    at most one waiting row per key."""
-    kinds = {"L": "pay_without_receipt", "R": "receipt_without_pay"}
-    extra = left_cols + right_cols
-
-    def emit(k, l_row, r_row, kind):
-        rec = {key_col: k, "pay_ts": l_row[0] if l_row else None, "receipt_ts": r_row[0] if r_row else None,
-               "kind": kind}
-        for i, c in enumerate(left_cols):
-            rec[c] = l_row[1 + i] if l_row else None
-        for i, c in enumerate(right_cols):
-            rec[c] = r_row[1 + i] if r_row else None
-        return rec
-
-    def fn(key, pdfs, state):
-        k = key[0]
-        wait = None
-        if state.exists:
-            st = state.get
-            wait = (st[0], [st[1], *st[2]])               # (side, [ts_us, *values])
-        out = []
-        if state.hasTimedOut:
-            if wait:
-                row = wait[1]
-                out.append(emit(k, row if wait[0] == "L" else None, row if wait[0] == "R" else None, kinds[wait[0]]))
-            wait = None
-        else:
-            frames = list(pdfs)
-            pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-            us = _us(pdf[ts])
-            order = np.argsort(us, kind="stable")
-            sides = pdf[side].to_numpy()[order]
-            vals = {c: pdf[c].to_numpy()[order] for c in extra}
-            for j, t in enumerate(us[order].tolist()):
-                sd = sides[j]
-                row = [t, *[None if pd.isna(vals[c][j]) else vals[c][j]
-                            for c in (left_cols if sd == "L" else right_cols)]]
-                if wait and wait[0] != sd and abs(t - wait[1][0]) <= tol_us:
-                    l_row, r_row = (row, wait[1]) if sd == "L" else (wait[1], row)
-                    out.append(emit(k, l_row, r_row, "match"))
-                    wait = None
-                    continue
-                if wait:                                  # the waiting row can no longer match
-                    w = wait[1]
-                    out.append(emit(k, w if wait[0] == "L" else None, w if wait[0] == "R" else None, kinds[wait[0]]))
-                wait = (sd, row)
-        if wait:
-            state.update((wait[0], int(wait[1][0]), [None if v is None else str(v) for v in wait[1][1:]]))
-            state.setTimeoutTimestamp(max(-(-(wait[1][0] + tol_us) // 1000), state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-        if out:
-            res = pd.DataFrame(out)
-            for c in ("pay_ts", "receipt_ts"):
-                res[c] = pd.to_datetime(res[c].astype("float64"), unit="us")
-            yield res[[key_col, "pay_ts", "receipt_ts", *extra, "kind"]]
+class FollowedBy(Pattern):
+    """Each ``first`` row waits for the key's next ``then`` row: in
+    time it succeeds, else it times out.  Rows carry whether they are first."""
 
-    return fn
+    state_ddl = "p_us array<long>, p_seq array<long>"
+    start = ([], [])
+    out_ddl = "first_us long, first_seq long, then_us long, then_seq long, kind string"
+
+    def __init__(self, within_us: int, strict: bool = True):
+        # last microsecond at which a ``then`` row is in time
+        self.last = within_us - 1 if strict else within_us
+
+    def step(self, state, rows, out):
+        pending = list(zip(*state)) if state[0] else []
+        for us, seq, first in rows:
+            if first:
+                pending.append((us, seq))
+                continue
+            for p_us, p_seq in pending:
+                ok = us <= p_us + self.last
+                out.append((p_us, p_seq, us if ok else None, seq if ok else None, "successfully" if ok else "timeout"))
+            pending = []
+        return [p[0] for p in pending], [p[1] for p in pending]
 
+    def due(self, state):
+        return min(state[0]) + self.last if state[0] else None
+
+    def expire(self, state, now, out):
+        pending = list(zip(*state)) if state[0] else []
+        out += [(us, seq, None, None, "timeout") for us, seq in pending if us + self.last <= now]
+        pending = [p for p in pending if p[0] + self.last > now]
+        return [p[0] for p in pending], [p[1] for p in pending]
 
-class FirstSeenProcessor(StatefulProcessor):
-    """Stage 1 of the stream running UV (U3/W8), keyed by (window_end,
-    user): flags the user's first event in the window.  State: one
-    boolean; an event-time timer at the window's end clears it."""
-
-    def __init__(self, ts: str, seq: str):
-        self.ts, self.seq = ts, seq
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", "s boolean")
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values([self.ts, self.seq], kind="mergesort")
-        first = np.zeros(len(pdf), dtype=bool)
-        if not self.seen.exists():
-            first[0] = True
-            self.seen.update((True,))
-            end_ms = int(pd.Timestamp(key[0]).value // 1_000_000)
-            self.handle.registerTimer(max(end_ms, timerValues.getCurrentWatermarkInMs() + 1))
-        yield pd.DataFrame({self.seq: pdf[self.seq].to_numpy(), self.ts: pdf[self.ts].to_numpy(),
-                            "window_end": pdf["window_end"].to_numpy(), "first": first})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.seen.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
-class RunningCountProcessor(StatefulProcessor):
-    """Stage 2 of the stream running UV, keyed by window_end: a counter of
-    first-seen flags; every event gets the count so far (itself
-    included).  State: one long; cleared by a timer at the window's end."""
-
-    def __init__(self, ts: str, seq: str, out: str = "uv"):
-        self.ts, self.seq, self.out = ts, seq, out
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.n = handle.getValueState("n", "n long")
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values([self.ts, self.seq], kind="mergesort")
-        st = self.n.get()
-        if st is None:
-            end_ms = int(pd.Timestamp(key[0]).value // 1_000_000)
-            self.handle.registerTimer(max(end_ms, timerValues.getCurrentWatermarkInMs() + 1))
-        c = (st[0] if st else 0) + np.cumsum(pdf["first"].to_numpy().astype(np.int64))
-        self.n.update((int(c[-1]),))
-        yield pd.DataFrame({self.seq: pdf[self.seq].to_numpy(), self.ts: pdf[self.ts].to_numpy(),
-                            "window_end": pdf["window_end"].to_numpy(), self.out: c})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.n.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
+
+class Bursts(Pattern):
+    """A failure opens a burst, failures up to ``span`` after it join, any
+    other row cancels it; reported at opener + span when larger than ``min_exclusive``."""
+
+    state_ddl = "open_us long, last_us long, n long"
+    start = (None, None, 0)
+    out_ddl = "first_us long, last_us long, fails long"
+
+    def __init__(self, span_us: int, min_exclusive: int = 2):
+        self.span, self.least = span_us, min_exclusive
+
+    def _close(self, state, out):
+        if state[0] is not None and state[2] > self.least:
+            out.append((state[0], state[1], state[2]))
+        return self.start
+
+    def step(self, state, rows, out):
+        for us, _, fail in rows:
+            if state[0] is not None and us > state[0] + self.span:
+                state = self._close(state, out)
+            if not fail:
+                state = self.start
+            elif state[0] is None:
+                state = (us, us, 1)
+            else:
+                state = (state[0], us, state[2] + 1)
+        return state
+
+    def due(self, state):
+        return None if state[0] is None else state[0] + self.span
+
+    def expire(self, state, now, out):
+        return self._close(state, out) if state[0] is not None and state[0] + self.span <= now else state
+
+
+class StrictPairs(Pattern):
+    """A failure right after a failure less than ``within`` earlier."""
+
+    state_ddl = "p_us long, p_seq long"  # the previous row, if it is a failure
+    start = (None, None)
+    out_ddl = "first_us long, last_us long, first_seq long, n long"
+
+    def __init__(self, within_us: int):
+        self.within = within_us
+
+    def step(self, state, rows, out):
+        p_us, p_seq = state
+        for us, seq, fail in rows:
+            if fail and p_us is not None and us < p_us + self.within:
+                out.append((p_us, us, p_seq, 2))
+            p_us, p_seq = (us, seq) if fail else (None, None)
+        return p_us, p_seq
+
+    def due(self, state):
+        return None if state[0] is None else state[0] + self.within - 1
+
+    def expire(self, state, now, out):
+        return self.start if state[0] is not None and state[0] + self.within - 1 <= now else state
+
+
+class Runs(Pattern):
+    """E5: failures each at most ``gap`` after the previous one; every failure
+    from the ``least``-th of its run on is reported."""
+
+    state_ddl = "first_us long, last_us long, n long"
+    start = (None, None, 0)
+    out_ddl = "first_us long, last_us long, seq long, fails long"
+
+    def __init__(self, gap_us: int, least: int = 3):
+        self.gap, self.least = gap_us, least
+
+    def step(self, state, rows, out):
+        first, last, n = state
+        for us, seq, fail in rows:
+            if not fail:
+                first, last, n = self.start
+                continue
+            first, n = (first, n + 1) if first is not None and us <= last + self.gap else (us, 1)
+            last = us
+            if n >= self.least:
+                out.append((first, us, seq, n))
+        return first, last, n
+
+    def due(self, state):
+        return None if state[0] is None else state[1] + self.gap
+
+    def expire(self, state, now, out):
+        return self.start if state[0] is not None and state[1] + self.gap <= now else state
+
+
+class Reconcile(Pattern):
+    """A row consumes the oldest waiting row of the other side within
+    the tolerance, or waits; unmatched once the tolerance has passed.  Rows carry
+    their side (0 left, 1 right) as ``seq`` and a value of the given type."""
+
+    state_ddl = "side int, w_us array<long>, w_id array<long>"
+    start = (None, [], [])
+    out_ddl = "left_us long, left_id long, right_us long, right_id long, kind string"
+
+    def __init__(self, tol_us: int):
+        self.tol = tol_us
+
+    def _alone(self, side, row):
+        return (*row, None, None, "pay_without_receipt") if side == 0 else (None, None, *row, "receipt_without_pay")
+
+    def step(self, state, rows, out):
+        side, waiting = state[0], list(zip(state[1], state[2]))
+        for us, s, rid in rows:
+            while waiting and us - waiting[0][0] > self.tol:
+                out.append(self._alone(side, waiting.pop(0)))
+            if waiting and s != side:
+                pair = (waiting.pop(0), (us, rid))
+                l, r = pair if side == 0 else pair[::-1]
+                out.append((*l, *r, "match"))
+            else:
+                side = s
+                waiting.append((us, rid))
+        return side, [w[0] for w in waiting], [w[1] for w in waiting]
+
+    def due(self, state):
+        return state[1][0] + self.tol if state[1] else None
+
+    def expire(self, state, now, out):
+        side, waiting = state[0], list(zip(state[1], state[2]))
+        while waiting and waiting[0][0] + self.tol <= now:
+            out.append(self._alone(side, waiting.pop(0)))
+        return side, [w[0] for w in waiting], [w[1] for w in waiting]

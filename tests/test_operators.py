@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from behavio.functions import is_static_resource, rolling_hash
-from behavio.operators import (bursts, interval_join, merge_unique_state, reconcile, running_unique, runs,
-                               sliding_count, sliding_peak, top_n, unique_count)
+from behavio.operators import (bursts, interval_join, merge_unique_state, quota, reconcile, running_unique, runs,
+                               sliding_count, sliding_peak, strict_sequence, top_n, unique_count)
 from behavio.operators.uniques import with_bit_offset
 from behavio.sources import parse_lines, read_lines
 from conftest import SF_SMALL
@@ -286,33 +286,109 @@ def test_kafka_records_round_trip(spark):
     assert back.ts == dt.datetime(2017, 11, 26, 1, 0, 0)
 
 
-def test_key_index_and_hot_key_reconcile(spark):
-    from pyspark.sql import Window
-    from behavio.operators.matching import key_index
-    rnd = random.Random(21)
+def _consume(left, right, tol_s):
+    """Brute force: rows of a key in time order, left first; each takes the
+    oldest waiting row of the other side within the tolerance."""
+    out = []
+    for key in sorted({x[0] for x in left + right}):
+        rows = sorted([(t, 0, v) for k, t, v in left if k == key] + [(t, 1, v) for k, t, v in right if k == key])
+        waiting = []
+        for t, side, v in rows:
+            while waiting and (t - waiting[0][0]).total_seconds() > tol_s:
+                w = waiting.pop(0)
+                out.append((w[2], None) if w[1] == 0 else (None, w[2]))
+            if waiting and waiting[0][1] != side:
+                w = waiting.pop(0)
+                out.append((w[2], v) if side == 1 else (v, w[2]))
+            else:
+                waiting.append((t, side, v))
+        out += [(w[2], None) if w[1] == 0 else (None, w[2]) for w in waiting]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("tol", [0, 3, 60, 4000])
+def test_reconcile_consumes_like_brute_force(spark, tol):
+    rnd = random.Random(21 + tol)
     rows = [("hot" if rnd.random() < 0.6 else f"k{rnd.randrange(20)}",
              T0 + dt.timedelta(seconds=rnd.randrange(0, 40000)), i) for i in range(800)]
-    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v long")
-    got = _rows(key_index(df, "k", "ts", "1 hour"), ["k", "v", "_i"])
-    exp = _rows(df.withColumn("_i", F.row_number().over(Window.partitionBy("k").orderBy("ts", "v"))), ["k", "v", "_i"])
-    assert got == exp
-    # k-th left with k-th right of the hot key, matched when within tolerance
-    left = df.where("v % 2 = 0").select("k", F.col("ts").alias("lts"), F.col("v").alias("lv"))
-    right = df.where("v % 2 = 1").select("k", F.col("ts").alias("rts"), F.col("v").alias("rv"))
-    r = reconcile(left, right, "k", "lts", "rts", "3 hours", bucket="1 hour")
-    lp = sorted(((x.k, x.lts, x.lv) for x in left.collect()))
-    rp = sorted(((x.k, x.rts, x.rv) for x in right.collect()))
-    exp_m = []
-    for key in {x[0] for x in lp}:
-        ls, rs = [x for x in lp if x[0] == key], [x for x in rp if x[0] == key]
-        for a, b in zip(ls, rs):
-            if abs((a[1] - b[1]).total_seconds()) <= 3 * 3600:
-                exp_m.append((a[2], b[2]))
-    got_m = sorted((x.lv, x.rv) for x in r.where("kind = 'match'").collect())
-    assert got_m == sorted(exp_m) and got_m
-    n = {k: c for k, c in r.groupBy("kind").count().collect()}
-    assert n["match"] + n.get("pay_without_receipt", 0) == left.count()
-    assert n["match"] + n.get("receipt_without_pay", 0) == right.count()
+    left, right = [r for r in rows if r[2] % 2 == 0], [r for r in rows if r[2] % 2]
+    r = reconcile(spark.createDataFrame(left, "k string, lts timestamp_ntz, lv long"),
+                  spark.createDataFrame(right, "k string, rts timestamp_ntz, rv long"), "k", "lts", "rts", f"{tol} seconds")
+    got = r.collect()
+    assert sorted(((x.lv, x.rv) for x in got), key=str) == _consume(left, right, tol)
+    at = {v: (k, t) for k, t, v in rows}
+    for x in got:
+        assert x.kind == ("match" if None not in (x.lv, x.rv) else "pay_without_receipt" if x.rv is None else "receipt_without_pay")
+        assert all(at[v] == (x.k, t) for v, t in ((x.lv, x.lts), (x.rv, x.rts)) if v is not None)
+
+
+@pytest.mark.parametrize("dup", [True, False])
+def test_reconcile_keeps_null_keys_and_times(spark, dup):
+    left = spark.createDataFrame([(None, T0, 1), ("a", None, 2), ("b", T0, 3)], "k string, lts timestamp_ntz, lv long")
+    right = spark.createDataFrame([(None, T0, 4), ("a", T0, 5), ("b", T0, 6)], "k string, rts timestamp_ntz, rv long")
+    got = {(x.k, x.lv, x.rv, x.kind) for x in reconcile(left, right, "k", "lts", "rts", "5 seconds", pair_duplicates=dup).collect()}
+    assert got == {(None, 1, None, "pay_without_receipt"), ("a", 2, None, "pay_without_receipt"), ("b", 3, 6, "match"),
+                   (None, None, 4, "receipt_without_pay"), ("a", None, 5, "receipt_without_pay")}
+    for kind in ("match", "pay_without_receipt", "receipt_without_pay"):
+        one = reconcile(left, right, "k", "lts", "rts", "5 seconds", pair_duplicates=dup, kind=kind)
+        assert {(x.k, x.lv, x.rv, x.kind) for x in one.collect()} == {g for g in got if g[3] == kind}
+
+
+def test_stale_row_does_not_shift_later_pairs(spark):
+    s = lambda n: T0 + dt.timedelta(seconds=n)
+    left = spark.createDataFrame([("k", s(0)), ("k", s(100))], "k string, lts timestamp_ntz")
+    right = spark.createDataFrame([("k", s(100))], "k string, rts timestamp_ntz")
+    got = sorted((x.kind, x.lts) for x in reconcile(left, right, "k", "lts", "rts", "5 seconds").collect())
+    assert got == [("match", s(100)), ("pay_without_receipt", s(0))]
+
+
+@pytest.mark.parametrize("day", [dt.datetime(2024, 3, 10), dt.datetime(2024, 11, 3)])
+def test_patterns_do_not_depend_on_the_session_zone(spark, day):
+    """Both changes of New York's clocks lie between 1 and 3 o'clock."""
+    rnd = random.Random(3)
+    rows = [(i, day + dt.timedelta(seconds=rnd.randrange(3600, 4 * 3600)), rnd.randrange(6), rnd.choice(["fail", "fail", "ok"]))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "seq long, ts timestamp_ntz, k long, t string")
+    fail = F.col("t") == "fail"
+
+    def results():
+        l = df.where(fail).select("k", F.col("ts").alias("lts"), F.col("seq").alias("ls"))
+        r = df.where(~fail).select("k", F.col("ts").alias("rts"), F.col("seq").alias("rs"))
+        out = [interval_join(l, r, "k", "lts", "rts", "-90 seconds", "90 seconds"), strict_sequence(df, "k", "ts", "seq", fail, 2, "5 minutes"),
+               runs(df, "k", "ts", "seq", fail, "5 minutes", 2), bursts(df, "k", "ts", "seq", fail, "10 minutes", 1),
+               reconcile(l, r, "k", "lts", "rts", "90 seconds"), quota(df, ["k"], "ts", "seq", 2).select("seq", "n")]
+        # as text: the client shows NTZ alike in all zones
+        return [sorted(tuple(map(str, x)) for x in o.select(*[F.col(c).cast("string") for c in o.columns]).collect()) for o in out]
+    utc = results()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert results() == utc and all(utc)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("size,slide", [("1 hour", "25 minutes"), ("1500 milliseconds", "500 milliseconds"), ("90 minutes", "1 hour")])
+def test_windows_of_any_ratio_and_below_a_second(spark, size, slide):
+    rnd = random.Random(5)
+    df = spark.createDataFrame([(T0 + dt.timedelta(milliseconds=rnd.randrange(0, 9_000_000)), rnd.randrange(3)) for _ in range(300)],
+                               "ts timestamp_ntz, k long")
+    ways = [_rows(sliding_count(df, "ts", size, slide, ["k"], method=m), ["window_start", "window_end", "k", "cnt"])
+            for m in ("builtin", "panes", "deltas")]
+    assert ways[0] == ways[1] == ways[2] and ways[0]
+
+
+def test_huge_epoch_is_a_reject(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("1,2,3,pv,1511658000\n1,2,3,pv,99999999999999999\n1,2,3,pv,x\n")
+    rows, rejects = read_lines(spark, str(tmp_path), "behaviour", on_error="reject")
+    assert rows.count() == 1 and rejects.count() == 2
+
+
+def test_kafka_lines_pass_unchanged_and_rows_are_written_back(spark):
+    from behavio.sources import kafka_records
+    line = "1,2,3,pv,1511658000"
+    lines = spark.createDataFrame([(line,)], "value string")
+    assert kafka_records(lines).collect()[0].value == line
+    assert kafka_records(parse_lines(lines, "behaviour"), "behaviour").collect()[0].value == line
 
 
 def test_sketch_rollup_close_to_exact(spark):

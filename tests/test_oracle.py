@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB SQL (driver-style digest)."""
 
 import os
+import re
 
 import pytest
 
@@ -16,7 +17,11 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+# the queries of the llm subpackage have tests of their own
+OWN = sorted(n for n in E.queries() if not re.match(r"op\d+_|pipeline$", n))
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF).toPandas()
     sql = E.oracle_sql().get(name)

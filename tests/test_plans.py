@@ -1,11 +1,13 @@
 """Physical-plan guards for the scale properties (checked on sf0.001)."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-BATCH = sorted(n for n in E.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in E.queries() if not re.match(r"stream_|op\d+_|pipeline$", n))
 
 
 def _plan(df) -> str:
@@ -37,3 +39,21 @@ def test_scans_are_pruned_and_filtered(spark):
     assert "PushedFilters: [IsNotNull(event_type)" in p and "(event_type#" in p
     p = _plan(E.queries()["tx_match"](spark, SF_SMALL))
     assert sorted(map(sorted, _scan_columns(p))) == [["l_orderkey", "l_shipdate"], ["o_orderdate", "o_orderkey"]]
+
+
+def test_order_patterns_push_the_two_kinds_of_events(spark):
+    p = _plan(E.queries()["order_paid"](spark, SF_SMALL))
+    assert "PushedFilters: []" not in p and "Or(EqualTo(event_type,signup),EqualTo(event_type,purchase))" in p
+
+
+@pytest.mark.parametrize("name", ["fail_runs", "fail_bursts"])
+def test_building_a_query_starts_no_job(spark, name):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"build-{name}", "build only")
+    try:
+        E.queries()[name](spark, SF_SMALL)
+        jobs = [j for j in tracker.getJobIdsForGroup(f"build-{name}")]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # schema inference of the Parquet footers is the only job there may be
+    assert len(jobs) <= 1

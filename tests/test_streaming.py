@@ -1,66 +1,51 @@
-"""Stream forms: state carried over micro-batches equals the batch result."""
+"""Stream forms: micro-batches of shuffled rows give the batch result."""
 
+import datetime as dt
+import glob
+import os
+import random
+import shutil
+
+import pytest
 from pyspark.sql import functions as F
 
-from behavio.operators import quota
-from behavio.streaming.catalogue import ROCKSDB
+from behavio.operators import bursts, deadline, followed_by, quota, reconcile, running_unique, runs, strict_sequence
 from behavio.streaming.operators import chained_unique, flatten_window, windowed_count
-from behavio.streaming.processors import QuotaProcessor, quota_state_fn
-from behavio.streaming.runner import run_available
-from behavio.streaming.sources import with_event_time
+from behavio.streaming.processors import Bursts, FollowedBy, Quota, Reconcile, Runs, StrictPairs, ordered
+from behavio.streaming.runner import run_available, run_folded
+from behavio.streaming.sources import table_stream, with_event_time, with_micros
 from conftest import SF_SMALL
 
 COLS = ["event_id", "user_id", "event_type", "ts"]
+US = 1_000_000
 
 
-def _split_stream(spark, tmp_path, parts=4):
-    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(*COLS)
-    bounds = ev.approxQuantile("event_id", [i / parts for i in range(1, parts)], 0.0)
-    edges = [-1] + bounds + [float("inf")]
+def _files(spark, df, folder, parts=4, order="event_id"):
+    """``df`` as files of consecutive rows in ``order``, one per micro-batch."""
+    rows = df.orderBy(order).collect()
+    folder.mkdir(exist_ok=True)
     for i in range(parts):
-        (ev.where((F.col("event_id") > edges[i]) & (F.col("event_id") <= edges[i + 1]))
-           .coalesce(1).write.parquet(str(tmp_path / f"part{i}")))
-        # one file per micro-batch, in time order
-    src = tmp_path / "src"
-    src.mkdir()
-    import glob
-    import shutil
-    import os
-    for i in range(parts):
-        f = glob.glob(str(tmp_path / f"part{i}" / "*.parquet"))[0]
-        shutil.copy(f, src / f"b{i}.parquet")
-        os.utime(src / f"b{i}.parquet", (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
-    s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(str(src))
-    return ev, with_event_time(s, "ts", "0 seconds")
+        part = rows[i * len(rows) // parts:(i + 1) * len(rows) // parts]
+        tmp = folder.parent / f"{folder.name}-{i}"
+        spark.createDataFrame(part, df.schema).coalesce(1).write.parquet(str(tmp))
+        at = folder / f"b{i}.parquet"
+        shutil.copy(glob.glob(str(tmp / "*.parquet"))[0], at)
+        os.utime(at, (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
 
 
-def _rows(df, cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+def _stream(spark, df, folder, delay="0 seconds"):
+    s = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    return with_event_time(with_micros(s), "ts", delay)
 
 
-def test_quota_state_across_batches(spark, tmp_path):
-    ev, s = _split_stream(spark, tmp_path)
-    out = (s.groupBy("user_id", "event_type")
-            .applyInPandasWithState(quota_state_fn(2, "ts", "event_id", COLS),
-                                    "event_id long, user_id long, event_type string, ts timestamp, n long, kind string",
-                                    "day long, n long, sent boolean", "append", "EventTimeTimeout"))
-    got = _rows(run_available(spark, out, "t_quota"), ["event_id", "n", "kind"])
-    q = quota(ev, ["user_id", "event_type"], "ts", "event_id", max_passed=2)
-    exp = _rows(q.withColumn("kind", F.when(F.col("passed"), "pass").otherwise("alert")), ["event_id", "n", "kind"])
-    assert got == exp
-
-
-def test_quota_tws_matches(spark, tmp_path):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    ev, s = _split_stream(spark, tmp_path, parts=2)
-    out = (s.groupBy("user_id", "event_type")
-            .transformWithStateInPandas(QuotaProcessor(2, "ts", "event_id", COLS),
-                                        "event_id long, user_id long, event_type string, ts timestamp, n long, kind string",
-                                        "append", "EventTime"))
-    got = _rows(run_available(spark, out, "t_quota_tws"), ["event_id", "n", "kind"])
-    q = quota(ev, ["user_id", "event_type"], "ts", "event_id", max_passed=2)
-    exp = _rows(q.withColumn("kind", F.when(F.col("passed"), "pass").otherwise("alert")), ["event_id", "n", "kind"])
-    assert got == exp
+def _split_stream(spark, tmp_path, parts=4):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(*COLS)
+    _files(spark, ev, tmp_path / "src", parts)
+    return ev, _stream(spark, ev, tmp_path / "src")
+
+
+def _rows(df, cols):
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=lambda r: [(x is None, 0 if x is None else x) for x in r])
 
 
 def test_windowed_and_chained_across_batches(spark, tmp_path):
@@ -80,97 +65,129 @@ def test_windowed_and_chained_across_batches(spark, tmp_path):
     assert uv == exp_uv and pv
 
 
-def _wm_ms(ev):
-    last = ev.agg(F.max("ts")).collect()[0][0]
-    import datetime as dt
-    return (last - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1) // 1000
-
+DELAY_S = 30
+
+
+@pytest.fixture(scope="module")
+def shuffled(spark, tmp_path_factory):
+    """Dense events that arrive out of order by up to the delay, over several
+    micro-batches; equal times occur."""
+    rnd = random.Random(17)
+    t0 = dt.datetime(2024, 3, 10, 6, 59, 0)
+    rows = [(i, t0 + dt.timedelta(seconds=rnd.randrange(0, 3000)), rnd.randrange(12), rnd.choice(["fail", "fail", "ok", "create", "pay"]))
+            for i in range(1500)]
+    # a row of the far end lets the watermark pass all others
+    rows.append((9999, t0 + dt.timedelta(days=3), 99, "ok"))
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string")
+    arrival = spark.createDataFrame([(*r, (r[1] - t0).total_seconds() + rnd.uniform(0, DELAY_S - 1)) for r in rows],
+                                    "event_id long, ts timestamp_ntz, user_id long, event_type string, at double")
+    folder = tmp_path_factory.mktemp("shuffled") / "src"
+    _files(spark, arrival, folder, 6, "at")
+    return df, _stream(spark, arrival, folder, f"{DELAY_S} seconds")
+
+
+def _late(df):
+    return df.where("user_id <> 99")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_ordered_patterns_equal_batch_on_shuffled_arrival(spark, shuffled, zone):
+    df, s = shuffled
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        fail = F.col("event_type") == "fail"
+        s = s.withColumn("is_fail", fail)
+        key = ["user_id"]
+
+        def run(pattern, name, source=s, values=("is_fail",), seq="event_id"):
+            return _late(run_available(spark, ordered(source, key, pattern, "us", seq, list(values)), name))
+        got = _rows(run(StrictPairs(20 * US), "t_pairs"), ["user_id", "first_seq", "n"])
+        assert got == _rows(_late(strict_sequence(df, "user_id", "ts", "event_id", fail, 2, "20 seconds")), ["user_id", "first_seq", "n"]) and got
+        got = _rows(run(Runs(40 * US, 2), "t_runs"), ["user_id", "seq", "fails"])
+        assert got == _rows(_late(runs(df, "user_id", "ts", "event_id", fail, "40 seconds", 2)), ["user_id", "event_id", "fails"]) and got
+        got = _rows(run(Bursts(60 * US, 1), "t_bursts"), ["user_id", "first_us", "last_us", "fails"])
+        b = _late(bursts(df, "user_id", "ts", "event_id", fail, "60 seconds", 1))
+        b = with_micros(with_micros(b, "first_ts", "first_us"), "last_ts", "last_us")
+        assert got == _rows(b, ["user_id", "first_us", "last_us", "fails"]) and got
+        got = _rows(run(Quota(3), "t_quota", values=()), ["user_id", "seq", "n", "kind"])
+        q = quota(df, ["user_id"], "ts", "event_id", 3).withColumn("kind", F.when(F.col("passed"), "pass").otherwise("alert"))
+        assert got == _rows(_late(q), ["user_id", "event_id", "n", "kind"]) and got
+        orders = s.where("event_type IN ('create', 'pay')").withColumn("first", F.col("event_type") == "create")
+        # the filter leaves out the last row, so only what its own watermark passes is decided
+        create, pay = F.col("event_type") == "create", F.col("event_type") == "pay"
+        got = set(_rows(run(FollowedBy(90 * US), "t_orders", orders, ("first",)), ["user_id", "first_seq", "then_seq", "kind"]))
+        exp = set(_rows(followed_by(df, "user_id", "ts", "event_id", create, pay, "90 seconds"), ["user_id", "first_seq", "then_seq", "kind"]))
+        assert got <= exp and len(got) > 0.9 * len(exp)
+        sides = orders.withColumn("side", F.when(F.col("first"), 0).otherwise(1))
+        got = set(_rows(run(Reconcile(25 * US), "t_rec", sides, ("event_id",), "side"), ["user_id", "left_id", "right_id", "kind"]))
+        l = df.where(create).select("user_id", F.col("ts").alias("lt"), F.col("event_id").alias("left_id"))
+        r = df.where(pay).select("user_id", F.col("ts").alias("rt"), F.col("event_id").alias("right_id"))
+        exp = set(_rows(reconcile(l, r, "user_id", "lt", "rt", "25 seconds"), ["user_id", "left_id", "right_id", "kind"]))
+        assert got <= exp and len(got) > 0.9 * len(exp)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_running_users_equal_batch_on_shuffled_arrival(spark, shuffled, tmp_path):
+    from behavio.streaming.running import running_users
+    df, s = shuffled
+    base = str(tmp_path / "uv")
+    got = run_folded(spark, s.where("user_id <> 99"), base, running_users(base, "ts", "event_id", "user_id", "10 minutes", f"{DELAY_S} seconds"),
+                     "seq long, us long, window_us long, uv long")
+    exp = _rows(running_unique(_late(df), "ts", "event_id", "10 minutes", "user_id"), ["event_id", "uv"])
+    got = _rows(got, ["seq", "uv"])
+    assert set(got) <= set(exp) and len(got) > 0.97 * len(exp)
+
+
+def test_late_rows_are_reported(spark, tmp_path):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(seconds=100 * i), 1, "x") for i in range(4)] + [(9, t0, 1, "x")]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string")
+    _files(spark, df, tmp_path / "src", 5)
+    s = _stream(spark, df, tmp_path / "src")
+    with pytest.raises(RuntimeError, match="1 rows were behind"):
+        run_available(spark, ordered(s, ["user_id"], Quota(5), "us", "event_id", []), "t_late", late="fail")
+
+
+def test_tables_may_be_files_or_folders(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ev.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    for d in (str(tmp_path), SF_SMALL):
+        out = run_available(spark, lambda own, d=d: table_stream(own, d, "events", 2).select("event_id"), "t_table")
+        assert out.count() == ev.count()
+
+
+def test_a_stopped_run_resumes_without_repeats(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(*COLS)
+    _files(spark, ev, tmp_path / "all", 4)
+    src, base = tmp_path / "src", str(tmp_path / "out")
+    src.mkdir()
+    build = lambda own: own.readStream.schema(ev.schema).parquet(str(src))
+    shutil.copy2(tmp_path / "all" / "b0.parquet", src)
+    first = run_available(spark, build, "t_restart", base=base).count()
+    for i in (1, 2, 3):
+        shutil.copy2(tmp_path / "all" / f"b{i}.parquet", src)
+    got = [r.event_id for r in run_available(spark, build, "t_restart", base=base).collect()]
+    assert 0 < first < len(got) and sorted(got) == sorted(r.event_id for r in ev.collect())
 
-def _ceil_ms(t, add_us):
-    import datetime as dt
-    us = (t - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1) + add_us
-    return -(-us // 1000)
 
+def test_no_input_gives_an_empty_table(spark, tmp_path):
+    from behavio.streaming.runner import run_available_batches
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(*COLS)
+    (tmp_path / "src").mkdir()
+    s = spark.readStream.schema(ev.schema).parquet(str(tmp_path / "src"))
+    assert run_available_batches(spark, s, "t_none", lambda b: b, ev.schema, ntz=False).count() == 0
 
-def test_order_timeout_across_batches(spark, tmp_path):
-    from behavio.operators import followed_by
-    from behavio.streaming.processors import followed_by_state_fn
-    ev, s = _split_stream(spark, tmp_path)
-    within_us = 3 * 3600 * 1_000_000
-    s = s.where(F.col("event_type").isin("signup", "purchase")).withColumn("is_first", F.col("event_type") == "signup")
-    out = s.groupBy("user_id").applyInPandasWithState(
-        followed_by_state_fn("user_id", "ts", "event_id", "is_first", within_us),
-        "user_id long, create_ts timestamp, create_id long, pay_ts timestamp, pay_id long, kind string",
-        "ts array<long>, seq array<long>", "append", "EventTimeTimeout")
-    got = _rows(run_available(spark, out, "t_order"), ["create_id", "kind", "pay_id"])
-    sp = ev.where(F.col("event_type").isin("signup", "purchase"))
-    wm = _wm_ms(sp)
-    b = followed_by(sp, "user_id", "ts", "event_id", F.col("event_type") == "signup",
-                    F.col("event_type") == "purchase", "3 hours").collect()
-    exp = [(r.first_seq, r.kind, r.then_seq, r.user_id, r.first_ts) for r in b]
-    # decided: a later purchase of the user exists, or the deadline passed the watermark
-    purchases = {}
-    for r in sp.where("event_type = 'purchase'").collect():
-        purchases.setdefault(r.user_id, []).append((r.ts, r.event_id))
-    exp2 = []
-    for seq_, kind, then_seq, uid, fts in exp:
-        has_later = any((t, i) > (fts, seq_) for t, i in purchases.get(uid, []))
-        if has_later or _ceil_ms(fts, within_us) < wm:
-            exp2.append((seq_, kind, then_seq))
-    assert got == sorted(exp2) and got
-
-
-def test_bursts_across_batches(spark, tmp_path):
-    from behavio.operators import bursts
-    from behavio.streaming.processors import bursts_state_fn
-    ev, s = _split_stream(spark, tmp_path)
-    span_us = 12 * 3600 * 1_000_000
-    out = s.withColumn("is_fail", F.col("event_type") == "error").groupBy("user_id").applyInPandasWithState(
-        bursts_state_fn("user_id", "ts", "event_id", "is_fail", span_us, 1),
-        "user_id long, first_ts timestamp, last_ts timestamp, fails long",
-        "open_t long, last_t long, n long", "append", "EventTimeTimeout")
-    got = _rows(run_available(spark, out, "t_bursts"), ["user_id", "first_ts", "last_ts", "fails"])
-    wm = _wm_ms(ev)
-    times = {}
-    for r in ev.collect():
-        times.setdefault(r.user_id, []).append(r.ts)
-    import datetime as dt
-    exp = [r for r in _rows(bursts(ev, "user_id", "ts", "event_id", F.col("event_type") == "error", "12 hours", 1),
-                            ["user_id", "first_ts", "last_ts", "fails"])
-           if any(t > r[1] + dt.timedelta(hours=12) for t in times[r[0]]) or _ceil_ms(r[1], span_us) < wm]
-    assert got == exp and got
 
+def test_a_running_query_leaves_the_settings_alone(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
 
-def test_csv_line_streams_golden(spark, ref_data, tmp_path):
-    """S1 as a stream: the reference's CSV files through the text-file
-    stream source, quota and burst state, same golden values as batch."""
-    import shutil
-    from behavio.streaming.processors import bursts_state_fn
-    from behavio.streaming.sources import line_stream
-    ads_dir, log_dir = tmp_path / "ads", tmp_path / "logins"
-    ads_dir.mkdir(), log_dir.mkdir()
-    shutil.copy(f"{ref_data}/AdClickLog.csv", ads_dir / "AdClickLog.csv")
-    shutil.copy(f"{ref_data}/LoginLog.csv", log_dir / "LoginLog.csv")
-
-    ads = with_event_time(line_stream(spark, str(ads_dir), "ad"), "ts", "0 seconds")
-    cols = ["seq", "user_id", "ad_id", "ts"]
-    q = ads.groupBy("user_id", "ad_id").applyInPandasWithState(
-        quota_state_fn(101, "ts", "seq", cols),
-        "seq long, user_id long, ad_id long, ts timestamp, n long, kind string",
-        "day long, n long, sent boolean", "append", "EventTimeTimeout")
-    r = run_available(spark, q, "t_ads")
-    kinds = {k: n for k, n in r.groupBy("kind").count().collect()}
-    assert kinds == {"pass": 123, "alert": 1}
-    a = r.where("kind = 'alert'").collect()[0]
-    assert (a.user_id, a.ad_id, a.n) == (937166, 1715, 102)
-
-    logins = with_event_time(line_stream(spark, str(log_dir), "login"), "ts", "3 seconds")
-    b = logins.withColumn("is_fail", F.col("event_type") == "fail").groupBy("user_id").applyInPandasWithState(
-        bursts_state_fn("user_id", "ts", "seq", "is_fail", 2_000_000, 2),
-        "user_id long, first_ts timestamp, last_ts timestamp, fails long",
-        "open_t long, last_t long, n long", "append", "EventTimeTimeout")
-    got = [(x.user_id, x.fails) for x in run_available(spark, b, "t_logins").collect()]
-    assert got == [(1035, 3)]
+    def build(own):
+        seen.append((own.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.shuffle.partitions")))
+        return table_stream(own, SF_SMALL, "events").select("event_id")
+    run_available(spark, build, "t_conf", state_partitions=3)
+    assert seen == [("3", before)]
 
 
 def test_top_n_per_batch_across_batches(spark, tmp_path):
@@ -189,41 +206,6 @@ def test_top_n_per_batch_across_batches(spark, tmp_path):
     assert got == exp and got
 
 
-def test_reconcile_stream_golden(spark, ref_data, tmp_path):
-    """J2 on streams of the reference's order and receipt files."""
-    import shutil
-    from behavio.streaming.processors import reconcile_state_fn
-    from behavio.streaming.sources import line_stream
-    o_dir, r_dir = tmp_path / "orders", tmp_path / "receipts"
-    o_dir.mkdir(), r_dir.mkdir()
-    shutil.copy(f"{ref_data}/OrderLog.csv", o_dir / "OrderLog.csv")
-    shutil.copy(f"{ref_data}/ReceiptLog.csv", r_dir / "ReceiptLog.csv")
-    pays = (with_event_time(line_stream(spark, str(o_dir), "order_tx"), "ts", "0 seconds")
-            .where("event_type = 'pay' AND tx_id <> ''")
-            .select("tx_id", "ts", F.lit("L").alias("side"), F.col("order_id").cast("string").alias("order_id"),
-                    F.lit(None).cast("string").alias("pay_channel")))
-    recs = (with_event_time(line_stream(spark, str(r_dir), "receipt"), "ts", "0 seconds")
-            .select("tx_id", "ts", F.lit("R").alias("side"), F.lit(None).cast("string").alias("order_id"),
-                    "pay_channel"))
-    out = pays.unionByName(recs).groupBy("tx_id").applyInPandasWithState(
-        reconcile_state_fn("tx_id", "ts", "side", 5_000_000, ["order_id"], ["pay_channel"]),
-        "tx_id string, pay_ts timestamp, receipt_ts timestamp, order_id string, pay_channel string, kind string",
-        "side string, t long, v array<string>", "append", "EventTimeTimeout")
-    r = run_available(spark, out, "t_reconcile")
-    got = {k: n for k, n in r.groupBy("kind").count().collect()}
-    assert got["match"] == 5
-    assert sorted(int(x.order_id) for x in r.where("kind = 'match'").collect()) == [34729, 34730, 34734, 34746, 34747]
-    # unmatched rows are reported once decided: a subset of the batch's 35 + 35
-    from behavio.plans import jobs
-    from behavio.sources import read_lines
-    b = jobs.tx_match(read_lines(spark, f"{ref_data}/OrderLog.csv", "order_tx"),
-                      read_lines(spark, f"{ref_data}/ReceiptLog.csv", "receipt"))
-    for kind in ("pay_without_receipt", "receipt_without_pay"):
-        s_ids = {x.tx_id for x in r.where(F.col("kind") == kind).collect()}
-        b_ids = {x.tx_id for x in b.where(F.col("kind") == kind).collect()}
-        assert s_ids and s_ids <= b_ids and len(b_ids) == 35
-
-
 def test_stream_uv_approx_close_to_exact(spark):
     import __spark_entry__ as E
     q = E.queries()
@@ -243,26 +225,3 @@ def test_pane_sliding_count_across_batches(spark, tmp_path):
     exp = [r for r in _rows(sliding_count(ev, "ts", "1 hour", "5 minutes", ["event_type"]),
                             ["window_end", "event_type", "cnt"]) if r[0] <= last]
     assert got == exp and got
-
-
-def test_pairs_and_runs_across_batches(spark, tmp_path):
-    from behavio.operators import runs, strict_sequence
-    from behavio.streaming.processors import sequence_state_fn
-    ev, s = _split_stream(spark, tmp_path)
-    s = s.withColumn("is_fail", F.col("event_type") == "error")
-    gap_us = 6 * 3600 * 1_000_000
-    pairs = s.groupBy("user_id").applyInPandasWithState(
-        sequence_state_fn("user_id", "ts", "event_id", "is_fail", "pairs", gap_us),
-        "user_id long, first_ts timestamp, last_ts timestamp, first_seq long, n long",
-        "a boolean, b long, c long", "append", "NoTimeout")
-    got = _rows(run_available(spark, pairs, "t_pairs"), ["user_id", "first_seq", "n"])
-    err = F.col("event_type") == "error"
-    exp = _rows(strict_sequence(ev, "user_id", "ts", "event_id", err, 2, "6 hours"), ["user_id", "first_seq", "n"])
-    assert got == exp and got
-    rr = s.groupBy("user_id").applyInPandasWithState(
-        sequence_state_fn("user_id", "ts", "event_id", "is_fail", "runs", 2 * gap_us, 2),
-        "user_id long, first_ts timestamp, last_ts timestamp, event_id long, fails long",
-        "a long, b long, c long", "append", "NoTimeout")
-    got = _rows(run_available(spark, rr, "t_runs"), ["user_id", "event_id", "fails"])
-    exp = _rows(runs(ev, "user_id", "ts", "event_id", err, "12 hours", 2), ["user_id", "event_id", "fails"])
-    assert got == exp and got
