@@ -221,7 +221,7 @@ def train(texts: list[str], labels: np.ndarray, steps: int = 240, batch: int = 6
     base = np.array([np.log(rate_of_ones / (1 - rate_of_ones)) - 2.0])
     s = Spelling(texts) if texts else None
     if s is None or not len(s.word) or len(set(labels.tolist())) < 2:
-        return net | {"ow": net["ow"] * 0, "ob": base.astype(np.float32), "low": base}
+        return net | {"ow": net["ow"] * 0, "ob": base.astype(np.float32), "low": base.astype(np.float32)}
     words, grams = s.grams()
     edge = np.searchsorted(words, np.arange(len(s.bucket) + 1))
     own = np.split(s.word, np.cumsum(np.bincount(s.doc, minlength=len(texts)))[:-1])
