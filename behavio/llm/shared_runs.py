@@ -15,8 +15,10 @@ windows with the same anchor are a *run*; runs of one text are some
    occur in an earlier one.  An anchor of more than ``HOT_CLASSES`` classes is
    split into its windows, dealt by their own hashes.
 
-Tables that go back to the documents are broadcast when counted to be
-below ``BROADCAST_ROWS`` and shuffled beyond it.
+Before a join shuffles the runs or the texts, those without a partner are
+taken out by a broadcast of the partner's keys alone, if these are counted to be at most
+``BROADCAST_KEYS`` longs; whole rows are broadcast up to ``BROADCAST_ROWS`` only.
+Beyond these counts the same joins shuffle.
 """
 
 from __future__ import annotations
@@ -30,8 +32,10 @@ from pyspark.sql import functions as F
 from .common import written
 from .vectors import BASE, batches, mixed, powers, sliding_min
 
-BROADCAST_ROWS = 3_000_000
-HOT_CLASSES = 1000
+BROADCAST_KEYS = 4_000_000
+BROADCAST_ROWS = 1_000_000
+#: Runs that one anchor may have in one shard: some 4 MB of passages, and seconds of work.
+HOT_CLASSES = 20_000
 SECOND = 0xC2B2AE3D27D4EB4F
 #: Units of a batch must stay below 2**PLACE_BITS: their place is the low part of the ordering key.
 PLACE_BITS = 32
@@ -90,29 +94,37 @@ def run_table(docs: DataFrame, cut: Callable, width: int, k: int) -> DataFrame:
     return docs.mapInArrow(run, "fp long, ht long, doc_id long, pos long, n long")
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (a written table) with a broadcast hint if it has at most ``most`` rows."""
+def small(df: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
+    """``df`` (a written table of one long) with a broadcast hint if it has at most ``most`` rows."""
     return F.broadcast(df) if df.count() <= most else df
 
 
+def partners(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` with a partner in the written table ``other``, where its keys are
+    few enough to broadcast; else ``df`` as it is, for a join that shuffles."""
+    if other.count() > BROADCAST_KEYS:
+        return df
+    return df.join(F.broadcast(other.select(key)), key, "left_semi")
+
+
 def recurring(docs: DataFrame, cut: Callable, pieces: Callable, decide: Callable, *, width: int, k: int,
               same_document: bool) -> DataFrame:
-    """Per document with recurring windows: ``doc_id`` and ``spans``, an array
-    of (start, end) in units that earlier windows cover (overlapping, unsorted).
+    """Per document with recurring windows: ``doc_id`` and ``spans``, the
+    maximal (start, end) in units that earlier windows cover, in order.
 
     Earlier is a smaller doc_id or, if ``same_document``, the same one and a
     smaller start.  ``pieces(text, [(pos, n)])`` gives the bytes of runs;
     ``decide(frames)`` maps shards of (key, text, doc_id, pos, n), whole keys
     together in ascending order of key, to (doc_id, start, n) of recurring windows.
     """
-    order = F.struct("doc_id", "pos") if same_document else F.struct("doc_id")
+    order = F.struct("doc_id", "pos") if same_document else F.col("doc_id")
     found = run_table(docs, cut, width, k)
     anchors = written(
-        found.groupBy("fp").agg(F.count(F.lit(1)).alias("times"), F.min("ht").alias("low"), F.max("ht").alias("high"),
+        found.groupBy("fp").agg(F.min("ht").alias("low"), F.max("ht").alias("high"),
                                 F.min(order).alias("first"), F.max(order).alias("last"))
-        .where((F.col("times") > 1) & (F.col("first") != F.col("last")))
+        .where(F.col("first") != F.col("last"))
         .select("fp", "first", (F.col("low") != F.col("high")).alias("several")), "anchors")
-    shared = written(found.join(small(anchors), "fp"), "runs")
+    shared = written(partners(found, anchors, "fp").join(anchors, "fp"), "runs")
     later = order > F.col("first")
     whole = shared.where(~F.col("several") & later).select("doc_id", "pos", "n")
     mixed_runs = shared.where("several").drop("first")
@@ -123,13 +135,27 @@ def recurring(docs: DataFrame, cut: Callable, pieces: Callable, decide: Callable
     wanted = written(classes.join(hot, "fp", "left").groupBy(F.col("run.doc_id").alias("doc_id"))
                      .agg(F.collect_list(F.struct("fp", "run.pos", "run.n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs")),
                      "wanted")
-    texts = docs.join(small(wanted, BROADCAST_ROWS // 20), "doc_id").mapInArrow(
+    texts = partners(docs, wanted, "doc_id").join(wanted, "doc_id").mapInArrow(
         _fetch(pieces, width), "key long, text binary, doc_id long, pos long, n long")
     windows = (texts.repartition("key").sortWithinPartitions("key", "doc_id", "pos")
                .mapInArrow(decide, "doc_id long, pos long, n long"))
     spans = whole.unionByName(again).unionByName(windows).select(
         "doc_id", F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("n") + (width - 1)).alias("end")).alias("span"))
-    return written(spans.groupBy("doc_id").agg(F.collect_set("span").alias("spans")), "spans")
+    merged = spans.groupBy("doc_id").agg(F.collect_set("span").alias("spans")).mapInArrow(
+        _merge, "doc_id long, spans array<struct<start:long,end:long>>")
+    return written(merged, "spans")
+
+
+def span_type():
+    import pyarrow as pa
+    return pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _merge(frames):
+    import pyarrow as pa
+    for frame in frames:
+        merged = [[{"start": a, "end": b} for a, b in covered(s)] for s in frame["spans"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([frame["doc_id"], pa.array(merged, span_type())], ["doc_id", "spans"])
 
 
 def _fetch(pieces: Callable, width: int) -> Callable:
@@ -175,7 +201,7 @@ def shards(frames, size: int) -> Iterator[tuple[list, list, list, list, list]]:
         yield tuple(held)
 
 
-def covered(spans: list, n: int) -> list[tuple[int, int]]:
+def covered(spans: list, n: int = LAST_ID) -> list[tuple[int, int]]:
     """Maximal runs of units below ``n`` that the spans cover."""
     out: list[tuple[int, int]] = []
     for a, b in sorted((s["start"], min(s["end"], n)) for s in spans):
@@ -187,7 +213,9 @@ def covered(spans: list, n: int) -> list[tuple[int, int]]:
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    return docs.join(small(spans, BROADCAST_ROWS // 20), "doc_id", "left")
+    """``docs`` with their spans, null without any."""
+    size = spans.agg(F.sum(F.size("spans") + 1)).first()[0] or 0
+    return docs.join(F.broadcast(spans) if size <= BROADCAST_ROWS else spans, "doc_id", "left")
 
 
 def ordered_id(column: str) -> Column:

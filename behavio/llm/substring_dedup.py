@@ -22,7 +22,7 @@ from .vectors import batches, is_space, octets, runs, span_hashes
 
 WIDTH = 13
 #: Words of an anchor.
-K = 3
+K = 5
 SHARD_BYTES = 1 << 19
 
 
@@ -112,9 +112,14 @@ def decider(width: int, shard_bytes: int):
                     to += 1
                 same = order[at:to]
                 for i in same:
+                    last = -2
                     for j, n in enumerate(automaton.matches(coded[i])):
                         if n >= width:
-                            out.append((docs[i], places[i] + j - width + 1, 1))
+                            if j == last + 1:  # the window after the previous one
+                                out[-1][2] += 1
+                            else:
+                                out.append([docs[i], places[i] + j - width + 1, 1])
+                            last = j
                 for i in same:
                     automaton.add(coded[i])
                 at = to
@@ -154,7 +159,7 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH, id_col: str = "doc_id
             n, gone, text, where = zip(*out)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([d if d != S.LAST_ID else None for d in got["doc_id"]], pa.int64()), pa.array(n, pa.int64()),
-                 pa.array(gone, pa.int64()), pa.array(text), pa.array(where, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
+                 pa.array(gone, pa.int64()), pa.array(text), pa.array(where, S.span_type())],
                 ["doc_id", "n_words", "n_removed", "text", "spans"])
     return S.with_spans(read, spans).mapInArrow(
         run, "doc_id long, n_words long, n_removed long, text string, spans array<struct<start:long,end:long>>")

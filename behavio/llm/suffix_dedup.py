@@ -137,8 +137,10 @@ def decider(width: int, shallow: int, shard_bytes: int):
             for members in equal_windows(b"".join(texts), base[owner] + step, width, shallow):
                 least = min(members, key=lambda i: (doc[i], pos[i]))
                 gone += [i for i in members if (doc[i], pos[i]) > (doc[least], pos[least])]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[gone]), pa.array(pos[gone]), pa.array(np.ones(len(gone), np.int64))],
-                                             ["doc_id", "pos", "n"])
+            gone = np.sort(np.array(gone, np.int64))  # windows of a passage are numbered in order
+            new = np.flatnonzero(np.concatenate(([True], (np.diff(gone) != 1) | (np.diff(owner[gone]) != 0)))) if len(gone) else gone
+            yield pa.RecordBatch.from_arrays([pa.array(doc[gone[new]]), pa.array(pos[gone[new]]),
+                                              pa.array(np.diff(np.append(new, len(gone))))], ["doc_id", "pos", "n"])
     return run
 
 
@@ -172,7 +174,7 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays(
                 [pa.array([d if d != S.LAST_ID else None for d in got["doc_id"]], pa.int64()), pa.array(n, pa.int64()),
                  pa.array(gone, pa.int64()), pa.array(kept, pa.binary()),
-                 pa.array(where, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
+                 pa.array(where, S.span_type())],
                 ["doc_id", "n_bytes", "n_removed", "kept", "spans"])
     return S.with_spans(read, spans).mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, kept binary, spans array<struct<start:long,end:long>>")
