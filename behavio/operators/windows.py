@@ -69,14 +69,9 @@ def sliding_count(df: DataFrame, ts: str, size, slide, keys=(), method: str = "a
                   .agg(F.count(F.lit(1)).alias(count_col))
                   .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                           *keys, count_col))
-    panes = pane_counts(df, ts, pane_i, keys)
     if method == "deltas":
-        d = window_deltas(df, ts, size, slide, keys).where(F.col("cnt") > 0)
-        # window ends e, e + slide, ... before next_e
-        ends = F.sequence(F.col("e"), F.col("next_e") - interval(slide_i), interval(slide_i))
-        return d.select((F.explode(ends)).alias("window_end"), *keys, F.col("cnt").alias(count_col)) \
-                .select((F.col("window_end") - interval(size_i)).alias("window_start"),
-                        "window_end", *keys, count_col)
+        return _expanded(window_deltas(df, ts, size, slide, keys), size_i, slide_i, keys, count_col)
+    panes = pane_counts(df, ts, pane_i, keys)
     # A pane from p to p + pane lies in the windows that end at multiples of
     # slide (plus size, as windows start at multiples of slide) from p + pane to p + size.
     offset = size_us % slide_us
@@ -92,8 +87,23 @@ def sliding_count(df: DataFrame, ts: str, size, slide, keys=(), method: str = "a
                          "window_end", *keys, count_col))
 
 
-def window_deltas(df: DataFrame, ts: str, size, slide, keys=(), chunk="1 day") -> DataFrame:
-    """Difference form of sliding counts: per key, one row per window end
+def _expanded(deltas: DataFrame, size, slide, keys: list[str], count_col: str) -> DataFrame:
+    # window ends e, e + slide, ... before next_e
+    ends = F.sequence(F.col("e"), F.col("next_e") - interval(slide), interval(slide))
+    return deltas.where(F.col("cnt") > 0).select((F.explode(ends)).alias("window_end"), *keys, F.col("cnt").alias(count_col)) \
+                 .select((F.col("window_end") - interval(size)).alias("window_start"), "window_end", *keys, count_col)
+
+
+def sliding_count_of_panes(panes: DataFrame, size, slide, keys=(), count_col: str = "cnt") -> DataFrame:
+    """Sliding counts of a table of pane counts (pane, keys, c), panes being
+    gcd(size, slide) long, in the difference form."""
+    keys = _keys(keys)
+    return _expanded(window_deltas(panes, None, size, slide, keys), size, slide, keys, count_col)
+
+
+def window_deltas(df: DataFrame, ts: str | None, size, slide, keys=(), chunk="1 day") -> DataFrame:
+    """Difference form of sliding counts (of rows by ``ts``, or of pane counts
+    as ``pane_counts`` gives them when ``ts`` is None): per key, one row per window end
     ``e`` where the count changes; ``cnt`` holds for the window ends
     e, e+slide, ..., next_e-slide.
 
@@ -112,7 +122,8 @@ def window_deltas(df: DataFrame, ts: str, size, slide, keys=(), chunk="1 day") -
     pane_us, offset = gcd(size_us, slide_us), size_us % slide_us
     chunk_us = max(positive_micros(chunk), size_us)
     chunk_us = -(-chunk_us // slide_us) * slide_us      # a multiple of slide
-    panes = pane_counts(df, ts, pane_us / 1_000_000, keys)
+    # without a time column, df has the panes already
+    panes = df if ts is None else pane_counts(df, ts, pane_us / 1_000_000, keys)
     pm = epoch_micros(panes, "pane")
     # first window end that holds the pane, and the first that no longer does;
     # ends are multiples of slide plus the offset, which all arithmetic leaves out

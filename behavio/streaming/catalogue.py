@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import json_long
 from ..functions.times import to_event_ts, utc_ntz
 from ..session import scratch_path
-from .operators import (approx_unique, chained_unique, flatten_window, pane_sliding_count, stream_interval_join, top_n_per_batch,
+from .operators import (approx_unique, chained_unique, flatten_window, stream_interval_join, top_n_per_batch,
                         windowed_count)
 from .processors import Bursts, FollowedBy, Quota, Reconcile, Runs, StrictPairs, ordered
 from .runner import run_available, run_available_batches, run_folded
-from .running import running_users
+from .running import running_users, sliding_top
 from .sources import table_stream, with_event_time, with_micros
 from ..plans.oracle import ORACLE_SQL as _BATCH_SQL
 
@@ -191,15 +191,20 @@ def stream_uv_approx_hourly(spark: SparkSession, d: str) -> DataFrame:
     return flatten_window(approx_unique(s, "ts", "1 hour", "user_id"))
 
 
-@_streamed("stream_hot_items_fine_top", _ranked(5, 0), RANKED)
 def stream_hot_items_fine_top(spark: SparkSession, d: str) -> DataFrame:
     """Top 5 clicked items per 10 min window sliding by 5 s (rank from 0),
     with the hot-pages job's lateness: watermark delay 1 s + 60 s allowed
-    lateness, one complete report per window (D3)."""
-    s = _events(spark, d, ("ts", "event_type", "props"), "61 seconds")
-    s = s.where(F.col("event_type") == "click").select("ts", json_long("props", "k").alias("item_id"))
-    return pane_sliding_count(s, "ts", "10 minutes", "5 seconds", keys=["item_id"]).select(
-        F.col("window.end").alias("window_end"), "item_id", "cnt")
+    lateness, one complete report per window (D3).  The stream counts 5 s panes;
+    closed panes are folded into windows per micro-batch, up to the last closed pane."""
+    base = scratch_path(spark, "stream_hot_items_fine_top")
+
+    def panes(own: SparkSession) -> DataFrame:
+        s = _events(own, d, ("ts", "event_type", "props"), "61 seconds")
+        s = s.where(F.col("event_type") == "click").select("ts", json_long("props", "k").alias("item_id"))
+        return windowed_count(s, "ts", "5 seconds", keys=["item_id"], count_col="c").select(
+            F.col("window.start").alias("pane"), "item_id", "c")
+    out = run_folded(spark, panes, base, sliding_top(base, "item_id", "10 minutes", "5 seconds", 5, 0), RANKED)
+    return out.withColumn("window_end", utc_ntz(F.unix_micros("window_end")))
 
 
 def stream_uv_running(spark: SparkSession, d: str) -> DataFrame:
@@ -321,7 +326,10 @@ c AS (SELECT time_bucket(INTERVAL 5 SECOND, ts) + to_seconds(5 * k) AS window_en
       FROM v CROSS JOIN range(1, 121) AS r(k) GROUP BY 1, 2)
 SELECT window_end, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) - 1 AS BIGINT) AS rank,
        item_id, cnt
-FROM c WHERE window_end <= (SELECT max(ts) FROM v) - INTERVAL 61 SECOND QUALIFY rank < 5""",
+FROM c WHERE window_end <= (
+  SELECT max(time_bucket(INTERVAL 5 SECOND, ts)) + INTERVAL 5 SECOND FROM v
+  WHERE time_bucket(INTERVAL 5 SECOND, ts) + INTERVAL 5 SECOND <= (SELECT max(ts) FROM v) - INTERVAL 61 SECOND)
+QUALIFY rank < 5""",
 
     "stream_uv_running": "SELECT b.* FROM (" + _BATCH_SQL["uv_running"] + ") b WHERE b.ts <= " + _CLOSED + " - INTERVAL 3 SECOND",
 }

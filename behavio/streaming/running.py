@@ -1,6 +1,7 @@
-"""Running distinct users on a stream, by folding micro-batches into tables.
+"""Running distinct users and fine sliding rankings on a stream, by folding
+micro-batches into tables.
 
-A micro-batch joins the rows that still wait; rows up to the new watermark (the
+For running users, a micro-batch joins the rows that still wait; rows up to the new watermark (the
 largest time minus the delay) are taken in (time, seq) order.  What later
 batches need is written per batch: the waiting rows, the users seen in open windows,
 and one count per open window.  All steps are joins and aggregations, and the
@@ -10,9 +11,13 @@ batch meets in one task.
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..functions.times import micros_of, positive_micros, window_text
+from ..functions.times import epoch_micros, micros_of, positive_micros, window_text
+from ..operators.topn import top_n
+from ..operators.windows import sliding_count_of_panes
 
 SCHEMAS = {"waiting": "seq long, us long, user_id long, window_us long", "seen": "window_us long, user_id long",
            "counts": "window_us long, base long", "mark": "wm long, late long"}
@@ -73,3 +78,35 @@ def running_users(base: str, ts: str, seq: str, user: str, size="1 hour", delay=
         keep(spark.createDataFrame([(wm, late)], SCHEMAS["mark"]), "mark")
 
     return fold
+
+
+def sliding_top(base: str, key: str, size, slide, n: int, rank_base: int = 1):
+    """A ``foreachBatch`` function over closed pane counts (pane, key, c), each
+    emitted once: ranks the windows that end at the batch's last pane end or
+    before and after the previous batch's.  The panes of the last ``size`` are
+    written for the next batch, so a window's rows never enter stream state; counts come in
+    the difference form, whose work follows the windows."""
+    size_us = positive_micros(size)
+    pane_us = gcd(size_us, positive_micros(slide))
+    schema = f"pane timestamp, {key} long, c long"
+
+    def fold(panes: DataFrame, batch: int) -> None:
+        spark = panes.sparkSession
+        state = f"{base}/state/panes/microbatch="
+        old = spark.read.schema(schema).parquet(f"{state}{batch - 1}") if batch else spark.createDataFrame([], schema)
+        new = panes.select("pane", key, "c")
+        end = lambda df: df.agg(F.max(F.unix_micros("pane"))).first()[0]
+        low, high = end(old), end(new)
+        every = old.unionByName(new)
+        if high is not None:
+            counts = sliding_count_of_panes(every, size, slide, [key])
+            ends = epoch_micros(counts, "window_end")
+            done = counts.where(ends <= high + pane_us)
+            if low is not None:
+                done = done.where(ends > low + pane_us)
+            out = top_n(done, "window_end", "cnt", key, n, rank_base).select("window_end", "rank", key, "cnt")
+            out.write.mode("overwrite").parquet(f"{base}/data/microbatch={batch}")
+            every = every.where(F.unix_micros("pane") > high - size_us)
+        every.write.mode("overwrite").parquet(f"{state}{batch}")
+
+    return fold

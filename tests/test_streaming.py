@@ -225,3 +225,17 @@ def test_pane_sliding_count_across_batches(spark, tmp_path):
     exp = [r for r in _rows(sliding_count(ev, "ts", "1 hour", "5 minutes", ["event_type"]),
                             ["window_end", "event_type", "cnt"]) if r[0] <= last]
     assert got == exp and got
+
+
+def test_sliding_top_across_batches(spark, tmp_path):
+    from behavio.operators import sliding_count, top_n
+    from behavio.streaming.running import sliding_top
+    ev, s = _split_stream(spark, tmp_path)
+    base = str(tmp_path / "top")
+    panes = windowed_count(s, "ts", "5 minutes", keys=["user_id"], count_col="c").select(F.col("window.start").alias("pane"), "user_id", "c")
+    out = run_folded(spark, panes, base, sliding_top(base, "user_id", "1 hour", "5 minutes", 2),
+                     "window_end timestamp, rank long, user_id long, cnt long")
+    got = _rows(out.withColumn("window_end", F.col("window_end").cast("timestamp_ntz")), ["window_end", "rank", "user_id", "cnt"])
+    exp = _rows(top_n(sliding_count(ev, "ts", "1 hour", "5 minutes", ["user_id"]), "window_end", "cnt", "user_id", 2),
+                ["window_end", "rank", "user_id", "cnt"])
+    assert got == [r for r in exp if r[0] <= got[-1][0]] and len(got) > 0.95 * len(exp)
