@@ -93,8 +93,8 @@ def test_registered(spark):
     assert "pipeline" in names and {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
 
 
-@pytest.mark.parametrize("name", ["op3_exact_dedup", "op5_decontam"])
-def test_sql_of_native_queries(spark, name):
+@pytest.mark.parametrize("name", ["op2_substring_dedup", "op3_exact_dedup", "op5_decontam", "op8_jaccard_join"])
+def test_sql_of_queries(spark, name):
     import __spark_entry__ as E
     from tools.compare import digest, duck
     sf = "/root/testdata/sf0.001"
