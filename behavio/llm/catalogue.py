@@ -109,22 +109,6 @@ ORACLE_SQL = {
           SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS t FROM x ANTI JOIN c USING (doc_id, k) GROUP BY doc_id)
         SELECT w.doc_id, len(a) AS n_words, len(a) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM w LEFT JOIN kept USING (doc_id)""",
-    "op7_suffix_dedup": r"""
-        WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-        p AS (SELECT doc_id, h, unnest(range(1, len(h) // 2 - 98)) AS i FROM t WHERE len(h) >= 200),
-        g AS (SELECT doc_id, i, md5(substr(h, 2 * i - 1, 200)) AS g, CAST(doc_id AS HUGEINT) * 1000000000 + i AS place FROM p),
-        f AS (SELECT g, min(place) AS m FROM g GROUP BY g HAVING count(*) > 1),
-        d AS (SELECT doc_id, i FROM g JOIN f USING (g) WHERE place > m),
-        e AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS new FROM d),
-        r AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM e),
-        s AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM r GROUP BY doc_id, k),
-        o AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS z FROM s),
-        v AS (
-          SELECT doc_id, count(*) AS spans, sum(b - a) AS removed, max(b) AS last,
-            string_agg(substr(h, 2 * z - 1, 2 * (a - z)), '' ORDER BY a) AS kept FROM o JOIN t USING (doc_id) GROUP BY doc_id)
-        SELECT t.doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
-          sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 1) - 1))) AS kept_sha256
-        FROM t LEFT JOIN v USING (doc_id)""",
     "op8_jaccard_join": r"""
         WITH RECURSIVE w AS (
           SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

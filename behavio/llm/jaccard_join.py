@@ -12,12 +12,14 @@ Texts of equal sets are one class, and only its representative goes on.  Tokens
   are of one class, so all pairs within a class are indexed.  ``m`` grows with
   the set, which keeps the pairs linear in it.
 
-Candidates are not all pairs of an index group.  First each member meets the
-group's smallest and largest document; verified links are joined into components.
-Only groups that still hold several components give pairs, of members of
-different components, and these must share as many prefix tokens as
-the extension proves.  No link between components is lost, and a large group of
-copies costs one candidate per member.
+The extension also says how many keys a set shares at least with any similar one; sets
+that share fewer with all others together are out at once.  Candidates are not
+all pairs of an index group.  Members may first meet the group's smallest and
+largest document: in each of a few rounds every document is compared with the one of these that it
+shares most keys with and is not yet in one component with.  Only groups that then
+still hold several components give pairs, of members of different components,
+and again these must share enough keys.  No link between components is
+lost, and a large group of copies costs a few candidates per member.
 
 Frequent tokens are heavy hitters: those that recur within a task's texts and
 in all make up at least ``1 / FREQUENT_SHARE`` of the documents.  There are
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .components import components
-from .shared_runs import LAST_ID, ordered_id, small
+from .shared_runs import LAST_ID, ordered_id, partners, small
 from .vectors import batches, gram_hashes, is_space, mixed, octets, runs, span_hashes
 
 WORDS = 5
@@ -46,7 +48,9 @@ FREQUENT_LEAST = 32
 #: Tokens that a task counts at a time.
 COUNTED = 6_000_000
 #: Extension of the prefix as a part of the set size.
-EXTENSION = 0.05
+EXTENSION = 0.1
+#: Rounds in which each document meets its most promising group ends.
+STAR_ROUNDS = 3
 
 
 def token_sets(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,6 +203,49 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, threshold: int) -> D
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(compare, "a long, b long")
 
 
+def _near(n: str, m: str, threshold: int):
+    return F.least(n, m) * 100 >= F.greatest(n, m) * threshold
+
+
+def _enough_keys(members: DataFrame) -> DataFrame:
+    """Without the sets that share fewer keys with all others together than
+    the least that any of these must share (twice, as removals close keys)."""
+    for _ in range(2):
+        keys = (members.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("least").alias("need"))
+                .where("low <> high").select("key", "need"))
+        met = members.join(keys, "key")
+        busy = (met.groupBy("doc_id").agg(F.count(F.lit(1)).alias("keys"), F.min("need").alias("need"))
+                .where("keys >= need").select("doc_id"))
+        members = written(met.drop("need").join(busy, "doc_id", "left_semi"), "busy")
+    return members
+
+
+def _star_links(members: DataFrame, docs: DataFrame, words: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """Verified links of members with the ends of their groups, and the components."""
+    place = F.struct("doc_id", "n")
+    ends = members.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    met = members.join(ends, "key")
+    both = [met.where(F.col("doc_id") != F.col(f"{e}.doc_id")).where(_near("n", f"{e}.n", threshold))
+            .select(F.least("doc_id", f"{e}.doc_id").alias("a"), F.greatest("doc_id", f"{e}.doc_id").alias("b")) for e in ("low", "high")]
+    stars = written(both[0].unionByName(both[1]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")), "stars")
+    spark = docs.sparkSession
+    links = tested = spark.createDataFrame([], "a long, b long")
+    label = spark.createDataFrame([], "node long, component long")
+    for _ in range(STAR_ROUNDS):
+        side = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
+        left = (stars.join(tested, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
+                .where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")))
+        ways = left.select(F.col("a").alias("x"), F.col("b").alias("y"), "shared").unionByName(left.select(F.col("b").alias("x"), F.col("a").alias("y"), "shared"))
+        best = ways.groupBy("x").agg(F.max(F.struct("shared", (-F.col("y")).alias("less"))).alias("best")).select("x", (-F.col("best.less")).alias("y"))
+        picks = written(best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "picks")
+        if picks.isEmpty():
+            break
+        tested = tested.unionByName(picks)
+        links = written(links.unionByName(verified(picks, docs, words, threshold).distinct()), "links")
+        label = written(components(links), "labels")
+    return links, label
+
+
 def similar_groups(docs: DataFrame, *, words: int = WORDS, threshold: int = THRESHOLD, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` as ``doc_id``, ``n_shingles`` and ``component_id``
@@ -222,27 +269,17 @@ def similar_groups(docs: DataFrame, *, words: int = WORDS, threshold: int = THRE
     shared = spark.sparkContext.broadcast(np.sort(heavy["token"].to_numpy(np.int64).view(np.uint64)))
     chosen = read.join(small(classes.select("doc_id")), "doc_id", "left_semi")
     index = chosen.mapInArrow(_index(words, threshold, shared), "key long, doc_id long, n long, least long")
-    place = F.struct("doc_id", "n", "least")
-    groups = written(index.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-                     .where("low.doc_id <> high.doc_id"), "groups")
-    members = written(index.join(small(groups, 1_000_000), "key"), "members")
-
-    def near(n, m):
-        return F.least(n, m) * 100 >= F.greatest(n, m) * threshold
-    ends = [members.select(F.col(f"{e}.doc_id").alias("a"), F.col("doc_id").alias("b"), F.least("least", f"{e}.least").alias("least"))
-            .where(F.col("doc_id") != F.col(f"{e}.doc_id")).where(near(F.col("n"), F.col(f"{e}.n"))) for e in ("low", "high")]
-    stars = (ends[0].unionByName(ends[1]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "least")
-             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("least").alias("least"))
-             .where("shared >= least").select("a", "b"))
-    links = written(verified(written(stars, "stars"), read, words, threshold).distinct(), "links")
-    label = written(components(links), "labels")
-    own = (members.select("key", "doc_id", "n", "least").distinct().join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    groups = written(index.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+                     .where("low <> high").select("key"), "groups")
+    members = written(_enough_keys(partners(index, groups, "key").join(groups, "key").distinct()), "members")
+    links, label = _star_links(members, read, words, threshold)
+    own = (members.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
            .withColumn("component", F.coalesce("component", "doc_id")))
     open_keys = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    rest = written(own.join(open_keys, "key", "left_semi"), "open")
+    rest = written(_enough_keys(own.join(open_keys, "key", "left_semi")), "open")
     x = rest.select("key", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "n", "least", "component")])
     y = rest.select("key", *[F.col(c).alias(f"y_{c}") for c in ("doc_id", "n", "least", "component")])
-    across = (x.join(y, "key").where("x_doc_id < y_doc_id AND x_component <> y_component").where(near(F.col("x_n"), F.col("y_n")))
+    across = (x.join(y, "key").where("x_doc_id < y_doc_id AND x_component <> y_component").where(_near("x_n", "y_n", threshold))
               .groupBy(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b"))
               .agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("x_least", "y_least")).alias("least"))
               .where("shared >= least").select("a", "b"))
