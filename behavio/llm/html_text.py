@@ -27,6 +27,8 @@ from .common import written
 
 #: Different pages of a host on which a template subtree occurs.
 MIN_PAGES = 10
+#: Blocks and pages to drop from, up to which they are broadcast.
+BROADCAST_BLOCKS = 1_000_000
 
 # Element names of HTML by their part in a page.
 RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp", "template", "noscript", "svg", "math", "object"}
@@ -217,6 +219,10 @@ def main_text(pages: DataFrame, *, min_pages: int = MIN_PAGES) -> DataFrame:
               .select("row", "host", "pos", F.explode("block.keys").alias("key"))
               .join(templates, ["host", "key"], "left_semi")
               .groupBy("row").agg(F.collect_set("pos").alias("gone")))
+    marked = written(marked, "marked")
+    size = marked.agg(F.sum(F.size("gone") + 1)).first()[0] or 0
+    # pages without an article element have such blocks; few of them need not move the texts
+    marked = F.broadcast(marked) if size <= BROADCAST_BLOCKS else marked
     kept = F.filter(F.col("blocks"), lambda b, i: ~F.coalesce(F.array_contains(F.col("gone"), i), F.lit(False)))
     return (rows.join(marked, "row", "left")
             .select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n").alias("text")))
