@@ -114,8 +114,9 @@ def recurring(docs: DataFrame, cut: Callable, pieces: Callable, decide: Callable
 
     Earlier is a smaller doc_id or, if ``same_document``, the same one and a
     smaller start.  ``pieces(text, [(pos, n)])`` gives the bytes of runs;
-    ``decide(frames)`` maps shards of (key, text, doc_id, pos, n), whole keys
-    together in ascending order of key, to (doc_id, start, n) of recurring windows.
+    ``decide(frames)`` maps shards of (key, text, doc_id, pos, n, run), whole keys
+    together in ascending order of key, to (doc_id, start, n, run) of recurring windows;
+    ``run`` is where the run starts that a row belongs to.
     """
     order = F.struct("doc_id", "pos") if same_document else F.col("doc_id")
     found = run_table(docs, cut, width, k)
@@ -129,16 +130,20 @@ def recurring(docs: DataFrame, cut: Callable, pieces: Callable, decide: Callable
     whole = shared.where(~F.col("several") & later).select("doc_id", "pos", "n")
     mixed_runs = shared.where("several").drop("first")
     classes = written(mixed_runs.groupBy("fp", "ht").agg(F.min(order).alias("first"),
-                                                         F.min(F.struct("doc_id", "pos", "n")).alias("run")), "classes")
+                                                         F.min(F.struct("doc_id", "pos", "n")).alias("run"),
+                                                         (-F.min(F.struct("doc_id", (-F.col("pos")).alias("back")))["back"]).alias("last")), "classes")
     again = mixed_runs.join(classes.select("fp", "ht", "first"), ["fp", "ht"]).where(later).select("doc_id", "pos", "n")
     hot = classes.groupBy("fp").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > HOT_CLASSES).select("fp", F.lit(True).alias("hot"))
     wanted = written(classes.join(hot, "fp", "left").groupBy(F.col("run.doc_id").alias("doc_id"))
                      .agg(F.collect_list(F.struct("fp", "run.pos", "run.n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs")),
                      "wanted")
     texts = partners(docs, wanted, "doc_id").join(wanted, "doc_id").mapInArrow(
-        _fetch(pieces, width), "key long, text binary, doc_id long, pos long, n long")
+        _fetch(pieces, width), "key long, text binary, doc_id long, pos long, n long, run long")
     windows = (texts.repartition("key").sortWithinPartitions("key", "doc_id", "pos")
-               .mapInArrow(decide, "doc_id long, pos long, n long"))
+               .mapInArrow(decide, "doc_id long, pos long, n long, run long"))
+    if not same_document:
+        windows = _in_all_runs(written(windows, "windows"), mixed_runs, classes)
+    windows = windows.select("doc_id", "pos", "n")
     spans = whole.unionByName(again).unionByName(windows).select(
         "doc_id", F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("n") + (width - 1)).alias("end")).alias("span"))
     merged = spans.groupBy("doc_id").agg(F.collect_set("span").alias("spans")).mapInArrow(
@@ -146,6 +151,18 @@ def recurring(docs: DataFrame, cut: Callable, pieces: Callable, decide: Callable
     return written(merged, "spans")
 
 
+def _in_all_runs(windows: DataFrame, mixed_runs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``windows``, decided for the first run of each class, and the same windows of the
+    class's further runs in the same document, which no earlier document decides."""
+    several = written(classes.where(F.col("last") != F.col("run.pos"))
+                      .select("fp", "ht", F.col("run.doc_id").alias("doc_id"), F.col("run.pos").alias("run")), "several")
+    several = F.broadcast(several) if several.count() <= BROADCAST_ROWS else several
+    others = written(mixed_runs.join(several, ["fp", "ht", "doc_id"]).where(F.col("pos") != F.col("run"))
+                     .select("doc_id", "run", (F.col("pos") - F.col("run")).alias("by")).distinct(), "others")
+    others = F.broadcast(others) if others.count() <= BROADCAST_ROWS else others
+    return windows.unionByName(windows.join(others, ["doc_id", "run"]).select("doc_id", (F.col("pos") + F.col("by")).alias("pos"), "n", "run"))
+
+
 def span_type():
     import pyarrow as pa
     return pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -162,20 +179,21 @@ def _fetch(pieces: Callable, width: int) -> Callable:
     def run(frames):
         import pyarrow as pa
         for got in batches(frames, ["doc_id", "text", "runs"]):
-            keys, texts, docs, places, sizes = [], [], [], [], []
+            keys, texts, docs, places, sizes, starts = [], [], [], [], [], []
             for doc, text, wanted in zip(got["doc_id"], got["text"], got["runs"]):
-                where = [(r["pos"], r["n"], r["fp"]) for r in wanted if not r["hot"]]
+                where = [(r["pos"], r["n"], r["fp"], r["pos"]) for r in wanted if not r["hot"]]
                 # a hot anchor's windows stand alone, each dealt by its own content
-                alone = [(p, 1, None) for r in wanted if r["hot"] for p in range(r["pos"], r["pos"] + r["n"])]
-                for (p, n, fp), piece in zip(where + alone, pieces(text, [(p, n + width - 1) for p, n, _ in where + alone])):
+                alone = [(p, 1, None, r["pos"]) for r in wanted if r["hot"] for p in range(r["pos"], r["pos"] + r["n"])]
+                for (p, n, fp, start), piece in zip(where + alone, pieces(text, [(p, n + width - 1) for p, n, *_ in where + alone])):
                     keys.append(fp if fp is not None else window_key(piece))
                     texts.append(piece)
                     docs.append(doc)
                     places.append(p)
                     sizes.append(n)
+                    starts.append(start)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(texts, pa.binary()), pa.array(docs, pa.int64()),
-                                              pa.array(places, pa.int64()), pa.array(sizes, pa.int64())],
-                                             ["key", "text", "doc_id", "pos", "n"])
+                                              pa.array(places, pa.int64()), pa.array(sizes, pa.int64()), pa.array(starts, pa.int64())],
+                                             ["key", "text", "doc_id", "pos", "n", "run"])
     return run
 
 
@@ -184,16 +202,16 @@ def window_key(piece: bytes) -> int:
     return int.from_bytes(blake2b(piece, digest_size=8).digest(), "little", signed=True)
 
 
-def shards(frames, size: int) -> Iterator[tuple[list, list, list, list, list]]:
+def shards(frames, size: int) -> Iterator[tuple[list, list, list, list, list, list]]:
     """Columns of runs with whole keys together, cut when a shard has ``size`` bytes."""
-    held: list[list] = [[], [], [], [], []]
+    held: list[list] = [[], [], [], [], [], []]
     n = 0
     for frame in frames:
-        columns = [frame[c].to_pylist() for c in ("key", "text", "doc_id", "pos", "n")]
+        columns = [frame[c].to_pylist() for c in ("key", "text", "doc_id", "pos", "n", "run")]
         for row in zip(*columns):
             if n >= size and held[0][-1] != row[0]:
                 yield tuple(held)
-                held, n = [[], [], [], [], []], 0
+                held, n = [[], [], [], [], [], []], 0
             for column, value in zip(held, row):
                 column.append(value)
             n += len(row[1])

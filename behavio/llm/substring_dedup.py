@@ -101,7 +101,7 @@ def pieces(text: str, where: list[tuple[int, int]]) -> list[bytes]:
 def decider(width: int, shard_bytes: int):
     def run(frames):
         import pyarrow as pa
-        for _, texts, docs, places, _ in S.shards(frames, shard_bytes):
+        for _, texts, docs, places, _, starts in S.shards(frames, shard_bytes):
             number: dict[bytes, int] = {}
             coded = [[number.setdefault(w, len(number)) for w in t.split(b" ")] for t in texts]
             order = sorted(range(len(docs)), key=docs.__getitem__)
@@ -118,13 +118,13 @@ def decider(width: int, shard_bytes: int):
                             if j == last + 1:  # the window after the previous one
                                 out[-1][2] += 1
                             else:
-                                out.append([docs[i], places[i] + j - width + 1, 1])
+                                out.append([docs[i], places[i] + j - width + 1, 1, starts[i]])
                             last = j
                 for i in same:
                     automaton.add(coded[i])
                 at = to
-            cols = list(zip(*out)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "pos", "n"])
+            cols = list(zip(*out)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "pos", "n", "run"])
     return run
 
 

@@ -127,7 +127,7 @@ def pieces(text: str, where: list[tuple[int, int]]) -> list[bytes]:
 def decider(width: int, shallow: int, shard_bytes: int):
     def run(frames):
         import pyarrow as pa
-        for _, texts, docs, places, sizes in S.shards(frames, shard_bytes):
+        for _, texts, docs, places, sizes, starts in S.shards(frames, shard_bytes):
             base = np.concatenate(([0], np.cumsum([len(t) for t in texts])))[:-1]
             n = np.array(sizes)
             owner = np.repeat(np.arange(len(texts)), n)
@@ -140,7 +140,8 @@ def decider(width: int, shallow: int, shard_bytes: int):
             gone = np.sort(np.array(gone, np.int64))  # windows of a passage are numbered in order
             new = np.flatnonzero(np.concatenate(([True], (np.diff(gone) != 1) | (np.diff(owner[gone]) != 0)))) if len(gone) else gone
             yield pa.RecordBatch.from_arrays([pa.array(doc[gone[new]]), pa.array(pos[gone[new]]),
-                                              pa.array(np.diff(np.append(new, len(gone))))], ["doc_id", "pos", "n"])
+                                              pa.array(np.diff(np.append(new, len(gone)))),
+                                               pa.array(np.array(starts, np.int64)[owner[gone[new]]])], ["doc_id", "pos", "n", "run"])
     return run
 
 

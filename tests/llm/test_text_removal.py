@@ -70,6 +70,20 @@ def test_byte_strings(spark, rows, width):
         assert (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) == exp[LAST if r.doc_id is None else r.doc_id]
 
 
+def test_every_repeat_in_the_first_document(spark, monkeypatch):
+    from behavio.llm import shared_runs
+    rnd = random.Random(12)
+    words = lambda k: [f"w{rnd.randrange(10 ** 6)}" for _ in range(k)]
+    rows = []
+    for k in range(0, 60, 3):
+        p, q = words(30), words(20)
+        rows += [(k, " ".join(p + words(20))), (k + 1, " ".join(p + q + words(25) + p + q + words(9) + p + q))]
+    exp = words_kept(rows, 13)
+    for classes in (shared_runs.HOT_CLASSES, 0):  # also with every window dealt alone
+        monkeypatch.setattr(shared_runs, "HOT_CLASSES", classes)
+        assert {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup.remove_repeats(frame(spark, rows), width=13).collect()} == exp
+
+
 def test_hot_anchors_are_split(spark, monkeypatch):
     from behavio.llm import shared_runs
     monkeypatch.setattr(shared_runs, "HOT_CLASSES", 2)
