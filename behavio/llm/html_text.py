@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from hashlib import blake2b
 
 from pyspark.sql import DataFrame
@@ -54,6 +55,8 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[a-zA-Z/!?][^>]*(?:>|\Z)""", re.S)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""\s(?:hidden\b|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
+#: The end of the attributes of a tag that closes itself.
+EMPTY = re.compile(r"""(?:^|["'\s])/\s*\Z""")
 
 
 def named_otherwise(attributes: str) -> bool:
@@ -81,6 +84,7 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
     keys: list[list[int]] = []     # per block: hashes of removable subtrees around it
     subtrees: set[int] = set()
     stack = [Node("", 0, False, False, False, False)]
+    opened: Counter = Counter()    # elements on the stack by tag
     held: list[str] = []
     has_main = False
 
@@ -95,8 +99,13 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
                 keys.append([])
                 top.digest.update(text.encode("utf-8", "surrogatepass"))
 
+    def push(node: Node) -> None:
+        stack.append(node)
+        opened[node.tag] += 1
+
     def pop() -> None:
         node = stack.pop()
+        opened[node.tag] -= 1
         if node.inline:
             return
         raw = node.digest.digest()
@@ -127,7 +136,7 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         if not tag:
             continue
         if m[1]:
-            if tag in BLOCK or tag in ("button", "span", "a"):
+            if opened[tag]:
                 close(tag)
             elif tag == "br":
                 held.append(" ")
@@ -144,14 +153,16 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
             continue
         inline = tag not in BLOCK
         otherwise = tag == "button" or named_otherwise(m[3])
+        if inline and otherwise and EMPTY.search(m[3]):
+            continue
         if inline and not otherwise:
-            if tag in ("span", "a"):
+            if tag in ("span", "a") or opened[tag]:
                 # their ends must match even so
-                stack.append(Node(tag, len(texts), stack[-1].drop, stack[-1].main, stack[-1].safe, True))
+                push(Node(tag, len(texts), stack[-1].drop, stack[-1].main, stack[-1].safe, True))
             continue
         end_block()
         if not inline:
-            while len(stack) > 1 and stack[-1].tag in ("p", "span", "a") and (tag != "a"):
+            while len(stack) > 1 and (stack[-1].tag in ("p", "span", "a") or stack[-1].inline):
                 pop()
             if tag in ENDS:
                 same, stop = ENDS[tag]
@@ -165,7 +176,7 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         main = up.main or (tag in ("article", "main") and not up.drop)
         has_main |= main
         drop = up.drop or tag in DROPPED or otherwise or (tag == "header" and not up.main)
-        stack.append(Node(tag, len(texts), drop, main, main and tag in CONTENT and (up.safe or tag in ("article", "main")), False))
+        push(Node(tag, len(texts), drop, main, main and tag in CONTENT and (up.safe or tag in ("article", "main")), False))
     end_block()
     while len(stack) > 1:
         pop()

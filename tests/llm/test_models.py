@@ -233,6 +233,17 @@ def test_site_template_goes_without_an_article_element(spark):
         assert got[500 + k] == "Copied story."
 
 
+@pytest.mark.parametrize("element", ['<i class="icon-share" aria-hidden="true"></i>', '<ins class="ad">Buy <b>now</b></ins>',
+                                     '<strong class="alert">Buy <strong>now</strong> all</strong>', '<em hidden>no</em>', '<x-card role="banner">no</x-card>',
+                                     '<label class="search">no</label>', '<i class="share"/>', '<small class="promo">a <i class="ad">b</i> c</small>'])
+def test_inline_elements_end_where_they_end(element):
+    between = f"<article>{element}<p>one</p>{element}<p>two</p><div>three</div></article>"
+    inside = f"<article><p>one {element}more</p><p>two <i>and</i> three{element}</p><ul><li>{element}four<li>five</ul></article>"
+    text = lambda page: " ".join(t for t, _ in html_text.read_page(page)[0])
+    assert text(between) == "one two three"
+    assert text(inside) == "one more two and three four five"
+
+
 def test_html_edges(spark):
     rows = [(1, None, None), (2, "x", ""), (3, "http://e/", "plain & text"), (4, "http://e/", "<p>cut <a href='"), (5, "http://e/", "<p>&am"),
             (5, "http://e/", "<p>&am"), (None, None, "<article><p>a</article><p>b"), (6, "", "<div " * 3000), (7, "", "<div>" * 3000 + "deep"),
