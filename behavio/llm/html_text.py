@@ -2,15 +2,16 @@
 
 A page is read once, leniently, into text blocks.  Every block-level element
 is a subtree with a hash over its tag, its text and its children's hashes.  Spark counts,
-per host, on how many different pages each subtree occurs; subtrees on at least ``MIN_PAGES``
-pages are the site's template and their blocks go.  Elements that are
+per host, on how many different pages each subtree occurs; subtrees on at least ``MIN_SHARE``
+of the host's different pages, and on ``MIN_PAGES`` at least, are the site's template and
+their blocks go.  Elements that are
 no article by their name or class (menus, footers, forms, comments, ...) go
 at once.
 
 Where a page marks its article (``article`` or ``main``), only that is
 read, and its own paragraphs, headings, lists and tables are content even when
-they recur on the site: a template is then looked for in the article's other
-containers only.  Without such an element, every block outside the named
+they recur on the site, also inside of neutral containers (``div``, ``section``, ...): a template
+is then looked for among the texts that stand in such a container directly.  Without such an element, every block outside the named
 containers is content unless it is template.
 """
 
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: Different pages of a host on which a template subtree occurs.
+#: Different pages of a host on which a template subtree occurs at least, and their share of all of its different pages.
 MIN_PAGES = 10
+MIN_SHARE = 0.5
 #: Blocks and pages to drop from, up to which they are broadcast.
 BROADCAST_BLOCKS = 1_000_000
 
@@ -40,6 +42,8 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center
          "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 LEAVES = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "pre", "caption", "figcaption", "summary", "option"}
 CONTENT = LEAVES | {"article", "main", "ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "tr", "blockquote", "figure"}
+#: Containers that say nothing about what they hold.
+NEUTRAL = {"div", "section", "header", "center", "details"}
 DROPPED = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "select", "fieldset", "button"}
 # Words of a class, id or role that name something other than the article.
 NAMES = {"ad", "ads", "advert", "advertisement", "adverts", "banner", "sponsor", "sponsored", "promo", "promotion", "nav",
@@ -67,11 +71,15 @@ def named_otherwise(attributes: str) -> bool:
     return any(w in NAMES for w in words) or HIDDEN.search(attributes) is not None
 
 
+#: Whether an element is the article's: not known; a neutral container of it; its content, which is no template.
+OTHER, INSIDE, CONTENTS = range(3)
+
+
 class Node:
     """An open element: its running hash, and what blocks in it are subject to."""
     __slots__ = ("tag", "digest", "first", "drop", "main", "safe", "inline")
 
-    def __init__(self, tag: str, first: int, drop: bool, main: bool, safe: bool, inline: bool):
+    def __init__(self, tag: str, first: int, drop: bool, main: bool, safe: int, inline: bool):
         self.tag, self.first, self.drop, self.main, self.safe, self.inline = tag, first, drop, main, safe, inline
         self.digest = blake2b(tag.encode(), digest_size=8)
 
@@ -80,10 +88,10 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
     """Blocks in page order, as text and the hashes of the subtrees whose
     being template would remove it; and the page's distinct subtree hashes."""
     texts: list[str] = []          # block texts
-    kinds: list[tuple] = []        # per block: (dropped, in main)
+    kinds: list[tuple] = []        # per block: (dropped, in main, is content)
     keys: list[list[int]] = []     # per block: hashes of removable subtrees around it
     subtrees: set[int] = set()
-    stack = [Node("", 0, False, False, False, False)]
+    stack = [Node("", 0, False, False, OTHER, False)]
     opened: Counter = Counter()    # elements on the stack by tag
     held: list[str] = []
     has_main = False
@@ -95,7 +103,7 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
             if text:
                 top = stack[-1]
                 texts.append(text)
-                kinds.append((top.drop, top.main))
+                kinds.append((top.drop, top.main, top.safe == CONTENTS))
                 keys.append([])
                 top.digest.update(text.encode("utf-8", "surrogatepass"))
 
@@ -113,9 +121,10 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         key = int.from_bytes(raw, "little", signed=True)
         if node.first < len(texts):
             subtrees.add(key)
-            if not node.safe and (node.main or not has_main):  # what holds an article is no template
-                for k in keys[node.first:]:
-                    k.append(key)
+            if node.safe != CONTENTS and (node.main or not has_main):  # what holds an article is no template
+                for k, (_, _, content) in zip(keys[node.first:], kinds[node.first:]):
+                    if not content:
+                        k.append(key)
 
     def close(tag: str) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -176,11 +185,16 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         main = up.main or (tag in ("article", "main") and not up.drop)
         has_main |= main
         drop = up.drop or tag in DROPPED or otherwise or (tag == "header" and not up.main)
-        push(Node(tag, len(texts), drop, main, main and tag in CONTENT and (up.safe or tag in ("article", "main")), False))
+        safe = OTHER
+        if main and tag in CONTENT:
+            safe = CONTENTS if up.safe or tag in ("article", "main") else OTHER
+        elif main and tag in NEUTRAL:  # its own text is content inside of a list item, a cell, a quotation
+            safe = min(up.safe, INSIDE) if up.tag in ("article", "main") else up.safe
+        push(Node(tag, len(texts), drop, main, safe, False))
     end_block()
     while len(stack) > 1:
         pop()
-    blocks = [(t, k) for t, (drop, main), k in zip(texts, kinds, keys) if not drop and (main or not has_main)]
+    blocks = [(t, k) for t, (drop, main, _), k in zip(texts, kinds, keys) if not drop and (main or not has_main)]
     return blocks, sorted(subtrees)
 
 
@@ -212,7 +226,7 @@ def parsed(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html").mapInArrow(run, ddl)
 
 
-def main_text(pages: DataFrame, *, min_pages: int = MIN_PAGES) -> DataFrame:
+def main_text(pages: DataFrame, *, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): ``page_id``, ``url``
     and ``text``, the blocks of the article joined by an empty line.
 
@@ -224,8 +238,12 @@ def main_text(pages: DataFrame, *, min_pages: int = MIN_PAGES) -> DataFrame:
     columns are not read.
     """
     rows = written(parsed(pages).withColumn("row", F.monotonically_increasing_id()), "pages")
+    hosts = written(rows.select("host", "page_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+                    .where(F.col("pages") >= min_pages), "hosts")
+    hosts = F.broadcast(hosts) if hosts.count() <= BROADCAST_BLOCKS else hosts
     templates = (rows.select("host", "page_hash", F.explode("subtrees").alias("key")).distinct()
-                 .groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages).select("host", "key"))
+                 .groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+                 .join(hosts, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "key"))
     marked = (rows.select("row", "host", F.posexplode("blocks").alias("pos", "block"))
               .select("row", "host", "pos", F.explode("block.keys").alias("key"))
               .join(templates, ["host", "key"], "left_semi")

@@ -244,6 +244,19 @@ def test_inline_elements_end_where_they_end(element):
     assert text(inside) == "one more two and three four five"
 
 
+def test_what_recurs_on_few_pages_of_a_large_host_stays(spark):
+    rows = []
+    for k in range(60):
+        quoted = "<h2>Ingredients</h2><p>A quotation.</p>" if k % 4 == 0 else ""
+        rows.append((k, f"http://a.example/{k}", f"<div><p>Site line</p></div><div><h1>Dish {k}</h1>{quoted}</div>"))
+        rows.append((100 + k, f"http://b.example/{k}", f"<article><div class=body><section><h1>Dish {k}</h1><h2>Ingredients</h2><p>A <a href=x>line</a>"
+                     "<ul><li>salt<li><div>oil</div></ul></section></div><div>Read on</div></article>"))
+    got = {r.page_id: r.text.split("\n\n") for r in html_text.main_text(pages(spark, rows)).collect()}
+    for k in range(60):
+        assert got[k] == [f"Dish {k}"] + (["Ingredients", "A quotation."] if k % 4 == 0 else [])
+        assert got[100 + k] == [f"Dish {k}", "Ingredients", "A line", "salt", "oil"]
+
+
 def test_html_edges(spark):
     rows = [(1, None, None), (2, "x", ""), (3, "http://e/", "plain & text"), (4, "http://e/", "<p>cut <a href='"), (5, "http://e/", "<p>&am"),
             (5, "http://e/", "<p>&am"), (None, None, "<article><p>a</article><p>b"), (6, "", "<div " * 3000), (7, "", "<div>" * 3000 + "deep"),
