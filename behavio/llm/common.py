@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from behavio.session import checkpoint_dir, scratch_path
 
+#: Ids of several rows, up to which they are broadcast.
+SHARED_IDS = 1_000_000
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often a
@@ -25,6 +28,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with ``row``, which tells rows apart that share an id (null
+    being one too) but not their text: a hash of the text, and 0 where the id is of one row only."""
+    shared = written(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("shared_id")), "shared-ids")
+    shared = F.broadcast(shared) if shared.count() <= SHARED_IDS else shared
+    return (docs.join(shared.withColumn("is_shared", F.lit(True)), F.col("doc_id").eqNullSafe(F.col("shared_id")), "left")
+            .withColumn("row", F.when(F.col("is_shared"), F.xxhash64(F.coalesce("text", F.lit("")))).otherwise(F.lit(0))).drop("shared_id", "is_shared"))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder."""
     checkpoint_dir(df.sparkSession)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, written
+from .common import keyed, let, written
 
 CHUNK_TOKENS = 32
 MAX_TOKENS = 256
@@ -54,7 +54,7 @@ def identifier(chunk: Column) -> Column:
     return F.unhex(F.md5(chunk.cast("binary")))
 
 
-def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows: bool = False) -> DataFrame:
     """One row per input row: ``doc_id``, ``keep_id`` (smallest id among the
     rows of equal text), ``group_size``, ``kept`` and ``text_sha256`` of the
     normalised text.
@@ -62,11 +62,15 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     Null and empty texts are equal to each other; a text of white space only is
     one blank.  Repeated rows count in ``group_size`` and share their flag.  A
     null id is larger than any other.  An empty table gives an empty result.
-    Other columns are not read.
+    Other columns are not read.  With ``rows``, the column ``row`` of ``keyed`` goes with ``doc_id``.
     """
-    read = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col).cast("string")).alias("text"))
+    read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    names = ["doc_id"]
+    if rows:
+        read, names = keyed(read), ["doc_id", "row"]
+    read = read.withColumn("text", normalised(F.col("text")))
     recipes = written(read.select(
-        "doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+        *names, F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
         F.transform(chunks(F.col("text")), identifier).alias("recipe")), "recipes")
     stored = (read.select(F.explode(chunks(F.col("text"))).alias("chunk"))
               .groupBy(identifier(F.col("chunk")).alias("id"), "chunk").agg(F.count(F.lit(1)).alias("n")))
@@ -75,9 +79,9 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                 .join(forged, "id", "left_semi").groupBy("text_sha256").agg(F.lit(True).alias("by_text")))
     named = (recipes.join(suspects, "text_sha256", "left")
              # a recipe with a forged identifier is told apart by the digest of the whole text
-             .select("doc_id", "text_sha256", "recipe",
+             .select(*names, "text_sha256", "recipe",
                      F.when(F.col("by_text"), F.col("text_sha256")).otherwise(F.lit("")).alias("apart")))
     groups = named.groupBy("recipe", "apart").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     return (named.join(groups, ["recipe", "apart"])
-            .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+            .select(*names, "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     "text_sha256"))

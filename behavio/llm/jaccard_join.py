@@ -31,10 +31,10 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import keyed, written
 from .components import components
 from .shared_runs import LAST_ID, ordered_id, partners, small
 from .vectors import batches, gram_hashes, is_space, mixed, octets, runs, span_hashes
@@ -77,23 +77,23 @@ def token_sets(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _profiles(words: int):
-    """(doc_id, n, sig) of each row, and (token, n) of tokens that recur in the task."""
+    """(doc_id, id, n, sig) of each row, and (token, n) of tokens that recur in the task."""
     def run(frames) -> Iterator:
         import pyarrow as pa
-        names = ["doc_id", "n", "sig", "token"]
+        names = ["doc_id", "id", "n", "sig", "token"]
         held, size = [], 0
 
         def recurring():
             token, n = np.unique(np.concatenate(held), return_counts=True)
             many = n > 1
             count = int(many.sum())
-            return pa.RecordBatch.from_arrays([pa.nulls(count, pa.int64()), pa.array(n[many]), pa.nulls(count, pa.binary()),
+            return pa.RecordBatch.from_arrays([pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64()), pa.array(n[many]), pa.nulls(count, pa.binary()),
                                                pa.array(token[many].view(np.int64))], names)
-        for got in batches(frames, ["doc_id", "text"]):
+        for got in batches(frames, ["doc_id", "id", "text"]):
             token, edge = token_sets(got["text"], words)
             n = np.diff(edge)
             sig = [blake2b(token[a:b].tobytes(), digest_size=16).digest() for a, b in zip(edge[:-1], edge[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(got["doc_id"], pa.int64()), pa.array(n), pa.array(sig),
+            yield pa.RecordBatch.from_arrays([pa.array(got["doc_id"], pa.int64()), pa.array(got["id"], pa.int64()), pa.array(n), pa.array(sig),
                                               pa.nulls(len(n), pa.int64())], names)
             held.append(token)
             size += len(token)
@@ -199,8 +199,13 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, threshold: int) -> D
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(compare, "a long, b long")
 
 
+def node_of(doc_id: str, row: str) -> Column:
+    """What stands for a row among the links: its id, or a hash if its id is of several rows."""
+    return F.when(F.col(row) == 0, F.col(doc_id)).otherwise(F.xxhash64(doc_id, row))
+
+
 def similar_groups(docs: DataFrame, *, words: int = WORDS, threshold: int = THRESHOLD, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", rows: bool = False) -> DataFrame:
     """Every row of ``docs`` as ``doc_id``, ``n_shingles`` and ``component_id``
     (smallest id reachable by links, its own included).
 
@@ -208,15 +213,20 @@ def similar_groups(docs: DataFrame, *, words: int = WORDS, threshold: int = THRE
     one shingle.  Two rows link when ``100 * intersection >= threshold *
     union`` of their sets.  Null, empty and blank texts have no shingle and
     link with nothing; a null id is larger than any other and stays null.
-    Repeated rows link with each other.  Empty table: no rows.  Other columns
-    are not read.  Sets are of 64-bit hashes.
+    Repeated rows link with each other; rows of different texts do not by sharing an id, or having none.  Empty
+    table: no rows.  Other columns are not read.  Sets are of 64-bit hashes.  With ``rows``, each row also has ``node``
+    (``node_of`` its id and its ``row`` of ``keyed``) and ``first``, whether it is the smallest of its
+    component (of smallest id, and among the rows of that id one).
     """
-    read = docs.select(ordered_id(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    read = (keyed(docs.select(ordered_id(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")))
+            .select(node_of("doc_id", "row").alias("doc_id"), F.col("doc_id").alias("id"), "text"))
     spark = docs.sparkSession
-    profile = written(read.mapInArrow(_profiles(words), "doc_id long, n long, sig binary, token long"), "profiles")
-    rows = profile.where("token IS NULL").select("doc_id", "n", "sig")
-    classes = written(rows.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("doc_id")), "classes")
-    least = max(FREQUENT_LEAST, rows.count() // FREQUENT_SHARE)
+    profile = written(read.mapInArrow(_profiles(words), "doc_id long, id long, n long, sig binary, token long"), "profiles")
+    every = profile.where("token IS NULL").select("doc_id", "id", "n", "sig")
+    least_of = F.min(F.struct("id", "doc_id"))
+    classes = written(every.where("n > 0").groupBy("sig", "n").agg(least_of.alias("least"))
+                      .select("sig", "n", "least", F.col("least.doc_id").alias("doc_id")), "classes")
+    least = max(FREQUENT_LEAST, every.count() // FREQUENT_SHARE)
     # heavy hitters: bounded by FREQUENT_SHARE times the mean set size
     heavy = profile.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("token").toPandas()
     shared = spark.sparkContext.broadcast(np.sort(heavy["token"].to_numpy(np.int64).view(np.uint64)))
@@ -248,8 +258,12 @@ def similar_groups(docs: DataFrame, *, words: int = WORDS, threshold: int = THRE
               .where("shared >= least").select("a", "b"))
     more = written(verified(written(across, "across"), read, words, threshold).distinct(), "more")
     final = components(links.unionByName(more))
-    rep = classes.withColumnRenamed("doc_id", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
-    out = rows.join(rep.select("sig", "n", F.coalesce("component", "rep").alias("component")), ["sig", "n"], "left")
+    # of each linked class the component, named by the smallest of all of its rows
+    linked = written(classes.join(final.withColumnRenamed("node", "doc_id"), "doc_id").select("sig", "n", "least", "component"), "linked")
+    named = linked.groupBy("component").agg(F.min("least").alias("smallest"))
+    of_class = linked.join(named, "component").select("sig", "n", "smallest")
+    rep = classes.select("sig", "n", "least").join(of_class, ["sig", "n"], "left").select("sig", "n", F.coalesce("smallest", "least").alias("smallest"))
+    out = every.join(rep, ["sig", "n"], "left").withColumn("smallest", F.coalesce("smallest", F.struct("id", "doc_id")))
     back = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
-    return out.select(back("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("c")) \
-        .select("doc_id", "n_shingles", back("c").alias("component_id"))
+    more_of = [F.col("doc_id").alias("node"), (F.col("doc_id") == F.col("smallest.doc_id")).alias("first")] if rows else []
+    return out.select(back("id").alias("doc_id"), F.col("n").alias("n_shingles"), back("smallest.id").alias("component_id"), *more_of)

@@ -23,6 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import keyed
 from .vectors import batches, characters, is_space, runs, span_hashes
 
 SAMPLE_ROWS = 6000
@@ -205,7 +206,7 @@ def sample_features(docs: DataFrame, flags: DataFrame, rows: int) -> tuple[np.nd
 
 
 def score(docs: DataFrame, positives: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+          sample_rows: int = SAMPLE_ROWS, rows: bool = False) -> DataFrame:
     """Every row of ``docs`` as ``doc_id`` and ``score`` (0 to 1; at 0.5 and
     above the text is of the positive class).  ``positives`` has the ids of
     trusted positives; all other documents are unlabelled.
@@ -213,9 +214,13 @@ def score(docs: DataFrame, positives: DataFrame, *, id_col: str = "doc_id", text
     Null and empty texts have a score too (that of all-zero features).  A
     repeated row is scored each time; a null id is scored and never trains.
     Without positives every score is 0.5; without other documents it is above.  Empty
-    tables: no rows.  Other columns are not read.
+    tables: no rows.  Other columns are not read.  With ``rows``, the column ``row`` of ``keyed``
+    goes with ``doc_id``.
     """
     read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    names = ["doc_id"]
+    if rows:
+        read, names = keyed(read), ["doc_id", "row"]
     trusted = positives.select(F.col(positives.columns[0]).alias("doc_id")).distinct().withColumn("positive", F.lit(True))
     flags = (read.select("doc_id").distinct().join(trusted, "doc_id", "left")
              .select("doc_id", F.coalesce("positive", F.lit(False)).alias("positive")))
@@ -225,10 +230,11 @@ def score(docs: DataFrame, positives: DataFrame, *, id_col: str = "doc_id", text
 
     def run(frames):
         import pyarrow as pa
-        for got in batches(frames, ["doc_id", "text"]):
+        for got in batches(frames, [*names, "text"]):
             f = forward(net, features(got["text"], classes))[1]
-            yield pa.RecordBatch.from_arrays([pa.array(got["doc_id"], id_type), pa.array(sigmoid(f))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(got[c], t) for c, t in zip(names, (id_type, pa.int64()))), pa.array(sigmoid(f))],
+                                             [*names, "score"])
     from pyspark.sql.pandas.types import to_arrow_type
     kind = read.schema["doc_id"].dataType
     id_type = to_arrow_type(kind)
-    return read.mapInArrow(run, f"doc_id {kind.simpleString()}, score double")
+    return read.mapInArrow(run, f"doc_id {kind.simpleString()}, {'row long, ' if rows else ''}score double")

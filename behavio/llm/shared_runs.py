@@ -82,16 +82,17 @@ def runs_of(values: np.ndarray, edges: np.ndarray, width: int, k: int) -> tuple[
 
 
 def run_table(docs: DataFrame, cut: Callable, width: int, k: int) -> DataFrame:
-    """(fp, ht, doc_id, pos, n) of all runs of ``docs`` (doc_id long, text);
+    """(fp, ht, doc_id, row, pos, n) of all runs of ``docs`` (doc_id long, row long, text);
     ``cut(texts)`` gives unit hashes and document edges."""
     def run(frames: Iterator) -> Iterator:
         import pyarrow as pa
-        for got in batches(frames, ["doc_id", "text"]):
+        for got in batches(frames, ["doc_id", "row", "text"]):
             doc, pos, n, fp, ht = runs_of(*cut(got["text"]), width, k)
             yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(ht.view(np.int64)),
-                                              pa.array(np.array(got["doc_id"], np.int64)[doc]), pa.array(pos), pa.array(n)],
-                                             ["fp", "ht", "doc_id", "pos", "n"])
-    return docs.mapInArrow(run, "fp long, ht long, doc_id long, pos long, n long")
+                                              pa.array(np.array(got["doc_id"], np.int64)[doc]),
+                                              pa.array(np.array(got["row"], np.int64)[doc]), pa.array(pos), pa.array(n)],
+                                             ["fp", "ht", "doc_id", "row", "pos", "n"])
+    return docs.mapInArrow(run, "fp long, ht long, doc_id long, row long, pos long, n long")
 
 
 def small(df: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
@@ -109,13 +110,13 @@ def partners(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
 
 def recurring(docs: DataFrame, cut: Callable, pieces: Callable, decide: Callable, *, width: int, k: int,
               same_document: bool) -> DataFrame:
-    """Per document with recurring windows: ``doc_id`` and ``spans``, the
+    """Per row of ``docs`` (doc_id, row, text; see ``keyed``) with recurring windows: ``doc_id``, ``row`` and ``spans``, the
     maximal (start, end) in units that earlier windows cover, in order.
 
     Earlier is a smaller doc_id or, if ``same_document``, the same one and a
     smaller start.  ``pieces(text, [(pos, n)])`` gives the bytes of runs;
-    ``decide(frames)`` maps shards of (key, text, doc_id, pos, n, run), whole keys
-    together in ascending order of key, to (doc_id, start, n, run) of recurring windows;
+    ``decide(frames)`` maps shards of (key, text, doc_id, row, pos, n, run), whole keys
+    together in ascending order of key, to (doc_id, row, start, n, run) of recurring windows;
     ``run`` is where the run starts that a row belongs to.
     """
     order = F.struct("doc_id", "pos") if same_document else F.col("doc_id")
@@ -127,40 +128,47 @@ def recurring(docs: DataFrame, cut: Callable, pieces: Callable, decide: Callable
         .select("fp", "first", (F.col("low") != F.col("high")).alias("several")), "anchors")
     shared = written(partners(found, anchors, "fp").join(anchors, "fp"), "runs")
     later = order > F.col("first")
-    whole = shared.where(~F.col("several") & later).select("doc_id", "pos", "n")
+    whole = shared.where(~F.col("several") & later).select("doc_id", "row", "pos", "n")
     mixed_runs = shared.where("several").drop("first")
     classes = written(mixed_runs.groupBy("fp", "ht").agg(F.min(order).alias("first"),
-                                                         F.min(F.struct("doc_id", "pos", "n")).alias("run"),
-                                                         (-F.min(F.struct("doc_id", (-F.col("pos")).alias("back")))["back"]).alias("last")), "classes")
-    again = mixed_runs.join(classes.select("fp", "ht", "first"), ["fp", "ht"]).where(later).select("doc_id", "pos", "n")
+                                                         F.min(F.struct("doc_id", "pos", "n", "row")).alias("run"),
+                                                         # the last of the runs that are first alike
+                                                         F.min(F.struct(order.alias("first"), F.bitwise_not("pos").alias("pos"),
+                                                                        F.bitwise_not("row").alias("row"))).alias("last")), "classes")
+    again = mixed_runs.join(classes.select("fp", "ht", "first"), ["fp", "ht"]).where(later).select("doc_id", "row", "pos", "n")
     hot = classes.groupBy("fp").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > HOT_CLASSES).select("fp", F.lit(True).alias("hot"))
-    wanted = written(classes.join(hot, "fp", "left").groupBy(F.col("run.doc_id").alias("doc_id"))
+    wanted = written(classes.join(hot, "fp", "left").groupBy(F.col("run.doc_id").alias("doc_id"), F.col("run.row").alias("row"))
                      .agg(F.collect_list(F.struct("fp", "run.pos", "run.n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs")),
                      "wanted")
-    texts = partners(docs, wanted, "doc_id").join(wanted, "doc_id").mapInArrow(
-        _fetch(pieces, width), "key long, text binary, doc_id long, pos long, n long, run long")
+    texts = partners(docs, wanted, "doc_id").join(wanted, ["doc_id", "row"]).mapInArrow(
+        _fetch(pieces, width), "key long, text binary, doc_id long, row long, pos long, n long, run long")
     windows = (texts.repartition("key").sortWithinPartitions("key", "doc_id", "pos")
-               .mapInArrow(decide, "doc_id long, pos long, n long, run long"))
-    if not same_document:
-        windows = _in_all_runs(written(windows, "windows"), mixed_runs, classes)
-    windows = windows.select("doc_id", "pos", "n")
+               .mapInArrow(decide, "doc_id long, row long, pos long, n long, run long"))
+    windows = _in_all_runs(windows, mixed_runs, classes, order).select("doc_id", "row", "pos", "n")
     spans = whole.unionByName(again).unionByName(windows).select(
-        "doc_id", F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("n") + (width - 1)).alias("end")).alias("span"))
-    merged = spans.groupBy("doc_id").agg(F.collect_set("span").alias("spans")).mapInArrow(
-        _merge, "doc_id long, spans array<struct<start:long,end:long>>")
+        "doc_id", "row", F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("n") + (width - 1)).alias("end")).alias("span"))
+    merged = spans.groupBy("doc_id", "row").agg(F.collect_set("span").alias("spans")).mapInArrow(
+        _merge, "doc_id long, row long, spans array<struct<start:long,end:long>>")
     return written(merged, "spans")
 
 
-def _in_all_runs(windows: DataFrame, mixed_runs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``windows``, decided for the first run of each class, and the same windows of the
-    class's further runs in the same document, which no earlier document decides."""
-    several = written(classes.where(F.col("last") != F.col("run.pos"))
-                      .select("fp", "ht", F.col("run.doc_id").alias("doc_id"), F.col("run.pos").alias("run")), "several")
-    several = F.broadcast(several) if several.count() <= BROADCAST_ROWS else several
-    others = written(mixed_runs.join(several, ["fp", "ht", "doc_id"]).where(F.col("pos") != F.col("run"))
-                     .select("doc_id", "run", (F.col("pos") - F.col("run")).alias("by")).distinct(), "others")
+def _in_all_runs(windows: DataFrame, mixed_runs: DataFrame, classes: DataFrame, order: Column) -> DataFrame:
+    """``windows``, decided for one first run of each class, and the same windows of the
+    class's other runs that no run is earlier than: those in the same document where that is
+    the order, and those of other rows of the same id."""
+    several = written(classes.where((F.bitwise_not("last.pos") != F.col("run.pos")) | (F.bitwise_not("last.row") != F.col("run.row")))
+                      .select("fp", "ht", "first", F.col("run.row").alias("of_row"), F.col("run.pos").alias("run")), "several")
+    n = several.count()
+    if not n:
+        return windows
+    windows = written(windows, "windows")
+    several = F.broadcast(several) if n <= BROADCAST_ROWS else several
+    others = written(mixed_runs.join(several, ["fp", "ht"]).where(order == F.col("first"))
+                     .where((F.col("pos") != F.col("run")) | (F.col("row") != F.col("of_row")))
+                     .select("doc_id", "of_row", "run", F.col("row").alias("to_row"), (F.col("pos") - F.col("run")).alias("by")).distinct(), "others")
     others = F.broadcast(others) if others.count() <= BROADCAST_ROWS else others
-    return windows.unionByName(windows.join(others, ["doc_id", "run"]).select("doc_id", (F.col("pos") + F.col("by")).alias("pos"), "n", "run"))
+    return windows.unionByName(windows.withColumnRenamed("row", "of_row").join(others, ["doc_id", "of_row", "run"])
+                               .select("doc_id", F.col("to_row").alias("row"), (F.col("pos") + F.col("by")).alias("pos"), "n", "run"))
 
 
 def span_type():
@@ -172,15 +180,15 @@ def _merge(frames):
     import pyarrow as pa
     for frame in frames:
         merged = [[{"start": a, "end": b} for a, b in covered(s)] for s in frame["spans"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([frame["doc_id"], pa.array(merged, span_type())], ["doc_id", "spans"])
+        yield pa.RecordBatch.from_arrays([frame["doc_id"], frame["row"], pa.array(merged, span_type())], ["doc_id", "row", "spans"])
 
 
 def _fetch(pieces: Callable, width: int) -> Callable:
     def run(frames):
         import pyarrow as pa
-        for got in batches(frames, ["doc_id", "text", "runs"]):
-            keys, texts, docs, places, sizes, starts = [], [], [], [], [], []
-            for doc, text, wanted in zip(got["doc_id"], got["text"], got["runs"]):
+        for got in batches(frames, ["doc_id", "row", "text", "runs"]):
+            keys, texts, docs, rows, places, sizes, starts = [], [], [], [], [], [], []
+            for doc, row, text, wanted in zip(got["doc_id"], got["row"], got["text"], got["runs"]):
                 where = [(r["pos"], r["n"], r["fp"], r["pos"]) for r in wanted if not r["hot"]]
                 # a hot anchor's windows stand alone, each dealt by its own content
                 alone = [(p, 1, None, r["pos"]) for r in wanted if r["hot"] for p in range(r["pos"], r["pos"] + r["n"])]
@@ -188,12 +196,13 @@ def _fetch(pieces: Callable, width: int) -> Callable:
                     keys.append(fp if fp is not None else window_key(piece))
                     texts.append(piece)
                     docs.append(doc)
+                    rows.append(row)
                     places.append(p)
                     sizes.append(n)
                     starts.append(start)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(texts, pa.binary()), pa.array(docs, pa.int64()),
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(texts, pa.binary()), pa.array(docs, pa.int64()), pa.array(rows, pa.int64()),
                                               pa.array(places, pa.int64()), pa.array(sizes, pa.int64()), pa.array(starts, pa.int64())],
-                                             ["key", "text", "doc_id", "pos", "n", "run"])
+                                             ["key", "text", "doc_id", "row", "pos", "n", "run"])
     return run
 
 
@@ -202,16 +211,16 @@ def window_key(piece: bytes) -> int:
     return int.from_bytes(blake2b(piece, digest_size=8).digest(), "little", signed=True)
 
 
-def shards(frames, size: int) -> Iterator[tuple[list, list, list, list, list, list]]:
+def shards(frames, size: int) -> Iterator[tuple[list, ...]]:
     """Columns of runs with whole keys together, cut when a shard has ``size`` bytes."""
-    held: list[list] = [[], [], [], [], [], []]
+    held: list[list] = [[], [], [], [], [], [], []]
     n = 0
     for frame in frames:
-        columns = [frame[c].to_pylist() for c in ("key", "text", "doc_id", "pos", "n", "run")]
+        columns = [frame[c].to_pylist() for c in ("key", "text", "doc_id", "row", "pos", "n", "run")]
         for row in zip(*columns):
             if n >= size and held[0][-1] != row[0]:
                 yield tuple(held)
-                held, n = [[], [], [], [], [], []], 0
+                held, n = [[], [], [], [], [], [], []], 0
             for column, value in zip(held, row):
                 column.append(value)
             n += len(row[1])
@@ -233,7 +242,7 @@ def covered(spans: list, n: int = LAST_ID) -> list[tuple[int, int]]:
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with their spans, null without any."""
     size = spans.agg(F.sum(F.size("spans") + 1)).first()[0] or 0
-    return docs.join(F.broadcast(spans) if size <= BROADCAST_ROWS else spans, "doc_id", "left")
+    return docs.join(F.broadcast(spans) if size <= BROADCAST_ROWS else spans, ["doc_id", "row"], "left")
 
 
 def ordered_id(column: str) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared_runs as S
+from .common import keyed
 from .vectors import batches, is_space, octets, runs, span_hashes
 
 WIDTH = 13
@@ -101,7 +102,7 @@ def pieces(text: str, where: list[tuple[int, int]]) -> list[bytes]:
 def decider(width: int, shard_bytes: int):
     def run(frames):
         import pyarrow as pa
-        for _, texts, docs, places, _, starts in S.shards(frames, shard_bytes):
+        for _, texts, docs, rows, places, _, starts in S.shards(frames, shard_bytes):
             number: dict[bytes, int] = {}
             coded = [[number.setdefault(w, len(number)) for w in t.split(b" ")] for t in texts]
             order = sorted(range(len(docs)), key=docs.__getitem__)
@@ -116,15 +117,15 @@ def decider(width: int, shard_bytes: int):
                     for j, n in enumerate(automaton.matches(coded[i])):
                         if n >= width:
                             if j == last + 1:  # the window after the previous one
-                                out[-1][2] += 1
+                                out[-1][3] += 1
                             else:
-                                out.append([docs[i], places[i] + j - width + 1, 1, starts[i]])
+                                out.append([docs[i], rows[i], places[i] + j - width + 1, 1, starts[i]])
                             last = j
                 for i in same:
                     automaton.add(coded[i])
                 at = to
-            cols = list(zip(*out)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "pos", "n", "run"])
+            cols = list(zip(*out)) or [(), (), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "row", "pos", "n", "run"])
     return run
 
 
@@ -136,10 +137,10 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH, id_col: str = "doc_id
     Words lie between ASCII white space.  Each word inside a window of ``width`` words that a
     document of smaller id has too goes; windows are judged on the input.
     Null and empty texts have no words.  A null id is larger than any other.
-    Rows of equal id (as repeated rows) do not repeat each other, and are judged
-    alike against smaller ids.  Empty table: no rows.  Other columns are not read.
+    Rows of equal id (as repeated rows) do not repeat each other, and each is judged
+    by its own text against smaller ids.  Empty table: no rows.  Other columns are not read.
     """
-    read = docs.select(S.ordered_id(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    read = keyed(docs.select(S.ordered_id(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")))
     spans = S.recurring(read, cut, pieces, decider(width, shard_bytes), width=width, k=min(K, width), same_document=False)
 
     def run(frames):

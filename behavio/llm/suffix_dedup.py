@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared_runs as S
+from .common import keyed
 from .vectors import batches, octets
 
 WIDTH = 100
@@ -127,7 +128,7 @@ def pieces(text: str, where: list[tuple[int, int]]) -> list[bytes]:
 def decider(width: int, shallow: int, shard_bytes: int):
     def run(frames):
         import pyarrow as pa
-        for _, texts, docs, places, sizes, starts in S.shards(frames, shard_bytes):
+        for _, texts, docs, rows, places, sizes, starts in S.shards(frames, shard_bytes):
             base = np.concatenate(([0], np.cumsum([len(t) for t in texts])))[:-1]
             n = np.array(sizes)
             owner = np.repeat(np.arange(len(texts)), n)
@@ -139,9 +140,9 @@ def decider(width: int, shallow: int, shard_bytes: int):
                 gone += [i for i in members if (doc[i], pos[i]) > (doc[least], pos[least])]
             gone = np.sort(np.array(gone, np.int64))  # windows of a passage are numbered in order
             new = np.flatnonzero(np.concatenate(([True], (np.diff(gone) != 1) | (np.diff(owner[gone]) != 0)))) if len(gone) else gone
-            yield pa.RecordBatch.from_arrays([pa.array(doc[gone[new]]), pa.array(pos[gone[new]]),
+            yield pa.RecordBatch.from_arrays([pa.array(doc[gone[new]]), pa.array(np.array(rows, np.int64)[owner[gone[new]]]), pa.array(pos[gone[new]]),
                                               pa.array(np.diff(np.append(new, len(gone)))),
-                                               pa.array(np.array(starts, np.int64)[owner[gone[new]]])], ["doc_id", "pos", "n", "run"])
+                                               pa.array(np.array(starts, np.int64)[owner[gone[new]]])], ["doc_id", "row", "pos", "n", "run"])
     return run
 
 
@@ -155,10 +156,10 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH, id_col: str = "doc_id
     without overlap) goes; strings are judged on the input.  What remains may
     split a character, so it is binary.  Null and empty texts have no bytes.  A
     null id is larger than any other.  Rows of equal id (as repeated rows) are
-    judged as one document read twice from its start.  Empty table: no
+    judged as one document read twice from its start, each by its own text.  Empty table: no
     rows.  Other columns are not read.
     """
-    read = docs.select(S.ordered_id(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    read = keyed(docs.select(S.ordered_id(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")))
     spans = S.recurring(read, cut, pieces, decider(width, shallow, shard_bytes), width=width, k=min(K, width), same_document=True)
 
     def run(frames):

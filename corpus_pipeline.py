@@ -13,40 +13,47 @@ from pyspark.sql import functions as F
 
 from behavio.llm import decontam, exact_dedup, jaccard_join, packing, quality
 from behavio.llm.catalogue import tokenizer_path, trusted_positives
-from behavio.llm.common import table, written
-from behavio.llm.shared_runs import small
+from behavio.llm.common import keyed, table, written
+from behavio.llm.shared_runs import BROADCAST_KEYS, ordered_id, small
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Rows of ``docs`` whose id (null being one too) is in the written table ``ids``."""
-    named = ids.select(F.col("doc_id").alias("kept_id"))
-    return docs.join(small(named), F.col("doc_id").eqNullSafe(F.col("kept_id")), how)
+def _with_rows(docs: DataFrame, found: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of ``docs`` (with ``row``) whose id (null being one too) and row are in the written table ``found``."""
+    named = found.select(F.col("doc_id").alias("kept_id"), F.col("row").alias("kept_row"))
+    return docs.join(small(named, BROADCAST_KEYS // 2), F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("row") == F.col("kept_row")), how)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score of 0.5 and above)."""
-    scored = written(quality.score(docs, trusted_positives(spark, sf_dir)), "scores")
-    return _with_ids(docs, scored.where("score >= 0.5").select("doc_id").distinct())
+    scored = written(quality.score(docs, trusted_positives(spark, sf_dir), rows=True), "scores")
+    return _with_rows(keyed(docs), scored.where("score >= 0.5").select("doc_id", "row").distinct()).drop("row")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts: the smallest id, once."""
-    kept = written(exact_dedup.exact_groups(docs).where("kept").select("doc_id"), "kept")
-    repeated = written(kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
-    once = _with_ids(_with_ids(docs, kept.distinct()), repeated, "left_anti")
-    return once.unionByName(_with_ids(docs, repeated).dropDuplicates(["doc_id"]))
+    equal = written(exact_dedup.exact_groups(docs, rows=True).where("kept").select("doc_id", "row", "text_sha256"), "equal")
+    # rows of one id may be equal but for their white space
+    kept = written(equal.groupBy("doc_id", "text_sha256").agg(F.min("row").alias("row")).select("doc_id", "row"), "kept")
+    repeated = written(equal.groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                       .join(kept.withColumnsRenamed({"doc_id": "kept_id", "row": "kept_row"}),
+                             F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("row") == F.col("kept_row")), "left_semi"), "repeated")
+    docs = keyed(docs)
+    once = _with_rows(_with_rows(docs, kept), repeated, "left_anti")
+    return once.unionByName(_with_rows(docs, repeated).dropDuplicates(["doc_id", "row"])).drop("row")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the smallest id."""
-    groups = jaccard_join.similar_groups(docs)
-    return _with_ids(docs, written(groups.where("doc_id <=> component_id").select("doc_id").distinct(), "first"))
+    groups = jaccard_join.similar_groups(docs, rows=True)
+    first = written(groups.where("first").select("node").distinct(), "first")
+    named = keyed(docs).withColumn("ordered", ordered_id("doc_id")).withColumn("node", jaccard_join.node_of("ordered", "row"))
+    return named.join(small(first), "node", "left_semi").select(docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _with_ids(docs, written(found.where("n_hit > 0").select("doc_id").distinct(), "hit"), "left_anti")
+    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), rows=True)
+    return _with_rows(keyed(docs), written(found.where("n_hit > 0").select("doc_id", "row").distinct(), "hit"), "left_anti").drop("row")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

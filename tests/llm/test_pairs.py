@@ -85,6 +85,18 @@ def test_components(spark, n, m, seed):
     assert got == {x: find(x) for a, b in links if a != b for x in (a, b)}
 
 
+def test_rows_that_share_an_id_are_judged_apart(spark):
+    rnd = random.Random(5)
+    text = lambda k: [f"w{rnd.randrange(10 ** 6)}" for _ in range(k)]
+    a, b, c = text(60), text(60), text(60)
+    rows = [(None, a), (None, b), (5, b + ["x"]), (5, c), (3, c + ["y"]), (9, text(50)), (9, text(50)), (9, a + ["z"])]
+    got = sorted(((r.doc_id or 99), r.component_id) for r in jaccard_join.similar_groups(frame(spark, [(i, " ".join(t)) for i, t in rows])).collect())
+    assert got == [(3, 3), (5, 3), (5, 5), (9, 9), (9, 9), (9, 9), (99, 5), (99, 9)]
+    bench = spark.createDataFrame([(1, " ".join(b[:12]))], "item_id long, text string")
+    got = decontam.contamination(frame(spark, [(i, " ".join(t)) for i, t in rows]), bench).collect()
+    assert sorted((r.doc_id or 99, r.n_words, r.n_hit) for r in got) == sorted((i or 99, len(t), 12 if t[:12] == b[:12] else 0) for i, t in rows)
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 

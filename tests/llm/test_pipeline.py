@@ -75,6 +75,30 @@ def test_stages(spark, tables, tmp_path):
     assert {r.doc_id for r in packed.collect()} == {i for i, _ in inputs["packing"]}
 
 
+def test_rows_that_share_an_id_go_their_own_ways(spark, tmp_path):
+    rnd = random.Random(18)
+    good, bad = junk(rnd)
+    item = " ".join(f"question{i}" for i in range(14)) + "."
+    texts = [good() + " " + good() for _ in range(6)]
+    near = " ".join(["Changed"] + (texts[2] + " " + texts[3] + " " + texts[2]).split(" ")[1:])
+    odd = [(None, texts[0]), (None, texts[1]), (None, f"{good()} {item}"), (None, bad()), (-5, texts[2] + " " + texts[3] + " " + texts[2]), (None, near),
+           (-9, texts[4]), (-9, texts[5]), (-9, texts[5]), (-9, texts[5].replace(" ", "  ", 1))]
+    docs = [(i, good() if i % 5 else bad()) for i in range(300)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in docs + odd]
+    write(spark, str(tmp_path), rows, [(i, int(i % 5 > 0), 0) for i in range(300)], [(1, item)])
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    odd_rows = lambda df: sorted([(r.doc_id, r.text) for r in df.collect() if r.doc_id is None or r.doc_id < 0], key=str)
+    now = corpus_pipeline.keep_good(spark, now, str(tmp_path))
+    assert odd_rows(now) == sorted([r for r in odd if r != odd[3]], key=str)
+    now = corpus_pipeline.drop_copies(spark, now, str(tmp_path))
+    after = odd_rows(now)
+    assert len(after) == 7 and {" ".join(t.split()) for _, t in after} == {" ".join(t.split()) for k, (_, t) in enumerate(odd) if k != 3}
+    now = corpus_pipeline.drop_near_copies(spark, now, str(tmp_path))
+    assert odd_rows(now) == [r for r in after if r[1] != near]
+    now = corpus_pipeline.drop_benchmark(spark, now, str(tmp_path))
+    assert odd_rows(now) == [r for r in after if r[1] != near and item not in r[1]]
+
+
 def test_run_equals_the_stages(spark, tables):
     out = corpus_pipeline.run(spark, tables[0])
     assert {"doc_id", "sequence_id", "offset", "length", "ids"} <= set(out.columns) and out.count() > 0

@@ -84,6 +84,41 @@ def test_every_repeat_in_the_first_document(spark, monkeypatch):
         assert {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup.remove_repeats(frame(spark, rows), width=13).collect()} == exp
 
 
+def shared_ids(rnd):
+    """Rows of null and equal ids and different texts, with passages that others have."""
+    words = lambda k: [f"w{rnd.randrange(10 ** 6)}" for _ in range(k)]
+    p, q = words(40), words(35)
+    texts = [words(9) + p + words(9), words(3) + q, words(50), p + words(20), words(30) + q + words(2) + p[:30], p + words(20), q + words(5),
+             words(9) + p + q, p[:25] + words(8)]
+    ids = [1, 7, 7, 7, 7, None, None, None, None]
+    return [(i, " ".join(t)) for i, t in zip(ids, texts)] + [(None, None)]
+
+
+def test_rows_that_share_an_id_keep_their_own_text(spark):
+    rows = shared_ids(random.Random(21))
+    first = {}
+    for i, t in order(rows):
+        w = WORDS.findall(t)
+        for k in range(len(w) - 12):
+            first[tuple(w[k:k + 13])] = min(first.get(tuple(w[k:k + 13]), LAST), i)
+    exp = []
+    for i, t in order(rows):
+        w = WORDS.findall(t)
+        gone = {x for k in range(len(w) - 12) if first[tuple(w[k:k + 13])] < i for x in range(k, k + 13)}
+        exp.append((i, len(w), len(gone), b" ".join(x for k, x in enumerate(w) if k not in gone).decode()))
+    got = substring_dedup.remove_repeats(frame(spark, rows)).collect()
+    assert sorted((LAST if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.text) for r in got) == sorted(exp)
+    first, exp = {}, []
+    for i, t in order(rows):
+        for k in range(len(t) - 99):
+            first[t[k:k + 100]] = min(first.get(t[k:k + 100], (LAST, LAST)), (i, k))
+    for i, t in order(rows):
+        gone = {x for k in range(len(t) - 99) if first[t[k:k + 100]] < (i, k) for x in range(k, k + 100)}
+        exp.append((i, len(t), len(gone), bytes(x for k, x in enumerate(t) if k not in gone)))
+    got = suffix_dedup.remove_repeats(frame(spark, rows)).collect()
+    assert sorted((LAST if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == sorted(exp)
+
+
 def test_hot_anchors_are_split(spark, monkeypatch):
     from behavio.llm import shared_runs
     monkeypatch.setattr(shared_runs, "HOT_CLASSES", 2)
