@@ -6,8 +6,10 @@ Viterbi pass over the words of a document, with a penalty for each switch of
 language, labels spans; the document's language is the one whose spans hold
 the most letters, and its score is their share.
 
-The n-gram counts come from at most ``SAMPLE_ROWS`` labelled rows (those of
-smallest id hash), counted in tasks; every text is labelled whole.
+The labelled rows are counted per language over the whole table, and every language is learnt:
+from all of its rows, or from about ``SAMPLE_ROWS`` of them (those whose hash is
+below the share that this is of the language's rows).  n-grams are counted in tasks; every
+text is labelled whole.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .vectors import batches, characters, is_space, kept, letters, mixed, runs, span_hashes
 
+#: Labelled rows of each language.
 SAMPLE_ROWS = 8000
 #: Hashed n-gram buckets of each language.
 BUCKETS = 1 << 16
@@ -137,14 +140,15 @@ def word_scores(w: Words, model: dict) -> np.ndarray:
 def viterbi(scores: np.ndarray, first: np.ndarray, length: np.ndarray, switch: float) -> np.ndarray:
     """Best language of each word, all documents of the batch a step at a time."""
     n_langs = scores.shape[1]
-    label = np.zeros(len(scores), np.int8)
+    kind = np.int8 if n_langs < 128 else np.int32
+    label = np.zeros(len(scores), kind)
     order = np.argsort(-length, kind="stable")
     order = order[length[order] > 0]
     if not len(order):
         return label
     first, length = first[order], length[order]
-    back = np.empty((len(scores), n_langs), np.int8)
-    own = np.arange(n_langs, dtype=np.int8)
+    back = np.empty((len(scores), n_langs), kind)
+    own = np.arange(n_langs, dtype=kind)
     active = np.searchsorted(-length, -np.arange(length[0]), "left")  # documents longer than t
     best = scores[first].copy()
     final = np.empty((len(order), n_langs), np.float32)
@@ -157,10 +161,10 @@ def viterbi(scores: np.ndarray, first: np.ndarray, length: np.ndarray, switch: f
         top = best.argmax(1)
         change = best[np.arange(a), top] - switch
         stay = best >= change[:, None]
-        back[at] = np.where(stay, own, top[:, None].astype(np.int8))
+        back[at] = np.where(stay, own, top[:, None].astype(kind))
         best = np.where(stay, best, change[:, None]) + scores[at]
     final[:len(best)] = best
-    state = final.argmax(1).astype(np.int8)
+    state = final.argmax(1).astype(kind)
     for t in range(length[0] - 1, 0, -1):
         a = active[t]
         at = first[:a] + t
@@ -202,14 +206,15 @@ def spans_of(w: Words, label: np.ndarray, langs: list[str], n: int) -> list[list
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[dict | None, list[str]]:
     """The model of labelled ``docs`` (doc_id, text, lang) and its languages;
     None without any."""
-    ids = docs.where("lang IS NOT NULL").select("doc_id", "lang")
-    some = ids.orderBy(F.xxhash64("doc_id", F.lit(4)), "doc_id", "lang").limit(sample_rows)
-    langs = sorted(r["lang"] for r in some.select("lang").distinct().collect())  # at most sample_rows
+    rows = dict(docs.where("lang IS NOT NULL").groupBy("lang").count().collect())  # a row a language, as the model has a table
+    langs = sorted(rows)
     if not langs:
         return None, []
     number = {x: i for i, x in enumerate(langs)}
-    # sample_rows ids: broadcast by its bound
-    texts = docs.join(F.broadcast(some.select("doc_id", "lang").distinct()), ["doc_id", "lang"]).select("lang", "text")
+    last = (1 << 63) - 1
+    below = [(x, last if n <= sample_rows else (sample_rows << 64) // n - (1 << 63)) for x, n in rows.items()]
+    taken = F.broadcast(docs.sparkSession.createDataFrame(below, "lang string, below long"))
+    texts = docs.join(taken, "lang").where(F.xxhash64("doc_id", "text", F.lit(4)) <= F.col("below")).select("lang", "text")
     n_langs, n_scripts = len(langs), len(SCRIPT_NAMES)
 
     def run(frames):

@@ -86,6 +86,22 @@ def test_language_accuracy_and_spans(spark):
     assert mixed[m.spans[1].start:m.spans[1].end] == mixed[m.spans[0].end + 1:]
 
 
+def test_rare_languages_are_learnt(spark):
+    rows, say = languages(2000, 3)
+    rows = [r for r in rows if r[2] != "ru"]
+    train = spark.createDataFrame(rows + [(9000 + k, say("ru", 40), "ru") for k in range(3)], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame([(k, say(x, 30), x) for k, x in enumerate(["ru", "en", "de"] * 20)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, train, sample_rows=60).collect()}
+    assert np.mean([got[r.doc_id] == r.lang for r in docs.collect()]) > 0.97
+    assert langid.train(train, 60)[1] == ["de", "en", "ru"]
+
+
+def test_more_languages_than_a_byte_counts():
+    scores = np.zeros((4, 300), np.float32)
+    scores[:, 290] = 50
+    assert langid.viterbi(scores, np.array([0]), np.array([4]), 2.0).tolist() == [290] * 4
+
+
 def test_language_viterbi_brute_force():
     rng = np.random.default_rng(1)
     import itertools
