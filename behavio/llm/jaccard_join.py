@@ -17,7 +17,9 @@ group's smallest and largest document; verified links are joined into components
 Only groups that still hold several components give pairs, of members of
 different components, and these must share as many prefix tokens as
 the extension proves.  No link between components is lost, and a large group of
-copies costs one candidate per member.
+copies costs one candidate per member.  Links inside of a component that the
+first step formed are neither sought nor verified: the result is the components, and
+there is no count of links.
 
 Frequent tokens are heavy hitters: those that recur within a task's texts and
 in all make up at least ``1 / FREQUENT_SHARE`` of the documents.  There are
