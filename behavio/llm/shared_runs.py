@@ -13,7 +13,8 @@ windows with the same anchor are a *run*; runs of one text are some
 3. where an anchor has several classes, the text of the first run of each is
    fetched, and an exact string method decides which of its windows
    occur in an earlier one.  An anchor of more than ``HOT_CLASSES`` classes is
-   split into its windows, dealt by their own hashes.
+   split into its windows, whose first ones are found by their digests (128 bits) with
+   map-side minima, so equal windows never gather in a task.
 
 Before a join shuffles the runs or the texts, those without a partner are
 taken out by a broadcast of the partner's keys alone, if these are counted to be at most
@@ -136,14 +137,17 @@ def recurring(docs: DataFrame, cut: Callable, pieces: Callable, decide: Callable
                                                          F.min(F.struct(order.alias("first"), F.bitwise_not("pos").alias("pos"),
                                                                         F.bitwise_not("row").alias("row"))).alias("last")), "classes")
     again = mixed_runs.join(classes.select("fp", "ht", "first"), ["fp", "ht"]).where(later).select("doc_id", "row", "pos", "n")
-    hot = classes.groupBy("fp").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > HOT_CLASSES).select("fp", F.lit(True).alias("hot"))
+    hot = written(classes.groupBy("fp").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > HOT_CLASSES).select("fp", F.lit(True).alias("hot")), "hot")
     wanted = written(classes.join(hot, "fp", "left").groupBy(F.col("run.doc_id").alias("doc_id"), F.col("run.row").alias("row"))
                      .agg(F.collect_list(F.struct("fp", "run.pos", "run.n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs")),
                      "wanted")
-    texts = partners(docs, wanted, "doc_id").join(wanted, ["doc_id", "row"]).mapInArrow(
+    sources = partners(docs, wanted, "doc_id").join(wanted, ["doc_id", "row"])
+    texts = sources.mapInArrow(
         _fetch(pieces, width), "key long, text binary, doc_id long, row long, pos long, n long, run long")
     windows = (texts.repartition("key").sortWithinPartitions("key", "doc_id", "pos")
                .mapInArrow(decide, "doc_id long, row long, pos long, n long, run long"))
+    if hot.count():
+        windows = windows.unionByName(_hot_repeats(sources.where(F.exists("runs", lambda r: r["hot"])), pieces, width, order))
     windows = _in_all_runs(windows, mixed_runs, classes, order).select("doc_id", "row", "pos", "n")
     spans = whole.unionByName(again).unionByName(windows).select(
         "doc_id", "row", F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("n") + (width - 1)).alias("end")).alias("span"))
@@ -189,26 +193,38 @@ def _fetch(pieces: Callable, width: int) -> Callable:
         for got in batches(frames, ["doc_id", "row", "text", "runs"]):
             keys, texts, docs, rows, places, sizes, starts = [], [], [], [], [], [], []
             for doc, row, text, wanted in zip(got["doc_id"], got["row"], got["text"], got["runs"]):
-                where = [(r["pos"], r["n"], r["fp"], r["pos"]) for r in wanted if not r["hot"]]
-                # a hot anchor's windows stand alone, each dealt by its own content
-                alone = [(p, 1, None, r["pos"]) for r in wanted if r["hot"] for p in range(r["pos"], r["pos"] + r["n"])]
-                for (p, n, fp, start), piece in zip(where + alone, pieces(text, [(p, n + width - 1) for p, n, *_ in where + alone])):
-                    keys.append(fp if fp is not None else window_key(piece))
+                where = [(r["pos"], r["n"], r["fp"]) for r in wanted if not r["hot"]]
+                for (p, n, fp), piece in zip(where, pieces(text, [(p, n + width - 1) for p, n, _ in where])):
+                    keys.append(fp)
                     texts.append(piece)
                     docs.append(doc)
                     rows.append(row)
                     places.append(p)
                     sizes.append(n)
-                    starts.append(start)
+                    starts.append(p)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(texts, pa.binary()), pa.array(docs, pa.int64()), pa.array(rows, pa.int64()),
                                               pa.array(places, pa.int64()), pa.array(sizes, pa.int64()), pa.array(starts, pa.int64())],
                                              ["key", "text", "doc_id", "row", "pos", "n", "run"])
     return run
 
 
-def window_key(piece: bytes) -> int:
-    from hashlib import blake2b
-    return int.from_bytes(blake2b(piece, digest_size=8).digest(), "little", signed=True)
+def _hot_repeats(sources: DataFrame, pieces: Callable, width: int, order: Column) -> DataFrame:
+    """(doc_id, row, pos, n, run) of the windows of hot anchors that an earlier one equals."""
+    def run(frames):
+        import pyarrow as pa
+        from hashlib import blake2b
+        names = ["one", "two", "doc_id", "row", "pos", "run"]
+        for got in batches(frames, ["doc_id", "row", "text", "runs"]):
+            for doc, row, text, wanted in zip(got["doc_id"], got["row"], got["text"], got["runs"]):
+                alone = [(p, r["pos"]) for r in wanted if r["hot"] for p in range(r["pos"], r["pos"] + r["n"])]
+                digests = np.frombuffer(b"".join(blake2b(x, digest_size=16).digest() for x in pieces(text, [(p, width) for p, _ in alone])), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(digests[::2]), pa.array(digests[1::2])] + [
+                    pa.array(c, pa.int64()) for c in ([doc] * len(alone), [row] * len(alone), [p for p, _ in alone], [s for _, s in alone])], names)
+    found = written(sources.mapInArrow(run, "one long, two long, doc_id long, row long, pos long, run long"), "hot-windows")
+    first = written(found.groupBy("one", "two").agg(F.min(order).alias("first"), F.max(order).alias("last"))
+                    .where(F.col("first") != F.col("last")).drop("last"), "hot-firsts")
+    first = F.broadcast(first) if first.count() <= BROADCAST_ROWS else first
+    return found.join(first, ["one", "two"]).where(order > F.col("first")).select("doc_id", "row", "pos", F.lit(1).cast("long").alias("n"), "run")
 
 
 def shards(frames, size: int) -> Iterator[tuple[list, ...]]:

@@ -133,6 +133,24 @@ def test_hot_anchors_are_split(spark, monkeypatch):
     assert got == bytes_kept(rows, 40)
 
 
+def test_equal_windows_of_hot_anchors_do_not_gather(spark, monkeypatch):
+    from behavio.llm import shared_runs
+
+    def none(*_):
+        def run(frames):
+            for frame in frames:
+                assert not frame.num_rows
+                yield frame.select(["doc_id", "row", "pos", "n", "run"])
+        return run
+    monkeypatch.setattr(shared_runs, "HOT_CLASSES", 0)
+    monkeypatch.setattr(substring_dedup, "decider", none)
+    rnd = random.Random(10)
+    line = " ".join(f"c{i}" for i in range(20))
+    rows = [(i, f"{line} {' '.join(f'u{rnd.randrange(900)}' for _ in range(9))}") for i in range(60)]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup.remove_repeats(frame(spark, rows), width=13).collect()}
+    assert got == words_kept(rows, 13)
+
+
 def test_shuffling_joins_give_the_same(spark, monkeypatch):
     from behavio.llm import shared_runs
     monkeypatch.setattr(shared_runs, "BROADCAST_KEYS", 0)
