@@ -12,7 +12,7 @@ from behavio.operators import (bursts, interval_join, merge_unique_state, quota,
                                sliding_count, sliding_peak, strict_sequence, top_n, unique_count)
 from behavio.operators.uniques import with_bit_offset
 from behavio.sources import parse_lines, read_lines
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 T0 = dt.datetime(2024, 1, 1)
 

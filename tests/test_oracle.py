@@ -6,7 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from tools.compare import digest, duck
 
 SF = os.environ.get("BEHAVIO_ORACLE_SF", SF_SMALL)

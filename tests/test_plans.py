@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 BATCH = sorted(n for n in E.queries() if not re.match(r"stream_|op\d+_|pipeline$", n))
 

@@ -1,6 +1,9 @@
 """Checkpoint-folder policy: read from the session; a temp folder only for
 a local session without one; a cluster session without one is an error."""
 
+import pathlib
+import re
+
 import pytest
 
 from behavio.session import checkpoint_dir
@@ -47,3 +50,10 @@ def test_local_without_setting_gets_temp_folder():
     s = _Spark("local[4]")
     d = checkpoint_dir(s)
     assert d and s.sparkContext.set_to == d
+
+
+def test_no_test_module_imports_a_conftest():
+    """Both test folders have a conftest; by name, either could be meant."""
+    here = pathlib.Path(__file__).parent
+    found = [p.name for p in here.rglob("test_*.py") if re.search(r"^\s*(from|import) conftest\b", p.read_text(), re.M)]
+    assert not found

@@ -14,7 +14,7 @@ from behavio.streaming.operators import chained_unique, flatten_window, windowed
 from behavio.streaming.processors import Bursts, FollowedBy, Quota, Reconcile, Runs, StrictPairs, ordered
 from behavio.streaming.runner import run_available, run_folded
 from behavio.streaming.sources import table_stream, with_event_time, with_micros
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 COLS = ["event_id", "user_id", "event_type", "ts"]
 US = 1_000_000
