@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, html_text, jaccard_join, langid, packing, quality, substring_dedup, suffix_dedup, toxicity
+from . import decontam, exact_dedup, html_text, jaccard_join, langid, merkle, packing, quality, substring_dedup, suffix_dedup, toxicity
 from .common import fold_mod, table
 
 
@@ -84,6 +84,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents, one tree a language; every row whose id's crc32 is divisible by 7 is tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    fields = lambda n: merkle.leaf_digest(*[F.col(c) for c in ("doc_id", "source", "lang")], n, F.col("text"))
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    leaves = docs.select("doc_id", "lang", fields(F.col("n_chars")).alias("leaf"),
+                         F.when(changed, fields(F.col("n_chars") + 1)).alias("claimed"))
+    found = merkle.manifest(leaves, tree="lang", order="doc_id", claimed="claimed")
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -95,6 +106,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_html": op9_html,
     "op10_quality": op10_quality,
+    "op13_manifest": op13_manifest,
 }
 
 ORACLE_SQL = {
@@ -153,4 +165,49 @@ ORACLE_SQL = {
         SELECT low.doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM low LEFT JOIN covered USING (doc_id) LEFT JOIN its USING (doc_id)""",
+    "op13_manifest": r"""
+        WITH RECURSIVE crc AS (
+          SELECT doc_id, CAST(doc_id AS VARCHAR) AS s, 0 AS k, CAST(4294967295 AS BIGINT) AS c FROM documents
+          UNION ALL
+          SELECT doc_id, s, k + 1, xor(b >> 1, CASE WHEN b % 2 = 1 THEN 3988292384 ELSE 0 END)
+          FROM (SELECT doc_id, s, k, CASE WHEN k % 8 = 0 THEN xor(c, ascii(s[k // 8 + 1])) ELSE c END AS b FROM crc WHERE k < 8 * len(s))),
+        hit AS (SELECT doc_id, xor(c, 4294967295) % 7 = 0 AS changed FROM crc WHERE k = 8 * len(s)),
+        f AS (
+          SELECT doc_id, lang, n_chars, changed,
+            coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+              || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+            coalesce(strlen(text) || ':' || text, '-') AS z
+          FROM documents JOIN hit USING (doc_id)),
+        leaves AS (
+          SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i,
+            sha256(a || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || z) AS leaf,
+            CASE WHEN changed THEN sha256(a || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || z) END AS claimed
+          FROM f),
+        t AS (
+          SELECT lang, 0 AS level, list(leaf ORDER BY i) AS ns FROM leaves GROUP BY lang
+          UNION ALL
+          SELECT lang, level + 1, [sha256(ns[2 * j + 1] || coalesce(ns[2 * j + 2], '')) for j in range((len(ns) + 1) // 2)]
+          FROM t WHERE len(ns) > 1),
+        subs AS (SELECT lang, ns[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i FROM t WHERE len(ns) = 1),
+        u AS (
+          SELECT 0 AS level, list(subroot ORDER BY i) AS ns FROM subs
+          UNION ALL
+          SELECT level + 1, [sha256(ns[2 * j + 1] || coalesce(ns[2 * j + 2], '')) for j in range((len(ns) + 1) // 2)]
+          FROM u WHERE len(ns) > 1),
+        steps AS (
+          SELECT doc_id, level, (l.i >> level) % 2 = 1 AS after, coalesce(ns[xor(l.i >> level, 1) + 1], '') AS s
+          FROM leaves l JOIN t ON l.lang IS NOT DISTINCT FROM t.lang AND len(ns) > 1
+          UNION ALL
+          SELECT doc_id, 1000 + level, (b.i >> level) % 2 = 1, coalesce(ns[xor(b.i >> level, 1) + 1], '')
+          FROM leaves l JOIN subs b ON l.lang IS NOT DISTINCT FROM b.lang JOIN u ON len(ns) > 1),
+        p AS (
+          SELECT doc_id, list(after ORDER BY level) AS af, list(s ORDER BY level) AS ss FROM steps GROUP BY doc_id),
+        fold AS (
+          SELECT doc_id, coalesce(claimed, leaf) AS h, coalesce(af, []) AS af, coalesce(ss, []) AS ss, 0 AS k FROM leaves LEFT JOIN p USING (doc_id)
+          UNION ALL
+          SELECT doc_id, CASE WHEN af[k + 1] THEN sha256(ss[k + 1] || h) ELSE sha256(h || ss[k + 1]) END, af, ss, k + 1
+          FROM fold WHERE k < len(ss))
+        SELECT l.doc_id, leaf, subroot, r.ns[1] AS root, sha256(array_to_string(ss, '')) AS proof_sha256, h AS folded_root, h = r.ns[1] AS verified
+        FROM leaves l JOIN fold USING (doc_id) JOIN subs b ON l.lang IS NOT DISTINCT FROM b.lang JOIN u r ON len(r.ns) = 1
+        WHERE fold.k = len(fold.ss)""",
 }
