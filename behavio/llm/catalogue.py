@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, html_text, jaccard_join, langid, merkle, packing, quality, substring_dedup, suffix_dedup, toxicity
+from . import alignment, decontam, exact_dedup, html_text, jaccard_join, langid, merkle, packing, quality, substring_dedup, suffix_dedup, token_counts, toxicity
 from .common import fold_mod, table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +84,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers in every document."""
+    found = alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+    spelt = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    return found.withColumn("groups_sha256", spelt).drop("groups")
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, through a new cache."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path()).drop("digest")
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle proofs of all documents, one tree a language; every row whose id's crc32 is divisible by 7 is tampered with."""
     docs = table(spark, sf_dir, "documents")
@@ -106,6 +118,8 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_html": op9_html,
     "op10_quality": op10_quality,
+    "op11_alignment": op11_alignment,
+    "op12_token_counts": op12_token_counts,
     "op13_manifest": op13_manifest,
 }
 
