@@ -16,7 +16,9 @@ rows' distinct pairs are joined to them."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark import TaskContext
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
+from .packing import LONG_WORD
 from .token_parts import parts_of, word_ids
 
 #: Pairs (two longs and a flag) that are sent to every task.
@@ -33,6 +36,8 @@ MOST_PARTS = 200_000
 #: Characters of texts, whose parts are aligned at once.
 SLICE_CHARS = 4_000_000
 PAIR_BITS = 32
+#: Parts with other white space than the usual, or with an edge at which no text is cut.
+ALONE = re.compile(r"[^\S \n\t\r]|^(?![!-~\w])|(?<![!-~\w])\Z")
 
 
 def byte_spellings(path: str) -> list[bytes]:
@@ -98,6 +103,18 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return of_a, np.arange(len(of_a)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
 
 
+class Places(dict):
+    """Numbers of parts, in the order in which they are first asked for; ``fresh`` are those not yet aligned."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        self.fresh.append(part)
+        at = self[part] = len(self)
+        return at
+
+
 class Aligner:
     """Aligned parts of texts; ``add`` numbers them, ``align`` works those that are new."""
 
@@ -116,8 +133,7 @@ class Aligner:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.fresh: list[str] = []
+        self.place = Places()
         self.figures = np.zeros((0, 6), np.int64)  # n_a, n_b, n_groups, n_links, n_best, count_sum
         self.good = np.zeros(0, bool)
         self.groups: list[str] = []
@@ -125,42 +141,64 @@ class Aligner:
         self.pair_ends = np.zeros(0, np.int64)
 
     def add(self, text: str) -> list[int]:
-        parts = [text] if self.whole else parts_of(text)
-        found = list(map(self.place.get, parts))
-        if None in found:
-            for part in parts:
-                if part not in self.place:
-                    self.place[part] = len(self.place)
-                    self.fresh.append(part)
-            found = list(map(self.place.__getitem__, parts))
-        return found
+        return list(map(self.place.__getitem__, [text] if self.whole else parts_of(text)))
 
     def _coded(self, parts: list[str]) -> tuple[np.ndarray, ...]:
         """Ids of both sides, how many each part has, and whether a part's bytes are the same on both."""
-        a = [self.words[p] for p in parts]
-        self.words.clear()
+        whole = (" " + " ".join(parts)).encode()
+        # where each part's blank is: a character starts at every byte that continues none
+        starts = np.flatnonzero((np.frombuffer(whole, np.uint8) & 0xC0) != 0x80)
+        chars = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+        edges = np.append(starts[np.cumsum(chars) - chars], len(whole))
+        ids_a, many_a = self._coded_a(parts)
         b = self.model.encode(parts, num_threads=1)
-        many_a, many_b = np.array([len(x) // 4 for x in a]), np.array([len(x) for x in b])
-        ids_a = np.frombuffer(b"".join(a), "<u4").astype(np.int64)
-        ids_b = np.array([i for x in b for i in x], np.int64)
+        many_b = np.fromiter(map(len, b), np.int64, len(b))
+        ids_b = np.fromiter(chain.from_iterable(b), np.int64, int(many_b.sum()))
         joined = lambda spelt, ids: b"".join(map(spelt.__getitem__, ids.tolist()))
-        want = [(" " + p).encode() for p in parts]
-        sizes = np.array([len(w) for w in want])
-        side = lambda length, ids, many: np.add.reduceat(np.append(length[ids], 0), np.cumsum(many) - many) * (many > 0)
+        side = lambda length, ids, many: np.diff(np.append(0, np.cumsum(length[ids]))[np.append(0, np.cumsum(many))])
+        sizes = np.diff(edges)
         good = (side(self.length_a, ids_a, many_a) == sizes) & (side(self.length_b, ids_b, many_b) == sizes)
-        whole = b"".join(want)
         if not good.all() or joined(self.bytes_a, ids_a) != whole or joined(self.bytes_b, ids_b) != whole:
             at_a, at_b = np.cumsum(many_a) - many_a, np.cumsum(many_b) - many_b
-            good = np.array([joined(self.bytes_a, ids_a[s:s + m]) == w and joined(self.bytes_b, ids_b[t:t + k]) == w
-                             for s, m, t, k, w in zip(at_a, many_a, at_b, many_b, want)])
+            good = np.array([joined(self.bytes_a, ids_a[s:s + m]) == whole[x:y] and joined(self.bytes_b, ids_b[t:t + k]) == whole[x:y]
+                             for s, m, t, k, x, y in zip(at_a, many_a, at_b, many_b, edges, edges[1:])])
             ids_a, ids_b = ids_a[np.repeat(good, many_a)], ids_b[np.repeat(good, many_b)]
             many_a, many_b = many_a * good, many_b * good
         return ids_a, ids_b, many_a, many_b, good
 
+    def _coded_a(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of A after a blank.  Short parts between whose neighbours a text may be cut are coded as one text, whose
+        tokens then fall to the parts by their ends; the others alone."""
+        by_rank, alone = self.words.by_rank, ALONE.search
+        together = [i for i, p in enumerate(parts) if len(p) <= LONG_WORD and not alone(p)] if by_rank else []
+        if together and self.words.probes:
+            for i in together[:self.words.probes]:
+                self.words[parts[i]]
+        found: list = [None] * len(parts)
+        if together:
+            chosen = [parts[i] for i in together]
+            text = " " + " ".join(chosen)
+            ids = np.array(by_rank(text), np.int64)
+            ends = np.cumsum(self.length_a[ids])
+            bytes_of = np.cumsum(np.fromiter((len(p.encode()) + 1 for p in chosen), np.int64, len(chosen)))
+            last = np.searchsorted(ends, bytes_of, "left")
+            if not np.array_equal(ends[last], bytes_of):
+                raise RuntimeError("a token reaches over a blank")
+            if len(together) == len(parts):
+                self.words.clear()
+                return ids, np.diff(np.append(-1, last))
+            for i, x in zip(together, np.split(ids, last[:-1] + 1)):
+                found[i] = x
+        for i, p in enumerate(parts):
+            if found[i] is None:
+                found[i] = np.frombuffer(self.words[p], "<u4").astype(np.int64)
+        self.words.clear()
+        return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
+
     def align(self) -> None:
-        if not self.fresh:
+        if not self.place.fresh:
             return
-        ids_a, ids_b, many_a, many_b, good = self._coded(self.fresh)
+        ids_a, ids_b, many_a, many_b, good = self._coded(self.place.fresh)
         ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
         parts = len(good)
         part_a, part_b = np.repeat(np.arange(parts), many_a), np.repeat(np.arange(parts), many_b)
@@ -182,7 +220,7 @@ class Aligner:
         if self.spell:
             self.groups += self._spelt(ids_a, ids_b, many_a, many_b, last_of_a, last_of_b, final)
         self.figures, self.good = np.concatenate((self.figures, figures)), np.append(self.good, good)
-        self.fresh.clear()
+        self.place.fresh.clear()
 
     def _spelt(self, ids_a, ids_b, many_a, many_b, last_of_a, last_of_b, final) -> list[str]:
         """Each part's groups as ``a1,a2|b1;``, both sides in order."""
