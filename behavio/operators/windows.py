@@ -101,7 +101,7 @@ def sliding_count_of_panes(panes: DataFrame, size, slide, keys=(), count_col: st
     return _expanded(window_deltas(panes, None, size, slide, keys), size, slide, keys, count_col)
 
 
-def window_deltas(df: DataFrame, ts: str | None, size, slide, keys=(), chunk="1 day") -> DataFrame:
+def window_deltas(df: DataFrame, ts: str | None, size, slide, keys=(), chunk="1 day", since: str | None = None) -> DataFrame:
     """Difference form of sliding counts (of rows by ``ts``, or of pane counts
     as ``pane_counts`` gives them when ``ts`` is None): per key, one row per window end
     ``e`` where the count changes; ``cnt`` holds for the window ends
@@ -116,6 +116,8 @@ def window_deltas(df: DataFrame, ts: str | None, size, slide, keys=(), chunk="1
     chunks.  One window pass, no self-join; no task handles more than one
     chunk of one key, so a hot key, or no key at all, is spread over many
     tasks.
+    With panes, ``since`` may name a column: windows that end before it (microseconds) do not
+    count the pane.
     Columns: keys, e, cnt, next_e (null after the last change)."""
     keys = _keys(keys)
     size_us, slide_us = positive_micros(size), positive_micros(slide)
@@ -130,6 +132,8 @@ def window_deltas(df: DataFrame, ts: str | None, size, slide, keys=(), chunk="1
     up = lambda u: F.ceil(u / F.lit(slide_us)) * F.lit(slide_us)
     u0 = up(pm + F.lit(pane_us - offset)).cast("long")
     u1 = (F.floor((pm + F.lit(size_us - offset)) / F.lit(slide_us)) * F.lit(slide_us) + F.lit(slide_us)).cast("long")
+    if since is not None:
+        u0 = F.greatest(u0, up(F.col(since) - F.lit(offset)).cast("long"))
     at = lambda u: F.timestamp_add("MICROSECOND", u + F.lit(offset) - pm, F.col("pane"))
     e0, e1 = at(u0), at(u1)
     panes = panes.where(u0 < u1)                        # slide > size: a pane may lie between windows

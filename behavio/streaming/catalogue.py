@@ -15,14 +15,18 @@ from __future__ import annotations
 import functools
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import json_long
-from ..functions.times import to_event_ts, utc_ntz
+from ..functions.times import epoch_micros, micros_of, to_event_ts, utc_ntz
+from ..operators.topn import top_n
+from ..sources.tables import table
 from ..session import scratch_path
 from .operators import (approx_unique, chained_unique, flatten_window, stream_interval_join, top_n_per_batch,
                         windowed_count)
 from .processors import Bursts, FollowedBy, Quota, Reconcile, Runs, StrictPairs, ordered
-from .runner import run_available, run_available_batches, run_folded
+from .refiring import late_table, latest, refiring_windows
+from .runner import exists, fold_available, run_available, run_available_batches, run_folded
 from .running import running_users, sliding_top
 from .sources import table_stream, with_event_time, with_micros
 from ..plans.oracle import ORACLE_SQL as _BATCH_SQL
@@ -221,7 +225,52 @@ def stream_uv_running(spark: SparkSession, d: str) -> DataFrame:
                       utc_ntz(F.col("window_us")).alias("window_end"), "uv")
 
 
+#: Arrivals of the late clicks, and how long after its time a click arrives, by the last digit of its id.
+ARRIVALS, DELAYED = 5, {7: "5 minutes", 8: "40 minutes", 9: "1 day"}
+LATE_CLICKS = "event_id long, ts timestamp_ntz, item_id long"
+
+
+def _late_clicks(spark: SparkSession, d: str, name: str) -> str:
+    """Clicks in the order of their arrival, one stream run for each of ``ARRIVALS`` spans of it; the folder of the windows."""
+    base = scratch_path(spark, name)
+    clicks = (table(spark, d, "events").where(F.col("event_type") == "click")
+              .select("event_id", "ts", json_long("props", "k").alias("item_id")))
+    wait = F.lit(0)
+    for digit, delay in DELAYED.items():
+        wait = F.when(F.col("event_id") % 10 == digit, micros_of(delay)).otherwise(wait)
+    arrived = epoch_micros(clicks, "ts") + wait
+    low, high = clicks.agg(F.min(arrived), F.max(arrived)).first()
+    if low is None:
+        return base
+    (clicks.withColumn("arrival", F.floor((arrived - F.lit(low)) * ARRIVALS / F.lit(high - low + 1)))
+     .write.partitionBy("arrival").parquet(f"{base}/staged"))
+    fold = refiring_windows(base, "ts", "item_id", "6 hours", "10 minutes", "10 minutes", "1 hour")
+    for k in range(ARRIVALS):
+        if exists(spark, f"{base}/staged/arrival={k}"):
+            spark.read.schema(LATE_CLICKS).parquet(f"{base}/staged/arrival={k}").write.mode("append").parquet(f"{base}/source")
+            fold_available(spark, lambda own: own.readStream.schema(LATE_CLICKS).parquet(f"{base}/source"), base, fold, name,
+                           output_mode="update")
+    return base
+
+
+def stream_hot_hosts_late(spark: SparkSession, d: str) -> DataFrame:
+    """Top 5 clicked items per 6 h window sliding by 10 min (rank from 0), of which a tenth each arrives 5 min, 40 min and a day late:
+    windows fire at the watermark (10 min) and again for rows up to 1 h late; the last version of each window holds."""
+    base = _late_clicks(spark, d, "stream_hot_hosts_late")
+    counts = latest(spark, base, "window_us long, item_id long, cnt long", ["window_us", "item_id"])
+    ranked = top_n(counts.withColumn("window_end", utc_ntz(F.col("window_us"))), "window_end", "cnt", "item_id", 5, 0)
+    return ranked.select("window_end", "rank", "item_id", "cnt")
+
+
+def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The clicks of ``stream_hot_hosts_late`` that came after all of their windows were closed."""
+    base = _late_clicks(spark, d, "stream_late_rows")
+    return late_table(spark, base, StructType.fromDDL(LATE_CLICKS)).drop("microbatch")
+
+
 STREAM_QUERIES = {
+    "stream_hot_hosts_late": stream_hot_hosts_late,
+    "stream_late_rows": stream_late_rows,
     "stream_page_views_hourly": stream_page_views_hourly,
     "stream_unique_visitors_hourly": stream_unique_visitors_hourly,
     "stream_uv_approx_hourly": stream_uv_approx_hourly,
@@ -247,7 +296,29 @@ _ALL = "'signup', 'error', 'click', 'view', 'purchase'"
 _DECIDED = "epoch_us({t}) < 1000 * (SELECT floor(epoch_us(max(ts)) / 1000) - 3000 FROM events WHERE event_type IN ({types}))"
 _CLOSED = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
 
+_LATE = """
+WITH v AS (SELECT event_id, ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
+                  epoch_us(ts) + CAST(1000000 AS BIGINT) * CASE event_id % 10 WHEN 7 THEN 300 WHEN 8 THEN 2400 WHEN 9 THEN 86400 ELSE 0 END AS arrived
+           FROM events WHERE event_type = 'click'),
+b AS (SELECT min(arrived) AS low, max(arrived) - min(arrived) + 1 AS span FROM v),
+a AS (SELECT event_id, ts, item_id, (arrived - low) * 5 // span AS f FROM v CROSS JOIN b),
+m AS (SELECT k AS f, max(ts) AS seen FROM range(5) AS r(k) LEFT JOIN a ON a.f < k GROUP BY k),
+"""
+
 STREAM_ORACLE_SQL = {
+    "stream_hot_hosts_late": _LATE + """
+c AS (SELECT window_end, item_id, count(*) AS cnt
+      FROM (SELECT time_bucket(INTERVAL 10 MINUTE, ts) + to_minutes(10 * j) AS window_end, item_id, seen
+            FROM a JOIN m USING (f) CROSS JOIN range(1, 37) AS r(j))
+      WHERE seen IS NULL OR window_end > seen - INTERVAL 70 MINUTE GROUP BY 1, 2)
+SELECT window_end, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) - 1 AS BIGINT) AS rank, item_id, cnt
+FROM c WHERE window_end <= (SELECT max(ts) FROM v) - INTERVAL 10 MINUTE QUALIFY rank < 5""",
+
+    "stream_late_rows": _LATE + """
+z AS (SELECT 1)
+SELECT event_id, ts, item_id FROM a JOIN m USING (f)
+WHERE time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 6 HOUR <= seen - INTERVAL 70 MINUTE""",
+
     "stream_page_views_hourly": f"""
 SELECT * FROM (
   SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,

@@ -18,6 +18,8 @@ log = logging.getLogger(__name__)
 Stream = DataFrame | Callable[[SparkSession], DataFrame]
 
 
+#: Micro-batches of one run whose late rows are counted.
+PROGRESS = 100_000
 #: Settings that a query's own session takes over from the caller's.
 INHERITED = ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass", "spark.checkpoint.dir")
 
@@ -29,6 +31,7 @@ def _started(spark: SparkSession, stream: Stream, settings: dict[str, str]) -> D
     if isinstance(stream, DataFrame):
         return stream
     own = spark.newSession()
+    own.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(PROGRESS))
     for k in INHERITED:
         if (v := spark.conf.get(k, None)) is not None and own.conf.isModifiable(k):
             own.conf.set(k, v)
@@ -42,9 +45,10 @@ def late_rows(query) -> int:
     return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p["stateOperators"])
 
 
-def _finish(query, name: str, late: str) -> None:
+def _finish(query, name: str, late: str, put_aside: int = 0) -> None:
+    """Wait for the end and report late rows, with those that the query itself has put aside."""
     query.awaitTermination()
-    dropped = late_rows(query)
+    dropped = late_rows(query) + put_aside
     if dropped and late == "fail":
         raise RuntimeError(f"{name}: {dropped} rows were behind the watermark")
     if dropped:
@@ -87,10 +91,20 @@ def run_available(spark: SparkSession, stream: Stream, name: str, output_mode: s
     return _utc(out) if ntz else out
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the running query has written and needs no more."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     """The table at ``path``; empty when no micro-batch has written it."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
@@ -118,13 +132,26 @@ def run_available_batches(spark: SparkSession, stream: Stream, name: str, per_ba
     return _utc(out) if ntz else out
 
 
-def run_folded(spark: SparkSession, stream: Stream, base: str, fold, schema: str,
-               state_partitions: int | None = None) -> DataFrame:
-    """Fold the available micro-batches with a ``foreachBatch`` function that writes
-    its results below ``{base}/data``, and return them.  Called again with the same
-    folder, the query resumes."""
+def fold_available(spark: SparkSession, stream: Stream, base: str, fold, name: str = "folded",
+                   state_partitions: int | None = None, late: str = "warn", output_mode: str = "append") -> None:
+    """Fold the available micro-batches with a ``foreachBatch`` function.  Called again with the same ``base``, the
+    query resumes.  Late rows that Spark drops, and those that the fold writes below ``{base}/late``, are counted:
+    ``late`` is "warn" or "fail"."""
     settings = {"spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism)}
-    (_started(spark, stream, settings).writeStream.foreachBatch(fold).option("checkpointLocation", f"{base}/checkpoint")
-     .trigger(availableNow=True).start().awaitTermination())
+
+    def put_aside() -> int:
+        at = f"{base}/late"
+        return spark.read.option("recursiveFileLookup", "true").schema("_any int").parquet(at).count() if exists(spark, at) else 0
+    before = put_aside()
+    q = (_started(spark, stream, settings).writeStream.outputMode(output_mode).foreachBatch(fold)
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    _finish(q, name, late, put_aside() - before)
+
+
+def run_folded(spark: SparkSession, stream: Stream, base: str, fold, schema: str,
+               state_partitions: int | None = None, late: str = "warn", name: str = "folded") -> DataFrame:
+    """``fold_available`` with a function that writes its results below ``{base}/data``, which are returned."""
+    fold_available(spark, stream, base, fold, name, state_partitions, late)
     kind = StructType.fromDDL(schema)
     return _read(spark, f"{base}/data", kind).select(*[f.name for f in kind])

@@ -25,7 +25,8 @@ SCHEMAS = {"waiting": "seq long, us long, user_id long, window_us long", "seen":
 
 def running_users(base: str, ts: str, seq: str, user: str, size="1 hour", delay="0 seconds", slice_="1 minute"):
     """A ``foreachBatch`` function that writes (seq, us, window_us, uv) below
-    ``{base}/data`` and its state below ``{base}/state``; re-running a batch replaces both."""
+    ``{base}/data``, rows behind the watermark (seq, us, user_id) below ``{base}/late`` and its
+    state below ``{base}/state``; re-running a batch replaces all three."""
     slice_us, delay_us = positive_micros(slice_), micros_of(delay)
 
     def stored(spark: SparkSession, name: str, batch: int) -> DataFrame:
@@ -45,8 +46,11 @@ def running_users(base: str, ts: str, seq: str, user: str, size="1 hour", delay=
         new = rows.select(F.col(seq).cast("long").alias("seq"), F.unix_micros(ts).alias("us"), F.col(user).cast("long").alias("user_id"),
                           F.unix_micros(F.window(ts, window_text(size)).end).alias("window_us"))
         last = old["mark"].agg(F.max("wm")).first()[0]
-        late = 0 if last is None else new.where(F.col("us") <= last).count()
+        late = 0
         if last is not None:
+            at = f"{base}/late/microbatch={batch}"
+            new.where(F.col("us") <= last).select("seq", "us", "user_id").write.mode("overwrite").parquet(at)
+            late = spark.read.parquet(at).count()
             new = new.where(F.col("us") > last)
         top = new.agg(F.max("us")).first()[0]
         wm = max(x for x in (last, None if top is None else top - delay_us, -(1 << 62)) if x is not None)
