@@ -6,13 +6,14 @@ same spec).  Frames are always growing frames (``unboundedPreceding ..
 k``), which Spark evaluates incrementally; "the next later event" is
 found by reversing the order instead of using an O(n^2)
 ``unboundedFollowing`` frame.  Only the greedy burst detector (E4) needs
-Python: it runs per island of close failures, see ``bursts``.
+Python, to follow the chains of islands with several bursts, see ``bursts``.
 """
 
 from __future__ import annotations
 
+from collections import deque
+
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.times import epoch_micros, interval, micros_between, positive_micros, seconds_of, utc_ntz
@@ -223,10 +224,12 @@ def _run_positions(df: DataFrame, key: str, ts: str, seq: str, cond, max_gap) ->
     # rows of the block from its last start on
     since = F.col("_bn") - F.col("_x._w_rows") - F.col("_x._last.i") + 1
     outer = _carry(blocks, [key], "_d", F.col("_bn"), F.col("_x._last.t"), F.col("_x._last.s"), since, "_o")
-    per_b = (inner.join(outer.select(key, "_d", "_o_t", "_o_s", "_o_n"), [key, "_d"])
-             .select(key, "_b", F.coalesce("_w_t", "_o_t").alias("_carry_t"), F.coalesce("_w_s", "_o_s").alias("_carry_s"),
+    # a null key is a key
+    outer = outer.select(F.col(key).alias("_ok"), F.col("_d").alias("_od"), "_o_t", "_o_s", "_o_n")
+    per_b = (inner.join(outer, F.col(key).eqNullSafe(F.col("_ok")) & (F.col("_d") == F.col("_od")))
+             .select(F.col(key).alias("_pk"), F.col("_b").alias("_pb"), F.coalesce("_w_t", "_o_t").alias("_carry_t"), F.coalesce("_w_s", "_o_s").alias("_carry_s"),
                      F.coalesce(F.col("_w_n"), F.col("_o_n") + F.col("_w_rows")).alias("_carry_n")))
-    r = u.join(per_b, [key, "_b"], "left")
+    r = u.join(per_b, F.col(key).eqNullSafe(F.col("_pk")) & (F.col("_b") == F.col("_pb")), "left")
     carried = F.col("_nst") == 0
     return r.select(key, ts, seq, "next_other_ts",
                     F.when(carried, F.col("_carry_t")).otherwise(F.col("_ls.t")).alias("run_start"),
@@ -257,6 +260,10 @@ def runs(df: DataFrame, key: str, ts: str, seq: str, cond, max_gap="2 seconds",
              .select(key, "first_ts", F.col(ts).alias("last_ts"), seq, "fails"))
 
 
+#: Groups of spans in which the links of a long island are contracted, level by level.
+LINK_GROUPS = (64, 64 * 64)
+
+
 def bursts(df: DataFrame, key: str, ts: str, seq: str, cond, span="2 seconds",
            min_exclusive: int = 2) -> DataFrame:
     """A ``cond`` event with no open burst opens one; ``cond`` events
@@ -264,64 +271,119 @@ def bursts(df: DataFrame, key: str, ts: str, seq: str, cond, span="2 seconds",
     the key cancels it; the burst is reported at its timer (opener + span)
     when it holds more than ``min_exclusive`` events.
 
-    The next opener depends on where the previous burst ended, so the
-    greedy chain is sequential - but only inside an island of ``cond``
-    events with gaps <= span (any other event, or a larger gap, resets
-    it).  Islands and their closing event come from the bucketed
-    ``_run_positions``; rows are then clustered by (key, island) and each
-    partition is folded in (ts, seq) order by a small state machine in
-    ``mapInPandas``, the open burst carried across Arrow batches.  A hot
-    key is split over its islands; no group is materialised.
+    Openers are found island by island (``cond`` events with gaps <= span; any other
+    event, or a larger gap, resets the chain).  An island's first event is one.  Each
+    event links to the first one more than ``span`` later, where the next burst would open
+    if it were an opener itself: at most two spans away, so links, sizes and last events come
+    from windows over (key, island, time group) with two spans of lookahead.
+
+    Which links the chain takes is decided without folding an island as a whole: in every
+    group of ``LINK_GROUPS[0]`` spans, links are contracted to where the chain leaves the group; of these only the
+    events at the group's beginning can be entered, and they are contracted again in wider groups.
+    From the island's first event the chain is then followed over the widest groups, from the entries so
+    found inside of the narrower ones, and so on.  A task remembers what links can reach; the
+    last step over a whole island reads its entries, a two thousandth of its time.  Islands
+    of a single burst have no links and never reach Python.
 
     Columns: key, first_ts, last_ts, fails."""
     span_us = positive_micros(span)
-    ts_type = df.schema[ts].dataType.simpleString()
-    key_type = df.schema[key].dataType.simpleString()
-    schema = f"`{key}` {key_type}, first_us long, last_us long, fails long"
     p = _run_positions(df, key, ts, seq, cond, span)
-    # islands too short for any burst never reach Python, times go as integers
-    size = F.count(F.lit(1)).over(Window.partitionBy(key, "run_id"))
-    x = (p.select(key, "run_id", seq, epoch_micros(p, ts).alias("us"), epoch_micros(p, "next_other_ts").alias("other_us"))
-          .repartition(key, "run_id").withColumn("_size", size).where(F.col("_size") > min_exclusive).drop("_size")
-          .sortWithinPartitions(key, "run_id", "us", seq))
-
-    def fold(batches):
-        cur, open_t, last_t, n, stop = None, None, None, 0, None
-        out_k, out_f, out_l, out_n = [], [], [], []
-
-        def emit(island_end: bool):
-            if open_t is None or n <= min_exclusive:
-                return
-            if island_end and stop is not None and stop <= open_t + span_us:
-                return                          # cancelled before its timer
-            out_k.append(cur[0]); out_f.append(open_t); out_l.append(last_t); out_n.append(n)
-
+    nodes = (p.select(F.col(key).alias("k"), F.col("run_id").alias("run"), epoch_micros(p, ts).alias("us"),
+                      epoch_micros(p, "run_start").alias("head"), epoch_micros(p, "next_other_ts").alias("other"))
+             .groupBy("k", "run", "us").agg(F.count(F.lit(1)).alias("c"), F.min("head").alias("head"), F.max("other").alias("other")))
+    wide = F.lit(LINK_GROUPS[0] * span_us)
+    nodes = nodes.withColumn("g", F.floor(F.col("us") / wide)).withColumn("copy", F.lit(False))
+    ahead = nodes.where(F.col("us") - F.col("g") * wide < 2 * span_us).withColumn("g", F.col("g") - 1).withColumn("copy", F.lit(True))
+    w = Window.partitionBy("k", "run", "g").orderBy("us")
+    within = w.rangeBetween(0, span_us)
+    nodes = (nodes.unionByName(ahead)
+             .select("k", "run", "us", "head", "copy", F.sum("c").over(within).alias("n"), F.max("us").over(within).alias("last"),
+                     F.max("other").over(within).alias("stop"), F.min("us").over(w.rangeBetween(span_us + 1, 2 * span_us)).alias("to"))
+             .where(~F.col("copy")).drop("copy"))
+    # with all columns, so that the windows above are shuffled and computed once for all uses
+    taken = _chain(nodes.where("to IS NOT NULL"), span_us).select(
+        F.col("k").alias("taken_k"), F.col("run").alias("taken_run"), F.col("to").alias("taken_us"))
+    on = F.col("k").eqNullSafe(F.col("taken_k")) & (F.col("run") == F.col("taken_run")) & (F.col("us") == F.col("taken_us"))
+    openers = nodes.join(taken, on, "left").where("us = head OR taken_us IS NOT NULL")
+    # a burst before another one has run to its timer; the last one may be cancelled by the event after the island
+    out = openers.where((F.col("n") > min_exclusive) & (F.col("to").isNotNull() | F.col("stop").isNull() | (F.col("stop") > F.col("us") + span_us)))
+    ntz = df.schema[ts].dataType.simpleString() == "timestamp_ntz"
+    back = lambda c: utc_ntz(F.col(c)) if ntz else F.timestamp_micros(F.col(c))
+    return out.select(F.col("k").alias(key), back("us").alias("first_ts"), back("last").alias("last_ts"), F.col("n").cast("long").alias("fails"))
+
+
+def _chain(links: DataFrame, span_us: int) -> DataFrame:
+    """The ``links`` (k, run, us, head, to) on the chains from the heads, as (k, run, us, to)."""
+    levels, reach = [links], 2 * span_us
+    for spans in LINK_GROUPS:
+        wide = F.lit(spans * span_us)
+        start = F.floor(F.col("us") / wide) * wide
+        # a chain enters a group in its first two spans
+        entry = (F.col("us") - start < 2 * span_us) | (F.col("us") == F.col("head"))
+        levels.append(_folded(levels[-1], wide, F.col("us").desc(), _contract(reach)).where(entry))
+        reach = (spans + 2) * span_us
+    taken = _folded(levels.pop(), None, F.col("us"), _follow)
+    for spans in reversed(LINK_GROUPS):
+        entries = taken.select("k", "run", F.col("to").alias("us"), "head", F.lit(None).cast("long").alias("to"))
+        level = levels.pop()
+        entries = entries.select(*[c if c in entries.columns else F.lit(None).cast(level.schema[c].dataType).alias(c) for c in level.columns])
+        # of an entry and its own link, the entry comes first
+        order = F.struct(F.col("us"), F.col("to").isNotNull())
+        taken = _folded(level.unionByName(entries), F.lit(spans * span_us), order, _follow)
+    return taken
+
+
+def _folded(rows: DataFrame, wide: Column | None, order: Column, fold) -> DataFrame:
+    """``fold`` over the rows of each (k, run, group of ``wide`` microseconds) in ``order``."""
+    g = F.lit(0).cast("long") if wide is None else F.floor(F.col("us") / wide)
+    x = rows.withColumn("g", g)
+    names = ["k", "run", "us", "head", "to"]
+    ddl = ", ".join(f"{c} {x.schema[c].dataType.simpleString()}" for c in names)
+    dealt = x.repartition("k", "run", "g").sortWithinPartitions("k", "run", "g", order)
+
+    def over(batches):
+        group, state = None, None
         for pdf in batches:
-            ks, rs = pdf[key].tolist(), pdf["run_id"].tolist()
-            tv = pdf["us"].tolist()
-            nx = [None if np.isnan(v) else int(v) for v in pdf["other_us"].to_numpy(dtype="float64")]
-            for k, r, t, o in zip(ks, rs, tv, nx):
-                if (k, r) != cur:
-                    emit(True)
-                    cur, open_t, last_t, n = (k, r), t, t, 1
-                elif t > open_t + span_us:
-                    emit(False)                 # timer fired inside the island
-                    open_t, last_t, n = t, t, 1
-                else:
-                    last_t, n = t, n + 1
-                stop = o
-            if out_k:
-                yield _burst_frame(key, out_k, out_f, out_l, out_n)
-                out_k, out_f, out_l, out_n = [], [], [], []
-        emit(True)
-        if out_k:
-            yield _burst_frame(key, out_k, out_f, out_l, out_n)
-
-    def back(c: str) -> Column:
-        return utc_ntz(F.col(c)) if ts_type == "timestamp_ntz" else F.timestamp_micros(F.col(c))
-    return x.mapInPandas(fold, schema).select(key, back("first_us").alias("first_ts"), back("last_us").alias("last_ts"), "fails")
-
-
-def _burst_frame(key, ks, fs, ls, ns) -> pd.DataFrame:
-    return pd.DataFrame({key: ks, "first_us": np.asarray(fs, dtype=np.int64), "last_us": np.asarray(ls, dtype=np.int64),
-                         "fails": np.asarray(ns, dtype=np.int64)})
+            # links may be null, and stay integers
+            to = [None if t is None else int(t) for t in pdf["to"].astype(object).where(pdf["to"].notna(), None)]
+            out = []
+            rows = zip(*(pdf[c].tolist() for c in ("k", "run", "g", "us", "head")), to)
+            for i, (k, run, part, us, head, t) in enumerate(rows):
+                # a null key is not equal to itself
+                if group is None or (part, run) != group[1:] or (k != group[0] and not (k != k and group[0] != group[0])):
+                    group, state = (k, part, run), _Chain()
+                found = fold(state, us, t, us == head)
+                if found is not None:
+                    out.append((i, found))
+            if out:
+                kept = pdf[names].iloc[[i for i, _ in out]].copy()
+                kept["to"] = np.array([t for _, t in out], dtype=np.int64)
+                yield kept
+
+    return dealt.mapInPandas(over, ddl)
+
+
+class _Chain:
+    """What a fold remembers of one group: exits by time and, in falling order, their times; where a walk is."""
+
+    def __init__(self):
+        self.exits, self.times, self.at = {}, deque(), None
+
+
+def _contract(reach: int):
+    """For links in falling order, none longer than ``reach``: where the chain from ``to`` leaves the group, or ends."""
+    def exit_of(later: _Chain, us: int, to: int, is_head: bool) -> int:
+        while later.times and later.times[0] > us + reach:
+            del later.exits[later.times.popleft()]
+        out = later.exits[us] = later.exits.get(to, to)
+        later.times.append(us)
+        return out
+    return exit_of
+
+
+def _follow(walk: _Chain, us: int, to: int | None, is_head: bool) -> int | None:
+    """Links come in rising order, entries without ``to``: the link, if the chain is at it."""
+    if to is not None and not is_head and walk.at != us:
+        return None
+    walk.at = us if to is None else to
+    return to

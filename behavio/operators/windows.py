@@ -158,6 +158,24 @@ def window_deltas(df: DataFrame, ts: str | None, size, slide, keys=(), chunk="1
                .select(*keys, "e", "cnt", next_e.alias("next_e")))
 
 
+def sliding_runs(df: DataFrame, ts: str, size, slide, keys=()) -> DataFrame:
+    """All sliding windows that hold a row, neighbours of one key, UTC day (of the window's end) and count as one
+    row: the result of ``sliding_count`` in a form that grows with the rows, not with size / slide.
+
+    Columns: keys, first_end, last_end (of windows that are ``slide`` apart), cnt."""
+    keys = _keys(keys)
+    day = 86_400_000_000
+    d = window_deltas(df, ts, size, slide, keys, chunk="1 day").where("cnt > 0")
+    if day % positive_micros(slide) or positive_micros(size) > day:
+        raise ValueError("a day must hold whole slides, and a window")
+    d = d.withColumn("_day", F.floor(epoch_micros(d, "e") / F.lit(day)))
+    w = Window.partitionBy(*keys, "_day").orderBy("e")
+    same = (F.lag("cnt").over(w) == F.col("cnt")) & (F.lag("next_e").over(w) == F.col("e"))
+    d = d.withColumn("_new", F.when(same, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return (d.groupBy(*keys, "_day", "_run").agg(F.min("e").alias("first_end"), F.max("next_e").alias("_next"), F.first("cnt").alias("cnt"))
+            .select(*keys, "first_end", (F.col("_next") - interval(slide)).alias("last_end"), "cnt"))
+
+
 def sliding_peak(df: DataFrame, ts: str, size, slide, keys=(), peak_col: str = "peak") -> DataFrame:
     """Per key: the largest sliding-window count, the first window end at
     which it occurs, and how many windows hold >= 1 row."""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import is_static_resource, json_long, url_host
 from ..operators import (bursts, deadline, followed_by, interval_join, quota, reconcile, runs,
-                         sliding_count, sliding_peak, strict_sequence, top_n, top_n_report,
+                         sliding_count, sliding_peak, sliding_runs, strict_sequence, top_n, top_n_report,
                          tumbling_count, unique_count, running_unique)
 from ..operators.uniques import hll_sketches, rollup_sketches
 from ..sources.tables import table
@@ -186,10 +186,8 @@ def order_timeout(spark: SparkSession, d: str) -> DataFrame:
 
 def order_deadline(spark: SparkSession, d: str) -> DataFrame:
     e = _ev(spark, d)
-    out = deadline(e, "user_id", "ts", "event_id", F.col("event_type") == "signup",
-                   F.col("event_type") == "purchase", "6 hours")
-    # as text: a nullable integer is a float to some clients
-    return out.withColumn("delay_min", F.col("delay_min").cast("string"))
+    return deadline(e, "user_id", "ts", "event_id", F.col("event_type") == "signup",
+                    F.col("event_type") == "purchase", "6 hours")
 
 
 # ---------------------------------------------------------------- payments
@@ -237,19 +235,19 @@ def tx_reconcile_dup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def marketing_windows(spark: SparkSession, d: str) -> DataFrame:
-    """Per (nation of the user, event type): every 1 h window sliding by 10 s."""
+    """Per (nation of the user, event type): every 1 h window sliding by 10 s, windows of equal counts as one row."""
     e = (_ev(spark, d).where(~F.col("event_type").eqNullSafe("error"))
          .join(_nation_of_user(spark, d), "user_id", "left")
          .select("ts", F.col("n_name").alias("channel"), F.col("event_type").alias("behavior")))
-    return sliding_count(e, "ts", "1 hour", "10 seconds", keys=["channel", "behavior"])
+    return sliding_runs(e, "ts", "1 hour", "10 seconds", keys=["channel", "behavior"])
 
 
 def ad_click_windows(spark: SparkSession, d: str) -> DataFrame:
-    """Clicks that passed the quota, per nation: every 1 h window sliding by 5 s."""
+    """Clicks that passed the quota, per nation: every 1 h window sliding by 5 s, windows of equal counts as one row."""
     ok = (_quota(spark, d).where("passed")
           .join(_nation_of_user(spark, d), "user_id", "left")
           .select("ts", F.col("n_name").alias("province")))
-    return sliding_count(ok, "ts", "1 hour", "5 seconds", keys=["province"])
+    return sliding_runs(ok, "ts", "1 hour", "5 seconds", keys=["province"])
 
 
 QUERIES = {
@@ -280,4 +278,6 @@ QUERIES = {
     "tx_match": tx_match,
     "pay_without_receipt": pay_without_receipt,
     "receipt_without_pay": receipt_without_pay,
+    "marketing_windows": marketing_windows,
+    "ad_click_windows": ad_click_windows,
 }

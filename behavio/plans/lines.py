@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import json_long
 from ..functions.times import epoch_micros
 from ..operators import drop_static_urls, merge_unique_state, unique_count
+from ..operators.unique_state import BitmapState, window_counts
 from ..operators.uniques import with_bit_offset
 from ..session import scratch_path
+from .oracle import ORACLE_SQL as _BATCH_SQL
 from ..sources.lines import LAYOUTS, parse_lines
 from ..sources.tables import table
 
@@ -87,6 +89,15 @@ def uv_two_runs(spark: SparkSession, d: str) -> DataFrame:
     return counts
 
 
+def uv_kept_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly unique viewers by bitmaps kept over three runs, of which the second is brought twice (U4)."""
+    v = table(spark, d, "events").where(F.col("event_type") == "view").select("event_id", "ts", "user_id")
+    state = BitmapState(spark, scratch_path(spark, "uv-bitmaps"))
+    for run in (0, 1, 1, 2):
+        state.add(v.where(F.col("event_id") % 3 == run), f"run-{run}", "ts", "user_id")
+    return window_counts(state)
+
+
 def uv_approx_close(spark: SparkSession, d: str) -> DataFrame:
     """Per hour, whether the HLL estimate is within 5 % (or 1) of the exact count."""
     v = table(spark, d, "events").where(F.col("event_type") == "view")
@@ -98,7 +109,7 @@ def uv_approx_close(spark: SparkSession, d: str) -> DataFrame:
 
 lines_queries = {f"lines_{n}": _parsed(n) for n in LAYOUTS}
 QUERIES = {**lines_queries, "lines_rejects": lines_rejects, "pages_without_static": pages_without_static, "pays_with_tx": pays_with_tx,
-           "uv_two_runs": uv_two_runs, "uv_approx_close": uv_approx_close}
+           "uv_two_runs": uv_two_runs, "uv_kept_runs": uv_kept_runs, "uv_approx_close": uv_approx_close}
 
 _E = """e AS (SELECT *, json_extract_string(props, '$.k') AS k, date_trunc('second', ts) AS s,
   CASE WHEN event_type = 'purchase' THEN 'pay' ELSE 'create' END AS kind FROM events)"""
@@ -124,6 +135,7 @@ l AS (SELECT unnest([
 SELECT x.n AS layout, count(*) AS rejects, min(x.v) AS first FROM l GROUP BY 1""",
     "pages_without_static": f"WITH {_E}, u AS (SELECT {_URL} AS url {_GOOD}) SELECT url, count(*) AS cnt FROM u WHERE url NOT LIKE '%.css' AND url NOT LIKE '%.js' GROUP BY 1",
     "pays_with_tx": f"WITH {_E} SELECT 'tx' || k AS tx_id, event_id AS order_id, s AS pay_ts FROM e WHERE event_type = 'purchase'",
+    "uv_kept_runs": _BATCH_SQL["uv_bitmap_hourly"],
     "uv_two_runs": "SELECT time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(DISTINCT user_id) AS uv FROM events WHERE event_type = 'view' GROUP BY 1",
     "uv_approx_close": "SELECT time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(DISTINCT user_id) AS uv, true AS close FROM events WHERE event_type = 'view' GROUP BY 1",
 }

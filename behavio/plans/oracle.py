@@ -49,6 +49,14 @@ SELECT {keys}, peak, min(window_end) FILTER (WHERE cnt = peak) AS peak_window_en
 FROM p GROUP BY {keys}, peak
 """
 
+# windows of equal counts on one day, without a gap, as one row
+_RUNS = """
+f AS (SELECT *, date_trunc('day', window_end) AS d,
+             CASE WHEN lag(cnt) OVER w = cnt AND lag(window_end) OVER w = window_end - to_seconds({slide}) THEN 0 ELSE 1 END AS s
+      FROM c WINDOW w AS (PARTITION BY {keys}, date_trunc('day', window_end) ORDER BY window_end)),
+g AS (SELECT *, sum(s) OVER (PARTITION BY {keys}, d ORDER BY window_end ROWS UNBOUNDED PRECEDING) AS r FROM f)
+SELECT {keys}, min(window_end) AS first_end, max(window_end) AS last_end, any_value(cnt) AS cnt FROM g GROUP BY {keys}, d, r"""
+
 ORACLE_SQL = {
     "hot_items": _HOT_ITEMS_TOP + "SELECT window_end, rank, item_id, cnt FROM top",
 
@@ -140,16 +148,16 @@ WHERE event_type = 'purchase' AND event_id NOT IN (SELECT r FROM m)""",
 WITH nu AS ({_NATION_OF_USER}),
 e AS (SELECT ev.ts, nu.n_name AS channel, ev.event_type AS behavior
       FROM events ev LEFT JOIN nu ON ev.user_id = nu.user_id WHERE ev.event_type IS DISTINCT FROM 'error')
-SELECT time_bucket(INTERVAL 10 SECOND, ts) + to_seconds(10 * k) - INTERVAL 1 HOUR AS window_start,
-       time_bucket(INTERVAL 10 SECOND, ts) + to_seconds(10 * k) AS window_end, channel, behavior, count(*) AS cnt
-FROM e CROSS JOIN range(1, 361) AS r(k) GROUP BY 1, 2, 3, 4""",
+c AS (SELECT time_bucket(INTERVAL 10 SECOND, ts) + to_seconds(10 * k) AS window_end, channel, behavior, count(*) AS cnt
+      FROM e CROSS JOIN range(1, 361) AS r(k) GROUP BY 1, 2, 3),
+""" + _RUNS.format(keys="channel, behavior", slide=10) + """""",
 
     "ad_click_windows": "WITH " + _QUOTA + f""",
 nu AS ({_NATION_OF_USER}),
 e AS (SELECT q.ts, nu.n_name AS province FROM q LEFT JOIN nu ON q.user_id = nu.user_id WHERE q.n <= 2)
-SELECT time_bucket(INTERVAL 5 SECOND, ts) + to_seconds(5 * k) - INTERVAL 1 HOUR AS window_start,
-       time_bucket(INTERVAL 5 SECOND, ts) + to_seconds(5 * k) AS window_end, province, count(*) AS cnt
-FROM e CROSS JOIN range(1, 721) AS r(k) GROUP BY 1, 2, 3""",
+c AS (SELECT time_bucket(INTERVAL 5 SECOND, ts) + to_seconds(5 * k) AS window_end, province, count(*) AS cnt
+      FROM e CROSS JOIN range(1, 721) AS r(k) GROUP BY 1, 2),
+""" + _RUNS.format(keys="province", slide=5) + """""",
 
     "marketing_by_channel": f"""
 WITH nu AS ({_NATION_OF_USER}),
@@ -225,7 +233,7 @@ d AS (SELECT user_id, ts AS create_ts, CASE WHEN nts <= ts + INTERVAL 6 HOUR THE
       FROM n WHERE event_type = 'signup')
 SELECT user_id, create_ts,
        CASE WHEN pay_ts IS NOT NULL THEN 'Order Pay Successfully' ELSE 'Order Pay Timeout' END AS result,
-       pay_ts, CAST(floor((epoch_us(pay_ts) - epoch_us(create_ts)) / 60000000) AS BIGINT)::VARCHAR AS delay_min,
+       pay_ts, CAST(floor((epoch_us(pay_ts) - epoch_us(create_ts)) / 60000000) AS DOUBLE) AS delay_min,
        CAST(360 AS BIGINT) AS deadline_min
 FROM d""",
 

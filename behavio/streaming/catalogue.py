@@ -137,7 +137,7 @@ def stream_order_deadline(spark: SparkSession, d: str) -> DataFrame:
     result = F.when(F.col("kind") == "successfully", F.lit("Order Pay Successfully")).otherwise(F.lit("Order Pay Timeout"))
     return _followed(spark, d, False).select(
         "user_id", _time("first_us").alias("create_ts"), result.alias("result"), _time("then_us").alias("pay_ts"),
-        F.floor((F.col("then_us") - F.col("first_us")) / F.lit(60_000_000)).cast("string").alias("delay_min"),
+        F.floor((F.col("then_us") - F.col("first_us")) / F.lit(60_000_000)).cast("long").alias("delay_min"),
         F.lit(360).cast("long").alias("deadline_min"))
 
 
