@@ -147,17 +147,17 @@ WHERE event_type = 'purchase' AND event_id NOT IN (SELECT r FROM m)""",
     "marketing_windows": f"""
 WITH nu AS ({_NATION_OF_USER}),
 e AS (SELECT ev.ts, nu.n_name AS channel, ev.event_type AS behavior
-      FROM events ev LEFT JOIN nu ON ev.user_id = nu.user_id WHERE ev.event_type IS DISTINCT FROM 'error')
+      FROM events ev LEFT JOIN nu ON ev.user_id = nu.user_id WHERE ev.event_type IS DISTINCT FROM 'error'),
 c AS (SELECT time_bucket(INTERVAL 10 SECOND, ts) + to_seconds(10 * k) AS window_end, channel, behavior, count(*) AS cnt
       FROM e CROSS JOIN range(1, 361) AS r(k) GROUP BY 1, 2, 3),
-""" + _RUNS.format(keys="channel, behavior", slide=10) + """""",
+""" + _RUNS.format(keys="channel, behavior", slide=10),
 
     "ad_click_windows": "WITH " + _QUOTA + f""",
 nu AS ({_NATION_OF_USER}),
-e AS (SELECT q.ts, nu.n_name AS province FROM q LEFT JOIN nu ON q.user_id = nu.user_id WHERE q.n <= 2)
+e AS (SELECT q.ts, nu.n_name AS province FROM q LEFT JOIN nu ON q.user_id = nu.user_id WHERE q.n <= 2),
 c AS (SELECT time_bucket(INTERVAL 5 SECOND, ts) + to_seconds(5 * k) AS window_end, province, count(*) AS cnt
       FROM e CROSS JOIN range(1, 721) AS r(k) GROUP BY 1, 2),
-""" + _RUNS.format(keys="province", slide=5) + """""",
+""" + _RUNS.format(keys="province", slide=5),
 
     "marketing_by_channel": f"""
 WITH nu AS ({_NATION_OF_USER}),
