@@ -12,9 +12,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections import deque
 
-from ..functions.times import epoch_micros, interval, micros_of, positive_micros, utc_ntz
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..functions.times import epoch_micros, interval, micros_of, positive_micros
+from ..session import written
 
 MATCH, PAY_ONLY, RECEIPT_ONLY = "match", "pay_without_receipt", "receipt_without_pay"
 
@@ -70,11 +73,9 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str, t
     With ``pair_duplicates`` a key may have several rows on either side, taken
     in time order (left before right at equal times, then by the other columns): a
     row consumes the oldest waiting row of the other side within the
-    tolerance, or waits itself.  Each key is cut into chains of rows at most
-    ``tolerance`` apart, found per (key, time bucket); rows of different chains can
-    never match.  Chains of one side, and of one row a side, are decided in
-    SQL; only longer ones are folded in Python, in order, a row at a time.
-    Without it keys are taken to be unique, and each kind is a plain
+    tolerance, or waits itself.  Rows without any of the other side within the tolerance are
+    decided in SQL; the others are matched by time groups of a key, see
+    ``_reconcile_chains``.  Without it keys are taken to be unique, and each kind is a plain
     inner or anti join with the band.
 
     Rows with a null key or time match nothing and are reported unmatched.
@@ -94,11 +95,37 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str, t
     return out if kind is None else out.where(F.col("kind") == kind)
 
 
+#: Tolerances in one time group of a key's rows.
+GROUP = 64
+
+
+def _frames(rows: DataFrame, tol_us: int, wide: int, *found: Column) -> DataFrame:
+    """``rows`` (k, us, ...) with aggregates ``found`` over the rows of the key up to ``tol_us`` away, by time group ``g``
+    with copies of what lies so near to a neighbouring group."""
+    g = F.floor(F.col("us") / F.lit(wide))
+    start = g * F.lit(wide)
+    near = F.array(F.lit(0), F.when(F.col("us") - start <= tol_us, F.lit(-1)), F.when(start + F.lit(wide) - F.col("us") <= tol_us, F.lit(1)))
+    dealt = rows.withColumn("_to", F.explode(F.filter(near, lambda x: x.isNotNull()))).withColumn("g", g + F.col("_to"))
+    w = Window.partitionBy("k", "g").orderBy("us").rangeBetween(-tol_us, tol_us)
+    names = [f"_f{i}" for i in range(len(found))]
+    return dealt.select("*", *[c.over(w).alias(n) for c, n in zip(found, names)]).where("_to = 0").drop("_to")
+
+
 def _reconcile_chains(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str, tol_us: int) -> DataFrame:
-    from .patterns import _run_positions
+    """Consuming match without folding a key as a whole.
+
+    The left rows of a key are numbered in order, those without a right row within the tolerance aside, and the
+    same for the right rows.  Taken in order, a right row matches the first left row that is neither taken nor too old,
+    if that is within the tolerance.  What is passed on is one number, the first left row not yet passed: with ``f`` the first left
+    row within the tolerance and ``h`` the one after the last, a right row turns ``i`` into
+    ``x + 1`` if ``x = max(i, f) < h``, else into ``x``.  A time group's right rows are first folded for all numbers at once with which they
+    can be entered, which are those near to the group's first row; then the numbers
+    are passed from group to group, and each group is replayed from its own."""
     left_cols = [c for c in left.columns if c != key]
     right_cols = [c for c in right.columns if c != key]
     names = ([f"l{i}" for i in range(len(left_cols))], [f"r{i}" for i in range(len(right_cols))])
+    every = names[0] + names[1]
+    wide = GROUP * (tol_us or 1)
 
     def tagged(df, ts, own, side, other, other_names, own_names):
         return df.select(F.col(key).alias("k"), epoch_micros(df, ts).alias("us"), F.lit(side).alias("side"),
@@ -106,77 +133,145 @@ def _reconcile_chains(left: DataFrame, right: DataFrame, key: str, lts: str, rts
                          *[F.lit(None).cast(other.schema[c].dataType).alias(n) for c, n in other_names])
     rows = tagged(left, lts, left_cols, 0, right, list(zip(right_cols, names[1])), names[0]).unionByName(
         tagged(right, rts, right_cols, 1, left, list(zip(left_cols, names[0])), names[1]))
-    every = names[0] + names[1]
-    alone = rows.where("k IS NULL OR us IS NULL")
-    known = rows.where("k IS NOT NULL AND us IS NOT NULL")
-    # one order for all rows of a key: time, side, then the columns themselves
-    known = known.select("k", utc_ntz(F.col("us")).alias("t"), F.struct("side", *every).alias("row"))
-    chained = _run_positions(known, "k", "t", "row", F.lit(True), (tol_us or 1) / 1_000_000)
-    chained = chained.select("k", "run_start", "t", "row")
-    w = Window.partitionBy("k", "run_start")
-    n_left = F.sum(F.when(F.col("row.side") == 0, 1).otherwise(0)).over(w)
-    sized = (chained.repartition("k", "run_start").withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_nl", n_left))
-    one_side = sized.where("_nl = 0 OR _nl = _n").select("k", "row")
-    longer = sized.where("_nl > 0 AND _nl < _n").select("k", "run_start", epoch_micros(sized, "t").alias("us"), "row.side", *[f"row.{c}" for c in every])
-    longer = longer.sortWithinPartitions("k", "run_start", "us", "side", *every)
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in longer.schema if f.name in ("k", *every)) + ", kind string"
-    folded = longer.mapInArrow(_fold_chains(tol_us, names), ddl)
-    unmatched = alone.select("k", "side", *every).unionByName(one_side.select("k", "row.side", *[f"row.{c}" for c in every]))
-    out = folded.unionByName(unmatched.select("k", *every, F.when(F.col("side") == 0, PAY_ONLY).otherwise(RECEIPT_ONLY).alias("kind")))
+    known = F.col("k").isNotNull() & F.col("us").isNotNull()
+    of_side = lambda s: F.count(F.when(F.col("side") == s, 1))
+    met = _frames(rows.where(known), tol_us, wide, of_side(0), of_side(1))
+    both = F.when(F.col("side") == 0, F.col("_f1")).otherwise(F.col("_f0")) > 0
+    in_group = F.row_number().over(Window.partitionBy("k", "side", "g", both).orderBy("us", *every)) - 1
+    met = written(met.select("k", "us", "side", "g", *every, both.alias("both"), in_group.cast("long").alias("place")), "met")
+    # numbers of a key's rows: those of the groups before, and the place in the group
+    pairs = met.where("both")
+    counts = pairs.groupBy("k", "side", "g").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("k", "side").orderBy("g").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("k", "side", "g", F.coalesce(before, F.lit(0)).alias("before"))
+    numbered = written(pairs.join(counts, ["k", "side", "g"]).select("k", "us", "side", *every, (F.col("before") + F.col("place")).alias("i")), "numbered")
+    number = F.when(F.col("side") == 0, F.col("i"))
+    bounds = _frames(numbered.select("k", "us", "side", "i"), tol_us, wide, F.min(number), F.max(number)).where("side = 1")
+    bounds = written(bounds.select("k", "g", F.col("i").alias("j"), F.col("_f0").alias("f"), (F.col("_f1") + 1).alias("h")), "bounds")
+    matches = written(_matched(bounds), "matches")
+    l = numbered.where("side = 0").join(matches.withColumnRenamed("x", "i"), ["k", "i"], "left").select("k", "j", *names[0]).alias("_lt")
+    r = numbered.where("side = 1").select("k", F.col("i").alias("j"), *names[1]).alias("_rt")
+    joined = l.withColumn("_l", F.lit(True)).alias("_lt").join(
+        r.withColumn("_r", F.lit(True)).alias("_rt"), (F.col("_lt.k") == F.col("_rt.k")) & (F.col("_lt.j") == F.col("_rt.j")), "full_outer")
+    kind = F.when(F.col("_l") & F.col("_r"), MATCH).when(F.col("_l"), PAY_ONLY).otherwise(RECEIPT_ONLY)
+    folded = joined.select(F.coalesce("_lt.k", "_rt.k").alias("k"), *every, kind.alias("kind"))
+    alone = met.where("NOT both").select("k", "side", *every).unionByName(rows.where(~known).select("k", "side", *every))
+    out = folded.unionByName(alone.select("k", *every, F.when(F.col("side") == 0, PAY_ONLY).otherwise(RECEIPT_ONLY).alias("kind")))
     return out.select(F.col("k").alias(key), *[F.col(n).alias(c) for c, n in zip(left_cols, names[0])],
                       *[F.col(n).alias(c) for c, n in zip(right_cols, names[1])], "kind")
 
 
-def _fold_chains(tol_us: int, names: tuple[list[str], list[str]]):
-    """Consuming match over rows ordered by (key, chain, time); rows that still
-    wait are carried over Arrow batches, so no chain is held as a whole."""
-
-    def fold(batches):
-        from collections import deque
-
-        import pyarrow as pa
-        waiting, side, chain = deque(), None, None  # entries are (table, row, us)
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            found: list[tuple] = []
-            keys = list(zip(batch["k"].to_pylist(), batch["run_start"].to_pylist()))
-            for i, (of, us, s) in enumerate(zip(keys, batch["us"].to_pylist(), batch["side"].to_pylist())):
-                if of != chain:
-                    found += [(w, None, side) for w in waiting]
-                    waiting.clear()
-                    chain = of
-                while waiting and us - waiting[0][2] > tol_us:
-                    found.append((waiting.popleft(), None, side))
-                if waiting and s != side:
-                    found.append((waiting.popleft(), (table, i, us), side))
-                else:
-                    side = s
-                    waiting.append((table, i, us))
-            if found:
-                yield from _pairs(found, names)
-            # keep only the rows that wait, not their batches
-            waiting = deque((w[0].slice(w[1], 1).combine_chunks(), 0, w[2]) for w in waiting)
-        if waiting:
-            yield from _pairs([(w, None, side) for w in waiting], names)
-
-    return fold
-
-
-def _pairs(found: list[tuple], names: tuple[list[str], list[str]]):
-    import pyarrow as pa
-    at: dict[int, int] = {}
-    tables, size = [], 0
-    for a, b, _ in found:
-        for e in (a, b):
-            if e is not None and id(e[0]) not in at:
-                at[id(e[0])] = size
-                tables.append(e[0])
-                size += e[0].num_rows
-    joined = pa.concat_tables(tables)
-    place = lambda e: None if e is None else at[id(e[0])] + e[1]
-    sides = [(place(a), place(b)) if s == 0 else (place(b), place(a)) for a, b, s in found]
-    l, r = (pa.array(v, pa.int64()) for v in zip(*sides))
-    key = pa.array([x if x is not None else y for x, y in sides], pa.int64())
-    cols = [joined["k"].take(key), *[joined[c].take(l) for c in names[0]], *[joined[c].take(r) for c in names[1]]]
-    kinds = [MATCH if x is not None and y is not None else PAY_ONLY if x is not None else RECEIPT_ONLY for x, y in sides]
-    return pa.Table.from_arrays([*cols, pa.array(kinds)], ["k", *names[0], *names[1], "kind"]).to_batches()
+def _matched(bounds: DataFrame) -> DataFrame:
+    """(k, j, x) of the right rows ``j`` and the left rows ``x`` that they match, from their ``bounds`` (k, g, j, f, h)."""
+    kind = bounds.schema["k"].dataType.simpleString()
+    of_group = bounds.repartition("k", "g").sortWithinPartitions("k", "g", "j")
+    passed = of_group.mapInPandas(_each_group(_pass_all), f"k {kind}, g long, j long, f long, h long")
+    # a few numbers of each group
+    passed = passed.repartition("k").sortWithinPartitions("k", "g", "f").mapInPandas(_pass_on, f"k {kind}, g long, j long, f long, h long")
+    replayed = bounds.unionByName(passed).repartition("k", "g").sortWithinPartitions("k", "g", "j")
+    return replayed.mapInPandas(_each_group(_replay), f"k {kind}, g long, j long, f long, h long").select("k", "j", F.col("f").alias("x"))
+
+
+def _each_group(fold):
+    """``fold`` over the (j, f, h) of each (k, g), which gives rows of the same columns; the rows of a group are streamed."""
+    def over(batches):
+        import pandas as pd
+        group, state = None, None
+
+        for pdf in batches:
+            out = []
+            for k, g, j, f, h in zip(*(pdf[c].tolist() for c in "kgjfh")):
+                if group != (k, g):
+                    if group is not None:
+                        out += [(*group, *x) for x in fold(state, None)]
+                    group, state = (k, g), {}
+                out += [(*group, *x) for x in fold(state, (j, f, h))]
+            if out:
+                yield pd.DataFrame(out, columns=list("kgjfh"))
+        if group is not None and (last := list(fold(state, None))):
+            yield pd.DataFrame([(*group, *x) for x in last], columns=list("kgjfh"))
+    return over
+
+
+def _pass_all(state: dict, row: tuple | None):
+    """Into what the right rows of a group turn each number with which the group can be entered: (-1, number, result) at its end.
+
+    Numbers that have become equal stay so.  Those below ``h`` all go up by one with each row, so they are kept less
+    a common shift, in order, and those from ``h`` on as they are; both are runs of the entered numbers' parents."""
+    if row is None:
+        values = {}
+        for v, p in state["low"]:
+            values[p] = v + state["shift"]
+        for v, p in state["high"]:
+            values[p] = v
+        first, out = state["first"], []
+        # a number's parent is the first later one that has not been merged upwards
+        for i in range(len(state["parent"]) - 1, -1, -1):
+            p = state["parent"][i]
+            if p != i:
+                values[i] = values[p]
+            out.append((-1, first + i, values[i]))
+        return out
+    _, f, h = row
+    if not state:
+        state.update(first=f, parent=list(range(h - f + 1)), shift=0, low=deque(), high=deque((f + i, i) for i in range(h - f + 1)))
+    low, high, parent = state["low"], state["high"], state["parent"]
+    while high and high[0][0] < h:
+        v, p = high.popleft()
+        low.append((v - state["shift"], p))
+    # too old left rows are passed: all numbers below f become f
+    last = None
+    while low and low[0][0] + state["shift"] < f:
+        if last is not None:
+            parent[last] = low[0][1]
+        last = low.popleft()[1]
+    if last is not None:
+        if low and low[0][0] + state["shift"] == f:
+            parent[last] = low[0][1]
+        else:
+            low.appendleft((f - state["shift"], last))
+    state["shift"] += 1
+    if low and low[-1][0] + state["shift"] >= h:
+        v, p = low.pop()
+        if high and high[0][0] == h:
+            parent[p] = high[0][1]
+        else:
+            high.appendleft((h, p))
+    return ()
+
+
+def _pass_on(batches):
+    """Over the (number, result) of a key's groups in order: the number with which each group is entered, as (-1, number, null)."""
+    import pandas as pd
+    key, group, now, entered, last = None, None, 0, 0, 0
+    for pdf in batches:
+        out = []
+        for k, g, i, result in zip(*(pdf[c].tolist() for c in "kgfh")):
+            if k != key:
+                key, group, now = k, None, 0
+            if g != group:
+                if group is not None:
+                    now = last
+                group = g
+                # the first number stands for all smaller ones
+                entered = max(now, i)
+                out.append((k, g, -1, entered, 0))
+            if i <= entered:
+                last = result
+        if out:
+            yield pd.DataFrame(out, columns=list("kgjfh"))
+
+
+def _replay(state: dict, row: tuple | None):
+    """(j, x, 0) of the matches of a group, which begins with the number it is entered with."""
+    if row is None:
+        return
+    j, f, h = row
+    if j < 0:
+        state["i"] = f
+        return
+    x = max(state["i"], f)
+    if x < h:
+        yield j, x, 0
+        x += 1
+    state["i"] = x

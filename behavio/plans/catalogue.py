@@ -31,7 +31,7 @@ def _items(spark, d, event_type: str) -> DataFrame:
             .select("event_id", "ts", "user_id", json_long("props", "k").alias("item_id")))
 
 
-def _nation_of_user(spark, d) -> DataFrame:
+def nation_of_user(spark, d) -> DataFrame:
     # both joins are left to AQE, which broadcasts a side only when its
     # size is under the threshold
     nation = table(spark, d, "nation").select("n_nationkey", "n_name")
@@ -117,7 +117,7 @@ def marketing_total(spark: SparkSession, d: str) -> DataFrame:
 def marketing_by_channel(spark: SparkSession, d: str) -> DataFrame:
     """Per (nation of the user, event type): peak 1 h / 10 s count."""
     e = (_ev(spark, d).where(~F.col("event_type").eqNullSafe("error"))
-         .join(_nation_of_user(spark, d), "user_id", "left")
+         .join(nation_of_user(spark, d), "user_id", "left")
          .select("ts", F.col("n_name").alias("channel"), F.col("event_type").alias("behavior")))
     return sliding_peak(e, "ts", "1 hour", "10 seconds", keys=["channel", "behavior"])
 
@@ -141,7 +141,7 @@ def ad_quota_alerts(spark: SparkSession, d: str) -> DataFrame:
 def ad_clicks_by_region(spark: SparkSession, d: str) -> DataFrame:
     """Clicks that passed the quota, per nation, peak 1 h / 5 s count."""
     ok = (_quota(spark, d).where("passed")
-          .join(_nation_of_user(spark, d), "user_id", "left")
+          .join(nation_of_user(spark, d), "user_id", "left")
           .select("ts", F.col("n_name").alias("province")))
     return sliding_peak(ok, "ts", "1 hour", "5 seconds", keys=["province"])
 
@@ -237,7 +237,7 @@ def tx_reconcile_dup(spark: SparkSession, d: str) -> DataFrame:
 def marketing_windows(spark: SparkSession, d: str) -> DataFrame:
     """Per (nation of the user, event type): every 1 h window sliding by 10 s, windows of equal counts as one row."""
     e = (_ev(spark, d).where(~F.col("event_type").eqNullSafe("error"))
-         .join(_nation_of_user(spark, d), "user_id", "left")
+         .join(nation_of_user(spark, d), "user_id", "left")
          .select("ts", F.col("n_name").alias("channel"), F.col("event_type").alias("behavior")))
     return sliding_runs(e, "ts", "1 hour", "10 seconds", keys=["channel", "behavior"])
 
@@ -245,7 +245,7 @@ def marketing_windows(spark: SparkSession, d: str) -> DataFrame:
 def ad_click_windows(spark: SparkSession, d: str) -> DataFrame:
     """Clicks that passed the quota, per nation: every 1 h window sliding by 5 s, windows of equal counts as one row."""
     ok = (_quota(spark, d).where("passed")
-          .join(_nation_of_user(spark, d), "user_id", "left")
+          .join(nation_of_user(spark, d), "user_id", "left")
           .select("ts", F.col("n_name").alias("province")))
     return sliding_runs(ok, "ts", "1 hour", "5 seconds", keys=["province"])
 

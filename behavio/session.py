@@ -68,6 +68,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/behavio-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df, name: str):
+    """Cut lineage: write ``df`` as Parquet below the shared checkpoint folder and read it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_code() -> None:
     """Pickle this package's functions by value, so Python workers (pandas
     operators, state functions) need no installed copy of the package."""

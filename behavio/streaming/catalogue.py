@@ -26,10 +26,11 @@ from .operators import (approx_unique, chained_unique, flatten_window, stream_in
                         windowed_count)
 from .processors import Bursts, FollowedBy, Quota, Reconcile, Runs, StrictPairs, ordered
 from .refiring import late_table, latest, refiring_windows
-from .runner import exists, fold_available, run_available, run_available_batches, run_folded
+from .runner import exists, fold_available, read_table, run_available, run_available_batches, run_folded
 from .running import running_users, sliding_top
 from .sources import table_stream, with_event_time, with_micros
-from ..plans.oracle import ORACLE_SQL as _BATCH_SQL
+from ..plans.catalogue import nation_of_user
+from ..plans.oracle import _NATION_OF_USER, _PEAK, _QUOTA, ORACLE_SQL as _BATCH_SQL
 
 
 def _events(spark, d, cols=("event_id", "ts", "user_id", "event_type", "props"), delay="0 seconds"):
@@ -268,7 +269,48 @@ def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
     return late_table(spark, base, StructType.fromDDL(LATE_CLICKS)).drop("microbatch")
 
 
+RUNS = "window_us long, last_us long, {key} string, cnt long"
+
+
+def stream_ad_clicks_by_region(spark: SparkSession, d: str) -> DataFrame:
+    """Clicks that passed the daily quota, per nation, peak 1 h / 5 s count, on a stream: the keyed quota gives its rows
+    in event-time order, all up to its watermark; each micro-batch of them is folded into windows, which are closed by the largest
+    time that the quota has reported."""
+    base, key = scratch_path(spark, "stream_ad_clicks_by_region"), "province"
+    windows = refiring_windows(base, "ts", key, "1 hour", "5 seconds", "0 seconds", "0 seconds", counted="passed", runs=True)
+    def clicks(own: SparkSession) -> DataFrame:
+        out = ordered(_keyed(own, d), ["user_id", "event_type"], Quota(2), "us", "event_id", [])
+        return out.select("user_id", _time("us").alias("ts"), (F.col("kind") == "pass").alias("passed"))
+
+    def fold(rows: DataFrame, batch: int) -> None:
+        nations = nation_of_user(rows.sparkSession, d).withColumnRenamed("n_name", key)
+        windows(rows.join(nations, "user_id", "left"), batch)
+    fold_available(spark, clicks, base, fold, "stream_ad_clicks_by_region")
+    found = read_table(spark, f"{base}/data", RUNS.format(key=key))
+    return (found.groupBy(key).agg(F.max("cnt").alias("peak"), F.min_by("window_us", F.struct(-F.col("cnt"), F.col("window_us"))).alias("first"),
+                                   F.sum((F.col("last_us") - F.col("window_us")) / 5_000_000 + 1).cast("long").alias("windows"))
+            .select(key, "peak", utc_ntz(F.col("first")).alias("peak_window_end"), "windows"))
+
+
+def stream_marketing_total(spark: SparkSession, d: str) -> DataFrame:
+    """All events but 'error', 1 h windows sliding by 10 s, on a stream: panes wait in written state, closed windows come
+    as runs of equal counts."""
+    base, key = scratch_path(spark, "stream_marketing_total"), "behavior"
+    windows = refiring_windows(base, "ts", key, "1 hour", "10 seconds", "0 seconds", "0 seconds", runs=True)
+
+    def events(own: SparkSession) -> DataFrame:
+        s = table_stream(own, d, "events").select("ts", "event_type").where(~F.col("event_type").eqNullSafe("error"))
+        return s.select("ts", F.lit("total").alias(key))
+    fold_available(spark, events, base, windows, "stream_marketing_total")
+    ends = F.explode(F.sequence("window_us", "last_us", F.lit(10_000_000).cast("long"))).alias("end")
+    found = read_table(spark, f"{base}/data", RUNS.format(key=key)).select(key, "cnt", ends)
+    return found.select(utc_ntz(F.col("end") - 3_600_000_000).alias("window_start"), utc_ntz(F.col("end")).alias("window_end"),
+                        F.lit("app marketing").alias("channel"), key, "cnt")
+
+
 STREAM_QUERIES = {
+    "stream_ad_clicks_by_region": stream_ad_clicks_by_region,
+    "stream_marketing_total": stream_marketing_total,
     "stream_hot_hosts_late": stream_hot_hosts_late,
     "stream_late_rows": stream_late_rows,
     "stream_page_views_hourly": stream_page_views_hourly,
@@ -306,6 +348,19 @@ m AS (SELECT k AS f, max(ts) AS seen FROM range(5) AS r(k) LEFT JOIN a ON a.f <
 """
 
 STREAM_ORACLE_SQL = {
+    "stream_marketing_total": "SELECT * FROM (" + _BATCH_SQL["marketing_total"] + """) b
+WHERE window_end <= (SELECT max(ts) FROM events WHERE event_type IS DISTINCT FROM 'error')""",
+
+    "stream_ad_clicks_by_region": "WITH " + _QUOTA + f""",
+nu AS ({_NATION_OF_USER}),
+r AS (SELECT * FROM q WHERE n <= 3 AND {_DECIDED.format(t="ts", types=_ALL)}),
+e AS (SELECT r.ts, nu.n_name AS province FROM r LEFT JOIN nu ON r.user_id = nu.user_id WHERE r.n <= 2),
+c AS (SELECT * FROM (
+        SELECT time_bucket(INTERVAL 5 SECOND, ts) + to_seconds(5 * k) AS window_end, province, count(*) AS cnt
+        FROM e CROSS JOIN range(1, 721) AS s(k) GROUP BY 1, 2)
+      WHERE window_end <= (SELECT max(ts) FROM r)),
+""" + _PEAK.format(keys="province"),
+
     "stream_hot_hosts_late": _LATE + """
 c AS (SELECT window_end, item_id, count(*) AS cnt
       FROM (SELECT time_bucket(INTERVAL 10 MINUTE, ts) + to_minutes(10 * j) AS window_end, item_id, seen

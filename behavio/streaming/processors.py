@@ -32,6 +32,8 @@ class Pattern:
     state_ddl = ""
     start: tuple = ()
     out_ddl = ""
+    #: Columns of the rows that order them: the time, the seq, and further values.
+    ordered_by = 2
 
     def step(self, state: tuple, rows: list[tuple], out: list[tuple]) -> tuple:
         """Take (us, seq, *values) rows in order, append results, return the state."""
@@ -73,7 +75,7 @@ def _state_fn(keys: list[str], pattern: Pattern, n_own: int, columns: list[str],
             for pdf in frames:
                 waiting += zip(*[_plain(pdf[c]) for c in columns])
         now = state.getCurrentWatermarkMs() * 1000
-        ready = sorted((r for r in waiting if r[0] <= now), key=lambda r: r[:2])
+        ready = sorted((r for r in waiting if r[0] <= now), key=lambda r: [(v is not None, v) for v in r[:pattern.ordered_by]])
         waiting = [r for r in waiting if r[0] > now]
         out: list[tuple] = []
         if ready:
@@ -250,6 +252,7 @@ class Reconcile(Pattern):
     the tolerance, or waits; unmatched once the tolerance has passed.  Rows carry
     their side (0 left, 1 right) as ``seq`` and a value of the given type."""
 
+    ordered_by = 3  # rows of one time and side by their value, nulls first, as in batch
     state_ddl = "side int, w_us array<long>, w_id array<long>"
     start = (None, [], [])
     out_ddl = "left_us long, left_id long, right_us long, right_id long, kind string"

@@ -27,18 +27,25 @@ def _batch(folder: str, batch: int) -> str:
     return f"{folder}/microbatch={batch}"
 
 
-def refiring_windows(base: str, ts: str, key: str, size="10 minutes", slide="5 seconds", delay="1 second", lateness="60 seconds"):
+def refiring_windows(base: str, ts: str, key: str, size="10 minutes", slide="5 seconds", delay="1 second", lateness="60 seconds",
+                     counted: str | None = None, runs: bool = False):
     """A ``foreachBatch`` function over rows with ``ts`` and ``key`` that counts sliding windows per key.
 
     The watermark of a micro-batch is the largest time of the earlier ones less ``delay``; a window accepts rows until
     the watermark reaches its end plus ``lateness``, and is emitted once the watermark has reached its end, then
     again after each micro-batch that changed it.  It writes below ``base``: ``data`` (window_us, key, cnt), one folder for each
     micro-batch; ``late``, the rows without an open window; ``state``.  Rows without a time are no rows of any window and
-    go to ``late``; a null key is a key."""
+    go to ``late``; a null key is a key.
+
+    ``counted`` may name a flag; rows without it move the watermark only.  With ``runs`` (and no lateness) neighbouring windows
+    of one count are written as one row (window_us, last_us, key, cnt), whose number follows the rows and not size / slide."""
     size_us, slide_us = positive_micros(size), positive_micros(slide)
     pane_us, delay_us, late_us = gcd(size_us, slide_us), micros_of(delay), micros_of(lateness)
     if slide_us > size_us:
         raise ValueError("windows must not leave gaps")
+    if runs and late_us:
+        raise ValueError("runs of windows are written once")
+    counts_row = F.when(F.col(counted), 1) if counted else F.lit(1)
 
     def fold(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
@@ -62,13 +69,13 @@ def refiring_windows(base: str, ts: str, key: str, size="10 minutes", slide="5 s
         closed = us.isNull() | (pane + F.lit(size_us) <= F.lit(low))
         keep(rows.where(closed), f"{base}/late")
         new = keep(rows.where(~closed).groupBy(pane.alias("pane_us"), F.col(key).alias("key"))
-                   .agg(F.count(F.lit(1)).alias("c"), F.max(us).alias("top")), f"{base}/state/new")
+                   .agg(F.count(counts_row).alias("c"), F.max(us).alias("top")), f"{base}/state/new")
         highest = new.agg(F.max("top")).first()[0]
         now = max(x for x in (top, highest, NEVER) if x is not None)
         due = max(now - delay_us, wm)
         every = stored("panes", panes_ddl).unionByName(new.select("pane_us", "key", "c", F.lit(low + 1).alias("since_us")))
-        kept = keep(every.where(F.col("pane_us") + size_us > due - late_us), f"{base}/state/panes")
-        del kept  # the next micro-batch's; this one still counts windows that close now
+        # for the next micro-batch; this one still counts the windows that close now
+        keep(every.where(F.col("pane_us") + size_us > due - late_us), f"{base}/state/panes")
 
         panes = every.where(F.col("pane_us") + size_us > low).select(utc_ntz(F.col("pane_us")).alias("pane"), "key", "c", "since_us")
         deltas = window_deltas(panes, None, size, slide, ["key"], since="since_us")
@@ -76,6 +83,10 @@ def refiring_windows(base: str, ts: str, key: str, size="10 minutes", slide="5 s
         # only ends that can be emitted now
         first = F.greatest(first, _ceil(F.lit(low + 1), slide_us, size_us % slide_us))
         last = F.least(last, F.lit(due))
+        if runs:
+            windows = deltas.where("cnt > 0").select(first.alias("window_us"), last.alias("last_us"), F.col("key").alias(key), "cnt")
+            keep(windows.where("window_us <= last_us"), f"{base}/data")
+            return done(spark, batch, now)
         ends = F.when(first <= last, F.sequence(first, last, F.lit(slide_us).cast("long")))
         counts = deltas.where("cnt > 0").select(F.explode(ends).alias("window_us"), "key", "cnt")
         changed = _ends(new.where(F.col("pane_us") + pane_us <= F.lit(wm)), pane_us, size_us, slide_us, low, wm)
@@ -84,7 +95,11 @@ def refiring_windows(base: str, ts: str, key: str, size="10 minutes", slide="5 s
             counts.where(F.col("window_us") <= wm).alias("c").join(
                 changed.alias("n"), (F.col("c.window_us") == F.col("n.window_us")) & F.col("c.key").eqNullSafe(F.col("n.key")), "left_semi"))
         keep(fired.withColumnRenamed("key", key), f"{base}/data")
-        keep(spark.createDataFrame([(None if now == NEVER else now,)], mark_ddl), f"{base}/state/mark")
+        done(spark, batch, now)
+
+    def done(spark: SparkSession, batch: int, now: int) -> None:
+        mark = spark.createDataFrame([(None if now == NEVER else now,)], "top long")
+        mark.write.mode("overwrite").parquet(_batch(f"{base}/state/mark", batch))
         # a restart repeats this micro-batch at most, from the one before
         for name in ("panes", "mark", "new"):
             remove(spark, _batch(f"{base}/state/{name}", batch - 2))

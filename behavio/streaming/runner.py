@@ -87,7 +87,7 @@ def run_available(spark: SparkSession, stream: Stream, name: str, output_mode: s
          .option("path", f"{base}/data").option("checkpointLocation", f"{base}/checkpoint")
          .trigger(availableNow=True).start())
     _finish(q, name, late)
-    out = _read(spark, f"{base}/data", frame.schema)
+    out = read_table(spark, f"{base}/data", frame.schema)
     return _utc(out) if ntz else out
 
 
@@ -102,7 +102,7 @@ def remove(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def _read(spark: SparkSession, path: str, schema) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """The table at ``path``; empty when no micro-batch has written it."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
@@ -128,7 +128,7 @@ def run_available_batches(spark: SparkSession, stream: Stream, name: str, per_ba
     q = (_started(spark, stream, settings).writeStream.outputMode("append").foreachBatch(write)
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     _finish(q, name, late)
-    out = _read(spark, f"{base}/data", schema).select(*[f.name for f in schema])  # without the folder column
+    out = read_table(spark, f"{base}/data", schema).select(*[f.name for f in schema])  # without the folder column
     return _utc(out) if ntz else out
 
 
@@ -154,4 +154,4 @@ def run_folded(spark: SparkSession, stream: Stream, base: str, fold, schema: str
     """``fold_available`` with a function that writes its results below ``{base}/data``, which are returned."""
     fold_available(spark, stream, base, fold, name, state_partitions, late)
     kind = StructType.fromDDL(schema)
-    return _read(spark, f"{base}/data", kind).select(*[f.name for f in kind])
+    return read_table(spark, f"{base}/data", kind).select(*[f.name for f in kind])
