@@ -48,6 +48,13 @@ def refiring_windows(base: str, ts: str, key: str, size="10 minutes", slide="5 s
     counts_row = F.when(F.col(counted), 1) if counted else F.lit(1)
 
     def fold(rows: DataFrame, batch: int) -> None:
+        rows = rows.persist()  # the late and the other rows are two actions, which would each run the stream's operators
+        try:
+            folded(rows, batch)
+        finally:
+            rows.unpersist()
+
+    def folded(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
         kind = rows.schema[key].dataType.simpleString()
         panes_ddl, mark_ddl = f"pane_us long, key {kind}, c long, since_us long", "top long"
