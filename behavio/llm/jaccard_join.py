@@ -46,7 +46,9 @@ THRESHOLD = 80  # per cent
 FREQUENT_SHARE = 5000
 FREQUENT_LEAST = 32
 #: Tokens that a task counts at a time.
-COUNTED = 6_000_000
+COUNTED = 2_000_000
+#: Characters whose sets are formed at once; arrays of this size stay in the caches.
+SET_CHARS = 500_000
 #: Extension of the prefix as a part of the set size.
 EXTENSION = 0.05
 
@@ -91,7 +93,7 @@ def _profiles(words: int):
             count = int(many.sum())
             return pa.RecordBatch.from_arrays([pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64()), pa.array(n[many]), pa.nulls(count, pa.binary()),
                                                pa.array(token[many].view(np.int64))], names)
-        for got in batches(frames, ["doc_id", "id", "text"]):
+        for got in batches(frames, ["doc_id", "id", "text"], size=SET_CHARS):
             token, edge = token_sets(got["text"], words)
             n = np.diff(edge)
             sig = [blake2b(token[a:b].tobytes(), digest_size=16).digest() for a, b in zip(edge[:-1], edge[1:])]
@@ -160,7 +162,7 @@ def _index(words: int, threshold: int, shared):
     def run(frames) -> Iterator:
         import pyarrow as pa
         frequent = shared.value
-        for got in batches(frames, ["doc_id", "text"]):
+        for got in batches(frames, ["doc_id", "text"], size=SET_CHARS):
             token, edge = token_sets(got["text"], words)
             keys, least = [], []
             for a, b in zip(edge[:-1], edge[1:]):
@@ -181,7 +183,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, threshold: int) -> D
 
     def sets(frames):
         import pyarrow as pa
-        for got in batches(frames, ["doc_id", "text"]):
+        for got in batches(frames, ["doc_id", "text"], size=SET_CHARS):
             token, edge = token_sets(got["text"], words)
             yield pa.RecordBatch.from_arrays([pa.array(got["doc_id"], pa.int64()),
                                               pa.array([token[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])])], ["doc_id", "tokens"])
