@@ -7,6 +7,7 @@ longest single text.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,20 +29,32 @@ def kept(name: str, make: Callable[[], np.ndarray]) -> np.ndarray:
     return _KEPT[name]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker waits for its next task with what it holds."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def batches(frames, columns: list[str], size: int = BATCH_CHARS, text: str = "text") -> Iterator[dict[str, list]]:
     """Columns of runs of rows of Arrow batches, cut to about ``size``
-    characters of ``text`` (null: empty)."""
+    characters of ``text`` (null: empty); only one run at a time is made into Python values."""
+    import pyarrow.compute as pc
     for frame in frames:
-        got = {c: frame[c].to_pylist() for c in columns}
-        texts = got[text] = [t if t is not None else "" for t in got[text]]
-        at = 0
-        while at < len(texts):
-            to, n = at, 0
-            while to < len(texts) and n < size:
-                n += len(texts[to]) + 1
-                to += 1
-            yield {c: v[at:to] for c, v in got.items()}
+        lengths = pc.fill_null(pc.utf8_length(frame[text]), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(lengths.astype(np.int64) + 1), 0
+        while at < len(ends):
+            before = ends[at - 1] if at else 0
+            to = min(int(np.searchsorted(ends, before + size, "left")) + 1, len(ends))
+            part = frame.slice(at, to - at)
+            got = {c: part[c].to_pylist() for c in columns}
+            got[text] = [t if t is not None else "" for t in got[text]]
+            yield got
             at = to
+    give_back()
 
 
 def characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
