@@ -197,7 +197,7 @@ def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -
 
 def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024, end_id: int = 0, linear: float = 1.0,
          quadratic: float = 1.0 / 1024, block_tokens: int = BLOCK_TOKENS, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", cache_words: int = CACHE_WORDS) -> DataFrame:
     """One row per piece: ``doc_id``, ``start`` (ids of the document before
     it), ``length``, ``ids`` (little-endian unsigned 32-bit), ``doc_tokens``
     (with the end id), ``sequence_id``, ``offset`` (of the piece in its
@@ -214,7 +214,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024, end_id:
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        encoder = WordEncoder(tokenizer_path)
+        encoder = WordEncoder(tokenizer_path, cache_words)
         next_id = TaskContext.get().partitionId() << 40
         ids, coded, held = [], [], 0
 
