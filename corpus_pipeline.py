@@ -58,7 +58,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 1024 ids."""
-    return packing.pack(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids"))
+    # the executors still hold the memory of the stages before
+    return packing.pack(docs, tokenizer_path(), cache_words=1 << 18).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [
