@@ -57,18 +57,30 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
         "option": ({"option"}, {"select"})}
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[a-zA-Z/!?][^>]*(?:>|\Z)""", re.S)
-NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""\s(?:hidden\b|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+INVISIBLE = re.compile(r"display\s*:\s*none")
+#: Tags that hold or head the article, whatever their class says.
+UNNAMED = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"}
+#: A class with such a beginning says what is or is not elsewhere on the page.
+ELSEWHERE = ("no-", "has-", "with-", "without-")
 #: The end of the attributes of a tag that closes itself.
 EMPTY = re.compile(r"""(?:^|["'\s])/\s*\Z""")
 
 
-def named_otherwise(attributes: str) -> bool:
-    """Whether class, id or role name something other than the article, or it is hidden."""
+def named_otherwise(tag: str, attributes: str) -> bool:
+    """Whether class, id or role name something other than the article, or it is hidden.  The id of a paragraph, an item or a cell, which is
+    often generated from its text, says nothing."""
     if "=" not in attributes and "hidden" not in attributes:
         return False
-    words = (w for m in NAMED.finditer(attributes) for w in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()))
-    return any(w in NAMES for w in words) or HIDDEN.search(attributes) is not None
+    for m in ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name == "hidden" or name == "aria-hidden" and value.strip() == "true" or name == "style" and INVISIBLE.search(value):
+            return True
+        if tag in UNNAMED or not (name in ("class", "role") or name == "id" and tag not in LEAVES):
+            continue
+        if any(w in NAMES for c in value.split() if not c.startswith(ELSEWHERE) for w in re.split(r"[^a-z0-9]+", c)):
+            return True
+    return False
 
 
 #: Whether an element is the article's: not known; a neutral container of it; its content, which is no template.
@@ -161,7 +173,7 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
                 end_block()
             continue
         inline = tag not in BLOCK
-        otherwise = tag == "button" or named_otherwise(m[3])
+        otherwise = tag == "button" or named_otherwise(tag, m[3])
         if inline and otherwise and EMPTY.search(m[3]):
             continue
         if inline and not otherwise:

@@ -289,3 +289,21 @@ def test_folds(spark):
     df = spark.createDataFrame([(i,) for i in (0, 1, 17, 123456789)] + [(None,)], "doc_id long")
     got = {r.doc_id: r.f for r in df.select("doc_id", fold_mod("doc_id", 5).alias("f")).collect()}
     assert got == {i: (zlib.crc32(str(i).encode()) % 5 if i is not None else 0) for i in got}
+
+
+@pytest.mark.parametrize("page", [
+    '<body class="post no-sidebar"><article><p>x</p></article></body>',
+    '<body class="has-sidebar"><article><p>x</p></article></body>',
+    '<body class="with-banner nav-open"><article><p>x</p></article></body>',
+    '<body><div class="main-content no-sidebar"><article><p>x</p></article></div></body>',
+    '<article><h2 id="search-algorithms">x</h2></article>',
+    '<article><h2 id="related-work">x</h2></article>',
+    '<article><p id="comment-5">x</p></article>',
+    '<article><p title="a hidden gem">x</p></article>',
+    '<article><p data-id="menu">x</p></article>',
+    '<article><p title="see id=ad">x</p></article>',
+    '<article><p>x</p><p hidden>y</p><p class="advert">y</p><div id="comments">y</div><div role="navigation">y</div></article>',
+    '<article><p>x</p><p style="color: red; display : none">y</p><div aria-hidden="true">y</div><div class="post-sidebar">y</div></article>',
+])
+def test_html_names_count_by_attribute_and_element(page):
+    assert [t for t, _ in html_text.read_page(page)[0]] == ["x"]
