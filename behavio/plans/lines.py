@@ -1,5 +1,5 @@
 """Text-line queries: lines of each record layout are formed from ``events``,
-then read back by the parsers.  An event of type 'error' gives a bad line."""
+then read back by the parsers, ``lines_in_order`` through text files.  An event of type 'error' gives a bad line."""
 
 from __future__ import annotations
 
@@ -12,15 +12,19 @@ from ..operators.unique_state import BitmapState, window_counts
 from ..operators.uniques import with_bit_offset
 from ..session import scratch_path
 from .oracle import ORACLE_SQL as _BATCH_SQL
-from ..sources.lines import LAYOUTS, parse_lines
+from ..sources.lines import LAYOUTS, parse_lines, parsed_fields, read_lines
 from ..sources.tables import table
 
 #: An epoch that no timestamp holds.
 HUGE = "99999999999999999"
 
 
-def _lines(spark: SparkSession, d: str, layout: str) -> DataFrame:
-    e = table(spark, d, "events").select("*", json_long("props", "k").alias("k"))
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("*", json_long("props", "k").alias("k"))
+
+
+def _text(e: DataFrame, layout: str) -> Column:
+    """The line of an event in a layout."""
     us = epoch_micros(e, "ts")
     s = F.floor(us / 1_000_000).cast("long").cast("string")
     bad = F.col("event_type") == "error"
@@ -42,8 +46,28 @@ def _lines(spark: SparkSession, d: str, layout: str) -> DataFrame:
         "marketing": [F.concat(F.lit("u"), "user_id"), F.col("event_type"), F.lit("AppStore"),
                       F.when(bad, F.lit("")).otherwise(F.floor(us / 1000).cast("long").cast("string"))],
     }
-    text = F.concat_ws(LAYOUTS[layout].sep, *[c.cast("string") for c in fields[layout]])
-    return e.select(text.alias("value"))
+    return F.concat_ws(LAYOUTS[layout].sep, *[c.cast("string") for c in fields[layout]])
+
+
+def _lines(spark: SparkSession, d: str, layout: str) -> DataFrame:
+    e = _events(spark, d)
+    return e.select(_text(e, layout).alias("value"))
+
+
+def line_files(spark: SparkSession, d: str, layout: str) -> str:
+    """Folder of text files with the events' lines, in event order over the files by name."""
+    e = _events(spark, d)
+    folder = scratch_path(spark, f"text-{layout}")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (e.select("event_id", _text(e, layout).alias("value")).repartitionByRange(files, "event_id").sortWithinPartitions("event_id")
+     .select("value").write.text(folder))
+    return folder
+
+
+def lines_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """Good lines of a folder of text files with their line numbers over all files and splits."""
+    rows, _ = read_lines(spark, line_files(spark, d, "behaviour"), "behaviour", on_error="reject", in_order=True)
+    return rows
 
 
 def _parsed(layout: str):
@@ -55,13 +79,14 @@ def _parsed(layout: str):
 
 
 def lines_rejects(spark: SparkSession, d: str) -> DataFrame:
-    """The bad lines of every layout: impossible dates, epochs out of range, no number."""
-    parts = [parse_lines(_lines(spark, d, n), n).where("NOT _ok").groupBy(F.lit(n).alias("layout")).agg(
-        F.count(F.lit(1)).alias("rejects"), F.min("_line").alias("first")) for n in sorted(LAYOUTS)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The bad lines of every layout: impossible dates, epochs out of range, no number.  One scan for all layouts."""
+    e = _events(spark, d)
+    lines = e.select(F.explode(F.array(*[F.struct(F.lit(n).alias("layout"), _text(e, n).alias("line")) for n in sorted(LAYOUTS)])).alias("x"))
+    lines = lines.select("x.layout", "x.line")
+    ok = F.lit(False)
+    for n in LAYOUTS:
+        ok = F.when(F.col("layout") == n, parsed_fields(F.col("line"), n)[1]).otherwise(ok)
+    return lines.where(~ok).groupBy("layout").agg(F.count(F.lit(1)).alias("rejects"), F.min("line").alias("first"))
 
 
 def pages_without_static(spark: SparkSession, d: str) -> DataFrame:
@@ -108,7 +133,7 @@ def uv_approx_close(spark: SparkSession, d: str) -> DataFrame:
 
 
 lines_queries = {f"lines_{n}": _parsed(n) for n in LAYOUTS}
-QUERIES = {**lines_queries, "lines_rejects": lines_rejects, "pages_without_static": pages_without_static, "pays_with_tx": pays_with_tx,
+QUERIES = {**lines_queries, "lines_rejects": lines_rejects, "lines_in_order": lines_in_order, "pages_without_static": pages_without_static, "pays_with_tx": pays_with_tx,
            "uv_two_runs": uv_two_runs, "uv_kept_runs": uv_kept_runs, "uv_approx_close": uv_approx_close}
 
 _E = """e AS (SELECT *, json_extract_string(props, '$.k') AS k, date_trunc('second', ts) AS s,
@@ -125,6 +150,7 @@ ORACLE_SQL = {
     "lines_receipt": f"WITH {_E} SELECT 'tx' || k AS tx_id, event_type AS pay_channel, s AS ts {_GOOD}",
     "lines_access_log": f"WITH {_E} SELECT '10.0.0.' || k AS ip, CAST(user_id AS VARCHAR) AS user_id, s AS ts, 'GET' AS method, {_URL} AS url {_GOOD}",
     "lines_marketing": f"WITH {_E} SELECT 'u' || user_id AS user_id, event_type AS behavior, 'AppStore' AS channel, date_trunc('millisecond', ts) AS ts {_GOOD}",
+    "lines_in_order": f"WITH {_E}, o AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS seq FROM e) SELECT seq, user_id, CAST(k AS BIGINT) AS item_id, 7 AS category_id, event_type AS behavior, s AS ts FROM o WHERE event_type <> 'error'",
     "lines_rejects": f"""WITH {_E}, b AS (SELECT *, CAST(epoch_us(s) // 1000000 AS VARCHAR) AS t FROM e WHERE event_type = 'error'),
 l AS (SELECT unnest([
   {{'n': 'behaviour', 'v': user_id || ',' || k || ',7,error,{HUGE}'}}, {{'n': 'login', 'v': user_id || ',10.0.0.' || k || ',error,{HUGE}'}},

@@ -5,8 +5,8 @@ A layout names the fields by position; numeric fields are parsed with
 (the reference throws on the first bad line; ``on_error="fail"`` keeps
 that behaviour lazily through ``raise_error``).  Event times become
 TIMESTAMP_NTZ holding the UTC wall clock, computed arithmetically so the
-result does not depend on the session time zone.  ``seq`` keeps the
-input order (file offset order) as the tie-break of equal times.
+result does not depend on the session time zone.  ``seq`` is the tie-break
+of equal times: the input order with ``in_order``, else that of each split.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.times import EPOCH_NTZ, epoch_micros
+from .numbering import numbered, positioned
 
 
 @dataclass(frozen=True)
@@ -90,16 +91,10 @@ def format_line(df: DataFrame, layout: str | Layout) -> Column:
     return F.concat_ws(lay.sep, *out)
 
 
-def parse_lines(lines: DataFrame, layout: str | Layout, value: str = "value") -> DataFrame:
-    """Text rows -> typed columns + ``_ok`` flag + ``seq``.
-
-    ``seq`` follows the line order within each input split of a batch read;
-    across files and splits it follows the order in which Spark numbers them,
-    which is not an input order.  A file stream exposes no line positions, so
-    there ``seq`` is a hash of the line: a deterministic tie-break between rows
-    with equal times, in no particular order."""
+def parsed_fields(value: Column, layout: str | Layout) -> tuple[list[Column], Column]:
+    """The typed fields of a text line, and whether it is a good line."""
     lay = LAYOUTS[layout] if isinstance(layout, str) else layout
-    parts = F.split(F.col(value), F.lit(lay.sep) if lay.sep != " " else F.lit(" "))
+    parts = F.split(value, F.lit(lay.sep))
     need = max(p for _, p, _ in lay.fields) + 1
     cols, ok = [], F.size(parts) >= need
     for name, pos, kind in lay.fields:
@@ -107,22 +102,39 @@ def parse_lines(lines: DataFrame, layout: str | Layout, value: str = "value") ->
         c = _parse(kind, raw)
         cols.append(c.alias(name))
         ok = ok & c.isNotNull() if kind != "string" else ok & raw.isNotNull()
-    seq = F.xxhash64(F.col(value)) if lines.isStreaming else F.monotonically_increasing_id()
-    return lines.select(*cols, seq.alias("seq"),
-                        F.coalesce(ok, F.lit(False)).alias("_ok"), F.col(value).alias("_line"))
+    return cols, F.coalesce(ok, F.lit(False))
+
+
+def parse_lines(lines: DataFrame, layout: str | Layout, value: str = "value", seq: str | None = None) -> DataFrame:
+    """Text rows -> typed columns + ``_ok`` flag + ``seq``.
+
+    ``seq`` is the column of that name, such as the line numbers of
+    ``numbering.numbered``.  Without one it follows the line order within each
+    input split of a batch read; across files and splits it follows the order in
+    which Spark numbers them, which is not an input order.  On a stream it is then
+    a hash of the line: a deterministic tie-break between rows with equal times,
+    in no particular order."""
+    cols, ok = parsed_fields(F.col(value), layout)
+    own = F.xxhash64(F.col(value)) if lines.isStreaming else F.monotonically_increasing_id()
+    return lines.select(*cols, (F.col(seq) if seq else own).alias("seq"), ok.alias("_ok"), F.col(value).alias("_line"))
 
 
 def read_lines(spark: SparkSession, path: str, layout: str | Layout, on_error: str = "fail",
-               streaming: bool = False):
+               streaming: bool = False, in_order: bool = False):
     """Read delimited text lines as typed rows.
 
     on_error="fail": a bad line raises when the row is evaluated.
     on_error="reject": returns (rows, rejects); rejects has the raw line.
     streaming=True reads the folder as a file stream (one micro-batch per
-    new file; use trigger(availableNow=True) for a replay)."""
+    new file; use trigger(availableNow=True) for a replay; ``streaming.lines.run_lines``
+    keeps rows and rejects of a stream in one pass).
+    in_order=True numbers the lines of a batch read over all files and splits
+    (``seq`` from 0, files by path), which reads the text twice and starts a job."""
+    if in_order and streaming:
+        raise ValueError("in_order is for batch reads; run_lines numbers the lines of a stream")
     reader = spark.readStream if streaming else spark.read
-    lines = reader.text(path)
-    parsed = parse_lines(lines, layout)
+    lines = numbered(positioned(reader.text(path))) if in_order else reader.text(path)
+    parsed = parse_lines(lines, layout, seq="line_no" if in_order else None)
     names = [n for n, _, _ in (LAYOUTS[layout] if isinstance(layout, str) else layout).fields]
     if on_error == "fail":
         guard = F.coalesce(F.when(~F.col("_ok"), F.raise_error(F.concat(F.lit("bad input line: "),

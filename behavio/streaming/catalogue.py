@@ -20,8 +20,10 @@ from pyspark.sql.types import StructType
 from ..functions import json_long
 from ..functions.times import epoch_micros, micros_of, to_event_ts, utc_ntz
 from ..operators.topn import top_n
+from ..sources.lines import format_line
 from ..sources.tables import table
 from ..session import scratch_path
+from .lines import BY_PATH, run_lines
 from .operators import (approx_unique, chained_unique, flatten_window, stream_interval_join, top_n_per_batch,
                         windowed_count)
 from .processors import Bursts, FollowedBy, Quota, Reconcile, Runs, StrictPairs, ordered
@@ -30,6 +32,7 @@ from .runner import exists, fold_available, read_table, run_available, run_avail
 from .running import running_users, sliding_top
 from .sources import table_stream, with_event_time, with_micros
 from ..plans.catalogue import nation_of_user
+from ..plans.lines import HUGE, line_files
 from ..plans.oracle import _NATION_OF_USER, _PEAK, _QUOTA, ORACLE_SQL as _BATCH_SQL
 
 
@@ -77,6 +80,13 @@ def stream_hot_items(spark: SparkSession, d: str) -> DataFrame:
         F.col("window.end").alias("window_end"), "item_id", "cnt")
 
 
+def stream_lines_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """A folder of text lines as a stream that is read once: rows and rejects with their line numbers."""
+    rows, rejects = run_lines(spark, line_files(spark, d, "behaviour"), "behaviour", order=BY_PATH)
+    rows = rows.select("seq", F.lit("row").alias("kind"), format_line(rows, "behaviour").alias("line"))
+    return rows.unionByName(rejects.withColumn("kind", F.lit("reject")))
+
+
 def _signups(spark, d):
     return _events(spark, d, ("event_id", "ts", "user_id", "event_type")).where(F.col("event_type") == "signup").select(
         "user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("signup_ts"))
@@ -309,6 +319,7 @@ def stream_marketing_total(spark: SparkSession, d: str) -> DataFrame:
 
 
 STREAM_QUERIES = {
+    "stream_lines_rejects": stream_lines_rejects,
     "stream_ad_clicks_by_region": stream_ad_clicks_by_region,
     "stream_marketing_total": stream_marketing_total,
     "stream_hot_hosts_late": stream_hot_hosts_late,
@@ -348,6 +359,11 @@ m AS (SELECT k AS f, max(ts) AS seen FROM range(5) AS r(k) LEFT JOIN a ON a.f <
 """
 
 STREAM_ORACLE_SQL = {
+    "stream_lines_rejects": f"""SELECT row_number() OVER (ORDER BY event_id) - 1 AS seq,
+  CASE event_type WHEN 'error' THEN 'reject' ELSE 'row' END AS kind,
+  user_id || ',' || json_extract_string(props, '$.k') || ',7,' || event_type || ','
+  || CASE event_type WHEN 'error' THEN '{HUGE}' ELSE CAST(epoch_us(ts) // 1000000 AS VARCHAR) END AS line FROM events""",
+
     "stream_marketing_total": "SELECT * FROM (" + _BATCH_SQL["marketing_total"] + """) b
 WHERE window_end <= (SELECT max(ts) FROM events WHERE event_type IS DISTINCT FROM 'error')""",
 
