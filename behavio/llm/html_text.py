@@ -19,10 +19,11 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import defaultdict
 from hashlib import blake2b
+from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -96,15 +97,16 @@ class Node:
         self.digest = blake2b(tag.encode(), digest_size=8)
 
 
-def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
-    """Blocks in page order, as text and the hashes of the subtrees whose
-    being template would remove it; and the page's distinct subtree hashes."""
+def read_page(page: str) -> tuple[list[tuple[str, bool]], list[tuple[int, int, int]], list[int]]:
+    """Blocks in page order, as text and whether it stays in any case; the subtrees that may be
+    template as (hash, first block, block after the last); and the page's distinct subtree hashes.
+    Time and size are linear in the page, however deep it nests."""
     texts: list[str] = []          # block texts
     kinds: list[tuple] = []        # per block: (dropped, in main, is content)
-    keys: list[list[int]] = []     # per block: hashes of removable subtrees around it
+    removable: list[tuple] = []    # per subtree: hash, first block, end, in main
     subtrees: set[int] = set()
     stack = [Node("", 0, False, False, OTHER, False)]
-    opened: Counter = Counter()    # elements on the stack by tag
+    opened: dict[str, list[int]] = defaultdict(list)  # depths of open elements by tag
     held: list[str] = []
     has_main = False
 
@@ -116,16 +118,15 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
                 top = stack[-1]
                 texts.append(text)
                 kinds.append((top.drop, top.main, top.safe == CONTENTS))
-                keys.append([])
                 top.digest.update(text.encode("utf-8", "surrogatepass"))
 
     def push(node: Node) -> None:
+        opened[node.tag].append(len(stack))
         stack.append(node)
-        opened[node.tag] += 1
 
     def pop() -> None:
         node = stack.pop()
-        opened[node.tag] -= 1
+        opened[node.tag].pop()
         if node.inline:
             return
         raw = node.digest.digest()
@@ -134,17 +135,11 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         if node.first < len(texts):
             subtrees.add(key)
             if node.safe != CONTENTS and (node.main or not has_main):  # what holds an article is no template
-                for k, (_, _, content) in zip(keys[node.first:], kinds[node.first:]):
-                    if not content:
-                        k.append(key)
+                removable.append((key, node.first, len(texts)))
 
-    def close(tag: str) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag == tag:
-                end_block()
-                while len(stack) > depth:
-                    pop()
-                return
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            pop()
 
     at = 0
     while True:
@@ -158,7 +153,8 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
             continue
         if m[1]:
             if opened[tag]:
-                close(tag)
+                end_block()
+                close(opened[tag][-1])
             elif tag == "br":
                 held.append(" ")
             continue
@@ -186,13 +182,9 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
             while len(stack) > 1 and (stack[-1].tag in ("p", "span", "a") or stack[-1].inline):
                 pop()
             if tag in ENDS:
-                same, stop = ENDS[tag]
-                depth = len(stack) - 1
-                while depth > 0 and stack[depth].tag not in same | stop:
-                    depth -= 1
-                if depth > 0 and stack[depth].tag in same:
-                    while len(stack) > depth:
-                        pop()
+                same, stop = (max((opened[t][-1] for t in tags if opened[t]), default=0) for tags in ENDS[tag])
+                if same > stop:
+                    close(same)
         up = stack[-1]
         main = up.main or (tag in ("article", "main") and not up.drop)
         has_main |= main
@@ -204,10 +196,12 @@ def read_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
             safe = min(up.safe, INSIDE) if up.tag in ("article", "main") else up.safe
         push(Node(tag, len(texts), drop, main, safe, False))
     end_block()
-    while len(stack) > 1:
-        pop()
-    blocks = [(t, k) for t, (drop, main, _), k in zip(texts, kinds, keys) if not drop and (main or not has_main)]
-    return blocks, sorted(subtrees)
+    close(1)
+    read = [not drop and (main or not has_main) for drop, main, _ in kinds]
+    blocks = [(t, content) for t, (_, _, content), r in zip(texts, kinds, read) if r]
+    before = list(accumulate(read, initial=0))  # blocks that are read, before each
+    spans = {(key, before[first], before[end]) for key, first, end in removable}
+    return blocks, sorted((k, a, b) for k, a, b in spans if a < b), sorted(subtrees)
 
 
 def host_of(url) -> F.Column:
@@ -216,11 +210,12 @@ def host_of(url) -> F.Column:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Each page with its blocks, its distinct subtrees and a hash of all its text."""
+    """Each page with its blocks, the subtrees that may be template, all its distinct subtrees and a hash of all its text."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
     ddl = (f"page_id {pages.schema['page_id'].dataType.simpleString()}, url {pages.schema['url'].dataType.simpleString()}, "
-           "host string, blocks array<struct<text:string,keys:array<bigint>>>, subtrees array<bigint>, page_hash long")
+           "host string, blocks array<struct<text:string,stays:boolean>>, spans array<struct<key:bigint,first:int,stop:int>>, "
+           "subtrees array<bigint>, page_hash long")
     schema = to_arrow_schema(StructType.fromDDL(ddl))
 
     def run(frames):
@@ -230,10 +225,11 @@ def parsed(pages: DataFrame) -> DataFrame:
                 part = frame.slice(at, 500)
                 rows = {c: part[c].to_pylist() for c in ("page_id", "url", "host")}
                 found = [read_page(h or "") for h in part["html"].to_pylist()]
-                rows["blocks"] = [[{"text": t, "keys": k} for t, k in b] for b, _ in found]
-                rows["subtrees"] = [s for _, s in found]
+                rows["blocks"] = [[{"text": t, "stays": c} for t, c in b] for b, _, _ in found]
+                rows["spans"] = [[{"key": k, "first": a, "stop": e} for k, a, e in s] for _, s, _ in found]
+                rows["subtrees"] = [s for _, _, s in found]
                 rows["page_hash"] = [int.from_bytes(blake2b("\0".join(t for t, _ in b).encode("utf-8", "surrogatepass"),
-                                                            digest_size=8).digest(), "little", signed=True) for b, _ in found]
+                                                            digest_size=8).digest(), "little", signed=True) for b, _, _ in found]
                 yield pa.RecordBatch.from_pydict(rows, schema=schema)
     return pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html").mapInArrow(run, ddl)
 
@@ -246,8 +242,9 @@ def main_text(pages: DataFrame, *, min_pages: int = MIN_PAGES, min_share: float
     empty html, and pages of nothing but template, give an empty text.  A
     null or relative URL belongs to the host "".  Pages of equal article text
     (repeated rows, one article under several URLs) count as one page of their host, so
-    copies do not make an article a template.  Empty table: no rows.  Other
-    columns are not read.
+    copies do not make an article a template.  Very long and very deep pages are read
+    whole, in time linear in the page.  Ties do not arise: a share of exactly ``min_share`` is
+    enough.  Empty table: no rows.  Other columns are not read.
     """
     rows = written(parsed(pages).withColumn("row", F.monotonically_increasing_id()), "pages")
     hosts = written(rows.select("host", "page_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
@@ -256,14 +253,20 @@ def main_text(pages: DataFrame, *, min_pages: int = MIN_PAGES, min_share: float
     templates = (rows.select("host", "page_hash", F.explode("subtrees").alias("key")).distinct()
                  .groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
                  .join(hosts, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "key"))
-    marked = (rows.select("row", "host", F.posexplode("blocks").alias("pos", "block"))
-              .select("row", "host", "pos", F.explode("block.keys").alias("key"))
-              .join(templates, ["host", "key"], "left_semi")
-              .groupBy("row").agg(F.collect_set("pos").alias("gone")))
+    # the outermost template subtrees of each page; subtrees nest, so the others lie within
+    outer = Window.partitionBy("row").orderBy("first", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
+    marked = (rows.select("row", "host", F.explode("spans").alias("s")).select("row", "host", "s.*")
+              .join(templates, ["host", "key"], "left_semi").withColumn("until", F.max("stop").over(outer))
+              .where("until IS NULL OR first >= until")
+              .groupBy("row").agg(F.flatten(F.collect_list(F.sequence("first", F.col("stop") - 1))).alias("gone")))
     marked = written(marked, "marked")
     size = marked.agg(F.sum(F.size("gone") + 1)).first()[0] or 0
     # pages without an article element have such blocks; few of them need not move the texts
     marked = F.broadcast(marked) if size <= BROADCAST_BLOCKS else marked
-    kept = F.filter(F.col("blocks"), lambda b, i: ~F.coalesce(F.array_contains(F.col("gone"), i), F.lit(False)))
-    return (rows.join(marked, "row", "left")
-            .select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n").alias("text")))
+    # positions by set operations, which are linear
+    places = F.when(F.size("blocks") > 0, F.sequence(F.lit(0), F.size("blocks") - 1)).otherwise(F.array().cast("array<int>"))
+    stay = F.filter(F.transform("blocks", lambda b, i: F.when(b["stays"], i)), lambda i: i.isNotNull())
+    kept = F.array_except(places, F.array_except("gone", stay))
+    text = F.when(F.col("gone").isNull(), F.array_join("blocks.text", "\n\n")).otherwise(
+        F.array_join(F.transform(kept, lambda i: F.col("blocks")[i]["text"]), "\n\n"))
+    return rows.join(marked, "row", "left").select("page_id", "url", text.alias("text"))
