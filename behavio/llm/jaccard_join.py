@@ -16,7 +16,12 @@ Candidates are not all pairs of an index group.  First each member meets the
 group's smallest and largest document; verified links are joined into components.
 Only groups that still hold several components give pairs, of members of
 different components, and these must share as many prefix tokens as
-the extension proves.  No link between components is lost, and a large group of
+the extension proves.  Such a pair goes on only if the sets' sketches allow the
+link: a sketch has ``SKETCH_BITS`` parities of token counts, and two sets differ
+in at least as many tokens as their sketches differ in bits.  So the pairs that the
+join makes follow the links across components, not the square of a group of
+unlike sets that share a passage (it still compares the sketches of all of
+them).  No link between components is lost, and a large group of
 copies costs one candidate per member.  Links inside of a component that the
 first step formed are neither sought nor verified: the result is the components, and
 there is no count of links.
@@ -49,6 +54,8 @@ FREQUENT_LEAST = 32
 COUNTED = 2_000_000
 #: Characters whose sets are formed at once; arrays of this size stay in the caches.
 SET_CHARS = 500_000
+#: Parities of a set's sketch, a multiple of 64.  Sets of up to some 1,000 tokens are told apart well.
+SKETCH_BITS = 512
 #: Extension of the prefix as a part of the set size.
 EXTENSION = 0.05
 
@@ -80,25 +87,42 @@ def token_sets(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
     return token, np.searchsorted(owner, np.arange(len(texts) + 1))
 
 
+def sketches(token: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """A row of ``SKETCH_BITS // 64`` longs of each set: the parity of its tokens of each bit."""
+    owner = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
+    place = owner * SKETCH_BITS + (mixed(token) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    at, many = np.unique(place, return_counts=True)
+    odd = np.zeros((len(edge) - 1) * SKETCH_BITS, bool)
+    odd[at[many % 2 == 1]] = True
+    return np.packbits(odd).view(np.int64).reshape(len(edge) - 1, SKETCH_BITS // 64)
+
+
+def may_link(threshold: int) -> Column:
+    """Whether sets x and y (``x_n``, ``x_sketch``, ...) can be similar.  Of ``d`` differing tokens, their intersection is
+    ``(x_n + y_n - d) / 2`` and their union ``(x_n + y_n + d) / 2``."""
+    differ = sum((F.bit_count(F.col("x_sketch")[i].bitwiseXOR(F.col("y_sketch")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    return differ * (100 + threshold) <= (F.col("x_n") + F.col("y_n")) * (100 - threshold)
+
+
 def _profiles(words: int):
-    """(doc_id, id, n, sig) of each row, and (token, n) of tokens that recur in the task."""
+    """(doc_id, id, n, sig, sketch) of each row, and (token, n) of tokens that recur in the task."""
     def run(frames) -> Iterator:
         import pyarrow as pa
-        names = ["doc_id", "id", "n", "sig", "token"]
+        names = ["doc_id", "id", "n", "sig", "sketch", "token"]
         held, size = [], 0
 
         def recurring():
             token, n = np.unique(np.concatenate(held), return_counts=True)
             many = n > 1
             count = int(many.sum())
-            return pa.RecordBatch.from_arrays([pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64()), pa.array(n[many]), pa.nulls(count, pa.binary()),
+            return pa.RecordBatch.from_arrays([pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64()), pa.array(n[many]), pa.nulls(count, pa.binary()), pa.nulls(count, pa.list_(pa.int64())),
                                                pa.array(token[many].view(np.int64))], names)
         for got in batches(frames, ["doc_id", "id", "text"], size=SET_CHARS):
             token, edge = token_sets(got["text"], words)
             n = np.diff(edge)
             sig = [blake2b(token[a:b].tobytes(), digest_size=16).digest() for a, b in zip(edge[:-1], edge[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(got["doc_id"], pa.int64()), pa.array(got["id"], pa.int64()), pa.array(n), pa.array(sig),
-                                              pa.nulls(len(n), pa.int64())], names)
+                                              pa.array(list(sketches(token, edge)), pa.list_(pa.int64())), pa.nulls(len(n), pa.int64())], names)
             held.append(token)
             size += len(token)
             if size > COUNTED:
@@ -225,11 +249,11 @@ def similar_groups(docs: DataFrame, *, words: int = WORDS, threshold: int = THRE
     read = (keyed(docs.select(ordered_id(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")))
             .select(node_of("doc_id", "row").alias("doc_id"), F.col("doc_id").alias("id"), "text"))
     spark = docs.sparkSession
-    profile = written(read.mapInArrow(_profiles(words), "doc_id long, id long, n long, sig binary, token long"), "profiles")
-    every = profile.where("token IS NULL").select("doc_id", "id", "n", "sig")
+    profile = written(read.mapInArrow(_profiles(words), "doc_id long, id long, n long, sig binary, sketch array<long>, token long"), "profiles")
+    every = profile.where("token IS NULL").select("doc_id", "id", "n", "sig", "sketch")
     least_of = F.min(F.struct("id", "doc_id"))
-    classes = written(every.where("n > 0").groupBy("sig", "n").agg(least_of.alias("least"))
-                      .select("sig", "n", "least", F.col("least.doc_id").alias("doc_id")), "classes")
+    classes = written(every.where("n > 0").groupBy("sig", "n").agg(least_of.alias("least"), F.first("sketch").alias("sketch"))
+                      .select("sig", "n", "least", F.col("least.doc_id").alias("doc_id"), "sketch"), "classes")
     least = max(FREQUENT_LEAST, every.count() // FREQUENT_SHARE)
     # heavy hitters: bounded by FREQUENT_SHARE times the mean set size
     heavy = profile.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("token").toPandas()
@@ -253,10 +277,11 @@ def similar_groups(docs: DataFrame, *, words: int = WORDS, threshold: int = THRE
     own = (members.select("key", "doc_id", "n", "least").distinct().join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
            .withColumn("component", F.coalesce("component", "doc_id")))
     open_keys = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    rest = written(own.join(open_keys, "key", "left_semi"), "open")
-    x = rest.select("key", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "n", "least", "component")])
-    y = rest.select("key", *[F.col(c).alias(f"y_{c}") for c in ("doc_id", "n", "least", "component")])
+    rest = written(own.join(open_keys, "key", "left_semi").join(classes.select("doc_id", "sketch"), "doc_id"), "open")
+    x = rest.select("key", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "n", "least", "component", "sketch")])
+    y = rest.select("key", *[F.col(c).alias(f"y_{c}") for c in ("doc_id", "n", "least", "component", "sketch")])
     across = (x.join(y, "key").where("x_doc_id < y_doc_id AND x_component <> y_component").where(near(F.col("x_n"), F.col("y_n")))
+              .where(may_link(threshold))
               .groupBy(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b"))
               .agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("x_least", "y_least")).alias("least"))
               .where("shared >= least").select("a", "b"))

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from behavio.llm import decontam, jaccard_join
@@ -68,6 +69,37 @@ def test_frequent_tokens_lose_no_link(spark, monkeypatch):
     assert got == groups_of(sets_of(rows), 80)
 
 
+def test_sketches_differ_in_no_more_bits_than_sets():
+    sets = [jaccard_join.token_sets([t or ""], 5)[0] for _, t in corpus(14, 60)]
+    edge = np.cumsum([0, *map(len, sets)])
+    bits = jaccard_join.sketches(np.concatenate(sets), edge)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            differ = len(np.setxor1d(x, y))
+            found = sum(int(v).bit_count() for v in (bits[i] ^ bits[j]).view(np.uint64))
+            assert found <= differ and found % 2 == differ % 2
+
+
+def test_unlike_sets_of_a_large_group_are_no_candidates(spark, monkeypatch):
+    """Copies of one text, each with its own changes: they share most tokens, but few are similar."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT_LEAST", 1)
+    made, kept = {}, jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", lambda df, name: made.setdefault(name, kept(df, name)))
+    rnd = random.Random(9)
+    base = [f"v{i}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for at in rnd.sample(range(200), rnd.randrange(1, 8)):
+            w[at] = f"e{rnd.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    sets = sets_of(rows)
+    similar = sum(100 * len(x & y) >= 75 * len(x | y) for i, x in sets.items() for j, y in sets.items() if i < j)
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_groups(frame(spark, rows)).collect()}
+    assert got == groups_of(sets, 80)
+    assert made["across"].count() <= similar
+
+
 @pytest.mark.parametrize("n,m,seed", [(60, 50, 1), (200, 150, 2), (5, 0, 3)])
 def test_components(spark, n, m, seed):
     rnd = random.Random(seed)
