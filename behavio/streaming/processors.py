@@ -2,9 +2,10 @@
 
 Rows of a key wait in state until the watermark has passed them; then they
 are taken in (time, seq) order, so rows that arrive out of order within the
-watermark's delay give the batch result.  A call is made by new rows or by a
-timer at the earliest waiting row or deadline; a key with nothing to wait
-for keeps no state.  State grows with the rows of a key inside the delay
+watermark's delay give the batch result.  Keys are dealt by hash into buckets, of which each has one state: the
+waiting rows and the patterns' values of its keys.  A call is made by new rows of a bucket or by a
+timer at its earliest waiting row or deadline, so the number of calls does not grow with the keys; a
+key with nothing to wait for keeps no state.  State grows with the rows inside the delay
 and one micro-batch, which ``table_stream``'s trigger limit bounds.
 
 Times are microseconds since the epoch in a long column (see
@@ -17,10 +18,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 DAY_US = 86_400_000_000
+#: Groups of keys, each with one state: a call and a state cost far more than a key's rows.
+BUCKETS = 1024
+WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 class Pattern:
@@ -48,53 +52,80 @@ class Pattern:
         return state
 
 
-def ordered(stream, keys: list[str], pattern: Pattern, us: str, seq: str, values: list[str]):
+def ordered(stream, keys: list[str], pattern: Pattern, us: str, seq: str, values: list[str], buckets: int = BUCKETS):
     """``pattern`` over each key of ``stream`` in event-time order; the stream needs a
-    watermark.  Result: keys, then the pattern's columns."""
+    watermark.  Result: keys, then the pattern's columns.  The state is that of
+    ``buckets`` groups of keys and fixed for a query's lifetime."""
     kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
-    own = [p.strip() for p in pattern.state_ddl.split(",") if p.strip()]
-    buffer = [("us", "bigint"), ("seq", kinds[seq]), *[(f"v{i}", kinds[v]) for i, v in enumerate(values)]]
-    state_ddl = ", ".join([*own, *[f"_{n} array<{t}>" for n, t in buffer]])
-    out_ddl = ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], pattern.out_ddl])
+    # a whole number that may be null would be a float in pandas
+    whole = {c for c in (*keys, seq, *values) if kinds[c] in WHOLE}
+    text = lambda c: "string" if c in whole else kinds[c]
+    own = [p.strip().split(" ", 1) for p in pattern.state_ddl.split(",") if p.strip()]
+    buffer = [(us, kinds[us]), (seq, kinds[seq]), *[(v, kinds[v]) for v in values]]
+    state_ddl = ", ".join([*[f"k{i} array<{text(k)}>" for i, k in enumerate(keys)], *[f"o{i} array<{t}>" for i, (_, t) in enumerate(own)],
+                           *[f"w{i} array<{text(k)}>" for i, k in enumerate(keys)], *[f"b{i} array<{t}>" for i, (_, t) in enumerate(buffer)]])
+    out_ddl = ", ".join([*[f"`{k}` {text(k)}" for k in keys], pattern.out_ddl])
     out_names = [p.strip().split(" ")[0] for p in pattern.out_ddl.split(",")]
-    return stream.groupBy(*keys).applyInPandasWithState(
-        _state_fn(keys, pattern, len(own), [us, seq, *values], out_names), out_ddl, state_ddl, "append", "EventTimeTimeout")
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket")
+    rows = stream.withColumn("_bucket", bucket).withColumns({c: F.col(c).cast("string") for c in whole})
+    found = rows.groupBy("_bucket").applyInPandasWithState(
+        _state_fn(keys, pattern, len(own), [us, seq, *values], out_names, whole), out_ddl, state_ddl, "append", "EventTimeTimeout")
+    return found.withColumns({k: F.col(k).cast(kinds[k]) for k in keys if k in whole})
 
 
-def _plain(series: pd.Series) -> list:
-    return [None if v is None or v is pd.NaT or (isinstance(v, float) and v != v) else v
-            for v in series.astype(object).tolist()]
+def _plain(series: pd.Series, whole: bool = False) -> list:
+    found = [None if v is None or v is pd.NaT or (isinstance(v, float) and v != v) else v
+             for v in series.astype(object).tolist()]
+    return [None if v is None else int(v) for v in found] if whole else found
 
 
-def _state_fn(keys: list[str], pattern: Pattern, n_own: int, columns: list[str], out_names: list[str]) -> Callable:
-    def fn(key, frames, state):
+def _state_fn(keys: list[str], pattern: Pattern, n_own: int, columns: list[str], out_names: list[str], whole: set[str]) -> Callable:
+    n = len(keys)
+
+    def fn(bucket, frames, state):
         stored = tuple(state.get) if state.exists else None
-        own = stored[:n_own] if stored else pattern.start
-        waiting = list(zip(*stored[n_own:])) if stored else []
+        own = dict(zip(zip(*stored[:n]), zip(*stored[n:n + n_own]))) if stored else {}
+        waiting = list(zip(*stored[n + n_own:])) if stored else []
         if not state.hasTimedOut:
             for pdf in frames:
-                waiting += zip(*[_plain(pdf[c]) for c in columns])
+                waiting += zip(*[_plain(pdf[k]) for k in keys], *[_plain(pdf[c], c in whole) for c in columns])
         now = state.getCurrentWatermarkMs() * 1000
-        ready = sorted((r for r in waiting if r[0] <= now), key=lambda r: [(v is not None, v) for v in r[:pattern.ordered_by]])
-        waiting = [r for r in waiting if r[0] > now]
-        out: list[tuple] = []
-        if ready:
-            own = pattern.step(own, ready, out)
-        own = pattern.expire(own, now, out)
-        due = pattern.due(own)
-        wake = min([r[0] for r in waiting] + ([due] if due is not None else []), default=None)
+        ready: dict[tuple, list[tuple]] = {key: [] for key in own}
+        later = []
+        for r in waiting:
+            if r[n] <= now:
+                ready.setdefault(r[:n], []).append(r[n:])
+            else:
+                later.append(r)
+        left, kept, out, owners = {r[:n] for r in later}, {}, [], []
+        wake = min((r[n] for r in later), default=None)
+        for key, rows in ready.items():
+            value = own.get(key, pattern.start)
+            if rows:
+                rows.sort(key=lambda r: [(v is not None, v) for v in r[:pattern.ordered_by]])
+                value = pattern.step(value, rows, out)
+            value = pattern.expire(value, now, out)
+            owners += [key] * (len(out) - len(owners))
+            due = pattern.due(value)
+            if due is not None:
+                wake = due if wake is None else min(wake, due)
+            if due is not None or key in left:
+                kept[key] = value
         if wake is not None:
-            state.update((*own, *([list(c) for c in zip(*waiting)] or [[] for _ in columns])))
+            state.update((*_columns(list(kept), n), *_columns(list(kept.values()), n_own), *_columns(later, n + len(columns))))
             state.setTimeoutTimestamp(max(-(-wake // 1000), state.getCurrentWatermarkMs() + 1))
         elif state.exists:
             state.remove()
         if out:
-            cols = list(zip(*out))
-            yield pd.DataFrame({**{k: [v] * len(out) for k, v in zip(keys, key)},
-                                **{n: pd.Series(list(c), dtype=object) for n, c in zip(out_names, cols)}})
+            cols = [*zip(*owners), *zip(*out)]
+            yield pd.DataFrame({c: pd.Series(list(v), dtype=object) for c, v in zip([*keys, *out_names], cols)})
     return fn
 
 
+def _columns(rows: list[tuple], n: int) -> list[list]:
+    return [list(c) for c in zip(*rows)] if rows else [[] for _ in range(n)]
+
+
 class Quota(Pattern):
     """Per UTC day of event time, the first ``max_passed`` rows pass,
     the next raises one alert, the rest are dropped."""
@@ -108,13 +139,13 @@ class Quota(Pattern):
 
     def step(self, state, rows, out):
         day, n = state
-        us = np.array([r[0] for r in rows], np.int64)
-        days = us // DAY_US
-        first = np.searchsorted(days, days, "left")
-        count = np.arange(len(days)) - first + 1 + np.where(days == (-1 if day is None else day), n, 0)
-        for i in np.flatnonzero(count <= self.max_passed + 1).tolist():
-            out.append((rows[i][1], rows[i][0], int(count[i]), "pass" if count[i] <= self.max_passed else "alert"))
-        return int(days[-1]), int(min(count[-1], self.max_passed + 1))
+        for us, seq, *_ in rows:
+            if us // DAY_US != day:
+                day, n = us // DAY_US, 0
+            if n <= self.max_passed:
+                n += 1
+                out.append((seq, us, n, "pass" if n <= self.max_passed else "alert"))
+        return day, n
 
     def due(self, state):
         return None if state[0] is None else (state[0] + 1) * DAY_US
