@@ -248,16 +248,14 @@ def test_keys_share_a_bounded_number_of_states(spark, tmp_path):
     ev = spark.createDataFrame([*rows, (None, None, dt.datetime(2024, 1, 1, 0, 0, 9), "a"), (big, 7, dt.datetime(2024, 1, 3), "b")],
                                "user_id long, event_id long, ts timestamp_ntz, event_type string")
     _files(spark, ev, tmp_path / "src", 2, "ts")
-    states = []
-
-    def stream(own):
-        own.conf.set("spark.sql.shuffle.partitions", "2")
-        return ordered(_stream(own, ev, tmp_path / "src", "1 day"), ["user_id", "event_type"], Quota(1), "us", "event_id", [], buckets=8)
-    query = (stream(spark.newSession()).writeStream.format("memory").queryName("t_buckets").option("checkpointLocation", str(tmp_path / "checkpoint"))
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "2")
+    stream = ordered(_stream(own, ev, tmp_path / "src", "1 day"), ["user_id", "event_type"], Quota(1), "us", "event_id", [], buckets=8)
+    query = (stream.writeStream.format("memory").queryName("t_buckets").option("checkpointLocation", str(tmp_path / "checkpoint"))
              .trigger(availableNow=True).start())
     query.awaitTermination()
     states = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]]
     assert 1 <= max(states) <= 8
-    got = sorted((r["user_id"] or 0, r["seq"], r["n"], r["kind"]) for r in query.sparkSession.table("t_buckets").collect())
+    got = sorted((r["user_id"] or 0, r["seq"], r["n"], r["kind"]) for r in own.table("t_buckets").collect())
     first = [(0 if k == 0 else big + k, big * 2 + 1 + 2 * k + j, j + 1, ("pass", "alert")[j]) for k in range(200) for j in range(2)]
     assert got == sorted(first)
