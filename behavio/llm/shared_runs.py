@@ -6,8 +6,8 @@ alone, so equal windows have equal anchors at equal places.  Consecutive
 windows with the same anchor are a *run*; runs of one text are some
 ``2 / (width - k + 2)`` per unit.  Only the runs' hashes are shuffled:
 
-1. runs are counted by anchor (with map-side combination); anchors of a single
-   run are done with;
+1. anchors alone are counted (with map-side combination); those of a single
+   run are done with, and only the other anchors' runs are written;
 2. runs of equal content are one class; each but its first has all of its windows
    earlier in the corpus;
 3. where an anchor has several classes, the text of the first run of each is
@@ -122,22 +122,22 @@ def recurring(docs: DataFrame, cut: Callable, pieces: Callable, decide: Callable
     """
     order = F.struct("doc_id", "pos") if same_document else F.col("doc_id")
     found = run_table(docs, cut, width, k)
-    anchors = written(
-        found.groupBy("fp").agg(F.min("ht").alias("low"), F.max("ht").alias("high"),
-                                F.min(order).alias("first"), F.max(order).alias("last"))
-        .where(F.col("first") != F.col("last"))
-        .select("fp", "first", (F.col("low") != F.col("high")).alias("several")), "anchors")
-    shared = written(partners(found, anchors, "fp").join(anchors, "fp"), "runs")
-    later = order > F.col("first")
-    whole = shared.where(~F.col("several") & later).select("doc_id", "row", "pos", "n")
-    mixed_runs = shared.where("several").drop("first")
-    classes = written(mixed_runs.groupBy("fp", "ht").agg(F.min(order).alias("first"),
-                                                         F.min(F.struct("doc_id", "pos", "n", "row")).alias("run"),
-                                                         # the last of the runs that are first alike
-                                                         F.min(F.struct(order.alias("first"), F.bitwise_not("pos").alias("pos"),
-                                                                        F.bitwise_not("row").alias("row"))).alias("last")), "classes")
-    again = mixed_runs.join(classes.select("fp", "ht", "first"), ["fp", "ht"]).where(later).select("doc_id", "row", "pos", "n")
-    hot = written(classes.groupBy("fp").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > HOT_CLASSES).select("fp", F.lit(True).alias("hot")), "hot")
+    # nothing but the anchors (and whose they are) is shuffled of the runs that do not recur
+    seen = found.groupBy("fp")
+    seen = (seen.agg(F.count(F.lit(1)).alias("n")).where("n > 1") if same_document else
+            seen.agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last"))
+    anchors = written(seen.select("fp"), "anchors")
+    shared = written(found.join(small(anchors), "fp", "left_semi"), "runs")
+    classes = written(shared.groupBy("fp", "ht").agg(F.min(F.struct("doc_id", "pos", "n", "row")).alias("run"),
+                                                     # the last of the runs that are first alike
+                                                     F.min(F.struct("doc_id", *(["pos"] if same_document else []), F.bitwise_not("pos").alias("to_pos"),
+                                                                    F.bitwise_not("row").alias("to_row"))).alias("last"))
+                      .withColumn("first", F.struct("run.doc_id", "run.pos") if same_document else F.col("run.doc_id")), "classes")
+    again = shared.join(classes.select("fp", "ht", "first"), ["fp", "ht"]).where(order > F.col("first")).select("doc_id", "row", "pos", "n")
+    several = written(classes.groupBy("fp").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "several-classes")
+    hot = written(several.where(F.col("many") > HOT_CLASSES).select("fp", F.lit(True).alias("hot")), "hot")
+    # where an anchor has one class, that class's first run settles all
+    classes = classes.join(small(several.select("fp")), "fp", "left_semi")
     wanted = written(classes.join(hot, "fp", "left").groupBy(F.col("run.doc_id").alias("doc_id"), F.col("run.row").alias("row"))
                      .agg(F.collect_list(F.struct("fp", "run.pos", "run.n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs")),
                      "wanted")
@@ -148,26 +148,26 @@ def recurring(docs: DataFrame, cut: Callable, pieces: Callable, decide: Callable
                .mapInArrow(decide, "doc_id long, row long, pos long, n long, run long"))
     if hot.count():
         windows = windows.unionByName(_hot_repeats(sources.where(F.exists("runs", lambda r: r["hot"])), pieces, width, order))
-    windows = _in_all_runs(windows, mixed_runs, classes, order).select("doc_id", "row", "pos", "n")
-    spans = whole.unionByName(again).unionByName(windows).select(
+    windows = _in_all_runs(windows, shared, classes, order).select("doc_id", "row", "pos", "n")
+    spans = again.unionByName(windows).select(
         "doc_id", "row", F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("n") + (width - 1)).alias("end")).alias("span"))
     merged = spans.groupBy("doc_id", "row").agg(F.collect_set("span").alias("spans")).mapInArrow(
         _merge, "doc_id long, row long, spans array<struct<start:long,end:long>>")
     return written(merged, "spans")
 
 
-def _in_all_runs(windows: DataFrame, mixed_runs: DataFrame, classes: DataFrame, order: Column) -> DataFrame:
+def _in_all_runs(windows: DataFrame, shared: DataFrame, classes: DataFrame, order: Column) -> DataFrame:
     """``windows``, decided for one first run of each class, and the same windows of the
     class's other runs that no run is earlier than: those in the same document where that is
     the order, and those of other rows of the same id."""
-    several = written(classes.where((F.bitwise_not("last.pos") != F.col("run.pos")) | (F.bitwise_not("last.row") != F.col("run.row")))
+    several = written(classes.where((F.bitwise_not("last.to_pos") != F.col("run.pos")) | (F.bitwise_not("last.to_row") != F.col("run.row")))
                       .select("fp", "ht", "first", F.col("run.row").alias("of_row"), F.col("run.pos").alias("run")), "several")
     n = several.count()
     if not n:
         return windows
     windows = written(windows, "windows")
     several = F.broadcast(several) if n <= BROADCAST_ROWS else several
-    others = written(mixed_runs.join(several, ["fp", "ht"]).where(order == F.col("first"))
+    others = written(shared.join(several, ["fp", "ht"]).where(order == F.col("first"))
                      .where((F.col("pos") != F.col("run")) | (F.col("row") != F.col("of_row")))
                      .select("doc_id", "of_row", "run", F.col("row").alias("to_row"), (F.col("pos") - F.col("run")).alias("by")).distinct(), "others")
     others = F.broadcast(others) if others.count() <= BROADCAST_ROWS else others

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from behavio.llm import exact_dedup, substring_dedup, suffix_dedup
+from behavio.llm import exact_dedup, shared_runs, substring_dedup, suffix_dedup
 from llm_data import EDGES, corpus, frame
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -119,6 +119,23 @@ def test_rows_that_share_an_id_keep_their_own_text(spark):
     assert sorted((LAST if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == sorted(exp)
 
 
+def test_only_anchors_are_shuffled_to_find_those_that_recur(spark, monkeypatch):
+    """Of runs without a partner nothing but the anchor goes through a shuffle, and runs of one class are not joined with anchors."""
+    made, kept = {}, shared_runs.written
+
+    def keep(df, name):
+        got = kept(df, name)
+        made[name] = got.inputFiles()
+        return got
+    monkeypatch.setattr(shared_runs, "written", keep)
+    rows = corpus(21, 60)
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(frame(spark, rows)).collect()}
+    assert got == {i: v[1] for i, v in bytes_kept(rows, 100).items()}
+    assert spark.read.parquet(*made["anchors"]).columns == ["fp"]
+    runs = spark.read.parquet(*made["runs"])
+    assert runs.count() and not runs.groupBy("fp").count().where("count = 1").count()
+
+
 def test_hot_anchors_are_split(spark, monkeypatch):
     from behavio.llm import shared_runs
     monkeypatch.setattr(shared_runs, "HOT_CLASSES", 2)
