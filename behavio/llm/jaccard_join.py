@@ -16,9 +16,12 @@ Candidates are not all pairs of an index group.  First each member meets the
 group's smallest and largest document; verified links are joined into components.
 Only groups that still hold several components give pairs, of members of
 different components, and these must share as many prefix tokens as
-the extension proves.  Such a pair goes on only if the sets' sketches allow the
+the extension proves.  Groups of the same members (as the tokens of one passage make
+them; told by the count and 128 bits of hashes of the members) are compared once, as one
+group that counts for all of its keys.  Such a pair goes on only if the sets' sketches allow the
 link: a sketch has ``SKETCH_BITS`` parities of token counts, and two sets differ
-in at least as many tokens as their sketches differ in bits.  So the pairs that the
+in at least as many tokens as their sketches differ in bits; large sets have a second
+one that grows with them.  So the pairs that the
 join makes follow the links across components, not the square of a group of
 unlike sets that share a passage (it still compares the sketches of all of
 them).  No link between components is lost, and a large group of
@@ -56,6 +59,9 @@ COUNTED = 2_000_000
 SET_CHARS = 500_000
 #: Parities of a set's sketch, a multiple of 64.  Sets of up to some 1,000 tokens are told apart well.
 SKETCH_BITS = 512
+#: Sets from this size on have a second sketch of as many bits as tokens, to the power of two
+#: below and up to the second number.  Beyond some 150,000 tokens it tells sets apart less and less.
+FINE_FROM, FINE_BITS = 1024, 1 << 16
 #: Extension of the prefix as a part of the set size.
 EXTENSION = 0.05
 
@@ -97,32 +103,51 @@ def sketches(token: np.ndarray, edge: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64).reshape(len(edge) - 1, SKETCH_BITS // 64)
 
 
+def fine_sketches(token: np.ndarray, edge: np.ndarray) -> list:
+    """The second sketch of each set, None of small ones.  Its halves' exclusive or is the sketch of half the bits."""
+    out = []
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        bits = min(1 << (b - a).bit_length() - 1, FINE_BITS) if b - a >= FINE_FROM else 0
+        odd = np.bincount((mixed(token[a:b]) % np.uint64(bits)).astype(np.int64), minlength=bits) % 2 == 1 if bits else None
+        out.append(np.packbits(odd).view(np.int64) if bits else None)
+    return out
+
+
 def may_link(threshold: int) -> Column:
     """Whether sets x and y (``x_n``, ``x_sketch``, ...) can be similar.  Of ``d`` differing tokens, their intersection is
-    ``(x_n + y_n - d) / 2`` and their union ``(x_n + y_n + d) / 2``."""
+    ``(x_n + y_n - d) / 2`` and their union ``(x_n + y_n + d) / 2``.  Second sketches of one size, or of which one has
+    twice the bits, are compared too; other sizes, and sets without, leave it open."""
     differ = sum((F.bit_count(F.col("x_sketch")[i].bitwiseXOR(F.col("y_sketch")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    return differ * (100 + threshold) <= (F.col("x_n") + F.col("y_n")) * (100 - threshold)
+
+    def no_longer_than(fine: Column, other: Column) -> Column:
+        half = (F.size(fine) / 2).cast("int")
+        return F.when(F.size(fine) > F.size(other), F.zip_with(F.slice(fine, 1, half), F.slice(fine, half + 1, half), lambda p, q: p.bitwiseXOR(q))).otherwise(fine)
+    x, y = F.col("x_fine"), F.col("y_fine")
+    finer = F.aggregate(F.zip_with(no_longer_than(x, y), no_longer_than(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
+    bound = lambda d: d * (100 + threshold) <= (F.col("x_n") + F.col("y_n")) * (100 - threshold)
+    return bound(differ) & F.coalesce(bound(finer), F.lit(True))
 
 
 def _profiles(words: int):
-    """(doc_id, id, n, sig, sketch) of each row, and (token, n) of tokens that recur in the task."""
+    """(doc_id, id, n, sig, sketch, fine) of each row, and (token, n) of tokens that recur in the task."""
     def run(frames) -> Iterator:
         import pyarrow as pa
-        names = ["doc_id", "id", "n", "sig", "sketch", "token"]
+        names = ["doc_id", "id", "n", "sig", "sketch", "fine", "token"]
+        longs = pa.list_(pa.int64())
         held, size = [], 0
 
         def recurring():
             token, n = np.unique(np.concatenate(held), return_counts=True)
             many = n > 1
             count = int(many.sum())
-            return pa.RecordBatch.from_arrays([pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64()), pa.array(n[many]), pa.nulls(count, pa.binary()), pa.nulls(count, pa.list_(pa.int64())),
+            return pa.RecordBatch.from_arrays([pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64()), pa.array(n[many]), pa.nulls(count, pa.binary()), pa.nulls(count, longs), pa.nulls(count, longs),
                                                pa.array(token[many].view(np.int64))], names)
         for got in batches(frames, ["doc_id", "id", "text"], size=SET_CHARS):
             token, edge = token_sets(got["text"], words)
             n = np.diff(edge)
             sig = [blake2b(token[a:b].tobytes(), digest_size=16).digest() for a, b in zip(edge[:-1], edge[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(got["doc_id"], pa.int64()), pa.array(got["id"], pa.int64()), pa.array(n), pa.array(sig),
-                                              pa.array(list(sketches(token, edge)), pa.list_(pa.int64())), pa.nulls(len(n), pa.int64())], names)
+                                              pa.array(list(sketches(token, edge)), longs), pa.array(fine_sketches(token, edge), longs), pa.nulls(len(n), pa.int64())], names)
             held.append(token)
             size += len(token)
             if size > COUNTED:
@@ -249,11 +274,11 @@ def similar_groups(docs: DataFrame, *, words: int = WORDS, threshold: int = THRE
     read = (keyed(docs.select(ordered_id(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")))
             .select(node_of("doc_id", "row").alias("doc_id"), F.col("doc_id").alias("id"), "text"))
     spark = docs.sparkSession
-    profile = written(read.mapInArrow(_profiles(words), "doc_id long, id long, n long, sig binary, sketch array<long>, token long"), "profiles")
-    every = profile.where("token IS NULL").select("doc_id", "id", "n", "sig", "sketch")
+    profile = written(read.mapInArrow(_profiles(words), "doc_id long, id long, n long, sig binary, sketch array<long>, fine array<long>, token long"), "profiles")
+    every = profile.where("token IS NULL").select("doc_id", "id", "n", "sig", "sketch", "fine")
     least_of = F.min(F.struct("id", "doc_id"))
-    classes = written(every.where("n > 0").groupBy("sig", "n").agg(least_of.alias("least"), F.first("sketch").alias("sketch"))
-                      .select("sig", "n", "least", F.col("least.doc_id").alias("doc_id"), "sketch"), "classes")
+    classes = written(every.where("n > 0").groupBy("sig", "n").agg(least_of.alias("least"), F.first("sketch").alias("sketch"), F.first("fine").alias("fine"))
+                      .select("sig", "n", "least", F.col("least.doc_id").alias("doc_id"), "sketch", "fine"), "classes")
     least = max(FREQUENT_LEAST, every.count() // FREQUENT_SHARE)
     # heavy hitters: bounded by FREQUENT_SHARE times the mean set size
     heavy = profile.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("token").toPandas()
@@ -276,14 +301,17 @@ def similar_groups(docs: DataFrame, *, words: int = WORDS, threshold: int = THRE
     label = written(components(links), "labels")
     own = (members.select("key", "doc_id", "n", "least").distinct().join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
            .withColumn("component", F.coalesce("component", "doc_id")))
-    open_keys = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    rest = written(own.join(open_keys, "key", "left_semi").join(classes.select("doc_id", "sketch"), "doc_id"), "open")
-    x = rest.select("key", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "n", "least", "component", "sketch")])
-    y = rest.select("key", *[F.col(c).alias(f"y_{c}") for c in ("doc_id", "n", "least", "component", "sketch")])
+    # keys of the same members are one group, which counts for all of them
+    open_keys = (own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("many"),
+                                        F.bit_xor(F.xxhash64("doc_id")).alias("one"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("two"))
+                 .where("low <> high").groupBy("many", "one", "two").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("keys")).select("key", "keys"))
+    rest = written(own.join(open_keys, "key").join(classes.select("doc_id", "sketch", "fine"), "doc_id"), "open")
+    x = rest.select("key", "keys", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "n", "least", "component", "sketch", "fine")])
+    y = rest.select("key", *[F.col(c).alias(f"y_{c}") for c in ("doc_id", "n", "least", "component", "sketch", "fine")])
     across = (x.join(y, "key").where("x_doc_id < y_doc_id AND x_component <> y_component").where(near(F.col("x_n"), F.col("y_n")))
               .where(may_link(threshold))
               .groupBy(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b"))
-              .agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("x_least", "y_least")).alias("least"))
+              .agg(F.sum("keys").alias("shared"), F.first(F.least("x_least", "y_least")).alias("least"))
               .where("shared >= least").select("a", "b"))
     more = written(verified(written(across, "across"), read, words, threshold).distinct(), "more")
     final = components(links.unionByName(more))

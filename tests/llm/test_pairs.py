@@ -100,6 +100,40 @@ def test_unlike_sets_of_a_large_group_are_no_candidates(spark, monkeypatch):
     assert made["across"].count() <= similar
 
 
+def test_large_unlike_sets_are_no_candidates(spark, monkeypatch):
+    """Long texts of passages that others have too: all tokens recur, but no two texts are similar unless made so."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT_LEAST", 1)
+    made, kept = {}, jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", lambda df, name: made.setdefault(name, kept(df, name)))
+    rnd = random.Random(19)
+    passages = [" ".join(f"p{i}_{j}" for j in range(250)) for i in range(24)]
+    rows = [(i, " ".join(rnd.sample(passages, rnd.choice([4, 8, 9])))) for i in range(40)]
+    rows += [(100 + i, f"{rows[3 * i][1]} {' '.join(f'q{i}_{j}' for j in range(20 * i))}") for i in range(8)]
+    sets = sets_of(rows)
+    similar = sum(100 * len(x & y) >= 50 * len(x | y) for i, x in sets.items() for j, y in sets.items() if i < j)
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_groups(frame(spark, rows)).collect()}
+    assert got == groups_of(sets, 80)
+    assert made["across"].count() <= similar
+    members = [tuple(sorted(r.m)) for r in made["open"].groupBy("key").agg({"doc_id": "collect_list"}).toDF("key", "m").collect()]
+    assert len(members) == len(set(members))
+
+
+def test_second_sketches_differ_in_no_more_bits_than_sets():
+    rnd = np.random.default_rng(3)
+    base = np.unique(rnd.integers(0, 1 << 63, 5000, np.uint64))
+    sets = [np.unique(np.concatenate((base[:k], rnd.integers(0, 1 << 63, n - k, np.uint64)))) for k, n in ((0, 1023), (1000, 1100), (1000, 2100), (2000, 2040), (3000, 4200), (4990, 5000))]
+    fine = jaccard_join.fine_sketches(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    assert [0 if v is None else 64 * len(v) for v in fine] == [0, 1024, 2048, 1024, 4096, 4096]
+    for x, p in zip(sets[1:], fine[1:]):
+        for y, q in zip(sets[1:], fine[1:]):
+            if len(p) == 2 * len(q):
+                p = p[:len(q)] ^ p[len(q):]
+            if len(p) == len(q):
+                differ = len(np.setxor1d(x, y))
+                found = sum(int(v).bit_count() for v in (p ^ q).view(np.uint64))
+                assert found <= differ and found % 2 == differ % 2
+
+
 @pytest.mark.parametrize("n,m,seed", [(60, 50, 1), (200, 150, 2), (5, 0, 3)])
 def test_components(spark, n, m, seed):
     rnd = random.Random(seed)
