@@ -27,6 +27,8 @@ from collections.abc import Iterator
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .vectors import batches, give_back
+
 PIECES = ("doc_id {id_type}, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long, sequence_tokens long")
 #: Ids of one block; a block's documents are held in memory by one task.
@@ -35,6 +37,8 @@ BLOCK_TOKENS = 1 << 22
 CACHE_WORDS = 1 << 20
 #: Longer words are left to the tokenizer; so many of the others are compared with it.
 LONG_WORD, PROBED = 200, 50
+#: Characters of texts, and pieces, that are Python values at a time.
+TEXT_CHARS, PIECES_OUT = 500_000, 1024
 # Fixed value: how byte-level BPE cuts a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -195,6 +199,39 @@ def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -
     return pieces, sizes
 
 
+def _pieces(frames: Iterator, encoder: WordEncoder, schema, next_id: int, capacity: int, end_id: int, linear: float,
+            quadratic: float, block_tokens: int) -> Iterator:
+    """Arrow batches of pieces.  Beside one block's ids, a task holds few texts and few pieces as Python values."""
+    import pyarrow as pa
+
+    end = int(end_id).to_bytes(4, "little")
+    give_back()  # what the vocabulary was read with
+    ids, coded, held = [], [], 0
+
+    def flush():
+        nonlocal ids, coded, held, next_id
+        pieces, sizes = assign([len(c) // 4 for c in coded], capacity, linear, quadratic)
+        for at in range(0, len(pieces), PIECES_OUT):
+            part = pieces[at:at + PIECES_OUT]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((
+                [ids[p[0]] for p in part], [p[1] for p in part], [p[2] for p in part],
+                [coded[p[0]][4 * p[1]:4 * (p[1] + p[2])] for p in part], [len(coded[p[0]]) // 4 for p in part],
+                [next_id + p[3] for p in part], [p[4] for p in part], [sizes[p[3]] for p in part]), schema.types)], schema=schema)
+        next_id += len(sizes)
+        ids, coded, held = [], [], 0
+        give_back()
+
+    for got in batches(frames, ["doc_id", "text"], size=TEXT_CHARS):
+        for name, text in zip(got["doc_id"], got["text"]):
+            ids.append(name)
+            coded.append(encoder.encode(text) + end)
+            held += len(coded[-1]) // 4
+            if held >= block_tokens:
+                yield from flush()
+    if ids:
+        yield from flush()
+
+
 def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024, end_id: int = 0, linear: float = 1.0,
          quadratic: float = 1.0 / 1024, block_tokens: int = BLOCK_TOKENS, id_col: str = "doc_id",
          text_col: str = "text", cache_words: int = CACHE_WORDS) -> DataFrame:
@@ -209,52 +246,15 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024, end_id:
     a block of its own.  Ties in length go by the input order; a retried
     task reads the same split and packs it alike.
     """
-    end = int(end_id).to_bytes(4, "little")
-
-    def run(batches: Iterator) -> Iterator:
-        import pandas as pd
-
-        encoder = WordEncoder(tokenizer_path, cache_words)
-        next_id = TaskContext.get().partitionId() << 40
-        ids, coded, held = [], [], 0
-
-        def flush():
-            nonlocal ids, coded, held, next_id
-            pieces, sizes = assign([len(c) // 4 for c in coded], capacity, linear, quadratic)
-            for at in range(0, len(pieces), 4096):
-                part = pieces[at:at + 4096]
-                yield pd.DataFrame({
-                    "doc_id": pd.Series([ids[p[0]] for p in part], dtype=object),
-                    "start": [p[1] for p in part], "length": [p[2] for p in part],
-                    "ids": [coded[p[0]][4 * p[1]:4 * (p[1] + p[2])] for p in part],
-                    "doc_tokens": [len(coded[p[0]]) // 4 for p in part],
-                    "sequence_id": [next_id + p[3] for p in part], "offset": [p[4] for p in part],
-                    "sequence_tokens": [sizes[p[3]] for p in part]})
-            next_id += len(sizes)
-            ids, coded, held = [], [], 0
-
-        for batch in batches:
-            texts = [t if t is not None else "" for t in batch["text"].to_pylist()]
-            names = batch["doc_id"].to_pylist()
-            for name, text in zip(names, texts):
-                ids.append(name)
-                coded.append(encoder.encode(text) + end)
-                held += len(coded[-1]) // 4
-                if held >= block_tokens:
-                    yield from flush()
-        if ids:
-            yield from flush()
-
-    def arrow(batches):
-        import pyarrow as pa
-        for frame in run(batches):
-            yield pa.RecordBatch.from_pandas(frame, schema=schema, preserve_index=False)
+    def run(frames: Iterator) -> Iterator:
+        yield from _pieces(frames, WordEncoder(tokenizer_path, cache_words), schema, TaskContext.get().partitionId() << 40,
+                           capacity, end_id, linear, quadratic, block_tokens)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     picked = docs.selectExpr(f"`{id_col}` AS doc_id", f"CAST(`{text_col}` AS STRING) AS text")
     out = PIECES.format(id_type=picked.schema["doc_id"].dataType.simpleString())
     schema = to_arrow_schema(_schema(out))
-    return picked.mapInArrow(arrow, out)
+    return picked.mapInArrow(run, out)
 
 
 def _schema(ddl: str):

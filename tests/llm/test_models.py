@@ -49,6 +49,28 @@ def test_packing_round_trip(spark, rows, capacity, block):
         assert n == pieces[0][2] <= capacity and (n == capacity or n & (n - 1) == 0)  # no padding
 
 
+def test_packing_holds_few_texts_at_a_time():
+    """Of a large Arrow batch, only a run of texts and one block's ids are Python values."""
+    import tracemalloc
+
+    import pyarrow as pa
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
+                        ("sequence_id", pa.int64()), ("offset", pa.int64()), ("sequence_tokens", pa.int64())])
+
+    class Lengths:
+        def encode(self, text):
+            return bytes(4 * (len(text) // 1000))
+    frame = pa.RecordBatch.from_arrays([pa.array(range(3000), pa.int64()), pa.array(["x" * 8000] * 2999 + [None])], ["doc_id", "text"])
+    tracemalloc.start()
+    try:
+        n = sum(pa.compute.sum(out["length"]).as_py() for out in packing._pieces(iter([frame]), Lengths(), schema, 0, 1024, 0, 1.0, 0.001, 4096))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 2999 * 9 + 1
+    assert peak < 8 << 20  # the batch has 24 MB
+
+
 def test_packing_goes_to_the_lowest_cost_sequence():
     rnd = random.Random(1)
     for _ in range(50):
