@@ -1,10 +1,12 @@
 """Windows of texts that recur, found without comparing all windows.
 
 A window is ``width`` consecutive units (bytes or words).  Its *anchor* is the
-leftmost k-gram of smallest hash in it, which depends on the window's content
-alone, so equal windows have equal anchors at equal places.  Consecutive
-windows with the same anchor are a *run*; runs of one text are some
-``2 / (width - k + 2)`` per unit.  Only the runs' hashes are shuffled:
+leftmost k-gram of smallest hash in it with the ``(width - k) // 2`` units before it, or, where the
+window begins later than these, with as many after it.  The window's content alone tells
+which, so equal windows have equal anchors at equal places.  A k-gram recurs by chance
+the oftener the larger the corpus is; with its neighbours it mostly recurs where windows do.
+Consecutive windows with the same anchor are a *run*; runs of one text are
+at most some ``4 / (width - k + 2)`` per unit.  Only the runs' hashes are shuffled:
 
 1. anchors alone are counted (with map-side combination); those of a single
    run are done with, and only the other anchors' runs are written;
@@ -54,7 +56,7 @@ def runs_of(values: np.ndarray, edges: np.ndarray, width: int, k: int) -> tuple[
     """(document, first window, number of windows, anchor hash, content hash) of
     the runs of a batch; ``values`` are hashes of the units, ``edges`` where
     each document starts (and the end)."""
-    n = len(values)
+    n, beside = len(values), (width - k) // 2
     none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     if n < width:
         return none
@@ -76,10 +78,16 @@ def runs_of(values: np.ndarray, edges: np.ndarray, width: int, k: int) -> tuple[
     stop = np.concatenate((start[1:], [len(anchor)]))
     ends = np.flatnonzero(~np.concatenate((inside[1:], [False])) & inside) + 1
     stop = np.minimum(stop, ends[np.searchsorted(ends, start, "right")])
+    at = anchor[start]
+    turn = np.clip(at - beside + 1, start, stop)  # later windows lack some of the units before the k-gram
+    early, late = np.flatnonzero(turn > start), np.flatnonzero(turn < stop)
+    least = np.concatenate((at[early] - beside, at[late]))
+    fp = mixed((total[least + k + beside] - total[least]) * inverse[least]) ^ np.repeat(np.array([0, SECOND], np.uint64), (len(early), len(late)))
+    start, stop = np.concatenate((start[early], turn[late])), np.concatenate((turn[early], stop[late]))
     total, inverse = prefix(values, SECOND)
     content = mixed((total[stop + width - 1] - total[start]) * inverse[start])
     doc = np.searchsorted(edges, start, "right") - 1
-    return doc, start - edges[doc], stop - start, grams[anchor[start]], content
+    return doc, start - edges[doc], stop - start, fp, content
 
 
 def run_table(docs: DataFrame, cut: Callable, width: int, k: int) -> DataFrame:

@@ -136,6 +136,26 @@ def test_only_anchors_are_shuffled_to_find_those_that_recur(spark, monkeypatch):
     assert runs.count() and not runs.groupBy("fp").count().where("count = 1").count()
 
 
+@pytest.mark.parametrize("operator,width", [(substring_dedup, 13), (suffix_dedup, 100)])
+def test_short_grams_that_recur_by_chance_are_done_with_at_once(spark, monkeypatch, operator, width):
+    """Few different words: nearly each 5-gram recurs, but no window does, so no run goes on (but for one copied passage)."""
+    made, kept = {}, shared_runs.written
+
+    def keep(df, name):
+        got = kept(df, name)
+        made[name] = got.inputFiles()
+        return got
+    monkeypatch.setattr(shared_runs, "written", keep)
+    rnd = random.Random(22)
+    names = ["alpha", "bravo", "delta", "gamma", "kappa", "omega"]
+    rows = [(i, " ".join(rnd.choices(names, k=120))) for i in range(150)]
+    rows.append((150, " ".join(rows[7][1].split()[30:60])))
+    got = {r.doc_id: r.n_removed for r in operator.remove_repeats(frame(spark, rows)).collect()}
+    assert got == {i: v[1] for i, v in (words_kept if operator is substring_dedup else bytes_kept)(rows, width).items()}
+    assert got[150] > 13
+    assert 0 < spark.read.parquet(*made["runs"]).count() < 300  # of some thousand
+
+
 def test_hot_anchors_are_split(spark, monkeypatch):
     from behavio.llm import shared_runs
     monkeypatch.setattr(shared_runs, "HOT_CLASSES", 2)
