@@ -155,7 +155,8 @@ def recurring(docs: DataFrame, cut: Callable, pieces: Callable, decide: Callable
     windows = (texts.repartition("key").sortWithinPartitions("key", "doc_id", "pos")
                .mapInArrow(decide, "doc_id long, row long, pos long, n long, run long"))
     if hot.count():
-        windows = windows.unionByName(_hot_repeats(sources.where(F.exists("runs", lambda r: r["hot"])), pieces, width, order))
+        held = wanted.where(F.exists("runs", lambda r: r["hot"]))  # only the texts of hot anchors are shuffled once more
+        windows = windows.unionByName(_hot_repeats(partners(docs, held, "doc_id").join(held, ["doc_id", "row"]), pieces, width, order))
     windows = _in_all_runs(windows, shared, classes, order).select("doc_id", "row", "pos", "n")
     spans = again.unionByName(windows).select(
         "doc_id", "row", F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("n") + (width - 1)).alias("end")).alias("span"))
