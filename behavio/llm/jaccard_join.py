@@ -15,10 +15,11 @@ Texts of equal sets are one class, and only its representative goes on.  Tokens
 Candidates are not all pairs of an index group.  First each member meets the
 group's smallest and largest document; verified links are joined into components.
 Only groups that still hold several components give pairs, of members of
-different components, and these must share as many prefix tokens as
-the extension proves.  Groups of the same members (as the tokens of one passage make
-them; told by the count and 128 bits of hashes of the members) are compared once, as one
-group that counts for all of its keys.  Such a pair goes on only if the sets' sketches allow the
+different components.  Groups of the same members (as the tokens of one passage make
+them; told by the count and 128 bits of hashes of the members) are compared once.  Two
+documents that meet in many groups are a pair in few of them: each member knows its document's
+``BEFORE`` groups before this one, in order of the keys, and where two members have one of these in common they have met
+there; in the first of their common groups they have none.  A pair goes on only if the sets' sketches allow the
 link: a sketch has ``SKETCH_BITS`` parities of token counts, and two sets differ
 in at least as many tokens as their sketches differ in bits; large sets have a second
 one that grows with them.  So the pairs that the
@@ -41,7 +42,7 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keyed, written
@@ -64,6 +65,8 @@ SKETCH_BITS = 512
 FINE_FROM, FINE_BITS = 1024, 1 << 16
 #: Extension of the prefix as a part of the set size.
 EXTENSION = 0.05
+#: Groups before it that a member knows.
+BEFORE = 8
 
 
 def token_sets(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -301,18 +304,17 @@ def similar_groups(docs: DataFrame, *, words: int = WORDS, threshold: int = THRE
     label = written(components(links), "labels")
     own = (members.select("key", "doc_id", "n", "least").distinct().join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
            .withColumn("component", F.coalesce("component", "doc_id")))
-    # keys of the same members are one group, which counts for all of them
+    # keys of the same members are one group
     open_keys = (own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("many"),
                                         F.bit_xor(F.xxhash64("doc_id")).alias("one"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("two"))
-                 .where("low <> high").groupBy("many", "one", "two").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("keys")).select("key", "keys"))
-    rest = written(own.join(open_keys, "key").join(classes.select("doc_id", "sketch", "fine"), "doc_id"), "open")
-    x = rest.select("key", "keys", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "n", "least", "component", "sketch", "fine")])
-    y = rest.select("key", *[F.col(c).alias(f"y_{c}") for c in ("doc_id", "n", "least", "component", "sketch", "fine")])
+                 .where("low <> high").groupBy("many", "one", "two").agg(F.min("key").alias("key")).select("key"))
+    before = F.collect_list("key").over(Window.partitionBy("doc_id").orderBy("key").rowsBetween(-BEFORE, -1))
+    rest = written(own.join(open_keys, "key").select("key", "doc_id", "n", "component", before.alias("before"))
+                   .join(classes.select("doc_id", "sketch", "fine"), "doc_id"), "open")
+    x, y = (rest.select("key", *[F.col(c).alias(f"{e}_{c}") for c in ("doc_id", "n", "component", "before", "sketch", "fine")]) for e in "xy")
     across = (x.join(y, "key").where("x_doc_id < y_doc_id AND x_component <> y_component").where(near(F.col("x_n"), F.col("y_n")))
-              .where(may_link(threshold))
-              .groupBy(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b"))
-              .agg(F.sum("keys").alias("shared"), F.first(F.least("x_least", "y_least")).alias("least"))
-              .where("shared >= least").select("a", "b"))
+              .where(may_link(threshold)).where(~F.arrays_overlap("x_before", "y_before"))
+              .select(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b")).distinct())
     more = written(verified(written(across, "across"), read, words, threshold).distinct(), "more")
     final = components(links.unionByName(more))
     # of each linked class the component, named by the smallest of all of its rows

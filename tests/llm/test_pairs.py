@@ -118,6 +118,41 @@ def test_large_unlike_sets_are_no_candidates(spark, monkeypatch):
     assert len(members) == len(set(members))
 
 
+def test_documents_that_meet_in_many_groups_are_a_pair_in_few(spark, monkeypatch):
+    """Copies of one text with changes of their own: two of them share most of some 100 keys, but are not similar."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT_LEAST", 1000)
+    counted, kept = {}, jaccard_join.written
+
+    def count(df, name):
+        if name == "across":
+            df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+            counted["join"] = joined(df)
+            df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        return kept(df, name)
+
+    def joined(df):  # rows of the join, before equal pairs become one
+        df._jdf.queryExecution().toRdd().count()
+        node = [df._jdf.queryExecution().executedPlan()]
+        while node:
+            at = node.pop()
+            if "Join" in at.nodeName():
+                return at.metrics().apply("numOutputRows").value()
+            node += [at.children().apply(i) for i in range(at.children().size())]
+    monkeypatch.setattr(jaccard_join, "written", count)
+    rnd = random.Random(23)
+    base = [f"v{i}" for i in range(400)]
+    rows = []
+    for i in range(40):
+        w = list(base)
+        for at in rnd.sample(range(400), 5):
+            w[at] = f"e{rnd.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    sets = sets_of(rows)
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_groups(frame(spark, rows)).collect()}
+    assert got == groups_of(sets, 80)
+    assert 0 < counted["join"] <= 4 * len(rows) * (len(rows) - 1) // 2
+
+
 def test_second_sketches_differ_in_no_more_bits_than_sets():
     rnd = np.random.default_rng(3)
     base = np.unique(rnd.integers(0, 1 << 63, 5000, np.uint64))
