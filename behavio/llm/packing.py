@@ -37,6 +37,8 @@ BLOCK_TOKENS = 1 << 22
 CACHE_WORDS = 1 << 20
 #: Longer words are left to the tokenizer; so many of the others are compared with it.
 LONG_WORD, PROBED = 200, 50
+#: Characters of a text that are coded at a time, and those that a task codes both ways.
+SLICE_CHARS, PROBED_CHARS = 100_000, 10_000
 #: Characters of texts, and pieces, that are Python values at a time.
 TEXT_CHARS, PIECES_OUT = 500_000, 1024
 # Fixed value: how byte-level BPE cuts a text before merging.
@@ -73,17 +75,20 @@ class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
     The vocabulary's pre-tokeniser never joins what lies before and after a
-    single blank between two non-blank characters, so a text is cut there and
-    the ids of each part are remembered, up to ``cache_words``."""
+    single blank between two non-blank characters, so a text may be cut there.  Texts are merged
+    by rank, in slices of some ``SLICE_CHARS``; parts that are long or have other white space than
+    ASCII's are left to the tokenizer.  The first slices are coded both ways and must agree.  Of
+    vocabularies that are not merged by rank, the ids of each part are remembered, up to ``cache_words``."""
 
     LOOSE = re.compile(r"\s | \s|^ | $")
     CUT = re.compile(r"(?<=\S) (?=\S)")
+    OTHER = re.compile(r"[^\S \t-\r]")
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        self.cache_words = cache_words
+        self.cache_words, self.probes = cache_words, PROBED_CHARS
         self.known = WordIds(tokenizer, rank_encoder(path))
 
     def parts(self, text: str) -> list[str]:
@@ -91,11 +96,51 @@ class WordEncoder:
         return self.CUT.split(text) if self.LOOSE.search(text) else text.split(" ")
 
     def encode(self, text: str) -> bytes:
+        if self.known.by_rank is not None:
+            return b"".join(map(self.merged, self.slices(text)))
         if len(self.known) > self.cache_words:
             self.known.clear()
         first, *rest = self.parts(text)
         return self.known.slow(first) + b"".join(map(self.known.__getitem__, rest))
 
+    def slices(self, text: str) -> Iterator[str]:
+        """The text in slices that, but for the first, begin with the blank they are cut at."""
+        at = 0
+        while len(text) - at > SLICE_CHARS and (cut := self.CUT.search(text, at + SLICE_CHARS)):
+            yield text[at:cut.start()]
+            at = cut.start()
+        yield text[at:] if at else text
+
+    def merged(self, text: str) -> bytes:
+        if self.OTHER.search(text) or self.has_long(text):
+            return b"".join(self.apart(text))
+        found = array("I", self.known.by_rank(text)).tobytes()
+        if self.probes > 0:
+            probe = text if len(text) <= self.probes else text[:cut.start()] if (cut := self.CUT.search(text, self.probes)) else ""
+            self.probes -= max(len(probe), 1)
+            if not found.startswith(self.known.slow(probe)):
+                raise RuntimeError("merging by rank disagrees with the tokenizer")
+        return found
+
+    @staticmethod
+    def has_long(text: str) -> bool:
+        """Whether more than ``LONG_WORD`` characters lie between two blanks."""
+        at = 0
+        while len(text) - at > LONG_WORD:
+            at = text.rfind(" ", at, at + LONG_WORD + 1) + 1
+            if not at:
+                return True
+        return False
+
+    def apart(self, text: str) -> Iterator[bytes]:
+        """The ids of long parts and those with other white space by the tokenizer, of what is between them by rank."""
+        cuts, done = [0, *(m.start() for m in self.CUT.finditer(text)), len(text)], 0
+        for a, b in zip(cuts, cuts[1:]):
+            if b - a > LONG_WORD + 1 or self.OTHER.search(text, a, b):
+                yield array("I", self.known.by_rank(text[done:a])).tobytes() + self.known.slow(text[a:b])
+                done = b
+        yield array("I", self.known.by_rank(text[done:])).tobytes()
+
 
 def rank_encoder(path: str):
     """The vocabulary of a byte-level BPE file for merging by rank, which is

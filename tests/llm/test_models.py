@@ -71,6 +71,40 @@ def test_packing_holds_few_texts_at_a_time():
     assert peak < 8 << 20  # the batch has 24 MB
 
 
+def test_packing_codes_texts_in_slices_and_not_word_by_word(monkeypatch):
+    """The ids are those of the tokenizer, whatever white space, long words and cuts there are; a text is one call, not one a word."""
+    encoder = packing.WordEncoder(tokenizer_path())
+    rnd = random.Random(8)
+    some = [" ", "  ", "\n", "\n\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u3000", "\u200b", "word", "'s", "É", "漢字", "12", "!?", "x" * 250,
+            "<|endoftext|>", "a b", "\U0001F600"]
+    texts = ["".join(rnd.choice(some) for _ in range(rnd.randrange(14))) for _ in range(2000)]
+    for size in (packing.SLICE_CHARS, 5):
+        monkeypatch.setattr(packing, "SLICE_CHARS", size)
+        assert all(encoder.encode(t) == encoder.known.slow(t) for t in texts)
+    monkeypatch.undo()
+    calls, by_rank = [], encoder.known.by_rank
+    encoder.known.by_rank = lambda t: calls.append(t) or by_rank(t)
+    text = " ".join(f"new{i}word" for i in range(5000))
+    assert encoder.encode(text) == encoder.known.slow(text)
+    assert len(calls) == 1
+
+
+def test_quality_features_hold_arrays_of_few_characters(monkeypatch):
+    """The same rows as of all texts at once, in less memory than arrays over all characters take."""
+    import tracemalloc
+    classes = quality.class_table()
+    texts = [f"Text {i} has SOME words, words and  blanks.\n" * (i % 7 * 15) for i in range(3000)]
+    tracemalloc.start()
+    try:
+        x = quality.features(texts, classes)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(map(len, texts)) > 5_000_000 and peak < 64 << 20
+    monkeypatch.setattr(quality, "FEATURE_CHARS", 1 << 40)
+    assert (x == quality.features(texts, classes)).all()
+
+
 def test_packing_goes_to_the_lowest_cost_sequence():
     rnd = random.Random(1)
     for _ in range(50):
